@@ -1,0 +1,46 @@
+"""Run a registered query and its SQL on the same tables and compare all rows."""
+
+from __future__ import annotations
+
+import math
+import os
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        path = os.path.join(sf_dir, f"{name}.parquet")
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(round(value, 9))
+    return f"{type(value).__name__}:{value}" if value is not None else "~"
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
+
+
+def compare(df, con, sql) -> str | None:
+    """None when equal, otherwise what differs."""
+    relation = con.sql(sql)
+    if sorted(df.columns) != sorted(relation.columns):
+        return f"columns {sorted(df.columns)} <> {sorted(relation.columns)}"
+    got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    want = _rows(relation.columns, relation.fetchall())
+    if len(got) != len(want):
+        return f"{len(got)} rows <> {len(want)}"
+    for g, w in zip(got, want):
+        if g != w:
+            return f"first difference: {str(g)[:300]} <> {str(w)[:300]}"
+    return None

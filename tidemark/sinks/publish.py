@@ -1,0 +1,175 @@
+"""Making a finished result the new state of a target."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable, Sequence
+from datetime import date
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark import fs
+from tidemark.session import scratch
+from tidemark.sinks import orc
+from tidemark.sinks.text import write_change_csv
+from tidemark.sources.tables import partition_columns
+
+
+class Versions:
+    """A target kept as numbered, complete copies below one folder.
+
+    A version counts once its ``_SUCCESS`` marker is there, which the write's
+    own commit creates last. Readers take the newest such version, so they
+    never see half a write, and a lost driver leaves the old state in place.
+    Writing a version again replaces it whole.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def path(self, version: int) -> str:
+        return f"{self.root}/v{version:015d}"
+
+    def complete(self, before: int | None = None) -> list[int]:
+        found = [int(n[1:]) for n in fs.names(self.spark, self.root)
+                 if n.startswith("v") and n[1:].isdigit()]
+        return [v for v in sorted(found)
+                if (before is None or v < before)
+                and fs.exists(self.spark, f"{self.path(v)}/_SUCCESS")]
+
+    def current(self, before: int | None = None) -> int | None:
+        for version in reversed(self.complete(before)):
+            return version
+        return None
+
+    def read(self, schema: T.StructType, before: int | None = None) -> DataFrame:
+        """The newest complete version; no rows when there is none."""
+        version = self.current(before)
+        if version is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).orc(self.path(version))
+
+    def publish(self, df: DataFrame, version: int, **layout) -> str:
+        orc.write(df, self.path(version), **layout)
+        return self.path(version)
+
+    def prune(self, keep: int = 2) -> list[int]:
+        """Remove all but the newest ``keep`` complete versions."""
+        old = self.complete()[:-keep] if keep else []
+        for version in old:
+            fs.remove(self.spark, self.path(version))
+        return old
+
+
+def replace_partitions(df: DataFrame, touched: DataFrame, path: str,
+                       partition_by: Sequence[str], **layout) -> None:
+    """Make ``df`` the new contents of the ``touched`` partitions.
+
+    A dynamic overwrite replaces partitions that still have rows. One that has
+    none left occurs nowhere in ``df``, so it is removed by name; what reaches
+    the driver is the list of emptied partitions.
+    """
+    spark = df.sparkSession
+    names = [f"__part_{i}" for i in range(len(partition_by))]
+    same = reduce(lambda a, b: a & b,
+                  [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition_by, names)])
+    filled = df.select(*partition_by).distinct().toDF(*names)
+    emptied = touched.join(filled, same, "left_anti").collect()
+    orc.overwrite_partitions(df, path, partition_by, **layout)
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in emptied:
+        folders = [utils.getPartitionPathString(c, None if row[c] is None else str(row[c]))
+                   for c in partition_by]
+        fs.remove(spark, "/".join([path.rstrip("/"), *folders]))
+
+
+def create_table(spark: SparkSession, table: str, schema: T.StructType, path: str,
+                 partition_by: Sequence[str] = (), bloom: Sequence[str] = ()) -> None:
+    """An ORC table over ``path``; an existing one stays as it is."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    props = ["'orc.compress'='ZLIB'"]
+    if bloom:
+        props.append(f"'orc.bloom.filter.columns'='{','.join(bloom)}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING ORC{parts} "
+              f"LOCATION '{path}' TBLPROPERTIES ({', '.join(props)})")
+
+
+def redefine_table(spark: SparkSession, table: str, schema: T.StructType, path: str,
+                   partition_by: Sequence[str] = (), bloom: Sequence[str] = ()) -> None:
+    """Drop and create, as a full load does when the source's columns rule."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    create_table(spark, table, schema, path, partition_by, bloom)
+
+
+def switch_location(spark: SparkSession, table: str, path: str) -> None:
+    """Point a table at another folder: one catalog update, no file moves."""
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+
+
+def stage_and_switch(df: DataFrame, table: str, staging: str, **layout) -> None:
+    """Write next to the live data, then switch the table over.
+
+    Safe when ``df`` reads ``table``: the old folder is not touched.
+    """
+    orc.write(df, staging, **layout)
+    switch_location(df.sparkSession, table, staging)
+
+
+def refresh(spark: SparkSession, table: str, *, count_rows: bool = False) -> None:
+    """Make new partitions and files known, and refresh size statistics.
+
+    Row counts need a pass over the table, so they are taken on request only.
+    """
+    if partition_columns(spark, table):
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS" + ("" if count_rows else " NOSCAN"))
+
+
+def archive_copy(df: DataFrame, root: str, table: str, load_id: int) -> str:
+    """Keep a copy of a loaded table under ``<root>/<table>_bkp/load_id=<id>``."""
+    path = f"{root.rstrip('/')}/{table}_bkp/load_id={load_id}"
+    orc.write(df, path)
+    return f"{root.rstrip('/')}/{table}_bkp"
+
+
+def archive_inputs(spark: SparkSession, files: Sequence[str], root: str, schema: str,
+                   table: str, day: date) -> list[str]:
+    """Move applied files to ``<root>/<schema>/<yyyy-mm-dd>/<table>/``."""
+    folder = f"{root.rstrip('/')}/{schema}/{day.isoformat()}/{table}"
+    fs.make_dirs(spark, folder)
+    moved = []
+    for file in files:
+        fs.move(spark, file, f"{folder}/{file.rsplit('/', 1)[-1]}")
+        moved.append(f"{folder}/{file.rsplit('/', 1)[-1]}")
+    return moved
+
+
+def fan_out(df: DataFrame, staging: str, targets: Iterable[tuple[object, Callable]]) -> list:
+    """One extract, many targets: stage it once, hand it to each target's loader.
+
+    Staging instead of a cache: every loader reads the same rows even when
+    executors are lost between two of them.
+    """
+    orc.write(df, staging)
+    staged = df.sparkSession.read.schema(df.schema).orc(staging)
+    return [(target, load(staged)) for target, load in targets]
+
+
+def drop_files(df: DataFrame, directory: str, table: str, batch: str, **csv) -> list[str]:
+    """Write rows as change files ``<batch>_<n>-<table>.csv`` and move them in place."""
+    spark = df.sparkSession
+    staging = scratch(spark, "drop")
+    write_change_csv(df, staging, **csv)
+    fs.make_dirs(spark, directory)
+    moved = []
+    for i, file in enumerate(fs.glob(spark, f"{staging}/part-*.csv")):
+        target = f"{directory.rstrip('/')}/{batch}_{i:05d}-{table}.csv"
+        fs.move(spark, file, target)
+        moved.append(target)
+    return moved
