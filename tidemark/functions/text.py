@@ -12,6 +12,7 @@ import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The text formats that producers and consumers share.
 SOH = "\x01"
@@ -39,19 +40,38 @@ def checked(text: Column) -> Column:
 
 
 def escape(value: Column, sep: str, escapes: dict[str, str] = LINE_ESCAPES) -> Column:
-    """``value`` as it stands in a file; NULL stays NULL."""
-    out = _swap(checked(value.cast("string")), "\\", "\\\\")
-    out = _swap(out, sep, "\\" + sep)
+    """``value`` as it stands in a file; NULL stays NULL.
+
+    Line feeds are common in text and the other special characters are rare, so
+    one look decides between a single replacement and all of them.
+    """
+    value = value.cast("string")
+    rare = [c for c in escapes.values() if c != "\n"]
+    special = "[" + "".join(re.escape(c) for c in [_MARK, "\\", sep, *rare]) + "]"
+    every = _swap(_swap(checked(value), "\\", "\\\\"), sep, "\\" + sep)
     for letter, char in escapes.items():
-        out = _swap(out, char, "\\" + letter)
-    return out
+        every = _swap(every, char, "\\" + letter)
+    return F.when(value.rlike(special), every).otherwise(_swap(value, "\n", "\\n"))
+
+
+# types whose text form has none of the characters an escape is for
+_PLAIN = (T.NumericType, T.BooleanType, T.DatetimeType)
+
+
+def is_plain(dtype: T.DataType, sep: str) -> bool:
+    return isinstance(dtype, _PLAIN) and sep in (SOH, SUB)
 
 
-def join_fields(values: list[Column], sep: str, null_value: str,
+def join_fields(schema: T.StructType, sep: str, null_value: str,
                 escapes: dict[str, str] = LINE_ESCAPES) -> Column:
     """One line of text from a row; NULL becomes ``null_value``."""
-    return F.concat_ws(sep, *[F.coalesce(escape(v, sep, escapes), F.lit(null_value))
-                              for v in values])
+    fields = []
+    for f in schema.fields:
+        value = F.col(f"`{f.name}`").cast("string")
+        if not is_plain(f.dataType, sep):
+            value = escape(value, sep, escapes)
+        fields.append(F.coalesce(value, F.lit(null_value)))
+    return F.concat_ws(sep, *fields)
 
 
 def split_fields(line: Column, sep: str) -> Column:
@@ -69,10 +89,11 @@ def split_fields(line: Column, sep: str) -> Column:
 def unescape(field: Column, sep: str, null_value: str,
              escapes: dict[str, str] = LINE_ESCAPES) -> Column:
     """The value of a raw field; the NULL test sees the field before unescaping."""
-    out = _swap(field, _SEPARATOR, sep)
+    lines = _swap(field, "\\n", "\n")
+    every = _swap(lines, _SEPARATOR, sep)
     for letter, char in escapes.items():
-        out = _swap(out, "\\" + letter, char)
+        every = _swap(every, "\\" + letter, char)
     # a backslash before any other character stands for that character
-    out = _swap(out, "\\", "")
-    out = _swap(out, _BACKSLASH, "\\")
-    return F.when(field == null_value, None).otherwise(out)
+    every = _swap(_swap(every, "\\", ""), _BACKSLASH, "\\")
+    special = F.contains(lines, F.lit("\\")) | F.contains(lines, F.lit(_MARK))
+    return F.when(field == null_value, None).when(special, every).otherwise(lines)

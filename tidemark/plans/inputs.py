@@ -26,13 +26,14 @@ NOW = "2001-12-31 00:00:00"
 
 def changes(spark: SparkSession, sf: str) -> DataFrame:
     """Events as a change log: key (user_id, slot) where slot may be NULL."""
-    slot = F.nullif(F.regexp_extract("props", r"(\d+)", 1).cast("int"), F.lit(9))
+    number = F.substring_index(F.substring_index("props", ": ", -1), "}", 1)
+    slot = F.nullif(number.cast("int"), F.lit(9))
     op = (F.when(F.col("event_type") == "purchase", S.OP_DELETE)
           .when(F.col("event_type") == "signup", S.OP_INSERT)
           .when(F.col("event_type") == "error", S.OP_IGNORED).otherwise(2))
     return table(spark, sf, "events").select(
         "user_id", slot.alias("slot"), "event_id", "event_type", "value", "ts",
-        op.alias(S.OP_CODE), F.date_format("ts", "yyyyMMddHHmmssSSSSSS").alias(S.TIME_KEY))
+        op.alias(S.OP_CODE), F.col("ts").cast("string").alias(S.TIME_KEY))
 
 
 CHANGES_SQL = """chg AS (
@@ -40,7 +41,7 @@ CHANGES_SQL = """chg AS (
            event_id, event_type, value, ts,
            CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1
                 WHEN 'error' THEN 5 ELSE 2 END AS op_code,
-           strftime(ts, '%Y%m%d%H%M%S%f') AS time_key
+           CAST(ts AS VARCHAR) AS time_key
     FROM events)"""
 
 

@@ -10,8 +10,7 @@ from tidemark.functions import text as X
 
 def write_text(df: DataFrame, path: str, *, sep: str, null_value: str,
                escapes: dict[str, str] = X.LINE_ESCAPES, mode: str = "overwrite") -> None:
-    lines = df.select(X.join_fields([F.col(f"`{c}`") for c in df.columns],
-                                    sep, null_value, escapes).alias("value"))
+    lines = df.select(X.join_fields(df.schema, sep, null_value, escapes).alias("value"))
     lines.write.mode(mode).option("lineSep", "\n").text(path)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +25,16 @@ def parse_lines(lines: DataFrame, schema: T.StructType, sep: str, null_value: st
                                     F.raise_error(wrong).cast("boolean")).otherwise(F.lit(True)))
     elif on_bad_row != "pad":
         raise ValueError(f"unknown on_bad_row {on_bad_row!r}")
-    return parts.select(*[
-        strict_cast(X.unescape(F.get("parts", F.lit(i)), sep, null_value, escapes),
-                    f.dataType, f.name).alias(f.name)
-        for i, f in enumerate(schema.fields)])
+
+    def value(i: int, f: T.StructField) -> Column:
+        raw = F.get("parts", F.lit(i))
+        if X.is_plain(f.dataType, sep):
+            text = F.when(raw != null_value, raw)
+        else:
+            text = X.unescape(raw, sep, null_value, escapes)
+        return strict_cast(text, f.dataType, f.name).alias(f.name)
+
+    return parts.select(*[value(i, f) for i, f in enumerate(schema.fields)])
 
 
 def read_text(spark: SparkSession, path: str, schema: T.StructType, *, sep: str,
