@@ -33,7 +33,9 @@ def csv_options(delimiter: str, multi_line: bool) -> dict[str, str]:
     return {"sep": delimiter, "quote": '"', "escape": "\\", "header": "false",
             "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD,
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-            "multiLine": str(multi_line).lower()}
+            "multiLine": str(multi_line).lower(),
+            # a pruned parse would not notice rows of the wrong length
+            "columnPruning": "false"}
 
 
 def raw_schema(schema: T.StructType) -> T.StructType:
@@ -54,9 +56,12 @@ def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
     A row with too few or too many fields, or a value its column cannot hold,
     fails the load, as it would in the database's own loader.
     """
-    whole = F.when(F.col(_BAD).isNotNull(),
-                   F.raise_error(F.concat(F.lit("malformed change row: "), F.col(_BAD))
-                                 ).cast("boolean")).otherwise(F.lit(True))
+    # naming the first field keeps a count legal: a scan may not read the bad-row column alone
+    first = F.coalesce(F.col(f"`{schema.names[0]}`"), F.lit(""))
+    complaint = F.concat(F.lit("malformed change row, first field "), first, F.lit(": "),
+                         F.col(_BAD))
+    whole = F.when(F.col(_BAD).isNotNull(), F.raise_error(complaint).cast("boolean")
+                   ).otherwise(F.lit(True))
     return raw.filter(whole).select(*[_value(f) for f in schema.fields])
 
 
