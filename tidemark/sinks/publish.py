@@ -121,12 +121,12 @@ def stage_and_switch(df: DataFrame, table: str, staging: str, **layout) -> None:
 
 
 def refresh(spark: SparkSession, table: str, *, count_rows: bool = False) -> None:
-    """Make new partitions and files known, and refresh size statistics.
+    """Make new files known, match the listed partitions to the folders, refresh statistics.
 
     Row counts need a pass over the table, so they are taken on request only.
     """
     if partition_columns(spark, table):
-        spark.catalog.recoverPartitions(table)
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS" + ("" if count_rows else " NOSCAN"))
 
