@@ -44,7 +44,8 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 def table_kind(spark: SparkSession, table: str) -> str:
     """``VIEW`` or ``TABLE``."""
-    return "VIEW" if "VIEW" in spark.catalog.getTable(table).tableType else "TABLE"
+    found = spark.catalog.getTable(table)
+    return "VIEW" if found.isTemporary or "VIEW" in found.tableType else "TABLE"
 
 
 def bloom_columns(spark: SparkSession, table: str) -> list[str]:
