@@ -93,7 +93,7 @@ def test_moved_key_keeps_old_copy_unless_global(spark, folder):
         merged = merge(target, new, ["k"], ["p"])
         replace_partitions(merged, M.touched_partitions(target, new, ["k"], ["p"])
                            if name == "global" else M.affected_partitions(new, ["p"]),
-                           path, ["p"])
+                           path, ["p"], may_empty=True)
         assert len([r for r in rows(read_orc(spark, path)) if r[0] == 4]) == expect
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import fs
 from tidemark.operators.layout import bloom_options, cap_files, cluster
 from tidemark.operators.merge import merge_flat
-from tidemark.session import scratch, work_dir
+from tidemark.session import scratch, shuffle_partitions, staging, work_dir
 from tidemark.sinks import jdbc as jdbc_sink
 from tidemark.sinks import orc
 from tidemark.sinks.publish import (archive_copy, archive_inputs, create_table, fan_out, refresh,
@@ -78,7 +78,8 @@ def test_emptied_partition_is_removed(spark, folder):
     df = spark.createDataFrame([(1, "a b/c"), (2, "x"), (3, None)], "id int, p string")
     orc.write(df, path, partition_by=["p"])
     target = spark.read.schema(df.schema).orc(path)
-    replace_partitions(target.filter("id > 3"), df.filter("id <> 2").select("p"), path, ["p"])
+    replace_partitions(target.filter("id > 3"), df.filter("id <> 2").select("p"), path, ["p"],
+                       may_empty=True)
     assert [r.id for r in spark.read.schema(df.schema).orc(path).collect()] == [2]
 
 
@@ -113,6 +114,19 @@ def test_work_dir_is_the_named_one(spark):
     assert scratch(spark, "x") != scratch(spark, "x")
 
 
+def test_staging_goes_with_its_step(spark):
+    with staging(spark, "step") as path:
+        orc.write(spark.range(3), path)
+        assert fs.exists(spark, path)
+    assert not fs.exists(spark, path)
+
+
+def test_shuffle_partitions_follow_the_bytes():
+    assert shuffle_partitions(10, cores=8) == 8
+    assert shuffle_partitions(1 << 40) == 2048
+    assert shuffle_partitions(100 << 40, most=50_000) == 50_000
+
+
 def test_cluster_keeps_partition_order_first(spark):
     plan = cluster(spark.range(10).selectExpr("id", "id % 2 p"), ["p"], (), ["id"])
     text = plan._jdf.queryExecution().executedPlan().toString()

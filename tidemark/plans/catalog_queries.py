@@ -22,13 +22,18 @@ TYPES = ["numeric", "numeric", "double precision", "character varying", "charact
          "name", "timestamp without time zone", "bigint", "integer", "smallint", "date",
          "ARRAY", "boolean", "real", "timestamp with time zone", "json", "bytea"]
 
+# Columns per stand-in table: a table's column list does not grow with the data.
+WIDTH = 40
+
 
 def metadata(spark: SparkSession, sf: str) -> DataFrame:
     kinds = F.array(*[F.lit(t) for t in TYPES])
     kind = F.get(kinds, (F.col("p_size") % len(TYPES)).cast("int"))
     numeric = kind == "numeric"
     return table(spark, sf, "part").select(
-        F.lower("p_type").alias("table_schema"), F.col("p_brand").alias("table_name"),
+        F.lower("p_brand").alias("table_schema"),
+        F.concat(F.lit("t"), F.floor(F.col("p_partkey") / WIDTH).cast("string"))
+        .alias("table_name"),
         F.concat(F.replace("p_name", F.lit(" "), F.lit("$")), F.lit("_"),
                  F.col("p_partkey").cast("string")).alias("column_name"),
         F.col("p_partkey").cast("int").alias("ordinal_position"), kind.alias("data_type"),
@@ -40,7 +45,7 @@ def metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 _TYPE_LIST = ", ".join(f"'{t}'" for t in TYPES)
 METADATA_SQL = f"""md AS (
-  SELECT lower(p_type) AS table_schema, p_brand AS table_name,
+  SELECT lower(p_brand) AS table_schema, 't' || (p_partkey // {WIDTH}) AS table_name,
     replace(p_name, ' ', '$') || '_' || p_partkey AS column_name,
     CAST(p_partkey AS INTEGER) AS ordinal_position, data_type,
     CASE WHEN data_type = 'numeric' AND p_retailprice < 1000 THEN p_size % 40 + 1 END

@@ -64,7 +64,7 @@ def merge_partitioned_moved_keys(spark: SparkSession, sf: str) -> DataFrame:
     target = read_orc(spark, path)
     touched = M.touched_partitions(target, incoming, KEY, part)
     merged = M.merge_partitioned_global(target, incoming, KEY, part)
-    replace_partitions(merged, touched, path, part)
+    replace_partitions(merged, touched, path, part, may_empty=True)
     return read_orc(spark, path)
 
 

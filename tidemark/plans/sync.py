@@ -17,7 +17,7 @@ from tidemark.operators.changes import apply_changes
 from tidemark.operators.columns import align, sanitize, with_derived_all
 from tidemark.operators.extract import extract, window_filter
 from tidemark.operators.metrics import observed
-from tidemark.session import scratch
+from tidemark.session import staging
 from tidemark.sinks.publish import Versions, archive_copy
 from tidemark.sinks.text import write_soh
 from tidemark.sources.tables import snapshot
@@ -120,7 +120,8 @@ def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str) -> None
         else:
             touched = M.affected_partitions(incoming, parts)
             merged = M.merge_partitioned(current, incoming, spec.keys, parts)
-        target.replace_partitions(merged, touched, spec.distribute_by)
+        target.replace_partitions(merged, touched, spec.distribute_by,
+                                  may_empty=spec.global_keys)
     else:
         target.replace(M.merge_flat(current, incoming, spec.keys), state, spec.distribute_by)
 
@@ -143,8 +144,8 @@ def load_table(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *
         rows = extract(sanitize(source), spec.load_type, spec.column, now=now,
                        last_run=spec.last_run, second_last_run=spec.second_last_run)
     counted, seen = observed(with_derived_all(rows, spec.derived()))
-    staged = snapshot(counted, scratch(spark, f"load{load_id}"))
-    _merge_into(target, spec, staged, f"load{load_id}")
+    with staging(spark, f"load{load_id}") as path:
+        _merge_into(target, spec, snapshot(counted, path), f"load{load_id}")
     return seen.get["rows"]
 
 
@@ -153,11 +154,11 @@ def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target
     """Change-file routes: null-safe keys, or strict ones on the strict route."""
     strict = spec.route == control_table.CHANGES_TO_DB_STRICT
     counted, seen = observed(changes)
-    staged = snapshot(counted, scratch(spark, f"changes{load_id}"))
-    merged = apply_changes(target.read(), staged, spec.keys, load_ts=now,
-                           load_type=spec.load_type, null_safe=not strict,
-                           delete_keys=spec.delete_keys or None)
-    target.replace(merged, f"load{load_id}", spec.distribute_by)
+    with staging(spark, f"changes{load_id}") as path:
+        merged = apply_changes(target.read(), snapshot(counted, path), spec.keys, load_ts=now,
+                               load_type=spec.load_type, null_safe=not strict,
+                               delete_keys=spec.delete_keys or None)
+        target.replace(merged, f"load{load_id}", spec.distribute_by)
     return seen.get["rows"]
 
 
@@ -167,11 +168,11 @@ def load_file(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *,
     if spec.load_type != S.FULL:
         source = window_filter(source, spec.column, spec.last_run, now)
     counted, seen = observed(source)
-    path = scratch(spark, f"file{load_id}")
-    write_soh(counted, path)
-    rows = read_soh(spark, path, source.schema)
-    merged = M.upsert_rows(target.read(), rows, spec.keys, spec.load_type)
-    target.replace(merged, f"load{load_id}", spec.distribute_by)
+    with staging(spark, f"file{load_id}") as path:
+        write_soh(counted, path)
+        rows = read_soh(spark, path, source.schema)
+        merged = M.upsert_rows(target.read(), rows, spec.keys, spec.load_type)
+        target.replace(merged, f"load{load_id}", spec.distribute_by)
     return seen.get["rows"]
 
 
@@ -181,9 +182,9 @@ def load_cross(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *
     if spec.load_type != S.FULL:
         source = window_filter(source, spec.column, spec.last_run, now)
     counted, seen = observed(source)
-    staged = snapshot(counted, scratch(spark, f"cross{load_id}"))
-    merged = M.cross_sync(target.read(), staged, spec.keys, spec.load_type)
-    target.replace(merged, f"load{load_id}", spec.distribute_by)
+    with staging(spark, f"cross{load_id}") as path:
+        merged = M.cross_sync(target.read(), snapshot(counted, path), spec.keys, spec.load_type)
+        target.replace(merged, f"load{load_id}", spec.distribute_by)
     return seen.get["rows"]
 
 

@@ -5,9 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from tidemark import fs
+
 # What a production session should carry. Nothing in the library changes these
 # behind the caller's back; pass them to the builder or to spark-submit.
 RECOMMENDED_CONF: dict[str, str] = {
@@ -19,6 +23,10 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "512m",
+    # incoming keys up to this size spare the target its shuffle; the estimate
+    # is of files on disk, so it is scaled to what rows take in memory
+    "spark.sql.autoBroadcastJoinThreshold": "128m",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.orc.filterPushdown": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.statistics.size.autoUpdate.enabled": "false",
@@ -27,9 +35,20 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.stage.maxConsecutiveAttempts": "8",
 }
 
+_GIB = 1 << 30
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
+def shuffle_partitions(shuffled_bytes: int, task_bytes: int = _GIB // 2,
+                       cores: int = 1, most: int = 100_000) -> int:
+    """``spark.sql.shuffle.partitions`` for a load that shuffles that many bytes.
+
+    Enough for a partition to sort in memory, at least one per core; adaptive
+    execution joins the ones that turn out small.
+    """
+    return max(cores, min(most, -(-shuffled_bytes // task_bytes)))
+
+
 def local_session(app: str, cpus: int = 8, memory: str = "8g",
                   conf: dict[str, str] | None = None) -> SparkSession:
     """A single-process session for tests and the bench."""
@@ -68,6 +87,35 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dirs[app].name
 
 
+_made: dict[str, list[str]] = {}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below :func:`work_dir`; nothing exists there yet."""
-    return os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path below :func:`work_dir`; nothing exists there yet.
+
+    It stays until :func:`release`, since results may still be read from it.
+    """
+    path = os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Remove every scratch path this session made; returns how many there were."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        fs.remove(spark, path)
+    return len(paths)
+
+
+@contextmanager
+def staging(spark: SparkSession, name: str) -> Iterator[str]:
+    """A scratch path for one step, removed when the step is over."""
+    path = scratch(spark, name)
+    try:
+        yield path
+    finally:
+        fs.remove(spark, path)
+        made = _made.get(spark.sparkContext.applicationId, [])
+        if path in made:
+            made.remove(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidemark.session import scratch
+from tidemark.session import staging
 from tidemark.sources.tables import snapshot
 
 
@@ -22,9 +22,9 @@ def replace(df: DataFrame, url: str, table: str, **kw) -> None:
     has finished reading before the table is emptied. Spark commits per task:
     readers can see the table while it fills.
     """
-    staged = snapshot(df, scratch(df.sparkSession, "jdbc"))
-    (staged.write.format("jdbc").mode("overwrite").option("truncate", "true")
-     .options(**write_options(url, table, **kw)).save())
+    with staging(df.sparkSession, "jdbc") as path:
+        (snapshot(df, path).write.format("jdbc").mode("overwrite").option("truncate", "true")
+         .options(**write_options(url, table, **kw)).save())
 
 
 def append(df: DataFrame, url: str, table: str, **kw) -> None:

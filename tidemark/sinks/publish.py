@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from datetime import date
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import fs
-from tidemark.session import scratch
+from tidemark.session import staging
 from tidemark.sinks import orc
 from tidemark.sinks.text import write_change_csv
 from tidemark.sources.tables import partition_columns
@@ -65,25 +66,31 @@ class Versions:
 
 
 def replace_partitions(df: DataFrame, touched: DataFrame, path: str,
-                       partition_by: Sequence[str], **layout) -> None:
+                       partition_by: Sequence[str], *, may_empty: bool = False,
+                       **layout) -> None:
     """Make ``df`` the new contents of the ``touched`` partitions.
 
     A dynamic overwrite replaces partitions that still have rows. One that has
-    none left occurs nowhere in ``df``, so it is removed by name; what reaches
-    the driver is the list of emptied partitions.
+    none left occurs nowhere in ``df``; where that can happen (``may_empty``)
+    such folders are listed before the write, in staging, and removed after it.
+    ``df`` has the target's columns.
     """
     spark = df.sparkSession
+    if not may_empty:
+        orc.overwrite_partitions(df, path, partition_by, **layout)
+        return
     names = [f"__part_{i}" for i in range(len(partition_by))]
     same = reduce(lambda a, b: a & b,
                   [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition_by, names)])
-    filled = df.select(*partition_by).distinct().toDF(*names)
-    emptied = touched.join(filled, same, "left_anti").collect()
-    orc.overwrite_partitions(df, path, partition_by, **layout)
-    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for row in emptied:
-        folders = [utils.getPartitionPathString(c, None if row[c] is None else str(row[c]))
-                   for c in partition_by]
-        fs.remove(spark, "/".join([path.rstrip("/"), *folders]))
+    emptied = touched.join(df.select(*partition_by).distinct().toDF(*names), same, "left_anti")
+    files = spark.read.schema(df.schema).orc(path).select(*partition_by, "_metadata.file_path")
+    folders = (files.join(emptied.toDF(*names), same, "left_semi")
+               .select(F.regexp_replace("file_path", "/[^/]*$", "")).distinct())
+    with staging(spark, "emptied") as listing:
+        folders.write.text(listing)
+        orc.overwrite_partitions(df, path, partition_by, **layout)
+        for row in spark.read.text(listing).toLocalIterator():
+            fs.remove(spark, unquote(row.value))
 
 
 def create_table(spark: SparkSession, table: str, schema: T.StructType, path: str,
@@ -111,13 +118,13 @@ def switch_location(spark: SparkSession, table: str, path: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def stage_and_switch(df: DataFrame, table: str, staging: str, **layout) -> None:
+def stage_and_switch(df: DataFrame, table: str, folder: str, **layout) -> None:
     """Write next to the live data, then switch the table over.
 
     Safe when ``df`` reads ``table``: the old folder is not touched.
     """
-    orc.write(df, staging, **layout)
-    switch_location(df.sparkSession, table, staging)
+    orc.write(df, folder, **layout)
+    switch_location(df.sparkSession, table, folder)
 
 
 def refresh(spark: SparkSession, table: str, *, count_rows: bool = False) -> None:
@@ -150,26 +157,26 @@ def archive_inputs(spark: SparkSession, files: Sequence[str], root: str, schema:
     return moved
 
 
-def fan_out(df: DataFrame, staging: str, targets: Iterable[tuple[object, Callable]]) -> list:
+def fan_out(df: DataFrame, staged_at: str, targets: Iterable[tuple[object, Callable]]) -> list:
     """One extract, many targets: stage it once, hand it to each target's loader.
 
     Staging instead of a cache: every loader reads the same rows even when
     executors are lost between two of them.
     """
-    orc.write(df, staging)
-    staged = df.sparkSession.read.schema(df.schema).orc(staging)
+    orc.write(df, staged_at)
+    staged = df.sparkSession.read.schema(df.schema).orc(staged_at)
     return [(target, load(staged)) for target, load in targets]
 
 
 def drop_files(df: DataFrame, directory: str, table: str, batch: str, **csv) -> list[str]:
     """Write rows as change files ``<batch>_<n>-<table>.csv`` and move them in place."""
     spark = df.sparkSession
-    staging = scratch(spark, "drop")
-    write_change_csv(df, staging, **csv)
-    fs.make_dirs(spark, directory)
     moved = []
-    for i, file in enumerate(fs.glob(spark, f"{staging}/part-*.csv")):
-        target = f"{directory.rstrip('/')}/{batch}_{i:05d}-{table}.csv"
-        fs.move(spark, file, target)
-        moved.append(target)
+    with staging(spark, "drop") as folder:
+        write_change_csv(df, folder, **csv)
+        fs.make_dirs(spark, directory)
+        for i, file in enumerate(fs.glob(spark, f"{folder}/part-*.csv")):
+            target = f"{directory.rstrip('/')}/{batch}_{i:05d}-{table}.csv"
+            fs.move(spark, file, target)
+            moved.append(target)
     return moved

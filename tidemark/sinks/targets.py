@@ -72,8 +72,8 @@ class TableTarget:
         refresh(self.spark, self.table)
 
     def replace_partitions(self, df: DataFrame, touched: DataFrame,
-                           distribute_by: Sequence[str] = ()) -> None:
-        replace_partitions(df, touched, self.location, self.partition_by,
+                           distribute_by: Sequence[str] = (), may_empty: bool = False) -> None:
+        replace_partitions(df, touched, self.location, self.partition_by, may_empty=may_empty,
                            **self._layout(distribute_by))
         refresh(self.spark, self.table)
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schema as S
@@ -72,7 +73,12 @@ def apply_to_partitions(path: str, schema: T.StructType, keys: Sequence[str],
             scope = prune_to(spark.read.schema(schema).orc(path), touched, partition_by)
             merged = apply_changes(scope, changes, keys, load_ts=_at(load_ts, batch_id),
                                    **options)
-            replace_partitions(merged, touched, path, partition_by)
+            # every other op leaves a row behind, flagged or not
+            removes = changes.filter(F.coalesce(F.col(S.OP_CODE), F.lit(S.OP_IGNORED))
+                                     == S.OP_IGNORED)
+            may_empty = (options.get("load_type", S.INCREMENTAL) != S.INCREMENTAL
+                         or not removes.isEmpty())
+            replace_partitions(merged, touched, path, partition_by, may_empty=may_empty)
         finally:
             changes.unpersist()
     return write
