@@ -153,3 +153,35 @@ def test_derived_column_accepts_both_forms(spark):
     df = spark.createDataFrame([(datetime(2024, 3, 1),)], "at timestamp_ntz")
     for form in ("month(at)", "month(at) as m", "month(at) AS `m`", F.month("at")):
         assert with_derived(df, "m", form).first().m == 3
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+@pytest.mark.parametrize("load_type", ["FULL", "INCREMENTAL"])
+def test_database_statements_do_what_the_merge_does(spark, load_type, null_safe):
+    """The generated SQL, run by an embedded SQL library, against the Spark merge."""
+    import duckdb
+
+    from tidemark.operators.changes import apply_changes
+    from tidemark.operators.keyed import delete_matching
+    target = spark.createDataFrame(
+        [(1, "old", 0), (2, "old", 0), (3, "old", 0), (None, "old", 0)],
+        "k int, v string, hvr_is_deleted int").withColumn(
+            "load_ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    batch = spark.createDataFrame(
+        [(1, "x", 2, "1"), (1, "y", 2, "2"), (2, "z", 5, "1"), (4, "n", 0, "1"),
+         (None, "nul", 1, "1")], "k int, v string, op_code int, time_key string")
+    ts = "2024-02-01 00:00:00"
+    rows = apply_changes(spark.createDataFrame([], target.schema), batch, ["k"], load_ts=ts)
+    want = apply_changes(target, batch, ["k"], load_ts=ts, load_type=load_type,
+                         null_safe=null_safe)
+    con = duckdb.connect()
+    target_arrow = target.toArrow()  # noqa: F841  (read by name below)
+    staged_arrow = jdbc_sink.staged_rows(rows, ["k"], batch).toArrow()  # noqa: F841
+    con.execute("CREATE TABLE target AS SELECT * FROM target_arrow")
+    con.execute("CREATE TABLE staged AS SELECT * FROM staged_arrow")
+    for text in jdbc_sink.merge_statements("target", "staged", target.columns, ["k"],
+                                           load_type, null_safe):
+        con.execute(text)
+    got = con.execute("SELECT * FROM target").fetchall()
+    assert sorted(map(repr, got)) == sorted(repr(tuple(r)) for r in want.collect())
+    assert delete_matching(target, batch, ["k"]).count() == 2

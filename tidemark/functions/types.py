@@ -83,7 +83,7 @@ def column_lists(metadata: DataFrame, mode: str = COMPAT) -> DataFrame:
     mapped = map_types(metadata, mode)
     entry = F.struct("ordinal_position", F.concat(F.lit("`"), F.col("target_column"),
                                                   F.lit("` "), F.col("spark_type")).alias("d"))
-    ordered = F.array_sort(F.collect_list(entry))
+    ordered = F.sort_array(F.collect_list(entry))
     return (mapped.groupBy("table_schema", "table_name")
             .agg(F.array_join(F.transform(ordered, lambda e: e["d"]), ", ").alias("column_list"),
                  F.count(F.lit(1)).alias("column_count")))

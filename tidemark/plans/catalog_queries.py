@@ -32,11 +32,11 @@ def metadata(spark: SparkSession, sf: str) -> DataFrame:
     numeric = kind == "numeric"
     return table(spark, sf, "part").select(
         F.lower("p_brand").alias("table_schema"),
-        F.concat(F.lit("t"), F.floor(F.col("p_partkey") / WIDTH).cast("string"))
+        F.concat(F.lit("t"), F.expr(f"p_partkey div {WIDTH}").cast("string"))
         .alias("table_name"),
         F.concat(F.replace("p_name", F.lit(" "), F.lit("$")), F.lit("_"),
                  F.col("p_partkey").cast("string")).alias("column_name"),
-        F.col("p_partkey").cast("int").alias("ordinal_position"), kind.alias("data_type"),
+        (F.col("p_partkey") % WIDTH + 1).cast("int").alias("ordinal_position"), kind.alias("data_type"),
         F.when(numeric & (F.col("p_retailprice") < 1000), F.col("p_size") % 40 + 1)
         .alias("numeric_precision"),
         F.when(numeric & (F.col("p_retailprice") < 1000), F.col("p_size") % 2)
@@ -47,7 +47,7 @@ _TYPE_LIST = ", ".join(f"'{t}'" for t in TYPES)
 METADATA_SQL = f"""md AS (
   SELECT lower(p_brand) AS table_schema, 't' || (p_partkey // {WIDTH}) AS table_name,
     replace(p_name, ' ', '$') || '_' || p_partkey AS column_name,
-    CAST(p_partkey AS INTEGER) AS ordinal_position, data_type,
+    CAST(p_partkey % {WIDTH} + 1 AS INTEGER) AS ordinal_position, data_type,
     CASE WHEN data_type = 'numeric' AND p_retailprice < 1000 THEN p_size % 40 + 1 END
       AS numeric_precision,
     CASE WHEN data_type = 'numeric' AND p_retailprice < 1000 THEN p_size % 2 END AS numeric_scale,

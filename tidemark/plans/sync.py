@@ -112,6 +112,8 @@ def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str) -> None
     incoming = align(incoming, current.columns)
     if spec.load_type == S.APPEND_ONLY:
         target.append(incoming, spec.distribute_by)
+    elif hasattr(target, "merge_rows"):
+        target.merge_rows(incoming, spec.keys, spec.load_type, null_safe=False)
     elif target.partition_by:
         parts = target.partition_by
         if spec.global_keys:
@@ -152,16 +154,34 @@ def load_table(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *
 def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target, *,
                  now: datetime, load_id: int) -> int:
     """Change-file routes: null-safe keys, or strict ones on the strict route."""
-    strict = spec.route == control_table.CHANGES_TO_DB_STRICT
+    null_safe = spec.route != control_table.CHANGES_TO_DB_STRICT
     counted, seen = observed(changes)
     with staging(spark, f"changes{load_id}") as path:
-        merged = apply_changes(target.read(), snapshot(counted, path), spec.keys, load_ts=now,
-                               load_type=spec.load_type, null_safe=not strict,
-                               delete_keys=spec.delete_keys or None)
-        target.replace(merged, f"load{load_id}", spec.distribute_by)
+        staged = snapshot(counted, path)
+        if hasattr(target, "merge_rows"):
+            # the database deletes; what it needs are the rows an empty target would get
+            fresh = spark.createDataFrame([], target.read().schema)
+            rows = apply_changes(fresh, staged, spec.keys, load_ts=now,
+                                 load_type=spec.load_type, null_safe=null_safe)
+            target.merge_rows(rows, spec.delete_keys or spec.keys, spec.load_type, null_safe,
+                              deletes=staged)
+        else:
+            merged = apply_changes(target.read(), staged, spec.keys, load_ts=now,
+                                   load_type=spec.load_type, null_safe=null_safe,
+                                   delete_keys=spec.delete_keys or None)
+            target.replace(merged, f"load{load_id}", spec.distribute_by)
     return seen.get["rows"]
 
 
+def _upsert(target, spec: LoadSpec, rows: DataFrame, state: str, null_safe: bool) -> None:
+    current = target.read()
+    if hasattr(target, "merge_rows"):
+        target.merge_rows(align(rows, current.columns), spec.keys, spec.load_type, null_safe)
+        return
+    merge = M.cross_sync if null_safe else M.upsert_rows
+    target.replace(merge(current, rows, spec.keys, spec.load_type), state, spec.distribute_by)
+
+
 def load_file(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *,
               now: datetime, load_id: int) -> int:
     """Database-to-database by file: exact window, export, strict delete, all rows in."""
@@ -170,9 +190,7 @@ def load_file(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *,
     counted, seen = observed(source)
     with staging(spark, f"file{load_id}") as path:
         write_soh(counted, path)
-        rows = read_soh(spark, path, source.schema)
-        merged = M.upsert_rows(target.read(), rows, spec.keys, spec.load_type)
-        target.replace(merged, f"load{load_id}", spec.distribute_by)
+        _upsert(target, spec, read_soh(spark, path, source.schema), f"load{load_id}", False)
     return seen.get["rows"]
 
 
@@ -183,8 +201,7 @@ def load_cross(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *
         source = window_filter(source, spec.column, spec.last_run, now)
     counted, seen = observed(source)
     with staging(spark, f"cross{load_id}") as path:
-        merged = M.cross_sync(target.read(), snapshot(counted, path), spec.keys, spec.load_type)
-        target.replace(merged, f"load{load_id}", spec.distribute_by)
+        _upsert(target, spec, snapshot(counted, path), f"load{load_id}", True)
     return seen.get["rows"]
 
 

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark import schema as S
+from tidemark.operators.keyed import delete_matching, key_set
 from tidemark.session import staging
 from tidemark.sources.tables import snapshot
 
+# staged rows that only name a key to delete carry 0
+INSERT_MARK = "tm_insert"
+
 
 def write_options(url: str, table: str, *, batch_size: int = 10000, connections: int = 20,
                   connection: dict[str, str] | None = None) -> dict[str, str]:
@@ -29,3 +37,73 @@ def replace(df: DataFrame, url: str, table: str, **kw) -> None:
 
 def append(df: DataFrame, url: str, table: str, **kw) -> None:
     (df.write.format("jdbc").mode("append").options(**write_options(url, table, **kw)).save())
+
+
+def staged_rows(rows: DataFrame, keys: Sequence[str],
+                deletes: DataFrame | None = None) -> DataFrame:
+    """Rows to insert, plus bare keys that are only to be deleted, marked apart."""
+    inserts = rows.withColumn(INSERT_MARK, F.lit(1))
+    if deletes is None:
+        return inserts
+    bare = delete_matching(key_set(deletes, keys, null_safe=True), rows, keys, null_safe=True)
+    return inserts.unionByName(bare.withColumn(INSERT_MARK, F.lit(0)), allowMissingColumns=True)
+
+
+def _quoted(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def merge_statements(target: str, staged: str, columns: Sequence[str], keys: Sequence[str],
+                     load_type: str, null_safe: bool) -> list[str]:
+    """What the database runs in one transaction once the staged table is loaded."""
+    S.check_load_type(load_type)
+    if load_type == S.FULL:
+        delete = f"DELETE FROM {target}"
+    else:
+        def same(key: str) -> str:
+            a, b = f"a.{_quoted(key)}", f"b.{_quoted(key)}"
+            return f"({a} = {b} OR ({a} IS NULL AND {b} IS NULL))" if null_safe else f"{a} = {b}"
+        where = " AND ".join(same(k) for k in keys)
+        delete = (f"DELETE FROM {target} AS a WHERE EXISTS "
+                  f"(SELECT 1 FROM {staged} AS b WHERE {where})")
+    names = ", ".join(_quoted(c) for c in columns)
+    return [delete, f"INSERT INTO {target} ({names}) SELECT {names} FROM {staged} "
+                    f"WHERE {_quoted(INSERT_MARK)} = 1"]
+
+
+def run_statements(spark: SparkSession, url: str, statements: Sequence[str],
+                   connection: dict[str, str] | None = None) -> list[int]:
+    """Run statements in one transaction; returns the rows each one touched."""
+    properties = spark._jvm.java.util.Properties()
+    for name, value in (connection or {}).items():
+        properties.setProperty(name, value)
+    if connection and "driver" in connection:
+        spark._jvm.java.lang.Class.forName(connection["driver"])
+    link = spark._jvm.java.sql.DriverManager.getConnection(url, properties)
+    try:
+        link.setAutoCommit(False)
+        statement = link.createStatement()
+        counts = [statement.executeUpdate(text) for text in statements]
+        link.commit()
+        return counts
+    except Exception:
+        link.rollback()
+        raise
+    finally:
+        link.close()
+
+
+def merge(rows: DataFrame, url: str, table: str, keys: Sequence[str], *, load_type: str,
+          null_safe: bool, deletes: DataFrame | None = None,
+          connection: dict[str, str] | None = None, **kw) -> list[int]:
+    """Keyed delete and insert inside the database.
+
+    Spark loads ``<table>_tm_staged`` in parallel; the target itself changes in
+    one transaction, and only the incoming rows travel.
+    """
+    staged = f"{table}_tm_staged"
+    (staged_rows(rows, keys, deletes).write.format("jdbc").mode("overwrite")
+     .options(**write_options(url, staged, connection=connection, **kw)).save())
+    statements = merge_statements(table, staged, rows.columns, keys, load_type, null_safe)
+    return run_statements(rows.sparkSession, url, [*statements, f"DROP TABLE {staged}"],
+                          connection)

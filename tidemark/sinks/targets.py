@@ -79,7 +79,7 @@ class TableTarget:
 
 
 class JdbcTarget:
-    """A database table; whole-table replacement and append only."""
+    """A database table. Keyed loads are merged inside the database."""
 
     def __init__(self, spark: SparkSession, url: str, table: str,
                  connection: dict[str, str] | None = None):
@@ -100,3 +100,8 @@ class JdbcTarget:
 
     def append(self, df: DataFrame, distribute_by: Sequence[str] = ()) -> None:
         jdbc_sink.append(df, self.url, self.table, connection=self.connection)
+
+    def merge_rows(self, rows: DataFrame, keys: Sequence[str], load_type: str, null_safe: bool,
+                   deletes: DataFrame | None = None) -> None:
+        jdbc_sink.merge(rows, self.url, self.table, keys, load_type=load_type,
+                        null_safe=null_safe, deletes=deletes, connection=self.connection)
