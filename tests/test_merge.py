@@ -83,6 +83,18 @@ def test_null_partition_value(spark, folder):
     assert rows(read_orc(spark, path)) == [(1, "new", None, 1), (2, "old", "x", 1)]
 
 
+def test_text_partition_that_looks_like_a_number(spark, folder):
+    path = f"{folder}/t"
+    df = frame(spark, (1, "old", "007", 1), (2, "old", "7", 1))
+    orc.write(df, path, partition_by=["p"])
+    schema = df.select("k", "v", "q", "p").schema
+    incoming = frame(spark, (1, "new", "007", 1))
+    merged = M.merge_partitioned(read_orc(spark, path, schema=schema), incoming, ["k"], ["p"])
+    orc.overwrite_partitions(merged, path, ["p"])
+    assert rows(read_orc(spark, path, schema=schema)) == [(1, "new", "007", 1),
+                                                          (2, "old", "7", 1)]
+
+
 def test_moved_key_keeps_old_copy_unless_global(spark, folder):
     new = frame(spark, (4, "new", "x", 1))
     for name, merge, expect in (
@@ -97,6 +109,16 @@ def test_moved_key_keeps_old_copy_unless_global(spark, folder):
         assert len([r for r in rows(read_orc(spark, path)) if r[0] == 4]) == expect
 
 
+@pytest.mark.parametrize("null_safe", [True, False])
+@pytest.mark.parametrize("new", [
+    [], [(2, "n", "x", 1), (3, "n", "x", 1)], [(None, "n", "x", 1)],
+    [(None, "n", "x", 1), (4, "n", "x", 1)], [(-5, "n", "x", 1), (99, "n", "x", 1)]])
+def test_key_range_changes_nothing_but_the_plan(spark, new, null_safe):
+    old, incoming = frame(spark, *OLD), frame(spark, *new)
+    assert rows(M.merge_flat(old, incoming, ["k"], null_safe=null_safe, range_key="k")) == rows(
+        M.merge_flat(old, incoming, ["k"], null_safe=null_safe))
+
+
 def test_no_incoming_rows_touch_nothing(spark):
     out = M.merge_partitioned(frame(spark, *OLD), frame(spark), ["k"], ["p"])
     assert rows(out) == []

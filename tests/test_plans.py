@@ -65,6 +65,17 @@ def test_hot_target_key_is_split(spark, no_broadcast, hot, null_safe):
     assert out.count() == 120000 - 30000
 
 
+def test_rows_outside_the_key_range_are_not_shuffled(spark, no_broadcast, folder):
+    orc.write(spark.range(100000).selectExpr("id k", "id v"), f"{folder}/t")
+    target = read_orc(spark, f"{folder}/t")
+    incoming = spark.range(99000, 101000).selectExpr("id k", "-id v")
+    out = M.merge_flat(target, incoming, ["k"], range_key="k")
+    joined, rest = plan(out).split("Scan orc")[1:]
+    assert "GreaterThanOrEqual(k,99000)" in joined and "LessThanOrEqual(k,100999)" in joined
+    assert "Exchange" not in rest.split("Range")[0]
+    assert out.count() == 101000
+
+
 def test_hot_incoming_key_is_reduced_before_the_shuffle(spark, no_broadcast, hot):
     out = delete_matching(spark.range(50).toDF("k"), hot, ["k"])
     text = plan(out)

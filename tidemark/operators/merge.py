@@ -7,9 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.columns import align
-from tidemark.operators.keyed import delete_matching, key_set, latest_per_key
+from tidemark.operators.keyed import (delete_matching, delete_matching_in_range, key_set,
+                                      latest_per_key)
 
 # Up to this many partition values become a literal filter, which prunes
 # partitions while the scan is planned. Beyond it the semi-join below is used.
@@ -26,26 +28,28 @@ def append(target: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def merge_flat(target: DataFrame, incoming: DataFrame, keys: Sequence[str], *,
-               null_safe: bool = False, dedupe: str | Sequence[str] | None = None) -> DataFrame:
+               null_safe: bool = False, dedupe: str | Sequence[str] | None = None,
+               range_key: str | None = None) -> DataFrame:
     """Target rows whose key is not incoming, plus every incoming row.
 
     Incoming rows that share a key are all kept unless ``dedupe`` names the
-    columns that decide the newest.
+    columns that decide the newest. ``range_key`` names a key column that grows
+    with time; target rows outside the incoming range of it are not joined.
     """
     incoming = align(incoming, target.columns)
     if dedupe:
         incoming = latest_per_key(incoming, keys, dedupe)
-    return delete_matching(target, incoming, keys, null_safe=null_safe).unionByName(incoming)
+    if range_key:
+        kept = delete_matching_in_range(target, incoming, keys, range_key, null_safe=null_safe)
+    else:
+        kept = delete_matching(target, incoming, keys, null_safe=null_safe)
+    return kept.unionByName(incoming)
 
 
 def affected_partitions(incoming: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     return incoming.select(*partition_cols).distinct()
 
 
-def _value(target: DataFrame, column: str, value) -> Column:
-    return F.lit(value).cast(target.schema[column].dataType)
-
-
 def prune_to(target: DataFrame, partitions: DataFrame, partition_cols: Sequence[str],
              literal_limit: int = LITERAL_PARTITIONS) -> DataFrame:
     """Target rows in the listed partitions.
@@ -55,7 +59,9 @@ def prune_to(target: DataFrame, partitions: DataFrame, partition_cols: Sequence[
     listed. A long one stays distributed as a semi-join: same rows, and Spark
     may still prune at run time.
     """
-    rows = partitions.limit(literal_limit + 1).collect()
+    # values travel as text: a Python datetime would pick up the machine's time zone
+    texts = partitions.select(*[F.col(c).cast("string").alias(c) for c in partition_cols])
+    rows = texts.limit(literal_limit + 1).collect()
     if not rows:
         return target.limit(0)
     if len(rows) > literal_limit:
@@ -63,18 +69,24 @@ def prune_to(target: DataFrame, partitions: DataFrame, partition_cols: Sequence[
         same = reduce(lambda a, b: a & b,
                       [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition_cols, names)])
         return target.join(partitions.toDF(*names), same, "left_semi")
-    return target.filter(_listed(target, partition_cols, rows))
+    types = {c: target.schema[c].dataType for c in partition_cols}
+    return target.filter(_listed(types, rows))
 
 
-def _listed(target: DataFrame, columns: Sequence[str], rows: list) -> Column:
+def _listed(types: dict[str, T.DataType], rows: list) -> Column:
     """Membership in the listed tuples: per column to prune, per tuple to be exact."""
+    columns = list(types)
+
+    def literal(column: str, text: str | None) -> Column:
+        return F.lit(text).cast(types[column])
+
     tests = []
     for column in columns:
         values = {row[column] for row in rows}
-        test = F.col(column).isin([_value(target, column, v) for v in values if v is not None])
+        test = F.col(column).isin([literal(column, v) for v in values if v is not None])
         tests.append(test | F.col(column).isNull() if None in values else test)
     if len(columns) > 1:
-        tuples = [F.struct(*[_value(target, c, row[c]).alias(c) for c in columns]) for row in rows]
+        tuples = [F.struct(*[literal(c, row[c]).alias(c) for c in columns]) for row in rows]
         tests.append(F.struct(*columns).isin(tuples))
     return reduce(lambda a, b: a & b, tests)
 

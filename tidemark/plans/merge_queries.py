@@ -27,6 +27,18 @@ def merge_flat(spark: SparkSession, sf: str) -> DataFrame:
     return M.merge_flat(I.orders_target(spark, sf), I.orders_incoming(spark, sf), KEY)
 
 
+@query("merge_flat_key_range", f"""WITH {I.ORDERS_SQL}, late AS (
+    SELECT * FROM oi WHERE o_orderkey > (SELECT max(o_orderkey) * 0.6 FROM oi))
+  SELECT * FROM ot WHERE NOT EXISTS (SELECT 1 FROM late WHERE late.o_orderkey = ot.o_orderkey)
+  UNION ALL SELECT * FROM late""")
+def merge_flat_key_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Incoming rows are those with late keys; earlier target rows are not joined."""
+    incoming = I.orders_incoming(spark, sf)
+    top = incoming.agg((F.max("o_orderkey") * 0.6).alias("cut")).first().cut
+    late = incoming.filter(F.col("o_orderkey") > top)
+    return M.merge_flat(I.orders_target(spark, sf), late, KEY, range_key="o_orderkey")
+
+
 def _merge_into(spark: SparkSession, sf: str, partition_by: list[str], merge) -> DataFrame:
     path = scratch(spark, "merge")
     orc.write(I.with_order_year(I.orders_target(spark, sf)), path, partition_by=partition_by)

@@ -48,9 +48,11 @@ class LoadSpec:
     distribute_by: tuple[str, ...] = ()
     distribute_expr: str | None = None
     archived: bool = False
-    # not in the control table: columns to delete by, cross-partition cleaning
+    # not in the control table: columns to delete by, cross-partition cleaning,
+    # a key column that grows with time
     delete_keys: tuple[str, ...] = ()
     global_keys: bool = False
+    range_key: str | None = None
 
     @classmethod
     def from_row(cls, row: Row, **more) -> LoadSpec:
@@ -125,7 +127,8 @@ def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str) -> None
         target.replace_partitions(merged, touched, spec.distribute_by,
                                   may_empty=spec.global_keys)
     else:
-        target.replace(M.merge_flat(current, incoming, spec.keys), state, spec.distribute_by)
+        merged = M.merge_flat(current, incoming, spec.keys, range_key=spec.range_key)
+        target.replace(merged, state, spec.distribute_by)
 
 
 def _partitions_last(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:

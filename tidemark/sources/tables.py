@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schema as S
 from tidemark.session import scratch
@@ -16,8 +17,12 @@ def read_table(spark: SparkSession, table: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
-def read_orc(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.orc(path)
+def read_orc(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+             schema: T.StructType | None = None) -> DataFrame:
+    """``schema`` is needed where text partition values look like numbers or dates:
+    without it Spark guesses their type from the folder names."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.orc(path)
     return df.select(*columns) if columns else df
 
 
