@@ -3,11 +3,13 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import types as T
 
+from tidemark import fs
 from tidemark.control import audit
 from tidemark.control import table as CT
-from tidemark.plans.sync import LoadSpec, check_target_schema, loader_for, run_due
-from tidemark.sinks.publish import Versions
+from tidemark.plans.sync import (LoadSpec, check_target_schema, load_drops, loader_for, run_due)
+from tidemark.sinks.publish import Versions, drop_files
 from tidemark.sinks.targets import TableTarget
 
 T0, T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 10), datetime(2024, 1, 20)
@@ -165,6 +167,23 @@ def test_change_route_applies_and_signals_the_next_route(world, spark):
     assert state["GP2HDFS"].last_run_time == T1
 
 
+def test_drops_are_applied_then_archived(world, spark, folder):
+    target = TableTarget(spark, "app.things", world.target.root)
+    target.redefine(spark.sql("select 1 id, 'old' v, 0 hvr_is_deleted, "
+                              "timestamp_ntz'2024-01-01 00:00:00' load_ts"), "start")
+    business = T.StructType.fromDDL("id int, v string")
+    spec = LoadSpec(1, "SRC2RDS", "INCREMENTAL", "app", "things", "app", "things", keys=("id",))
+    how = dict(now=T2, load_id=4, archive_root=f"{folder}/done")
+    assert load_drops(spark, spec, f"{folder}/in", business, target, **how) == 0
+    drop_files(spark.createDataFrame([(1, "new", 2, "1"), (2, "two", 1, "1")],
+                                     "id int, v string, op_code int, time_key string"),
+               f"{folder}/in", "things", "b1")
+    assert load_drops(spark, spec, f"{folder}/in", business, target, **how) == 2
+    assert world.values() == [(1, "new"), (2, "two")]
+    assert fs.names(spark, f"{folder}/in") == []
+    assert fs.names(spark, f"{folder}/done/app/2024-01-20/things")
+
+
 def test_file_and_cross_routes(world, spark):
     for i, route in enumerate(("GP2Postgres", "COMM2BUS")):
         TableTarget(spark, "app.things", f"{world.target.root}{i}").redefine(

@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schema as S
 from tidemark.control import audit
@@ -18,8 +19,9 @@ from tidemark.operators.columns import align, sanitize, with_derived_all
 from tidemark.operators.extract import extract, window_filter
 from tidemark.operators.metrics import observed
 from tidemark.session import staging
-from tidemark.sinks.publish import Versions, archive_copy
+from tidemark.sinks.publish import Versions, archive_copy, archive_inputs
 from tidemark.sinks.text import write_soh
+from tidemark.sources.changes_csv import find_drops, read_files
 from tidemark.sources.tables import snapshot
 from tidemark.sources.text import read_soh
 
@@ -176,6 +178,25 @@ def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target
     return seen.get["rows"]
 
 
+def load_drops(spark: SparkSession, spec: LoadSpec, directory: str, business: T.StructType,
+               target, *, now: datetime, load_id: int, archive_root: str | None = None,
+               **how) -> int:
+    """Apply the change files that wait for a table, then move them to the archive.
+
+    The files are named once, so one that arrives meanwhile is neither half
+    read nor archived unread. No files means nothing to do, which is a success.
+    """
+    files = find_drops(spark, directory, spec.source_table)
+    if not files:
+        return 0
+    rows = load_changes(spark, spec, read_files(spark, files, business, **how), target,
+                        now=now, load_id=load_id)
+    if archive_root:
+        archive_inputs(spark, files, archive_root, spec.source_schema, spec.source_table,
+                       now.date())
+    return rows
+
+
 def _upsert(target, spec: LoadSpec, rows: DataFrame, state: str, null_safe: bool) -> None:
     current = target.read()
     if hasattr(target, "merge_rows"):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,19 +67,27 @@ def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return raw.filter(whole).select(*[_value(f) for f in schema.fields])
 
 
-def read_changes(spark: SparkSession, directory: str, table: str, business: T.StructType, *,
-                 delimiter: str = "|", multi_line: bool = False) -> DataFrame:
-    """All waiting changes of one table.
+def read_files(spark: SparkSession, files: Sequence[str], business: T.StructType, *,
+               delimiter: str = "|", multi_line: bool = False) -> DataFrame:
+    """The changes in the named files; no rows when there are none.
 
     ``multi_line`` is needed where quoted fields hold line breaks; such files
     cannot be split, so producers should keep each one small.
     """
     schema = change_schema(business)
+    if not files:
+        return spark.createDataFrame([], schema)
     raw = (spark.read.schema(raw_schema(schema)).options(**csv_options(delimiter, multi_line))
-           .option("pathGlobFilter", drop_pattern(table)).csv(directory))
+           .csv(list(files)))
     return typed(raw, schema)
 
 
+def read_changes(spark: SparkSession, directory: str, table: str, business: T.StructType,
+                 **how) -> DataFrame:
+    """All changes of one table that wait in ``directory`` now."""
+    return read_files(spark, find_drops(spark, directory, table), business, **how)
+
+
 def stream_changes(spark: SparkSession, directory: str, table: str, business: T.StructType, *,
                    delimiter: str = "|", multi_line: bool = False,
                    max_files: int | None = None, archive: str | None = None) -> DataFrame:
