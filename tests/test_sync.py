@@ -207,9 +207,20 @@ def test_other_schema_needs_a_flag():
         loader_for("NOWHERE")
 
 
-def test_expressions_by_column():
+def test_configured_select_lists(spark):
     spec = LoadSpec(1, "GP2HDFS", "FULL", "a", "t", "a", "t", partition_by=("y", "m"),
-                    partition_expr="year(d) as y, coalesce(month(d), 0) as m",
+                    partition_expr="year(d) as y, coalesce(month(d), 0)",
                     distribute_by=("b",), distribute_expr="id % 8 as b")
-    assert spec.derived() == {"b": "id % 8 as b", "y": "year(d) as y",
-                              "m": "coalesce(month(d), 0) as m"}
+    df = spark.createDataFrame([(9, datetime(2024, 3, 1), "x")], "id int, d timestamp_ntz, m string")
+    out = spec.with_layout_columns(df)
+    assert out.columns == ["id", "d", "b", "y", "m"]
+    assert tuple(out.first())[2:] == (1, 2024, 3)
+    with pytest.raises(ValueError, match="does not give 2 columns"):
+        LoadSpec(1, "GP2HDFS", "FULL", "a", "t", "a", "t", partition_by=("y", "m"),
+                 partition_expr="year(d)").with_layout_columns(df)
+
+
+def test_full_load_is_validated(world):
+    world.save(control_row(world.control.spark, load_type="FULL"))
+    (done,) = world.run("FULL", validate=True)
+    assert done.error is None and done.rows == 5

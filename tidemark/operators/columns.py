@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -60,22 +59,30 @@ def with_audit_columns(df: DataFrame, load_ts: datetime | str, updated_by: str =
     })
 
 
-_ALIASED = re.compile(r"\s+as\s+`?[\w$]+`?\s*$", re.IGNORECASE)
-
-
 def with_derived(df: DataFrame, name: str, expression: str | Column) -> DataFrame:
-    """Set ``name`` from a configured SQL expression.
+    """Set ``name`` from a SQL expression or Column; a column of that name is replaced.
 
-    Used for partition and distribution columns. A column of that name that is
-    already there is replaced. ``month(d) AS m`` is accepted as well as
-    ``month(d)``, since configured fragments come in both forms.
+    An alias in the expression does not matter.
     """
-    if isinstance(expression, str):
-        expression = F.expr(_ALIASED.sub("", expression))
-    return df.withColumn(name, expression)
+    return df.withColumn(name, F.expr(expression) if isinstance(expression, str) else expression)
 
 
 def with_derived_all(df: DataFrame, derived: dict[str, str | Column] | None) -> DataFrame:
     for name, expression in (derived or {}).items():
         df = with_derived(df, name, expression)
     return df
+
+
+def with_select_list(df: DataFrame, select_list: str, names: Sequence[str]) -> DataFrame:
+    """Set ``names`` from a configured select list, one expression per name, in order.
+
+    Control rows hold such lists for partition and distribution columns, with
+    or without aliases. Columns of those names are replaced, and go last.
+    """
+    keep = [c for c in df.columns if c not in names]
+    listed = ", ".join([f"`{c}`" for c in keep] + [select_list])
+    out = df.sparkSession.sql("SELECT " + listed.replace("{", "{{").replace("}", "}}")
+                              + " FROM {source}", source=df)
+    if len(out.columns) != len(keep) + len(names):
+        raise ValueError(f"select list {select_list!r} does not give {len(names)} columns")
+    return out.toDF(*keep, *names)

@@ -15,9 +15,9 @@ from tidemark.control import audit
 from tidemark.control import table as control_table
 from tidemark.operators import merge as M
 from tidemark.operators.changes import apply_changes
-from tidemark.operators.columns import align, sanitize, with_derived_all
+from tidemark.operators.columns import align, sanitize, with_select_list
 from tidemark.operators.extract import extract, window_filter
-from tidemark.operators.metrics import observed
+from tidemark.operators.metrics import observed, require_counts
 from tidemark.session import staging
 from tidemark.sinks.publish import Versions, archive_copy, archive_inputs
 from tidemark.sinks.text import write_soh
@@ -51,10 +51,11 @@ class LoadSpec:
     distribute_expr: str | None = None
     archived: bool = False
     # not in the control table: columns to delete by, cross-partition cleaning,
-    # a key column that grows with time
+    # a key column that grows with time, a count check after a full load
     delete_keys: tuple[str, ...] = ()
     global_keys: bool = False
     range_key: str | None = None
+    validate: bool = False
 
     @classmethod
     def from_row(cls, row: Row, **more) -> LoadSpec:
@@ -72,27 +73,21 @@ class LoadSpec:
             distribute_expr=row.dist_col_transformation,
             archived=bool(row.archived_enabled), **more)
 
-    def derived(self) -> dict[str, str]:
-        """Configured expressions by the column they fill: one for the
-        distribution column, one per partition column (comma separated)."""
-        out = {}
-        if self.distribute_expr and len(self.distribute_by) == 1:
-            out[self.distribute_by[0]] = self.distribute_expr
-        if self.partition_expr:
-            parts = _split_top_level(self.partition_expr)
-            out.update(zip(self.partition_by, parts))
-        return out
-
-
-def _split_top_level(text: str) -> list[str]:
-    """Split at commas outside parentheses."""
-    parts, depth, start = [], 0, 0
-    for i, ch in enumerate(text):
-        depth += (ch == "(") - (ch == ")")
-        if ch == "," and depth == 0:
-            parts.append(text[start:i].strip())
-            start = i + 1
-    return [*parts, text[start:].strip()]
+    def with_layout_columns(self, df: DataFrame) -> DataFrame:
+        """Distribution and partition columns from their configured expressions."""
+        if self.distribute_expr and self.distribute_by:
+            df = with_select_list(df, self.distribute_expr, self.distribute_by)
+        if self.partition_expr and self.partition_by:
+            df = with_select_list(df, self.partition_expr, self.partition_by)
+        return df
+
+    @property
+    def control_route(self) -> str:
+        """The route whose control rows this load stands for: a database-to-table
+        load covers its extract row and its staged row."""
+        if control_table.DB_TO_TABLE in self.route:
+            return control_table.STAGED_TO_TABLE
+        return self.route
 
 
 def check_target_schema(spec: LoadSpec, special: bool = False) -> None:
@@ -150,9 +145,12 @@ def load_table(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *
     else:
         rows = extract(sanitize(source), spec.load_type, spec.column, now=now,
                        last_run=spec.last_run, second_last_run=spec.second_last_run)
-    counted, seen = observed(with_derived_all(rows, spec.derived()))
+    counted, seen = observed(spec.with_layout_columns(rows))
     with staging(spark, f"load{load_id}") as path:
-        _merge_into(target, spec, snapshot(counted, path), f"load{load_id}")
+        staged = snapshot(counted, path)
+        _merge_into(target, spec, staged, f"load{load_id}")
+        if spec.validate and spec.load_type == S.FULL:
+            require_counts(staged, target.read())
     return seen.get["rows"]
 
 
@@ -250,11 +248,8 @@ def _advanced(control: DataFrame, spec: LoadSpec, now: datetime) -> DataFrame:
                                              spec.route, now)
     if spec.route in (control_table.DB_FILE_TO_DB, CROSS):
         return control_table.file_loaded(control, spec.id, spec.route, now)
-    route = spec.route
-    if control_table.DB_TO_TABLE in route:
-        # one load stands for the extract and the staged half of the route
-        route = control_table.STAGED_TO_TABLE
-    return control_table.advance(control, spec.target_schema, spec.target_table, route, now)
+    return control_table.advance(control, spec.target_schema, spec.target_table,
+                                 spec.control_route, now)
 
 
 @dataclass
@@ -285,7 +280,7 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
         try:
             check_target_schema(spec, special)
             _save(control, lambda c: control_table.set_status(
-                c, spec.target_schema, spec.target_table, spec.route, S.STATUS_RUNNING))
+                c, spec.target_schema, spec.target_table, spec.control_route, S.STATUS_RUNNING))
             target = target_of(spec)
             outcome.rows = loader_for(spec.route)(spark, spec, source_of(spec), target,
                                                   now=now, load_id=load_id)
@@ -294,15 +289,16 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
                              spec.target_table, load_id)
             _save(control, lambda c: _advanced(c, spec, now))
         except Exception as failure:  # one table must not stop the others
-            outcome.error = str(failure)
+            outcome.error = str(failure) or type(failure).__name__
             _save(control, lambda c: control_table.set_status(
-                c, spec.target_schema, spec.target_table, spec.route, S.STATUS_ERROR))
+                c, spec.target_schema, spec.target_table, spec.control_route, S.STATUS_ERROR))
         audit.append_event(
             spark, audit_path, load_id=load_id, run_id=spec.id,
             table_name=f"{spec.target_schema}.{spec.target_table}", data_path=spec.route,
             status=audit.JOB_ERROR if outcome.error else audit.JOB_FINISHED,
             technology="Spark", rows_inserted=outcome.rows, rows_updated=0, rows_deleted=0,
             number_of_errors=int(outcome.error is not None),
+            source_row_count=outcome.rows,
             error_message=(outcome.error or "No Errors").splitlines()[0],
             error_category=outcome.error or "")
         outcomes.append(outcome)
