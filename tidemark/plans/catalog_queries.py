@@ -156,12 +156,12 @@ def partition_key_summary(spark: SparkSession, sf: str) -> DataFrame:
     CASE WHEN p_type LIKE 'S%' THEN 'VIEW' WHEN p_type LIKE 'E%' THEN 'TABLE' ELSE p_type END
       AS table_type,
     coalesce(partition_col_cnt, 0) AS partition_col_cnt, partition_cols
-  FROM part JOIN nation ON p_size = n_nationkey LEFT JOIN pks ON p_partkey = pks.tbl_id""")
+  FROM part JOIN nation ON p_size % 25 = n_nationkey LEFT JOIN pks ON p_partkey = pks.tbl_id""")
 def table_facts(spark: SparkSession, sf: str) -> DataFrame:
     kind = (F.when(F.col("p_type").like("S%"), "VIRTUAL_VIEW")
             .when(F.col("p_type").like("E%"), "EXTERNAL_TABLE").otherwise(F.col("p_type")))
     tables = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("tbl_id"), F.col("p_size").alias("db_id"),
+        F.col("p_partkey").alias("tbl_id"), (F.col("p_size") % 25).alias("db_id"),
         F.col("p_name").alias("tbl_name"), kind.alias("tbl_type"))
     databases = table(spark, sf, "nation").select(
         F.col("n_nationkey").alias("db_id"), F.col("n_name").alias("db_name"))
@@ -278,23 +278,23 @@ def control_hwm(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("control_connections", """
-  SELECT s.s_suppkey AS id, a.c_custkey AS application_id, a.c_name AS source_tablename,
-    'host' || b.s_suppkey AS source_host, b.s_name AS source_dbname,
-    'host' || s.s_suppkey AS target_host, s.s_name AS target_dbname
-  FROM customer a JOIN supplier b ON a.c_nationkey = b.s_suppkey
-    JOIN supplier s ON a.c_custkey % 100 = s.s_suppkey""")
+  WITH conn AS (SELECT n_nationkey AS id, n_name AS host, CAST(5432 AS INTEGER) AS port,
+                       r_name AS dbname FROM nation JOIN region ON n_regionkey = r_regionkey)
+  SELECT a.c_custkey AS id, a.c_name AS source_tablename, a.c_mktsegment AS load_type,
+    s.host AS source_host, s.port AS source_port, s.dbname AS source_dbname,
+    t.host AS target_host, t.port AS target_port, t.dbname AS target_dbname
+  FROM customer a JOIN conn s ON a.c_nationkey = s.id
+    JOIN conn t ON (a.c_nationkey + 7) % 25 = t.id""")
 def control_connections(spark: SparkSession, sf: str) -> DataFrame:
     applications = table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("application_id"), F.col("c_name").alias("source_tablename"),
-        F.col("c_nationkey").cast("long").alias("source_bu_id"),
-        (F.col("c_custkey") % 100).alias("target_bu_id"))
-    connections = table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("id"),
-        F.concat(F.lit("host"), F.col("s_suppkey").cast("string")).alias("host"),
-        F.lit(5432).alias("port"), F.col("s_name").alias("dbname"))
-    return CT.with_connections(applications, connections).select(
-        F.col("target_bu_id").alias("id"), "application_id", "source_tablename", "source_host",
-        "source_dbname", "target_host", "target_dbname")
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("source_tablename"),
+        F.col("c_mktsegment").alias("load_type"), F.col("c_nationkey").alias("source_bu_id"),
+        ((F.col("c_nationkey") + 7) % 25).alias("target_bu_id"))
+    connections = table(spark, sf, "nation").join(
+        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").alias("id"), F.col("n_name").alias("host"),
+        F.lit(5432).alias("port"), F.col("r_name").alias("dbname"))
+    return CT.with_connections(applications, connections).drop("source_bu_id", "target_bu_id")
 
 
 def audit_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,3 +333,23 @@ def audit_append(spark: SparkSession, sf: str) -> DataFrame:
   FROM (SELECT DISTINCT load_id, table_name FROM log WHERE status = 'Job Error') GROUP BY load_id""")
 def audit_errors(spark: SparkSession, sf: str) -> DataFrame:
     return A.failed_tables(audit_rows(spark, sf))
+
+
+@query("narrowing_overflows", """
+  SELECT count(*) FILTER (WHERE TRY_CAST(whole AS INTEGER) IS NULL) AS whole,
+    count(*) FILTER (WHERE TRY_CAST(part AS SMALLINT) IS NULL) AS part
+  FROM (SELECT l_orderkey * 700001 AS whole, l_partkey * 20 AS part FROM lineitem)""")
+def narrowing_overflows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 700001).alias("whole"),
+                                               (F.col("l_partkey") * 20).alias("part"))
+    return TY.narrowing_overflows(rows, {"whole": "int", "part": "smallint"})
+
+
+@query("narrow_types", """
+  SELECT l_linenumber, TRY_CAST(l_orderkey * 700001 AS INTEGER) AS whole,
+    TRY_CAST(l_partkey * 20 AS INTEGER) AS part FROM lineitem""")
+def narrow_types(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "lineitem").select(
+        "l_linenumber", (F.col("l_orderkey") * 700001).alias("whole"),
+        (F.col("l_partkey") * 20).alias("part"))
+    return TY.narrow(rows, {"whole": "int", "part": "int"})

@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schema as S
-from tidemark.operators.changes import apply_changes, latest_changes, soft_delete_flag
+from tidemark.operators.changes import (apply_changes, as_target_rows, latest_changes,
+                                        soft_delete_flag)
 from tidemark.operators.extract import window_filter
+from tidemark.operators.keyed import latest_per_key
 from tidemark.plans import inputs as I
 from tidemark.plans.registry import query
 from tidemark.session import scratch
+from tidemark.sinks import orc
 from tidemark.sinks.publish import Versions, drop_files
-from tidemark.streaming.ingest import apply_to_versions, ingest, target_schema
+from tidemark.streaming.ingest import (apply_to_partitions, apply_to_versions, ingest,
+                                       target_schema)
 
 
 @query("cdc_latest", f"""WITH {I.CHANGES_SQL}
@@ -65,12 +69,42 @@ def cdc_apply_strict(spark: SparkSession, sf: str) -> DataFrame:
     return _apply(spark, sf, null_safe=False)
 
 
+OVERLAP = "2024-01-08 00:00:00"
+
+
+@query("cdc_keep_newest", f"""WITH {I.CHANGES_SQL},
+  tgt AS (
+    SELECT user_id, slot, event_id, event_type, value, time_key,
+           CAST(0 AS INTEGER) AS hvr_is_deleted, TIMESTAMP '{I.TARGET_STAMP}' AS load_ts
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id, slot
+                 ORDER BY time_key DESC NULLS FIRST, event_id DESC) AS rn
+          FROM chg WHERE ts <= TIMESTAMP '{I.TARGET_STAMP}') WHERE rn = 1),
+  inc AS (
+    SELECT * FROM chg c WHERE ts > TIMESTAMP '{OVERLAP}' AND NOT EXISTS (
+      SELECT 1 FROM tgt t WHERE t.user_id IS NOT DISTINCT FROM c.user_id
+        AND t.slot IS NOT DISTINCT FROM c.slot AND t.time_key > c.time_key)),
+  latest AS (
+    SELECT user_id, slot, event_id, event_type, value, time_key,
+           CAST(op_code = 0 AS INTEGER) AS hvr_is_deleted, TIMESTAMP '{I.LOAD_STAMP}' AS load_ts
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id, slot
+                 ORDER BY time_key DESC NULLS FIRST, event_id DESC) AS rn
+          FROM inc WHERE op_code <> 5) WHERE rn = 1)
+  SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM inc WHERE {_NULL_SAFE})
+  UNION ALL SELECT * FROM latest""")
+def cdc_keep_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch that reaches back behind the target's state: older changes are refused."""
+    source = I.changes(spark, sf)
+    before = window_filter(source, "ts", None, I.TARGET_STAMP)
+    held = latest_per_key(before, I.CHANGE_KEYS, S.TIME_KEY).withColumn(S.OP_CODE, F.lit(2))
+    target = as_target_rows(held.drop("ts"), I.TARGET_STAMP, order=None)
+    batch = window_filter(source, "ts", OVERLAP, None).drop("ts")
+    return apply_changes(target, batch, I.CHANGE_KEYS, load_ts=I.LOAD_STAMP, keep_newest=True)
+
+
 # Days of the three drops: each holds the changes after the one before.
 DROPS = [(None, "2024-01-12 00:00:00"), ("2024-01-12 00:00:00", "2024-01-24 00:00:00"),
          ("2024-01-24 00:00:00", None)]
-
-
-@query("stream_cdc_apply", f"""WITH {I.CHANGES_SQL},
+STREAM_SQL = f"""WITH {I.CHANGES_SQL},
   drops AS (
     SELECT *, CASE WHEN ts <= TIMESTAMP '{DROPS[0][1]}' THEN 0
                    WHEN ts <= TIMESTAMP '{DROPS[1][1]}' THEN 1 ELSE 2 END AS batch FROM chg),
@@ -80,18 +114,42 @@ DROPS = [(None, "2024-01-12 00:00:00"), ("2024-01-12 00:00:00", "2024-01-24 00:0
          AS hvr_is_deleted, TIMESTAMP '{I.LOAD_STAMP}' AS load_ts
   FROM (SELECT *, row_number() OVER (PARTITION BY user_id, slot
                ORDER BY time_key DESC NULLS FIRST, event_id DESC) AS rn
-        FROM last WHERE batch = last_batch AND op_code <> 5) WHERE rn = 1""")
-def stream_cdc_apply(spark: SparkSession, sf: str) -> DataFrame:
+        FROM last WHERE batch = last_batch AND op_code <> 5) WHERE rn = 1"""
+
+
+def _business(source: DataFrame) -> T.StructType:
+    return T.StructType([f for f in source.schema.fields
+                         if f.name not in ("ts", S.OP_CODE, S.TIME_KEY)])
+
+
+def _ingest_drops(spark: SparkSession, source: DataFrame, root: str, write) -> None:
     """Three drops arrive one after the other; each is applied when it is there."""
-    source = I.changes(spark, sf)
-    business = T.StructType([f for f in source.schema.fields
-                             if f.name not in ("ts", S.OP_CODE, S.TIME_KEY)])
-    root = scratch(spark, "stream")
-    target = target_schema(business)
-    write = apply_to_versions(f"{root}/target", target, I.CHANGE_KEYS, I.LOAD_STAMP)
     for n, (lower, upper) in enumerate(DROPS):
         drop_files(window_filter(source, "ts", lower, upper).drop("ts"),
                    f"{root}/drops", "events", f"drop{n}")
-        ingest(spark, f"{root}/drops", "events", business, write, f"{root}/checkpoint",
+        ingest(spark, f"{root}/drops", "events", _business(source), write, f"{root}/checkpoint",
                archive=f"{root}/archive")
+
+
+@query("stream_cdc_apply", STREAM_SQL)
+def stream_cdc_apply(spark: SparkSession, sf: str) -> DataFrame:
+    source = I.changes(spark, sf)
+    root = scratch(spark, "stream")
+    target = target_schema(_business(source))
+    _ingest_drops(spark, source, root, apply_to_versions(f"{root}/target", target, I.CHANGE_KEYS,
+                                                         I.LOAD_STAMP))
     return Versions(spark, f"{root}/target").read(target)
+
+
+@query("stream_cdc_apply_partitions", STREAM_SQL)
+def stream_cdc_apply_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The same drops into a target partitioned by a hash of the key."""
+    source = I.changes(spark, sf)
+    root = scratch(spark, "streamparts")
+    target = T.StructType([*target_schema(_business(source)).fields,
+                           T.StructField("bucket", T.IntegerType())])
+    orc.write(spark.createDataFrame([], target), f"{root}/target", partition_by=["bucket"])
+    write = apply_to_partitions(f"{root}/target", target, I.CHANGE_KEYS, ["bucket"], I.LOAD_STAMP,
+                                derived={"bucket": "pmod(hash(user_id, slot), 8)"})
+    _ingest_drops(spark, source, root, write)
+    return spark.read.schema(target).orc(f"{root}/target").drop("bucket")

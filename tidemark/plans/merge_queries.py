@@ -27,16 +27,30 @@ def merge_flat(spark: SparkSession, sf: str) -> DataFrame:
     return M.merge_flat(I.orders_target(spark, sf), I.orders_incoming(spark, sf), KEY)
 
 
-@query("merge_flat_key_range", f"""WITH {I.ORDERS_SQL}, late AS (
-    SELECT * FROM oi WHERE o_orderkey > (SELECT max(o_orderkey) * 0.6 FROM oi))
-  SELECT * FROM ot WHERE NOT EXISTS (SELECT 1 FROM late WHERE late.o_orderkey = ot.o_orderkey)
-  UNION ALL SELECT * FROM late""")
+@query("merge_flat_key_range", """WITH t AS (
+    SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-20 00:00:00'),
+  i AS (SELECT * REPLACE (value + 1 AS value) FROM events
+        WHERE ts > TIMESTAMP '2024-01-18 00:00:00')
+  SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.event_id = t.event_id)
+  UNION ALL SELECT * FROM i""")
 def merge_flat_key_range(spark: SparkSession, sf: str) -> DataFrame:
-    """Incoming rows are those with late keys; earlier target rows are not joined."""
-    incoming = I.orders_incoming(spark, sf)
-    top = incoming.agg((F.max("o_orderkey") * 0.6).alias("cut")).first().cut
-    late = incoming.filter(F.col("o_orderkey") > top)
-    return M.merge_flat(I.orders_target(spark, sf), late, KEY, range_key="o_orderkey")
+    """Event ids grow with time: earlier target rows are not joined."""
+    events = table(spark, sf, "events")
+    target = window_filter(events, "ts", None, "2024-01-20 00:00:00")
+    incoming = window_filter(events, "ts", "2024-01-18 00:00:00", None).withColumn(
+        "value", F.col("value") + 1)
+    return M.merge_flat(target, incoming, ["event_id"], range_key="event_id")
+
+
+@query("merge_flat_dedupe", f"""WITH {I.ORDERS_SQL},
+  newest AS (SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST,
+                                 o_orderkey DESC) AS rn FROM oi) WHERE rn = 1)
+  SELECT * FROM ot WHERE NOT EXISTS (SELECT 1 FROM newest n WHERE n.o_custkey = ot.o_custkey)
+  UNION ALL SELECT * FROM newest""")
+def merge_flat_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    return M.merge_flat(I.orders_target(spark, sf), I.orders_incoming(spark, sf), ["o_custkey"],
+                        dedupe="o_orderdate")
 
 
 def _merge_into(spark: SparkSession, sf: str, partition_by: list[str], merge) -> DataFrame:
