@@ -96,10 +96,13 @@ def test_repeating_an_incremental_load_changes_nothing(world):
     spark = world.control.spark
     _seed(world, [(2, "old", T0, 0)])
     schema = spark.createDataFrame([], CT.SCHEMA).schema
-    for version, load_id in ((50, 2), (60, 3)):
+    for version, load_id in ((50, 2), (60, 2), (70, 3)):
         world.control.publish(spark.createDataFrame([control_row(spark)], schema), version)
-        world.run(load_id=load_id)
+        (done,) = world.run(load_id=load_id)
+        assert done.error is None
     assert world.values() == [(2, "two"), (3, "three"), (4, "four")]
+    # the current state and the one before it
+    assert fs.names(spark, world.target.root) == ["load2-2", "load3"]
 
 
 def test_append_takes_live_rows_after_the_last_run(world):

@@ -31,7 +31,8 @@ def metadata(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.get(kinds, (F.col("p_size") % len(TYPES)).cast("int"))
     numeric = kind == "numeric"
     return table(spark, sf, "part").select(
-        F.lower("p_brand").alias("table_schema"),
+        F.concat(F.lit("s"), F.expr(f"p_partkey div {WIDTH * 10}").cast("string"))
+        .alias("table_schema"),
         F.concat(F.lit("t"), F.expr(f"p_partkey div {WIDTH}").cast("string"))
         .alias("table_name"),
         F.concat(F.replace("p_name", F.lit(" "), F.lit("$")), F.lit("_"),
@@ -45,7 +46,7 @@ def metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 _TYPE_LIST = ", ".join(f"'{t}'" for t in TYPES)
 METADATA_SQL = f"""md AS (
-  SELECT lower(p_brand) AS table_schema, 't' || (p_partkey // {WIDTH}) AS table_name,
+  SELECT 's' || (p_partkey // {WIDTH * 10}) AS table_schema, 't' || (p_partkey // {WIDTH}) AS table_name,
     replace(p_name, ' ', '$') || '_' || p_partkey AS column_name,
     CAST(p_partkey % {WIDTH} + 1 AS INTEGER) AS ordinal_position, data_type,
     CASE WHEN data_type = 'numeric' AND p_retailprice < 1000 THEN p_size % 40 + 1 END

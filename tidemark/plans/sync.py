@@ -267,8 +267,8 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
     """Run every due load of a route, one after the other.
 
     Data is published before the watermark moves, so a run that dies in between
-    is repeated, and all keyed loads can be repeated. A failing load is logged
-    and marked, the next one still runs.
+    is repeated. Repeating a keyed or full load changes nothing; an append adds
+    its rows again. A failing load is logged and marked, the next one still runs.
     """
     state = control.read(spark.createDataFrame([], control_table.SCHEMA).schema)
     # control rows are one per configured table pair

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark import fs
 from tidemark.sinks import jdbc as jdbc_sink
 from tidemark.sinks import orc
 from tidemark.sinks.publish import (create_table, redefine_table, refresh, replace_partitions,
@@ -48,23 +49,41 @@ class TableTarget:
         bloom = bloom_columns(self.spark, self.table)
         return {"distribute_by": distribute_by, "bloom": bloom, "sort_by": bloom}
 
+    def _fresh(self, state: str) -> str:
+        """A folder for a new state; a repeated load gets one of its own."""
+        path, n = f"{self.root}/{state}", 1
+        while fs.exists(self.spark, path):
+            n += 1
+            path = f"{self.root}/{state}-{n}"
+        return path
+
     def redefine(self, df: DataFrame, state: str, partition_by: Sequence[str] = (),
                  distribute_by: Sequence[str] = ()) -> None:
         """New contents and columns; the old definition goes once the data is written."""
-        bloom = [c for c in (bloom_columns(self.spark, self.table) if self.exists() else [])
+        old = self.location if self.exists() else None
+        bloom = [c for c in (bloom_columns(self.spark, self.table) if old else [])
                  if c in df.columns]
-        path = f"{self.root}/{state}"
+        path = self._fresh(state)
         orc.write(df, path, partition_by=partition_by, distribute_by=distribute_by,
                   bloom=bloom, sort_by=bloom)
         redefine_table(self.spark, self.table, df.schema, path, partition_by, bloom)
         refresh(self.spark, self.table)
+        self._prune(old)
 
     def replace(self, df: DataFrame, state: str, distribute_by: Sequence[str] = ()) -> None:
-        parts = self.partition_by
-        path = f"{self.root}/{state}"
+        parts, old = self.partition_by, self.location
+        path = self._fresh(state)
         orc.write(df, path, partition_by=parts, **self._layout(distribute_by))
         switch_location(self.spark, self.table, path)
         refresh(self.spark, self.table)
+        self._prune(old)
+
+    def _prune(self, previous: str | None) -> None:
+        """Remove states before the previous one, which running readers may still use."""
+        kept = {p.rstrip("/").rsplit("/", 1)[-1] for p in (self.location, previous) if p}
+        for name in fs.names(self.spark, self.root):
+            if name.startswith("load") and name not in kept:
+                fs.remove(self.spark, f"{self.root}/{name}")
 
     def append(self, df: DataFrame, distribute_by: Sequence[str] = ()) -> None:
         orc.append(df, self.location, partition_by=self.partition_by,
