@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tidemark import fs
 from tidemark.control import audit
 from tidemark.control import table as CT
+from tidemark.plans.cli import main
 from tidemark.plans.sync import (LoadSpec, check_target_schema, load_drops, loader_for, run_due)
 from tidemark.sinks.publish import Versions, drop_files
 from tidemark.sinks.targets import TableTarget
@@ -227,3 +228,46 @@ def test_full_load_is_validated(world):
     world.save(control_row(world.control.spark, load_type="FULL"))
     (done,) = world.run("FULL", validate=True)
     assert done.error is None and done.rows == 5
+
+
+def _cli(world, folder, *more):
+    return main(["--control", world.control.root, "--audit", world.audit_path, "--schema", "app",
+                 "--load-id", "9", "--now", "2024-01-20 00:00:00", "--warehouse", f"{folder}/wh",
+                 *more], spark=world.control.spark)
+
+
+def test_command_line_mirror(world, spark, folder, capsys):
+    spark.sql("CREATE DATABASE IF NOT EXISTS src")
+    world.rows.createOrReplaceTempView("things_rows")
+    spark.sql("DROP VIEW IF EXISTS src.things")
+    spark.sql("DROP TABLE IF EXISTS src.things")
+    world.rows.write.mode("overwrite").orc(f"{folder}/src")
+    spark.sql(f"CREATE TABLE src.things USING ORC LOCATION '{folder}/src'")
+    world.save(control_row(spark, data_path="MIR2HIVE", source_schemaname="src", load_type="FULL"))
+    args = ["--route", "MIR2HIVE", "--load-type", "FULL"]
+    assert _cli(world, folder, *args) == 0
+    assert len(world.values()) == 5
+    assert _cli(world, folder, *args, "--tables", "others") == 0
+    out = capsys.readouterr().out
+    assert "app.things: 5 rows" in out and "no FULL MIR2HIVE tables to load" in out
+    spark.sql("DROP TABLE src.things")
+
+
+def test_command_line_drops(world, spark, folder, capsys):
+    TableTarget(spark, "app.things", f"{folder}/wh/app/things").redefine(
+        spark.sql("select 1 id, 'old' v, 0 hvr_is_deleted, "
+                  "timestamp_ntz'2024-01-01 00:00:00' load_ts"), "start")
+    world.save(control_row(spark, data_path="SRC2GP"))
+    drop_files(spark.createDataFrame([(1, "new", 2, "1"), (2, "two", 1, "1")],
+                                     "id int, v string, op_code int, time_key string"),
+               f"{folder}/in", "things", "b1")
+    args = ["--route", "SRC2GP", "--load-type", "INCREMENTAL", "--drops", f"{folder}/in",
+            "--archive", f"{folder}/done"]
+    assert _cli(world, folder, *args) == 0
+    assert world.values() == [(1, "new"), (2, "two")]
+    with open(f"{folder}/in/2-things.csv", "w") as f:
+        f.write("1|broken\n")
+    assert _cli(world, folder, *args) == 1
+    assert "failed: app.things" in capsys.readouterr().out
+    assert fs.names(spark, f"{folder}/in") == ["2-things.csv"]
+    assert world.values() == [(1, "new"), (2, "two")]

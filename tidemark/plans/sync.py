@@ -176,6 +176,12 @@ def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target
     return seen.get["rows"]
 
 
+def business_schema(target) -> T.StructType:
+    """A change target's columns without flag and stamp, as change files carry them."""
+    return T.StructType([f for f in target.read().schema.fields
+                         if f.name not in S.HOUSEKEEPING])
+
+
 def load_drops(spark: SparkSession, spec: LoadSpec, directory: str, business: T.StructType,
                target, *, now: datetime, load_id: int, archive_root: str | None = None,
                **how) -> int:
@@ -263,9 +269,13 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
             load_type: str, now: datetime, load_id: int,
             source_of: Callable[[LoadSpec], DataFrame], target_of: Callable[[LoadSpec], object],
             group: int | None = None, tables: Sequence[str] | None = None,
-            archive_root: str | None = None, special: bool = False, **more) -> list[Outcome]:
+            archive_root: str | None = None, drops: str | None = None,
+            special: bool = False, **more) -> list[Outcome]:
     """Run every due load of a route, one after the other.
 
+    With ``drops``, change routes read the files that wait in that folder and
+    move them below ``archive_root`` afterwards; ``source_of`` is not asked.
+
     Data is published before the watermark moves, so a run that dies in between
     is repeated. Repeating a keyed or full load changes nothing; an append adds
     its rows again. A failing load is logged and marked, the next one still runs.
@@ -282,8 +292,13 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
             _save(control, lambda c: control_table.set_status(
                 c, spec.target_schema, spec.target_table, spec.control_route, S.STATUS_RUNNING))
             target = target_of(spec)
-            outcome.rows = loader_for(spec.route)(spark, spec, source_of(spec), target,
-                                                  now=now, load_id=load_id)
+            load = loader_for(spec.route)
+            if load is load_changes and drops:
+                outcome.rows = load_drops(spark, spec, drops, business_schema(target), target,
+                                          now=now, load_id=load_id, archive_root=archive_root)
+            else:
+                outcome.rows = load(spark, spec, source_of(spec), target, now=now,
+                                    load_id=load_id)
             if spec.archived and archive_root:
                 archive_copy(target.read(), f"{archive_root}/{spec.target_schema}",
                              spec.target_table, load_id)
