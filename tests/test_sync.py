@@ -171,6 +171,26 @@ def test_change_route_applies_and_signals_the_next_route(world, spark):
     assert state["GP2HDFS"].last_run_time == T1
 
 
+def test_partitioned_change_target(world, spark, folder):
+    target = TableTarget(spark, "app.things", world.target.root)
+    base = spark.sql("select id, 'old' v, 0 gone, timestamp_ntz'2024-01-01 00:00:00' at_ts, "
+                     "cast(pmod(id, 4) as int) b from values (1), (2), (3), (5) t(id)")
+    target.redefine(base, "start", ["b"])
+    schema = spark.createDataFrame([], CT.SCHEMA).schema
+    world.control.publish(spark.createDataFrame([control_row(
+        spark, data_path="SRC2GP", is_partitioned=True, first_partitioned_column="b",
+        partition_column_transformation="cast(pmod(id, 4) as int)")], schema), 50)
+    drop_files(spark.createDataFrame([(1, "new", 0, "1"), (2, "x", 5, "1"), (8, "eight", 1, "1")],
+                                     "id int, v string, op_code int, time_key string"),
+               f"{folder}/in", "things", "b1")
+    (done,) = world.run(route="SRC2GP", drops=f"{folder}/in", flag="gone", stamp="at_ts")
+    assert done.error is None and done.rows == 3
+    assert sorted((r.id, r.v, r.gone, r.b) for r in target.read().collect()) == [
+        (1, "new", 1, 1), (3, "old", 0, 3), (5, "old", 0, 1), (8, "eight", 0, 0)]
+    assert {r.partition for r in spark.sql("SHOW PARTITIONS app.things").collect()} == {
+        "b=0", "b=1", "b=3"}
+
+
 def test_drops_are_applied_then_archived(world, spark, folder):
     target = TableTarget(spark, "app.things", world.target.root)
     target.redefine(spark.sql("select 1 id, 'old' v, 0 hvr_is_deleted, "

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import schema as S
+from tidemark.operators.changes import apply_changes
 from tidemark.operators.columns import align
 from tidemark.operators.keyed import (delete_matching, delete_matching_in_range, key_set,
                                       latest_per_key)
@@ -138,11 +141,36 @@ def merge_partitioned_global(target: DataFrame, incoming: DataFrame, keys: Seque
                       incoming, keys, null_safe=null_safe, dedupe=dedupe)
 
 
+class PartitionResult(NamedTuple):
+    """New contents of the touched partitions, one of which may have become empty."""
+
+    rows: DataFrame
+    touched: DataFrame
+    may_empty: bool
+
+
+def apply_in_partitions(target: DataFrame, changes: DataFrame, keys: Sequence[str],
+                        partition_cols: Sequence[str], *, load_type: str = S.INCREMENTAL,
+                        op: str = S.OP_CODE, **options) -> PartitionResult:
+    """Apply changes to the partitions they fall into and read no others.
+
+    The partition columns must follow from the key, or a key could have rows in
+    two partitions. ``changes`` is read more than once: stage or persist it.
+    """
+    touched = affected_partitions(changes, partition_cols)
+    scope = prune_to(target, touched, partition_cols)
+    rows = apply_changes(scope, changes, keys, load_type=load_type, op=op, **options)
+    # ignored and unknown ops remove a key; every other op leaves a row, flagged or not
+    removing = changes.filter(F.coalesce(F.col(op), F.lit(S.OP_IGNORED)) == S.OP_IGNORED)
+    may_empty = load_type != S.INCREMENTAL or not removing.isEmpty()
+    return PartitionResult(rows, touched, may_empty)
+
+
 def upsert_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str],
                 load_type: str) -> DataFrame:
     """File load: FULL replaces, otherwise strict keyed delete and all rows added."""
     rows = align(rows, target.columns)
-    if load_type == "FULL":
+    if load_type == S.FULL:
         return rows
     return delete_matching(target, rows, keys).unionByName(rows)
 
@@ -151,6 +179,6 @@ def cross_sync(target: DataFrame, window: DataFrame, keys: Sequence[str],
                load_type: str) -> DataFrame:
     """Database-to-database sync: null-safe keyed delete, insert by the target's names."""
     rows = align(window, target.columns)
-    if load_type == "FULL":
+    if load_type == S.FULL:
         return rows
     return delete_matching(target, rows, keys, null_safe=True).unionByName(rows)

@@ -51,11 +51,14 @@ class LoadSpec:
     distribute_expr: str | None = None
     archived: bool = False
     # not in the control table: columns to delete by, cross-partition cleaning,
-    # a key column that grows with time, a count check after a full load
+    # a key column that grows with time, a count check after a full load, names
+    # of the change target's last two columns
     delete_keys: tuple[str, ...] = ()
     global_keys: bool = False
     range_key: str | None = None
     validate: bool = False
+    flag: str = S.DELETED_FLAG
+    stamp: str = S.LOAD_STAMP
 
     @classmethod
     def from_row(cls, row: Row, **more) -> LoadSpec:
@@ -156,30 +159,41 @@ def load_table(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *
 
 def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target, *,
                  now: datetime, load_id: int) -> int:
-    """Change-file routes: null-safe keys, or strict ones on the strict route."""
-    null_safe = spec.route != control_table.CHANGES_TO_DB_STRICT
-    counted, seen = observed(changes)
+    """Change-file routes: null-safe keys, or strict ones on the strict route.
+
+    A partitioned table is rewritten by partition; its partition columns must
+    follow from the key.
+    """
+    how = {"load_ts": now, "load_type": spec.load_type, "flag": spec.flag, "stamp": spec.stamp,
+           "null_safe": spec.route != control_table.CHANGES_TO_DB_STRICT}
+    # the database deletes by itself, table merges may delete by other columns than the key
+    by = {"delete_keys": spec.delete_keys or None}
+    counted, seen = observed(spec.with_layout_columns(changes))
     with staging(spark, f"changes{load_id}") as path:
-        staged = snapshot(counted, path)
+        staged, current = snapshot(counted, path), target.read()
         if hasattr(target, "merge_rows"):
-            # the database deletes; what it needs are the rows an empty target would get
-            fresh = spark.createDataFrame([], target.read().schema)
-            rows = apply_changes(fresh, staged, spec.keys, load_ts=now,
-                                 load_type=spec.load_type, null_safe=null_safe)
-            target.merge_rows(rows, spec.delete_keys or spec.keys, spec.load_type, null_safe,
-                              deletes=staged)
+            # what the database needs are the rows an empty target would get
+            fresh = spark.createDataFrame([], current.schema)
+            rows = apply_changes(fresh, staged, spec.keys, **how)
+            target.merge_rows(rows, spec.delete_keys or spec.keys, spec.load_type,
+                              how["null_safe"], deletes=staged)
+        elif target.partition_by and spec.load_type != S.FULL and not spec.delete_keys:
+            done = M.apply_in_partitions(current, staged, spec.keys, target.partition_by, **how)
+            target.replace_partitions(done.rows, done.touched, spec.distribute_by,
+                                      may_empty=done.may_empty)
         else:
-            merged = apply_changes(target.read(), staged, spec.keys, load_ts=now,
-                                   load_type=spec.load_type, null_safe=null_safe,
-                                   delete_keys=spec.delete_keys or None)
+            merged = apply_changes(current, staged, spec.keys, **how, **by)
             target.replace(merged, f"load{load_id}", spec.distribute_by)
     return seen.get["rows"]
 
 
-def business_schema(target) -> T.StructType:
-    """A change target's columns without flag and stamp, as change files carry them."""
-    return T.StructType([f for f in target.read().schema.fields
-                         if f.name not in S.HOUSEKEEPING])
+def business_schema(target, spec: LoadSpec) -> T.StructType:
+    """A change target's columns without flag, stamp and derived columns, as change
+    files carry them."""
+    added = {spec.flag, spec.stamp, *S.HOUSEKEEPING}
+    if spec.partition_expr:
+        added |= set(spec.partition_by)
+    return T.StructType([f for f in target.read().schema.fields if f.name not in added])
 
 
 def load_drops(spark: SparkSession, spec: LoadSpec, directory: str, business: T.StructType,
@@ -294,7 +308,7 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
             target = target_of(spec)
             load = loader_for(spec.route)
             if load is load_changes and drops:
-                outcome.rows = load_drops(spark, spec, drops, business_schema(target), target,
+                outcome.rows = load_drops(spark, spec, drops, business_schema(target, spec), target,
                                           now=now, load_id=load_id, archive_root=archive_root)
             else:
                 outcome.rows = load(spark, spec, source_of(spec), target, now=now,

@@ -6,17 +6,15 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schema as S
 from tidemark.operators.changes import apply_changes
 from tidemark.operators.columns import with_derived_all
-from tidemark.operators.merge import affected_partitions, prune_to
+from tidemark.operators.merge import apply_in_partitions
 from tidemark.sinks.publish import Versions, replace_partitions
 from tidemark.sources.changes_csv import stream_changes
 
-
 LoadTs = datetime | str | Callable[[int], datetime | str]
 
 
@@ -69,16 +67,11 @@ def apply_to_partitions(path: str, schema: T.StructType, keys: Sequence[str],
         try:
             if changes.isEmpty():
                 return
-            touched = affected_partitions(changes, partition_by)
-            scope = prune_to(spark.read.schema(schema).orc(path), touched, partition_by)
-            merged = apply_changes(scope, changes, keys, load_ts=_at(load_ts, batch_id),
-                                   **options)
-            # every other op leaves a row behind, flagged or not
-            removes = changes.filter(F.coalesce(F.col(S.OP_CODE), F.lit(S.OP_IGNORED))
-                                     == S.OP_IGNORED)
-            may_empty = (options.get("load_type", S.INCREMENTAL) != S.INCREMENTAL
-                         or not removes.isEmpty())
-            replace_partitions(merged, touched, path, partition_by, may_empty=may_empty)
+            target = spark.read.schema(schema).orc(path)
+            done = apply_in_partitions(target, changes, keys, partition_by,
+                                       load_ts=_at(load_ts, batch_id), **options)
+            replace_partitions(done.rows, done.touched, path, partition_by,
+                               may_empty=done.may_empty)
         finally:
             changes.unpersist()
     return write
