@@ -5,7 +5,8 @@ from datetime import datetime
 
 import pytest
 
-from tidemark.operators.changes import apply_changes, latest_changes, refuse_older
+from tidemark.operators.changes import (apply_changes, latest_changes, reduced_changes,
+                                        refuse_older)
 from tidemark.operators.keyed import delete_matching, latest_per_key
 
 TS = "2024-02-01 00:00:00"
@@ -167,6 +168,25 @@ def test_brute_force(spark):
         assert got(out) == want(*expect)
 
 
+@pytest.mark.parametrize("how", [
+    {}, {"null_safe": False}, {"load_type": "FULL"}, {"load_type": "APPEND_ONLY"},
+    {"load_type": "APPEND_ONLY", "null_safe": False}, {"delete_keys": ["k1"]},
+    {"delete_keys": ["v"], "null_safe": False}])
+def test_reduced_changes_apply_alike(spark, how):
+    rng = random.Random(17)
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice([1, 2, None]), rng.choice("pqrs"),
+             rng.choice([0, 1, 2, 5, None]), rng.choice([None, "1", "2", "10"]))
+            for _ in range(60)]
+    old = target(spark, *[(k, n, v) for k in ("a", "c", "z", None) for n in (1, 2, None)
+                          for v in "ps"])
+    log = changes(spark, *rows)
+    fewer = reduced_changes(log, KEYS, **how)
+    assert got(apply_changes(old, fewer, KEYS, load_ts=TS, **how)) == got(
+        apply_changes(old, log, KEYS, load_ts=TS, **how))
+    if not how:
+        assert fewer.count() == len({r[:2] for r in rows})
+
+
 def test_refuse_older_keeps_newest(spark):
     held = spark.createDataFrame([("a", 1, "old", "05", 0, T0), ("b", 1, "old", "05", 0, T0)],
                                  "k1 string, k2 int, v string, time_key string, "

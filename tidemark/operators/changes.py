@@ -31,6 +31,24 @@ def latest_changes(changes: DataFrame, keys: Sequence[str], order: str = S.TIME_
     return latest_per_key(without_ignored(changes, op), keys, order)
 
 
+def reduced_changes(changes: DataFrame, keys: Sequence[str], order: str = S.TIME_KEY,
+                    op: str = S.OP_CODE, load_type: str = S.INCREMENTAL, *,
+                    null_safe: bool = True, delete_keys: Sequence[str] | None = None,
+                    keep_newest: bool = False) -> DataFrame:
+    """One change per key, for which :func:`apply_changes` gives the same result.
+
+    The newest insertable change, or an ignored one where the key has no other,
+    which still removes it. Worth staging instead of the raw log: the log is
+    then read and shuffled once, and the join sees the size that counts. Loads
+    that need every row (append, refusal of older changes) get the log back.
+    """
+    if keep_newest or (load_type == S.APPEND_ONLY and null_safe):
+        return changes
+    by = list(dict.fromkeys([*keys, *(delete_keys or [])]))
+    marked = changes.withColumn("__insertable", F.coalesce(F.col(op) != S.OP_IGNORED, F.lit(False)))
+    return latest_per_key(marked, by, ["__insertable", order]).drop("__insertable")
+
+
 def as_target_rows(changes: DataFrame, load_ts: datetime | str, *, flag: str = S.DELETED_FLAG,
                    stamp: str = S.LOAD_STAMP, op: str = S.OP_CODE,
                    order: str | None = S.TIME_KEY) -> DataFrame:

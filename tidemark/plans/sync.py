@@ -14,7 +14,7 @@ from tidemark import schema as S
 from tidemark.control import audit
 from tidemark.control import table as control_table
 from tidemark.operators import merge as M
-from tidemark.operators.changes import apply_changes
+from tidemark.operators.changes import apply_changes, reduced_changes
 from tidemark.operators.columns import align, sanitize, with_select_list
 from tidemark.operators.extract import extract, window_filter
 from tidemark.operators.metrics import observed, require_counts
@@ -164,25 +164,27 @@ def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target
     A partitioned table is rewritten by partition; its partition columns must
     follow from the key.
     """
+    null_safe = spec.route != control_table.CHANGES_TO_DB_STRICT
     how = {"load_ts": now, "load_type": spec.load_type, "flag": spec.flag, "stamp": spec.stamp,
-           "null_safe": spec.route != control_table.CHANGES_TO_DB_STRICT}
-    # the database deletes by itself, table merges may delete by other columns than the key
-    by = {"delete_keys": spec.delete_keys or None}
+           "null_safe": null_safe}
+    delete_keys = spec.delete_keys or None
     counted, seen = observed(spec.with_layout_columns(changes))
+    reduced = reduced_changes(counted, spec.keys, load_type=spec.load_type, null_safe=null_safe,
+                              delete_keys=delete_keys)
     with staging(spark, f"changes{load_id}") as path:
-        staged, current = snapshot(counted, path), target.read()
+        staged, current = snapshot(reduced, path), target.read()
         if hasattr(target, "merge_rows"):
             # what the database needs are the rows an empty target would get
             fresh = spark.createDataFrame([], current.schema)
             rows = apply_changes(fresh, staged, spec.keys, **how)
             target.merge_rows(rows, spec.delete_keys or spec.keys, spec.load_type,
-                              how["null_safe"], deletes=staged)
+                              null_safe, deletes=staged)
         elif target.partition_by and spec.load_type != S.FULL and not spec.delete_keys:
             done = M.apply_in_partitions(current, staged, spec.keys, target.partition_by, **how)
             target.replace_partitions(done.rows, done.touched, spec.distribute_by,
                                       may_empty=done.may_empty)
         else:
-            merged = apply_changes(current, staged, spec.keys, **how, **by)
+            merged = apply_changes(current, staged, spec.keys, delete_keys=delete_keys, **how)
             target.replace(merged, f"load{load_id}", spec.distribute_by)
     return seen.get["rows"]
 

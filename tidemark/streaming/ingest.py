@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark import schema as S
-from tidemark.operators.changes import apply_changes
+from tidemark.operators.changes import apply_changes, reduced_changes
 from tidemark.operators.columns import with_derived_all
 from tidemark.operators.merge import apply_in_partitions
 from tidemark.sinks.publish import Versions, replace_partitions
@@ -22,6 +22,11 @@ def _at(load_ts: LoadTs, batch_id: int) -> datetime | str:
     return load_ts(batch_id) if callable(load_ts) else load_ts
 
 
+def _reduced(batch: DataFrame, keys: Sequence[str], options: dict) -> DataFrame:
+    known = ("order", "op", "load_type", "null_safe", "delete_keys", "keep_newest")
+    return reduced_changes(batch, keys, **{k: options[k] for k in known if k in options})
+
+
 def apply_to_versions(root: str, schema: T.StructType, keys: Sequence[str], load_ts: LoadTs, *,
                       keep: int = 2, **options) -> Callable[[DataFrame, int], None]:
     """A batch writer that publishes a new version of the target per batch.
@@ -36,15 +41,15 @@ def apply_to_versions(root: str, schema: T.StructType, keys: Sequence[str], load
         if newest is not None and newest > batch_id + 1:
             raise ValueError(f"{root} is at version {newest}, ahead of batch {batch_id}: "
                              "the checkpoint belongs to another target")
-        batch.persist()
+        changes = _reduced(batch, keys, options).persist()
         try:
-            if not batch.isEmpty():
+            if not changes.isEmpty():
                 target = versions.read(schema, before=batch_id + 1)
-                merged = apply_changes(target, batch, keys, load_ts=_at(load_ts, batch_id),
+                merged = apply_changes(target, changes, keys, load_ts=_at(load_ts, batch_id),
                                        **options)
                 versions.publish(merged, batch_id + 1)
         finally:
-            batch.unpersist()
+            changes.unpersist()
         versions.prune(max(keep, 2))
     return write
 
@@ -62,8 +67,7 @@ def apply_to_partitions(path: str, schema: T.StructType, keys: Sequence[str],
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        changes = with_derived_all(batch, derived)
-        changes.persist()
+        changes = with_derived_all(_reduced(batch, keys, options), derived).persist()
         try:
             if changes.isEmpty():
                 return
