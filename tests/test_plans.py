@@ -121,6 +121,17 @@ def test_partitioned_merge_reads_only_its_partitions(spark, folder):
     assert "PartitionFilters: [isnotnull(p" in text and "= 3)]" in text
 
 
+def test_many_partitions_prune_by_range(spark, folder):
+    path = f"{folder}/t"
+    orc.write(spark.range(1000).selectExpr("id", "id % 20 p"), path, partition_by=["p"])
+    target = read_orc(spark, path)
+    incoming = spark.range(1000).selectExpr("id", "cast(5 + id % 3 as int) p")
+    out = M.prune_to(target, M.affected_partitions(incoming, ["p"]), ["p"], literal_limit=1)
+    assert "(p" in plan(out).split("PartitionFilters")[1] and ">= 5)" in plan(out)
+    assert "LeftSemi" in plan(out)
+    assert out.count() == 150
+
+
 def test_hot_partition_is_written_by_several_tasks(spark, no_broadcast, folder):
     import os
     df = spark.range(0, 200000, 1, 16).selectExpr(

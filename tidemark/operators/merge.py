@@ -17,8 +17,9 @@ from tidemark.operators.keyed import (delete_matching, delete_matching_in_range,
                                       latest_per_key)
 
 # Up to this many partition values become a literal filter, which prunes
-# partitions while the scan is planned. Beyond it the semi-join below is used.
-LITERAL_PARTITIONS = 1000
+# partitions while the scan is planned. Beyond it a range filter and a semi-join
+# do the same job without bringing the values to the driver.
+LITERAL_PARTITIONS = 10_000
 
 
 def full(target_columns: Sequence[str], incoming: DataFrame) -> DataFrame:
@@ -59,8 +60,8 @@ def prune_to(target: DataFrame, partitions: DataFrame, partition_cols: Sequence[
 
     ``partitions`` holds distinct partition values. A short list becomes a
     filter on the partition columns, so directories outside it are never
-    listed. A long one stays distributed as a semi-join: same rows, and Spark
-    may still prune at run time.
+    listed. A long one stays distributed: its range per column prunes, a
+    semi-join makes it exact.
     """
     # values travel as text: a Python datetime would pick up the machine's time zone
     texts = partitions.select(*[F.col(c).cast("string").alias(c) for c in partition_cols])
@@ -71,11 +72,25 @@ def prune_to(target: DataFrame, partitions: DataFrame, partition_cols: Sequence[
         names = [f"__part_{i}" for i in range(len(partition_cols))]
         same = reduce(lambda a, b: a & b,
                       [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition_cols, names)])
-        return target.join(partitions.toDF(*names), same, "left_semi")
+        return _within_ranges(target, partitions, partition_cols).join(
+            partitions.toDF(*names), same, "left_semi")
     types = {c: target.schema[c].dataType for c in partition_cols}
     return target.filter(_listed(types, rows))
 
 
+def _within_ranges(target: DataFrame, partitions: DataFrame,
+                   columns: Sequence[str]) -> DataFrame:
+    row = partitions.agg(*[F.struct(F.min(c).cast("string").alias("lo"),
+                                    F.max(c).cast("string").alias("hi"),
+                                    F.count_if(F.col(c).isNull()).alias("nulls")).alias(c)
+                           for c in columns]).first()
+    for column in columns:
+        found, dtype = row[column], target.schema[column].dataType
+        test = F.col(column).between(F.lit(found.lo).cast(dtype), F.lit(found.hi).cast(dtype))
+        target = target.filter(test | F.col(column).isNull() if found.nulls else test)
+    return target
+
+
 def _listed(types: dict[str, T.DataType], rows: list) -> Column:
     """Membership in the listed tuples: per column to prune, per tuple to be exact."""
     columns = list(types)
