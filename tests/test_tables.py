@@ -14,6 +14,7 @@ from tidemark.sinks import jdbc as jdbc_sink
 from tidemark.sinks import orc
 from tidemark.sinks.publish import (archive_copy, archive_inputs, create_table, fan_out, refresh,
                                     replace_partitions, stage_and_switch)
+from tidemark.sinks.targets import TableTarget
 from tidemark.sources import jdbc
 from tidemark.sources.tables import (bloom_columns, columns_of, partition_columns, read_table,
                                      snapshot, table_kind)
@@ -61,6 +62,16 @@ def test_switch_reads_its_own_target(spark, folder):
     spark.sql("DROP TABLE flat")
 
 
+def test_location_is_not_a_column(spark, folder):
+    spark.sql("DROP TABLE IF EXISTS places")
+    target = TableTarget(spark, "places", f"{folder}/places")
+    target.create(spark.createDataFrame([], "Location string, id int").schema, "load0")
+    assert target.location.endswith("/places/load0")
+    target.replace(spark.createDataFrame([("x", 1)], "Location string, id int"), "load1")
+    assert target.location.endswith("/places/load1") and target.read().count() == 1
+    spark.sql("DROP TABLE places")
+
+
 def test_orc_is_zlib_with_bloom(spark, folder):
     orc.write(spark.range(10).toDF("id"), f"{folder}/o", bloom=["id"], sort_by=["id"])
     assert all(".zlib." in f for f in os.listdir(f"{folder}/o") if f.endswith(".orc"))

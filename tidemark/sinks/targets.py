@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,8 @@ class TableTarget:
 
     @property
     def location(self) -> str:
-        rows = self.spark.sql(f"DESCRIBE EXTENDED {self.table}").filter("col_name = 'Location'")
-        return rows.first()["data_type"]
+        facts = self.spark.sql(f"DESCRIBE EXTENDED {self.table} AS JSON").first()
+        return json.loads(facts.json_metadata)["location"]
 
     @property
     def partition_by(self) -> list[str]:
