@@ -46,7 +46,7 @@ weighed AS (
   SELECT *, CASE k % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM src),
 ranked AS (
   SELECT *, 3 * source_size / weight AS full_at,
-         row_number() OVER (ORDER BY 3 * source_size / weight, k) AS at,
+         row_number() OVER (ORDER BY 3 * source_size / weight, k) AS nth,
          coalesce(sum(3 * source_size) OVER before, 0) AS gone,
          coalesce(sum(weight) OVER before, 0) AS gone_weight
   FROM weighed
@@ -56,8 +56,8 @@ levels AS (
   SELECT *, ((SELECT sum(source_size) FROM src) - gone)
             / ((SELECT sum(weight) FROM weighed) - gone_weight) AS level FROM ranked),
 level AS (
-  SELECT coalesce(arg_min(level, at) FILTER (WHERE full_at >= level),
-                  arg_max(level, at)) AS level FROM levels),
+  SELECT coalesce(arg_min(level, nth) FILTER (WHERE full_at >= level),
+                  arg_max(level, nth)) AS level FROM levels),
 plan AS (
   SELECT source, source_size, target,
          CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS passes,

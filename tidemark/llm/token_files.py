@@ -42,7 +42,7 @@ SHARD_BYTES = 128 << 20
 REMEMBERED_PIECES = 400_000
 
 # White space as Unicode defines it; fixed values of the byte-level splitter.
-_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
 
 
