@@ -6,7 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, token_counts, token_files
+from tidemark.llm import (
+    decontaminate,
+    mixing,
+    span_dedup,
+    suffix_dedup,
+    token_counts,
+    token_files,
+)
 from tidemark.llm.sql import LEAKS_SQL, MIX_SQL
 from tidemark.plans.registry import query, table
 from tidemark.session import scratch
@@ -57,3 +64,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(
         spark, path, docs.schema["doc_id"].dataType.simpleString()
     ).withColumnRenamed("id", "doc_id")
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op1_span_dedup")
+def op1_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.remove_spans(table(spark, sf_dir, "documents"))
