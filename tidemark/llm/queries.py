@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontaminate,
+    jaccard_join,
     mixing,
     span_dedup,
     suffix_dedup,
@@ -79,3 +80,9 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_span_dedup")
 def op1_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup.remove_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op3_jaccard_join")
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id", "class_id")

@@ -34,7 +34,7 @@ from tidemark.llm.common import staged, text_bytes, total_bytes
 #: Sentences in a span.
 RUN = 3
 #: Words after which a sentence without an end is cut.
-MOST_WORDS = 16
+MOST_WORDS = 8
 
 
 def _sentence(most_words: int) -> re.Pattern[bytes]:
