@@ -126,10 +126,12 @@ def _index_of(block: DataFrame, docs: DataFrame, window: int) -> WindowIndex:
     return WindowIndex({w: sorted(items) for w, items in windows.items()}, frequency)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id",
+def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = 10,
                text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document: id, ``n_words``, ``n_hit``, ``hits`` (word ranges) and ``items``.
+    """Per document: ``row``, ``n_words``, ``n_hit``, ``hits`` (word ranges) and ``items``.
+
+    ``row`` has the columns ``keep`` as a struct.
 
     ``hits`` are the merged ranges of words inside any occurrence of a window,
     as flat pairs start, end; ``items`` the sorted ids, as text, of items with
@@ -140,7 +142,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col:
                              text_bytes(item_text).alias("text"))
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     blocks = max(1, -(-size // block_bytes))
-    rows = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"),
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"),
+                       text_bytes(text_col).alias("text"),
                        F.lit(0).cast("long").alias("n_words"),
                        F.lit(0).cast("long").alias("n_hit"),
                        F.array().cast("array<int>").alias("hits"),
@@ -152,7 +155,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col:
             F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         index = spark.sparkContext.broadcast(_index_of(block, only_text, window))
         rows = rows.mapInArrow(_scan(index, last=k == blocks - 1), schema)
-    return rows.select(F.col("id").alias(id_col), "n_words", "n_hit", "hits", "items")
+    return rows.drop("text")
 
 
 def _scan(index, last: bool):
@@ -175,7 +178,7 @@ def _scan(index, last: bool):
                 hits.append(runs)
                 items.append(names)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"),
+                [batch.column("row"),
                  pa.array([b""] * len(texts), pa.binary()) if last else texts,
                  pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
                  pa.array(hits, pa.list_(pa.int32())),

@@ -14,21 +14,20 @@ documents is found by a histogram over the first digits of the hash and exact
 running sums in the one bucket that holds the cut, so no group is sorted whole.
 
 Cases: a null text has size 0; a null or empty source is a source like any
-other, null last; documents of size 0 are never repeated; repeated rows are
-separate documents of equal hash; null ids are hashed as empty text; an empty
-table gives no rows; other columns are not read.
+other, null last; documents of size 0 are never taken; rows that share an id
+share a hash, so the cut takes all or none of them; null ids are hashed as
+empty text; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections import deque
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
-
 #: Most often a document may be taken.
 MOST_COPIES = 3
 
@@ -115,16 +114,15 @@ def route(capacity: list[int], members: list[list[int]], quotas: list[int],
     return [{s: arcs[k ^ 1].room for s, k in arc.items()} for arc in given]
 
 
-def sizes_of(docs: DataFrame, members: F.Column, id_col: str = "doc_id",
-             text_col: str = "text", seed: str = "mix") -> DataFrame:
-    """Id, sorted member list, size in words and seeded hash of every document, staged."""
-    hashed = F.md5(F.concat(F.lit(f"{seed}:"),
-                            F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    return staged(docs.select(
-        F.col(id_col).alias("id"), members.alias("members"),
-        F.coalesce(F.regexp_count(F.col(text_col).cast("string"),
-                                  F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
-        .cast("long").alias("size"), hashed.alias("seeded")), "sizes")
+def placed(members: F.Column, id_col: str = "doc_id",
+           text_col: str = "text", seed: str = "mix") -> list[F.Column]:
+    """Columns ``members``, ``size`` in words and ``seeded``, the hash that orders documents."""
+    return [members.alias("members"),
+            F.coalesce(F.regexp_count(F.col(text_col).cast("string"),
+                                      F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+            .cast("long").alias("size"),
+            F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+            .alias("seeded")]
 
 
 def _small(spark, rows: list, sized: DataFrame, columns: str) -> DataFrame:
@@ -134,62 +132,81 @@ def _small(spark, rows: list, sized: DataFrame, columns: str) -> DataFrame:
     return F.broadcast(df) if len(rows) <= BROADCAST_PATTERNS else df
 
 
-def mix(sized: DataFrame, targets, most: int = MOST_COPIES) -> tuple[DataFrame, list, dict]:
-    """``sized`` rows with ``copies``, the routed table, and the source figures.
+class Mix(NamedTuple):
+    """How a mix is made up."""
+
+    plan: DataFrame   # members, passes, cut: one row for each pattern
+    routes: list      # (members, source, words)
+    sources: dict     # source -> (size, words wanted)
+    most: int
+
 
-    ``sized`` is what :func:`sizes_of` gives. ``targets`` is called with the
-    list of sources (code point order, null last) and their sizes in words and
-    returns the words wanted of each.
+def plan_mix(sized: DataFrame, targets, most: int = MOST_COPIES) -> Mix:
+    """The mix of documents given as ``members``, ``size`` and ``seeded``.
+
+    ``targets`` is called with the list of sources (code point order, null
+    last) and their sizes in words and returns the words wanted of each.
     """
     spark = sized.sparkSession
-    patterns = (sized.groupBy("members").agg(F.sum("size").alias("size"))
-                .select("members", "size").collect())
+    patterns = sized.groupBy("members").agg(F.sum("size").alias("size")).collect()
     patterns.sort(key=lambda r: [(x is None, x or "") for x in r.members])
-    sources = sorted({x for r in patterns for x in r.members}, key=lambda x: (x is None, x or ""))
-    place = {x: i for i, x in enumerate(sources)}
+    names = sorted({x for r in patterns for x in r.members}, key=lambda x: (x is None, x or ""))
+    place = {x: i for i, x in enumerate(names)}
     capacity = [int(r.size) for r in patterns]
     members = [[place[x] for x in r.members] for r in patterns]
     sizes = [sum(c for c, m in zip(capacity, members, strict=True) if i in m)
-             for i in range(len(sources))]
-    wanted = targets(sources, sizes)
+             for i in range(len(names))]
+    wanted = targets(names, sizes)
     routed = route(capacity, members, [int(t + 0.5) for t in wanted], most)
     plan = []
     for r, size, flow in zip(patterns, capacity, routed, strict=True):
         words = sum(flow.values())
         passes = words // size if size else 0
         plan.append((list(r.members), int(passes), int(words - passes * size)))
-    plan_df = _small(spark, plan, sized, "passes long, rest long")
-    routes = [(list(r.members), sources[s], w) for r, flow in zip(patterns, routed, strict=True)
-              for s, w in flow.items()]
+    rests = _small(spark, plan, sized, "passes long, rest long")
 
-    # the bucket of the hash in which the running size passes the rest
+    # the leading digits of the hash at which the running size passes the rest
     bucket = F.substring("seeded", 1, 3)
-    up_to = Window.partitionBy("members").orderBy("bucket")
-    cuts = (sized.groupBy("members", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
-            .join(plan_df, "members")
-            .withColumn("before", F.sum("words").over(up_to) - F.col("words"))
-            .where((F.col("before") <= F.col("rest"))
-                   & (F.col("before") + F.col("words") > F.col("rest")))
-            .groupBy("members").agg(F.max(F.struct("bucket", "before")).alias("cut"))
-            .select("members", "cut.bucket", "cut.before"))
-    cuts = [(list(r.members), r.bucket, int(r.before)) for r in cuts.collect()]
-    cut_df = _small(spark, cuts, sized, "cut string, before long")
-    rows = sized.join(plan_df, "members").join(cut_df, "members", "left")
-    clear = rows.where(F.col("cut").isNull() | (bucket != F.col("cut"))).withColumn(
-        "extra", (F.coalesce(bucket < F.col("cut"), F.lit(False))).cast("long"))
-    running = (Window.partitionBy("members").orderBy("seeded", "id", "size")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    at_cut = rows.where(bucket == F.col("cut"))
-    after = F.col("before") + F.sum("size").over(running)
-    # the document on the cut goes in if that comes nearer
-    at_cut = at_cut.withColumn(
-        "extra", (after - F.col("rest") <= F.col("rest") - (after - F.col("size"))).cast("long"))
-    chosen = clear.unionByName(at_cut).select(
-        "id", "members", "size",
-        F.when(F.col("size") > 0, F.least(F.col("passes") + F.col("extra"), F.lit(most)))
-        .otherwise(F.lit(0)).alias("copies"))
-    figures = {s: (z, w) for s, z, w in zip(sources, sizes, wanted, strict=True)}
-    return chosen, routes, figures
+    so_far = F.sum("words").over(Window.partitionBy("members").orderBy("bucket"))
+    buckets = (sized.groupBy("members", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
+               .join(rests, "members").withColumn("before", so_far - F.col("words"))
+               .where((F.col("before") <= F.col("rest"))
+                      & (F.col("before") + F.col("words") > F.col("rest"))))
+    cuts = [(list(r.members), r.bucket, int(r.before), int(r.rest)) for r in buckets.collect()]
+    cut_at = _small(spark, cuts, sized, "bucket string, before long, rest long")
+    # in that bucket, the last document that brings the sum nearer
+    so_far = F.col("before") + F.sum("words").over(
+        Window.partitionBy("members").orderBy("seeded"))
+    last = (sized.withColumn("bucket", bucket).join(cut_at, ["members", "bucket"])
+            .groupBy("members", "before", "rest", "seeded").agg(F.sum("size").alias("words"))
+            .withColumn("after", so_far)
+            .where(F.col("after") - F.col("rest")
+                   <= F.col("rest") - (F.col("after") - F.col("words")))
+            .groupBy("members").agg(F.max("seeded").alias("cut")).collect())
+    last_of = {tuple(r.members): r.cut for r in last}
+    first_of = {tuple(m): b for m, b, _, _ in cuts}
+    rows = [(m, passes, last_of.get(tuple(m), first_of.get(tuple(m), "")))
+            for m, passes, _ in plan]
+    routes = [(list(r.members), names[s], words)
+              for r, flow in zip(patterns, routed, strict=True) for s, words in flow.items()]
+    return Mix(_small(spark, rows, sized, "passes long, cut string"), routes,
+               {s: (z, w) for s, z, w in zip(names, sizes, wanted, strict=True)}, most)
+
+
+def with_copies(docs: DataFrame, mix: Mix) -> DataFrame:
+    """``docs``, which have ``members``, ``size`` and ``seeded``, with ``copies`` of each."""
+    extra = (F.col("seeded") <= F.col("cut")).cast("long")
+    return (docs.join(mix.plan, "members").withColumn(
+        "copies", F.when(F.col("size") > 0, F.least(F.col("passes") + extra,
+                                                    F.lit(mix.most).cast("long")))
+        .otherwise(F.lit(0).cast("long"))).drop("passes", "cut"))
+
+
+def source_table(spark, mix: Mix) -> DataFrame:
+    """``source``, ``source_size`` and ``target`` of the mix."""
+    rows = [(source, int(size), float(target)) for source, (size, target) in mix.sources.items()]
+    df = spark.createDataFrame(rows, "source string, source_size long, target double")
+    return F.broadcast(df) if len(rows) <= BROADCAST_PATTERNS else df
 
 
 def repeating_weights(sources: list, sizes: list[int], weights=(5, 2, 1),

@@ -10,16 +10,31 @@ from tidemark.llm import (
     decontaminate,
     jaccard_join,
     mixing,
+    quality,
     span_dedup,
     suffix_dedup,
     token_counts,
     token_files,
 )
+from tidemark.llm.common import staged
 from tidemark.llm.sql import LEAKS_SQL, MIX_SQL
 from tidemark.plans.registry import query, table
 from tidemark.session import scratch
 
 
+#: Score from which a document counts as good.
+KEPT_FROM = 0.7
+
+
+def held_out(doc_id: F.Column) -> F.Column:
+    """Rows that no label is learnt from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def learnt(docs: DataFrame, labels: DataFrame) -> quality.Space:
+    return quality.learn(docs, labels.where(~held_out(F.col("doc_id"))))
+
+
 @query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"),
@@ -30,30 +45,23 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_decontaminate", LEAKS_SQL)
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_leaks(table(spark, sf_dir, "documents"),
-                                     table(spark, sf_dir, "benchmark"))
+                                     table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def mixed_documents(docs: DataFrame) -> tuple[DataFrame, dict]:
-    """Documents mixed by source, weights 5, 2, 1; and the figures of each source."""
-    sized = mixing.sizes_of(docs, F.array(F.col("source").cast("string")))
-    chosen, _, figures = mixing.mix(sized, mixing.repeating_weights)
-    return chosen, figures
-
-
 @query("op8_mix", MIX_SQL)
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen, figures = mixed_documents(table(spark, sf_dir, "documents"))
-    rows = [(source, int(size), float(target)) for source, (size, target) in figures.items()]
-    sources = spark.createDataFrame(rows, "source string, source_size long, target double")
-    if len(rows) <= mixing.BROADCAST_PATTERNS:
-        sources = F.broadcast(sources)
-    chosen = chosen.withColumn("source", F.element_at("members", 1))
-    return (chosen.join(sources, chosen["source"].eqNullSafe(sources["source"]))
-            .select(F.col("id").alias("doc_id"), "size", "source_size", "target",
+    docs = table(spark, sf_dir, "documents")
+    source = F.col("source").cast("string")
+    sized = staged(docs.select("doc_id", *mixing.placed(F.array(source))), "sizes")
+    mix = mixing.plan_mix(sized, mixing.repeating_weights)
+    figures = mixing.source_table(spark, mix)
+    chosen = mixing.with_copies(sized, mix).withColumn("source", F.element_at("members", 1))
+    return (chosen.join(figures, chosen["source"].eqNullSafe(figures["source"]))
+            .select("doc_id", "size", "source_size", "target",
                     (F.col("size") * F.col("copies")).alias("taken")))
 
 
@@ -67,6 +75,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumnRenamed("id", "doc_id")
 
 
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, learnt(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return scored.select(
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= KEPT_FROM).cast("int").alias("predicted"))
+
+
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))

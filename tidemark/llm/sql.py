@@ -69,11 +69,11 @@ plan AS (
               FROM weighed, level))),
 placed AS (
   SELECT d.doc_id, d.size, p.source_size, p.target, p.passes, p.rest,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.seeded, d.doc_id, d.size
-                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS after
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.seeded) AS after,
+         sum(d.size) OVER (PARTITION BY d.source, d.seeded) AS peers
   FROM doc d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target,
-       CAST(size * least(passes + CASE WHEN after - rest <= rest - (after - size)
+       CAST(size * least(passes + CASE WHEN after - rest <= rest - (after - peers)
                                        THEN 1 ELSE 0 END, 3) AS BIGINT) AS taken
 FROM placed
 """
