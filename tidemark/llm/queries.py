@@ -15,9 +15,10 @@ from tidemark.llm import (
     suffix_dedup,
     token_counts,
     token_files,
+    topk_search,
 )
 from tidemark.llm.common import staged
-from tidemark.llm.sql import LEAKS_SQL, MIX_SQL
+from tidemark.llm.sql import LEAKS_SQL, MIX_SQL, TOPK_SQL
 from tidemark.plans.registry import query, table
 from tidemark.session import scratch
 
@@ -103,3 +104,8 @@ def op1_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
     return joined.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query("op2_topk_search", TOPK_SQL)
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

@@ -77,3 +77,21 @@ SELECT doc_id, size, source_size, target,
                                        THEN 1 ELSE 0 END, 3) AS BIGINT) AS taken
 FROM placed
 """
+
+TOPK_SQL = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(
+           embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(coalesce(list_sum(list_transform(
+                list_zip(q.w, c.w), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0)
+              AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 10
+"""
