@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     decontaminate,
     jaccard_join,
+    licenses,
     mixing,
     quality,
     span_dedup,
@@ -18,7 +19,7 @@ from tidemark.llm import (
     topk_search,
 )
 from tidemark.llm.common import staged
-from tidemark.llm.sql import LEAKS_SQL, MIX_SQL, TOPK_SQL
+from tidemark.llm.sql import LEAKS_SQL, MIX_SQL, TOPK_SQL, license_sql
 from tidemark.plans.registry import query, table
 from tidemark.session import scratch
 
@@ -109,3 +110,17 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_topk_search", TOPK_SQL)
 def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def document_path() -> F.Column:
+    """Documents as a file tree: source, language, then the digits of the id."""
+    return F.concat(F.lit("/"), F.coalesce(F.col("source").cast("string"), F.lit("_")),
+                    F.lit("/"), F.coalesce(F.col("lang").cast("string"), F.lit("_")),
+                    F.regexp_replace(F.coalesce(F.col("doc_id").cast("string"), F.lit("_")),
+                                     "(.)", "/$1"))
+
+
+@query("op5_license_scan", license_sql(licenses.TEMPLATES, licenses.SIMILARITY,
+                                       licenses.FILE_SHARE))
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), document_path(), keep=["doc_id"])

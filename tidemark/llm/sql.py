@@ -95,3 +95,70 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 10
 """
+
+
+def license_sql(templates: list[tuple[str, str]], similarity: float, share: float) -> str:
+    """The licence scan, with the templates as values; relational where Spark maps over arrays."""
+    values = ",\n    ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''"))
+                            for k, (name, text) in enumerate(sorted(templates)))
+    return rf"""
+WITH fold AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         '/' || coalesce(source, '_') || '/' || coalesce(lang, '_')
+             || regexp_replace(coalesce(CAST(doc_id AS VARCHAR), '_'), '(.)', '/\1', 'g') AS path,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+template AS (SELECT * FROM (VALUES
+    {values}) v(k, name, body)),
+tword AS (SELECT k, w, count(*) AS n
+          FROM (SELECT k, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS w FROM template)
+          GROUP BY k, w),
+total AS (SELECT count(*) AS n FROM fold),
+held AS (SELECT w, count(*) AS n
+         FROM (SELECT DISTINCT r, unnest(regexp_extract_all(t, '[a-z0-9]+')) AS w FROM fold)
+         WHERE w IN (SELECT w FROM tword) GROUP BY w),
+idf AS (SELECT v.w, ln((1 + total.n) / (1 + coalesce(held.n, 0))) + 1 AS idf
+        FROM (SELECT DISTINCT w FROM tword) v LEFT JOIN held USING (w), total),
+tvec AS (SELECT k, w, tword.n * idf AS x,
+                sqrt(sum(tword.n * idf * tword.n * idf) OVER (PARTITION BY k)) AS length
+         FROM tword JOIN idf USING (w)),
+line AS (
+  SELECT r, unnest(range(len(parts))) AS l, unnest(parts) AS line
+  FROM (SELECT r, string_split(regexp_replace(regexp_replace(t, '([.!?;])[ \t\r\n\f]+',
+                 '\1' || chr(10), 'g'), '[\r\n]+', chr(10), 'g'), chr(10)) AS parts FROM fold)),
+lword AS (SELECT r, l, w, count(*) AS n
+          FROM (SELECT r, l, unnest(regexp_extract_all(line, '[a-z0-9]+')) AS w FROM line)
+          GROUP BY r, l, w),
+lvec AS (SELECT r, l, w, n, n * coalesce(idf, ln(1 + (SELECT n FROM total)) + 1) AS x
+         FROM lword LEFT JOIN idf USING (w)),
+llen AS (SELECT r, l, sqrt(sum(x * x)) AS length, sum(n) AS words FROM lvec GROUP BY r, l),
+near AS (SELECT r, l, k, sum(lvec.x * tvec.x) / any_value(tvec.length) AS dot
+         FROM lvec JOIN tvec USING (w) GROUP BY r, l, k),
+scored AS (SELECT near.r, near.l, near.k, words, round(dot / length, 6) AS similarity
+           FROM near JOIN llen USING (r, l)),
+notice AS (SELECT s.*, name FROM scored s JOIN template USING (k)
+           WHERE similarity >= {similarity}
+           QUALIFY row_number() OVER (PARTITION BY r, l ORDER BY similarity DESC, k) = 1),
+best AS (SELECT r, arg_min(name, nth) AS own_license, arg_min(similarity, nth) AS similarity,
+                sum(words) AS said
+         FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY similarity DESC, l) AS nth
+               FROM notice) GROUP BY r),
+words AS (SELECT r, sum(words) AS words FROM llen GROUP BY r),
+own AS (SELECT f.r, f.doc_id, f.path, regexp_replace(f.path, '/?[^/]*$', '') AS dir,
+               own_license, similarity,
+               own_license IS NOT NULL AND coalesce(said >= words * {share}, FALSE) AS license_file
+        FROM fold f LEFT JOIN best USING (r) LEFT JOIN words USING (r)),
+of_dir AS (SELECT dir AS above, arg_min(own_license, nth) AS held
+           FROM (SELECT *, row_number() OVER (PARTITION BY dir ORDER BY similarity DESC,
+                        own_license) AS nth FROM own WHERE license_file) GROUP BY dir),
+ups AS (SELECT dir, unnest(list_transform(range(1, len(string_split(dir, '/')) + 1),
+               lambda k: array_to_string(string_split(dir, '/')[1:k], '/'))) AS above
+        FROM (SELECT DISTINCT dir FROM own)),
+nearest AS (SELECT dir, arg_max(above, length(above)) AS from_dir,
+                   arg_max(held, length(above)) AS held
+            FROM ups JOIN of_dir USING (above) GROUP BY dir)
+SELECT doc_id, path, own_license, similarity, license_file,
+       coalesce(own_license, held) AS license,
+       CASE WHEN own_license IS NULL THEN from_dir END AS inherited_from
+FROM own LEFT JOIN nearest USING (dir)
+"""
