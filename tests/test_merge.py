@@ -57,9 +57,8 @@ def test_metrics_of_nothing(spark):
     assert tuple(m) == (0, 0, 0, 0)
 
 
-@pytest.mark.parametrize("limit", [1000, 1])
 @pytest.mark.parametrize("part", [["p"], ["p", "q"]])
-def test_partitioned_equals_flat_when_keys_stay(spark, folder, part, limit):
+def test_partitioned_equals_flat_when_keys_stay(spark, folder, part):
     rng = random.Random(7)
     old = [(k, "old", "xyzw"[k % 4], k % 3) for k in range(40)]
     new = [(k, "new", "xyzw"[k % 4], k % 3) for k in rng.sample(range(60), 12) if k % 4 < 2]
@@ -69,7 +68,7 @@ def test_partitioned_equals_flat_when_keys_stay(spark, folder, part, limit):
         f for f in ("p string", "q int") if f[0] not in part) + ("" if len(part) == 2 else ", ")
         + ", ".join(f for f in ("p string", "q int") if f[0] in part)).orc(path)
     incoming = frame(spark, *new)
-    merged = M.merge_partitioned(target, incoming, ["k"], part, literal_limit=limit)
+    merged = M.merge_partitioned(target, incoming, ["k"], part)
     orc.overwrite_partitions(merged, path, part)
     assert rows(read_orc(spark, path)) == rows(M.merge_flat(frame(spark, *old), incoming, ["k"]))
 
@@ -142,3 +141,42 @@ def test_observed_counts_in_one_pass(spark, folder):
     df, seen = observed(frame(spark, *OLD))
     orc.write(df, f"{folder}/o")
     assert seen.get["rows"] == 5
+
+
+@pytest.fixture
+def new_york(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    yield
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+FOLD = ["1699162200000000", "1699165800000000"]  # both read 01:30 when clocks are set back
+
+
+def _moments(spark, *micros):
+    return spark.range(1).selectExpr(f"explode(array({','.join(micros)})) m").selectExpr(
+        "timestamp_micros(m) k", "timestamp_micros(m) p", "'v' v")
+
+
+def test_range_key_in_the_repeated_hour(spark, new_york):
+    target, incoming = _moments(spark, *FOLD), _moments(spark, *FOLD)
+    kept = M.merge_flat(target, incoming, ["k"], range_key="k")
+    assert kept.count() == 2
+
+
+def test_partition_ranges_in_the_repeated_hour(spark, new_york):
+    target = _moments(spark, *FOLD)
+    assert M.prune_to(target, target.select("p").distinct(), ["p"]).count() == 2
+    late = _moments(spark, FOLD[1])
+    assert M.prune_to(target, late.select("p"), ["p"]).count() == 1
+
+
+def test_binary_range_key(spark):
+    rows = [(bytearray(b"\xff\x00"), "a"), (bytearray(b"\x01"), "b")]
+    df = spark.createDataFrame(rows, "k binary, v string")
+    assert M.merge_flat(df, df, ["k"], range_key="k").count() == 2
+
+
+def test_prune_to_no_partitions(spark):
+    target = spark.createDataFrame([(1, "x")], "k int, p string")
+    assert M.prune_to(target, target.select("p").limit(0), ["p"]).count() == 0

@@ -291,3 +291,94 @@ def test_command_line_drops(world, spark, folder, capsys):
     assert "failed: app.things" in capsys.readouterr().out
     assert fs.names(spark, f"{folder}/in") == ["2-things.csv"]
     assert world.values() == [(1, "new"), (2, "two")]
+
+
+def test_lost_table_is_not_replaced(world):
+    """A keyed or append load never turns into a replacement of states that are there."""
+    spark = world.control.spark
+    _seed(world, [(k, "old", T0, 0) for k in range(10, 30)])
+    spark.sql("DROP TABLE app.things")
+    schema = spark.createDataFrame([], CT.SCHEMA).schema
+    for version, kind in ((50, "INCREMENTAL"), (60, "APPEND_ONLY")):
+        world.control.publish(spark.createDataFrame([control_row(spark, load_type=kind)], schema),
+                              version)
+        (done,) = world.run(kind, load_id=version)
+        assert "is not in the catalog" in done.error
+    assert fs.names(spark, world.target.root) == ["load1"]
+    # a full load may replace it, and removes nothing it doesn't know
+    world.control.publish(spark.createDataFrame([control_row(spark, load_type="FULL")], schema), 70)
+    (done,) = world.run("FULL", load_id=70)
+    assert done.error is None
+    assert fs.names(spark, world.target.root) == ["load1", "load70"]
+
+
+def test_definition_cut_short_is_finished(world):
+    spark = world.control.spark
+    _seed(world, [(1, "old", T0, 0)])
+    spark.sql("ALTER TABLE app.things RENAME TO app.things__next")  # lost between the steps
+    assert world.target.exists()
+    assert world.values() == [(1, "old")]
+
+
+def test_repeated_append_adds_its_rows_once(world):
+    spark = world.control.spark
+    _seed(world, [(1, "old", T0, 0)])
+    schema = spark.createDataFrame([], CT.SCHEMA).schema
+    for version in (50, 60):  # the watermark didn't move in between
+        world.control.publish(
+            spark.createDataFrame([control_row(spark, load_type="APPEND_ONLY")], schema), version)
+        (done,) = world.run("APPEND_ONLY", load_id=9)
+        assert done.error is None
+    assert world.values() == [(1, "old"), (3, "three")]
+
+
+def test_in_memory_catalog_is_refused(spark):
+    from tidemark.plans.cli import require_lasting_catalog
+    with pytest.raises(ValueError, match="catalog that outlives"):
+        require_lasting_catalog(spark)
+
+
+def test_partitioned_change_apply_follows_moved_keys(spark, folder):
+    from tidemark.plans.sync import load_changes
+    spark.sql("CREATE DATABASE IF NOT EXISTS app")
+    spark.sql("DROP TABLE IF EXISTS app.moved")
+    target = TableTarget(spark, "app.moved", f"{folder}/moved")
+    rows = spark.createDataFrame([(1, 2023, 0, None), (2, 2023, 0, None), (3, 2022, 0, None)],
+                                 "id int, y int, hvr_is_deleted int, load_ts timestamp_ntz")
+    target.redefine(rows.select("id", "hvr_is_deleted", "load_ts", "y"), "load1", ["y"])
+    spec = LoadSpec(id=1, route=CT.CHANGES_TO_DB, load_type="INCREMENTAL", source_schema="app",
+                    source_table="moved", target_schema="app", target_table="moved", keys=("id",),
+                    partition_by=("y",))
+    changes = spark.createDataFrame([(1, 2024, 2, "5"), (3, 2024, 5, "5")],
+                                    "id int, y int, op_code int, time_key string")
+    load_changes(spark, spec, changes, target, now=T2, load_id=5)
+    spark.catalog.refreshTable("app.moved")
+    assert sorted((r.id, r.y) for r in target.read().collect()) == [(1, 2024), (2, 2023)]
+    spark.sql("DROP TABLE app.moved")
+
+
+def test_loads_side_by_side_keep_every_status(spark, folder):
+    spark.sql("CREATE DATABASE IF NOT EXISTS app")
+    control = Versions(spark, f"{folder}/control")
+    schema = spark.createDataFrame([], CT.SCHEMA).schema
+    names = [f"side{k}" for k in range(5)]
+    control.publish(spark.createDataFrame(
+        [control_row(spark, id=k, source_tablename=n, target_tablename=n, load_type="FULL")
+         for k, n in enumerate(names)], schema), 1)
+    source = spark.createDataFrame([(1, "one", T0, 0)], FIELDS)
+
+    def source_of(spec):
+        if spec.source_table == "side3":
+            raise RuntimeError("first line\nsecond line")
+        return source
+    done = run_due(spark, control, f"{folder}/audit", route="GP2HDFS", schema="app",
+                   load_type="FULL", now=T2, load_id=4, at_once=3, source_of=source_of,
+                   target_of=lambda s: TableTarget(spark, f"app.{s.target_table}",
+                                                   f"{folder}/wh/{s.target_table}"))
+    assert sorted(o.spec.target_table for o in done) == names
+    assert {r.target_tablename: r.load_status_cd for r in control.read(schema).collect()} == {
+        n: "E" if n == "side3" else "C" for n in names}
+    (failed,) = audit.read(spark, f"{folder}/audit").filter("status = 'Job Error'").collect()
+    assert failed.error_message == "first line\nsecond line"
+    for n in names:
+        spark.sql(f"DROP TABLE IF EXISTS app.{n}")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import fs
-from tidemark.operators.layout import bloom_options, cap_files, cluster
+from tidemark.operators.layout import bloom_options, cluster
 from tidemark.operators.merge import merge_flat
 from tidemark.session import scratch, shuffle_partitions, staging, work_dir
 from tidemark.sinks import jdbc as jdbc_sink
@@ -79,11 +79,6 @@ def test_orc_is_zlib_with_bloom(spark, folder):
     assert bloom_options(["a", "b"])["orc.bloom.filter.columns"] == "a,b"
 
 
-def test_cap_files(spark, folder):
-    orc.write(cap_files(spark.range(0, 100, 1, 20).toDF("id"), 3), f"{folder}/o")
-    assert len([f for f in os.listdir(f"{folder}/o") if f.endswith(".orc")]) == 3
-
-
 def test_emptied_partition_is_removed(spark, folder):
     path = f"{folder}/t"
     df = spark.createDataFrame([(1, "a b/c"), (2, "x"), (3, None)], "id int, p string")
@@ -196,3 +191,39 @@ def test_database_statements_do_what_the_merge_does(spark, load_type, null_safe)
     got = con.execute("SELECT * FROM target").fetchall()
     assert sorted(map(repr, got)) == sorted(repr(tuple(r)) for r in want.collect())
     assert delete_matching(target, batch, ["k"]).count() == 2
+
+
+def test_append_files_replace_those_of_the_same_state(spark, folder):
+    from tidemark.sinks.publish import append_files
+    path = f"{folder}/t"
+    base = spark.createDataFrame([(1, "x"), (2, "y")], "id int, p string")
+    for part in ([], ["p"]):
+        orc.write(base, f"{path}{len(part)}", partition_by=part)
+        more = spark.createDataFrame([(3, "x"), (4, "new z")], "id int, p string")
+        for _ in range(2):
+            append_files(more, f"{path}{len(part)}", "load7", part)
+        append_files(more, f"{path}{len(part)}", "load8", part)
+        got = spark.read.schema(base.schema).orc(f"{path}{len(part)}")
+        assert sorted(r.id for r in got.collect()) == [1, 2, 3, 3, 4, 4]
+
+
+def test_narrow_fails_unless_asked(spark):
+    from tidemark.functions import types as TY
+    df = spark.createDataFrame([("5",), ("x",), (None,)], "n string")
+    with pytest.raises(Exception, match="column n: does not fit bigint: x"):
+        TY.narrow(df, {"n": "bigint"}).collect()
+    assert TY.narrow(df, {"n": "bigint"}, on_overflow="null").count() == 3
+
+
+def test_inputs_of_one_name_are_both_archived(spark, folder):
+    from datetime import date
+
+    from tidemark.sinks.publish import archive_inputs
+    for turn in ("a", "b"):
+        os.makedirs(f"{folder}/in", exist_ok=True)
+        with open(f"{folder}/in/1-t.csv", "w") as f:
+            f.write(turn)
+        archive_inputs(spark, [f"{folder}/in/1-t.csv"], f"{folder}/done", "app", "t",
+                       date(2024, 1, 1))
+    left = os.listdir(f"{folder}/done/app/2024-01-01/t")
+    assert sorted(n for n in left if n.endswith("csv") and n[0] != ".") == ["1-t.csv", "2-1-t.csv"]

@@ -124,10 +124,22 @@ def narrowing_overflows(df: DataFrame, columns: dict[str, str]) -> DataFrame:
                     for c, t in columns.items()])
 
 
-def narrow(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Cast to narrower types; a value that does not fit becomes NULL, see
-    :func:`narrowing_overflows` for their number."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in columns.items()})
+def narrow(df: DataFrame, columns: dict[str, str], *, on_overflow: str = "fail") -> DataFrame:
+    """Cast to narrower types. A value that does not fit fails the load, or with
+    ``on_overflow="null"`` becomes NULL, see :func:`narrowing_overflows` for their number."""
+    if on_overflow not in ("fail", "null"):
+        raise ValueError(f"unknown on_overflow {on_overflow!r}")
+
+    def value(name: str, kind: str) -> Column:
+        out = F.col(name).try_cast(kind)
+        if on_overflow == "null":
+            return out
+        complaint = F.concat(F.lit(f"column {name}: does not fit {kind}: "),
+                             F.col(name).cast("string"))
+        return F.when(F.col(name).isNotNull() & out.isNull(),
+                      F.raise_error(complaint).cast(kind)).otherwise(out)
+
+    return df.withColumns({c: value(c, t) for c, t in columns.items()})
 
 
 def schema_drift(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -42,6 +42,28 @@ def delete_matching(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     return target.join(right, same, "left_anti")
 
 
+def as_bound(value: Column, dtype: T.DataType) -> Column:
+    """A range's end in a form that survives the way over the driver.
+
+    A Python datetime would pick up the machine's time zone, and a local time
+    as text means two moments when clocks are set back: moments travel as
+    microseconds, bytes as hexadecimal digits, the rest as text.
+    """
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(value).cast("string")
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(value)
+    return value.cast("string")
+
+
+def from_bound(text: str | None, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.TimestampType) and text is not None:
+        return F.timestamp_micros(F.lit(int(text)))
+    if isinstance(dtype, T.BinaryType):
+        return F.unhex(F.lit(text))
+    return F.lit(text).cast(dtype)
+
+
 def delete_matching_in_range(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                              range_key: str, *, null_safe: bool = False) -> DataFrame:
     """:func:`delete_matching` that joins only target rows within the incoming key range.
@@ -52,15 +74,14 @@ def delete_matching_in_range(target: DataFrame, incoming: DataFrame, keys: Seque
     range, comes to the driver.
     """
     key = F.col(range_key)
-    # bounds travel as text: a Python datetime would pick up the machine's time zone
-    found = incoming.agg(F.min(key).cast("string").alias("lo"),
-                         F.max(key).cast("string").alias("hi"),
+    dtype = incoming.schema[range_key].dataType
+    found = incoming.agg(as_bound(F.min(key), dtype).alias("lo"),
+                         as_bound(F.max(key), dtype).alias("hi"),
                          F.count_if(key.isNull()).alias("nulls")).first()
     nulls_match = null_safe and found.nulls > 0
     if found.lo is None:
         return delete_matching(target, incoming, keys, null_safe=null_safe) if nulls_match else target
-    dtype = incoming.schema[range_key].dataType
-    lo, hi = F.lit(found.lo).cast(dtype), F.lit(found.hi).cast(dtype)
+    lo, hi = from_bound(found.lo, dtype), from_bound(found.hi, dtype)
     inside, outside = (key >= lo) & (key <= hi), (key < lo) | (key > hi)
     if nulls_match:
         inside = inside | key.isNull()

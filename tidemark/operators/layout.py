@@ -25,15 +25,6 @@ def cluster(df: DataFrame, partition_cols: Sequence[str] = (),
     return df.sortWithinPartitions(*order) if sort_cols else df
 
 
-def cap_files(df: DataFrame, limit: int = 300) -> DataFrame:
-    """At most ``limit`` output files, by merging tasks without a shuffle.
-
-    It also caps the number of writing tasks, so it is for small and middling
-    outputs; large ones are better sized by the advisory partition size.
-    """
-    return df.coalesce(limit)
-
-
 def bloom_options(columns: Sequence[str], fpp: float = 0.05) -> dict[str, str]:
     if not columns:
         return {}

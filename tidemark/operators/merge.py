@@ -6,20 +6,14 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import schema as S
 from tidemark.operators.changes import apply_changes
 from tidemark.operators.columns import align
-from tidemark.operators.keyed import (delete_matching, delete_matching_in_range, key_set,
-                                      latest_per_key)
-
-# Up to this many partition values become a literal filter, which prunes
-# partitions while the scan is planned. Beyond it a range filter and a semi-join
-# do the same job without bringing the values to the driver.
-LITERAL_PARTITIONS = 10_000
+from tidemark.operators.keyed import (as_bound, delete_matching, delete_matching_in_range,
+                                      from_bound, key_set, latest_per_key)
 
 
 def full(target_columns: Sequence[str], incoming: DataFrame) -> DataFrame:
@@ -54,65 +48,39 @@ def affected_partitions(incoming: DataFrame, partition_cols: Sequence[str]) -> D
     return incoming.select(*partition_cols).distinct()
 
 
-def prune_to(target: DataFrame, partitions: DataFrame, partition_cols: Sequence[str],
-             literal_limit: int = LITERAL_PARTITIONS) -> DataFrame:
+def prune_to(target: DataFrame, partitions: DataFrame,
+             partition_cols: Sequence[str]) -> DataFrame:
     """Target rows in the listed partitions.
 
-    ``partitions`` holds distinct partition values. A short list becomes a
-    filter on the partition columns, so directories outside it are never
-    listed. A long one stays distributed: its range per column prunes, a
-    semi-join makes it exact.
+    ``partitions`` holds distinct partition values. Their range per column is a
+    filter that keeps the scan from listing directories outside it; a semi-join
+    makes it exact. One row, the ranges, comes to the driver.
     """
-    # values travel as text: a Python datetime would pick up the machine's time zone
-    texts = partitions.select(*[F.col(c).cast("string").alias(c) for c in partition_cols])
-    rows = texts.limit(literal_limit + 1).collect()
-    if not rows:
-        return target.limit(0)
-    if len(rows) > literal_limit:
-        names = [f"__part_{i}" for i in range(len(partition_cols))]
-        same = reduce(lambda a, b: a & b,
-                      [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition_cols, names)])
-        return _within_ranges(target, partitions, partition_cols).join(
-            partitions.toDF(*names), same, "left_semi")
-    types = {c: target.schema[c].dataType for c in partition_cols}
-    return target.filter(_listed(types, rows))
+    names = [f"__part_{i}" for i in range(len(partition_cols))]
+    same = reduce(lambda a, b: a & b,
+                  [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition_cols, names)])
+    return _within_ranges(target, partitions, partition_cols).join(
+        partitions.select(*partition_cols).toDF(*names), same, "left_semi")
 
 
 def _within_ranges(target: DataFrame, partitions: DataFrame,
                    columns: Sequence[str]) -> DataFrame:
-    row = partitions.agg(*[F.struct(F.min(c).cast("string").alias("lo"),
-                                    F.max(c).cast("string").alias("hi"),
+    types = {c: partitions.schema[c].dataType for c in columns}
+    row = partitions.agg(*[F.struct(as_bound(F.min(c), types[c]).alias("lo"),
+                                    as_bound(F.max(c), types[c]).alias("hi"),
                                     F.count_if(F.col(c).isNull()).alias("nulls")).alias(c)
                            for c in columns]).first()
     for column in columns:
-        found, dtype = row[column], target.schema[column].dataType
-        test = F.col(column).between(F.lit(found.lo).cast(dtype), F.lit(found.hi).cast(dtype))
+        found = row[column]
+        test = F.col(column).between(from_bound(found.lo, types[column]),
+                                     from_bound(found.hi, types[column]))
         target = target.filter(test | F.col(column).isNull() if found.nulls else test)
     return target
 
 
-def _listed(types: dict[str, T.DataType], rows: list) -> Column:
-    """Membership in the listed tuples: per column to prune, per tuple to be exact."""
-    columns = list(types)
-
-    def literal(column: str, text: str | None) -> Column:
-        return F.lit(text).cast(types[column])
-
-    tests = []
-    for column in columns:
-        values = {row[column] for row in rows}
-        test = F.col(column).isin([literal(column, v) for v in values if v is not None])
-        tests.append(test | F.col(column).isNull() if None in values else test)
-    if len(columns) > 1:
-        tuples = [F.struct(*[literal(c, row[c]).alias(c) for c in columns]) for row in rows]
-        tests.append(F.struct(*columns).isin(tuples))
-    return reduce(lambda a, b: a & b, tests)
-
-
 def merge_partitioned(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                       partition_cols: Sequence[str], *, null_safe: bool = False,
-                      dedupe: str | Sequence[str] | None = None,
-                      literal_limit: int = LITERAL_PARTITIONS) -> DataFrame:
+                      dedupe: str | Sequence[str] | None = None) -> DataFrame:
     """New contents of the partitions that incoming rows fall into.
 
     To be published with a dynamic partition overwrite; other partitions are
@@ -121,7 +89,7 @@ def merge_partitioned(target: DataFrame, incoming: DataFrame, keys: Sequence[str
     :func:`merge_partitioned_global`.
     """
     touched = prune_to(target, affected_partitions(incoming, partition_cols),
-                       partition_cols, literal_limit)
+                       partition_cols)
     return merge_flat(touched, incoming, keys, null_safe=null_safe, dedupe=dedupe)
 
 
@@ -145,14 +113,13 @@ def touched_partitions(target: DataFrame, incoming: DataFrame, keys: Sequence[st
 
 def merge_partitioned_global(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                              partition_cols: Sequence[str], *, null_safe: bool = False,
-                             dedupe: str | Sequence[str] | None = None,
-                             literal_limit: int = LITERAL_PARTITIONS) -> DataFrame:
+                             dedupe: str | Sequence[str] | None = None) -> DataFrame:
     """Like :func:`merge_partitioned`, but also covers partitions a key moved away from.
 
     A partition may end up empty; publish with ``replace_partitions``.
     """
     touched = touched_partitions(target, incoming, keys, partition_cols, null_safe=null_safe)
-    return merge_flat(prune_to(target, touched, partition_cols, literal_limit),
+    return merge_flat(prune_to(target, touched, partition_cols),
                       incoming, keys, null_safe=null_safe, dedupe=dedupe)
 
 
@@ -166,18 +133,25 @@ class PartitionResult(NamedTuple):
 
 def apply_in_partitions(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                         partition_cols: Sequence[str], *, load_type: str = S.INCREMENTAL,
-                        op: str = S.OP_CODE, **options) -> PartitionResult:
-    """Apply changes to the partitions they fall into and read no others.
-
-    The partition columns must follow from the key, or a key could have rows in
-    two partitions. ``changes`` is read more than once: stage or persist it.
+                        op: str = S.OP_CODE, moved: bool = True,
+                        **options) -> PartitionResult:
+    """Apply changes to the partitions they concern and read no others.
+
+    These are the partitions changes fall into and, as a key's row may have
+    been in another one, those that hold a changed key now. Where the partition
+    columns follow from the key, ``moved=False`` saves that look. ``changes`` is
+    read more than once: stage it.
     """
-    touched = affected_partitions(changes, partition_cols)
+    if moved:
+        null_safe = options.get("null_safe", True)
+        touched = touched_partitions(target, changes, keys, partition_cols, null_safe=null_safe)
+    else:
+        touched = affected_partitions(changes, partition_cols)
     scope = prune_to(target, touched, partition_cols)
     rows = apply_changes(scope, changes, keys, load_type=load_type, op=op, **options)
     # ignored and unknown ops remove a key; every other op leaves a row, flagged or not
     removing = changes.filter(F.coalesce(F.col(op), F.lit(S.OP_IGNORED)) == S.OP_IGNORED)
-    may_empty = load_type != S.INCREMENTAL or not removing.isEmpty()
+    may_empty = moved or load_type != S.INCREMENTAL or not removing.isEmpty()
     return PartitionResult(rows, touched, may_empty)
 
 

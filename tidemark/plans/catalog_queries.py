@@ -353,4 +353,4 @@ def narrow_types(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lineitem").select(
         "l_linenumber", (F.col("l_orderkey") * 700001).alias("whole"),
         (F.col("l_partkey") * 20).alias("part"))
-    return TY.narrow(rows, {"whole": "int", "part": "int"})
+    return TY.narrow(rows, {"whole": "int", "part": "int"}, on_overflow="null")

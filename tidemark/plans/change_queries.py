@@ -153,3 +153,33 @@ def stream_cdc_apply_partitions(spark: SparkSession, sf: str) -> DataFrame:
                                 derived={"bucket": "pmod(hash(user_id, slot), 8)"})
     _ingest_drops(spark, source, root, write)
     return spark.read.schema(target).orc(f"{root}/target").drop("bucket")
+
+
+def _by_type(spark: SparkSession, sf: str, folder: str):
+    """A stream target partitioned by a column that changes with the rows of a key."""
+    source = I.changes(spark, sf)
+    root = scratch(spark, folder)
+    fields = target_schema(_business(source)).fields
+    part = next(f for f in fields if f.name == "event_type")
+    target = T.StructType([*(f for f in fields if f is not part), part])
+    orc.write(spark.createDataFrame([], target), f"{root}/target", partition_by=["event_type"])
+    write = apply_to_partitions(f"{root}/target", target, I.CHANGE_KEYS, ["event_type"],
+                                I.LOAD_STAMP)
+    return source, root, target, write
+
+
+@query("stream_moved_partitions", STREAM_SQL)
+def stream_moved_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys whose partition value changes between drops: no old row stays behind."""
+    source, root, target, write = _by_type(spark, sf, "streammoved")
+    _ingest_drops(spark, source, root, write)
+    return spark.read.schema(target).orc(f"{root}/target")
+
+
+@query("cdc_apply_moved_partitions", STREAM_SQL)
+def cdc_apply_moved_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The same drops handed over as batches, without files."""
+    source, root, target, write = _by_type(spark, sf, "moved")
+    for n, (lower, upper) in enumerate(DROPS):
+        write(window_filter(source, "ts", lower, upper).drop("ts"), n)
+    return spark.read.schema(target).orc(f"{root}/target")

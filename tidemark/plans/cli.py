@@ -7,12 +7,14 @@ import json
 from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schema as S
 from tidemark.control import audit
 from tidemark.control import table as control_table
 from tidemark.plans.sync import LoadSpec, run_due
+from tidemark.session import RECOMMENDED_CONF
 from tidemark.sinks.publish import Versions
 from tidemark.sinks.targets import JdbcTarget, TableTarget
 from tidemark.sources import jdbc
@@ -36,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
                    help="allow a target schema that differs from the source's")
     p.add_argument("--source-jdbc", help="JSON file with url and connection options")
     p.add_argument("--target-jdbc", help="JSON file with url and connection options")
+    p.add_argument("--at-once", type=int, default=4, help="loads that run at the same time")
     p.add_argument("--read-tasks", type=int, default=1, help="parallel reads per window")
     return p
 
@@ -46,10 +49,31 @@ def _connection(path: str) -> tuple[str, dict[str, str]]:
     return options.pop("url"), options
 
 
+def _session(route: str, lasting: bool) -> SparkSession:
+    """A session with the recommended settings where the site sets none."""
+    site = SparkConf()
+    builder = SparkSession.builder.appName(f"tidemark {route}")
+    for key, value in RECOMMENDED_CONF.items():
+        if not site.contains(key):
+            builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    if lasting:
+        require_lasting_catalog(spark)
+    return spark
+
+
+def require_lasting_catalog(spark: SparkSession) -> None:
+    """Table targets are known by the catalog, so it has to outlive the session."""
+    if spark.conf.get("spark.sql.catalogImplementation") == "in-memory" and \
+            not spark.conf.get("spark.sql.catalog.spark_catalog", ""):
+        raise ValueError("table targets need a catalog that outlives the session: set "
+                         "spark.sql.catalogImplementation to hive, or another spark_catalog")
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     """Returns the number of failed loads."""
     args = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"tidemark {args.route}").getOrCreate()
+    spark = spark or _session(args.route, lasting=bool(args.warehouse) and not args.target_jdbc)
     now = datetime.fromisoformat(args.now) if args.now else datetime.now().replace(microsecond=0)
     mirror = control_table.is_mirror(args.route)
 
@@ -76,7 +100,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         load_type=args.load_type, now=now, load_id=args.load_id, source_of=source_of,
         target_of=target_of, group=args.group,
         tables=args.tables.split(",") if args.tables else None, archive_root=args.archive,
-        drops=args.drops, special=args.other_schema)
+        drops=args.drops, special=args.other_schema, at_once=args.at_once)
     for outcome in outcomes:
         name = f"{outcome.spec.target_schema}.{outcome.spec.target_table}"
         print(f"{name}: {outcome.error or f'{outcome.rows} rows'}")

@@ -135,15 +135,12 @@ def _keyed_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _keyed_orders(spark: SparkSession, sf: str) -> DataFrame:
-    rows = window_filter(table(spark, sf, "orders"), "o_orderdate", LATE, None)
-    return rows.select(F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("k"))
+    return table(spark, sf, "orders").select(F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("k"))
 
 
-LATE = "2001-07-01 00:00:00"
-_DELETE_SQL = f"""WITH t AS (
+_DELETE_SQL = """WITH t AS (
     SELECT *, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_custkey END AS k FROM customer),
-  b AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS k FROM orders
-        WHERE o_orderdate > TIMESTAMP '{LATE}')
+  b AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS k FROM orders)
   SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.k %s t.k)"""
 
 
@@ -158,12 +155,12 @@ def delete_strict(spark: SparkSession, sf: str) -> DataFrame:
     return delete_matching(_keyed_customers(spark, sf), _keyed_orders(spark, sf), ["k"])
 
 
-@query("delete_override_key", f"""WITH {I.ORDERS_SQL}
-  SELECT * FROM lineitem WHERE NOT EXISTS (
-      SELECT 1 FROM oi WHERE oi.o_orderkey = lineitem.l_orderkey)""")
+@query("delete_override_key", """
+  SELECT * FROM customer WHERE NOT EXISTS (
+      SELECT 1 FROM orders WHERE orders.o_custkey = customer.c_custkey)""")
 def delete_override_key(spark: SparkSession, sf: str) -> DataFrame:
-    return delete_matching(table(spark, sf, "lineitem"), I.orders_incoming(spark, sf),
-                           ["l_orderkey"], incoming_keys=KEY)
+    return delete_matching(table(spark, sf, "customer"), table(spark, sf, "orders"),
+                           ["c_custkey"], incoming_keys=["o_custkey"])
 
 
 _EVENTS = """event_id, ts, user_id, event_type, value, props"""
@@ -229,12 +226,12 @@ def cross_sync(spark: SparkSession, sf: str) -> DataFrame:
     return M.cross_sync(target, window, ["k"], S.INCREMENTAL)
 
 
-@query("fanout_targets", f"""WITH {I.ORDERS_SQL}
-  SELECT CAST(t.id AS INTEGER) AS target_id, oi.*
-  FROM oi, (SELECT * FROM (VALUES (1), (2), (3)) v(id)) t""")
+@query("fanout_targets", """
+  SELECT CAST(t.id AS INTEGER) AS target_id, orders.*
+  FROM orders, (SELECT * FROM (VALUES (1), (2), (3)) v(id)) t""")
 def fanout_targets(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch(spark, "fanout")
-    incoming = I.orders_incoming(spark, sf)
+    incoming = table(spark, sf, "orders")
 
     def loader(target: int):
         return lambda rows: Versions(spark, f"{root}/target{target}").publish(rows, 1)
@@ -247,10 +244,10 @@ def fanout_targets(spark: SparkSession, sf: str) -> DataFrame:
     return first
 
 
-@query("affected_partitions", f"""WITH {I.ORDERS_SQL}
-  SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS o_year FROM oi""")
+@query("affected_partitions", """
+  SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders""")
 def affected_partitions(spark: SparkSession, sf: str) -> DataFrame:
-    return M.affected_partitions(I.with_order_year(I.orders_incoming(spark, sf)), ["o_year"])
+    return M.affected_partitions(I.with_order_year(table(spark, sf, "orders")), ["o_year"])
 
 
 @query("merge_metrics", f"""WITH {I.ORDERS_SQL}

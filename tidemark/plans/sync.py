@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from threading import Lock
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,6 +87,16 @@ class LoadSpec:
             df = with_select_list(df, self.partition_expr, self.partition_by)
         return df
 
+    def partitions_follow_keys(self, rows: DataFrame) -> bool:
+        """Whether the partition columns can be worked out from the key columns alone."""
+        if not self.partition_expr:
+            return set(self.partition_by) <= set(self.keys)
+        try:
+            with_select_list(rows.select(*self.keys), self.partition_expr, self.partition_by)
+        except AnalysisException:
+            return False
+        return True
+
     @property
     def control_route(self) -> str:
         """The route whose control rows this load stands for: a database-to-table
@@ -103,6 +116,8 @@ def check_target_schema(spec: LoadSpec, special: bool = False) -> None:
 
 def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str) -> None:
     """Publish staged incoming rows under the spec's load type."""
+    if spec.load_type != S.FULL and hasattr(target, "check_known"):
+        target.check_known()
     if spec.load_type == S.FULL or not target.exists():
         if hasattr(target, "redefine"):
             target.redefine(_partitions_last(incoming, spec.partition_by), state,
@@ -113,7 +128,7 @@ def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str) -> None
     current = target.read()
     incoming = align(incoming, current.columns)
     if spec.load_type == S.APPEND_ONLY:
-        target.append(incoming, spec.distribute_by)
+        target.append(incoming, spec.distribute_by, state)
     elif hasattr(target, "merge_rows"):
         target.merge_rows(incoming, spec.keys, spec.load_type, null_safe=False)
     elif target.partition_by:
@@ -161,8 +176,9 @@ def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target
                  now: datetime, load_id: int) -> int:
     """Change-file routes: null-safe keys, or strict ones on the strict route.
 
-    A partitioned table is rewritten by partition; its partition columns must
-    follow from the key.
+    A partitioned table is rewritten by partition. Where the partition columns
+    don't follow from the key, partitions that hold a changed key's old row are
+    rewritten as well.
     """
     null_safe = spec.route != control_table.CHANGES_TO_DB_STRICT
     how = {"load_ts": now, "load_type": spec.load_type, "flag": spec.flag, "stamp": spec.stamp,
@@ -180,7 +196,9 @@ def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target
             target.merge_rows(rows, spec.delete_keys or spec.keys, spec.load_type,
                               null_safe, deletes=staged)
         elif target.partition_by and spec.load_type != S.FULL and not spec.delete_keys:
-            done = M.apply_in_partitions(current, staged, spec.keys, target.partition_by, **how)
+            done = M.apply_in_partitions(
+                current, staged, spec.keys, target.partition_by,
+                moved=not spec.partitions_follow_keys(changes), **how)
             target.replace_partitions(done.rows, done.touched, spec.distribute_by,
                                       may_empty=done.may_empty)
         else:
@@ -266,14 +284,20 @@ def loader_for(route: str) -> Callable[..., int]:
 
 def _advanced(control: DataFrame, spec: LoadSpec, now: datetime) -> DataFrame:
     if spec.route in (control_table.CHANGES_TO_DB, control_table.CHANGES_TO_DB_STRICT):
-        return control_table.changes_applied(control, spec.source_schema, spec.source_table,
-                                             spec.route, now)
+        control = control_table.changes_applied(control, spec.source_schema, spec.source_table,
+                                                spec.route, now)
+        return _completed(control, spec)
     if spec.route in (control_table.DB_FILE_TO_DB, CROSS):
-        return control_table.file_loaded(control, spec.id, spec.route, now)
+        return _completed(control_table.file_loaded(control, spec.id, spec.route, now), spec)
     return control_table.advance(control, spec.target_schema, spec.target_table,
                                  spec.control_route, now)
 
 
+def _completed(control: DataFrame, spec: LoadSpec) -> DataFrame:
+    return control_table.set_status(control, spec.target_schema, spec.target_table,
+                                    spec.control_route, S.STATUS_COMPLETED)
+
+
 @dataclass
 class Outcome:
     spec: LoadSpec
@@ -286,26 +310,31 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
             source_of: Callable[[LoadSpec], DataFrame], target_of: Callable[[LoadSpec], object],
             group: int | None = None, tables: Sequence[str] | None = None,
             archive_root: str | None = None, drops: str | None = None,
-            special: bool = False, **more) -> list[Outcome]:
-    """Run every due load of a route, one after the other.
+            special: bool = False, at_once: int = 1, **more) -> list[Outcome]:
+    """Run every due load of a route, ``at_once`` of them at a time.
 
     With ``drops``, change routes read the files that wait in that folder and
     move them below ``archive_root`` afterwards; ``source_of`` is not asked.
 
     Data is published before the watermark moves, so a run that dies in between
-    is repeated. Repeating a keyed or full load changes nothing; an append adds
-    its rows again. A failing load is logged and marked, the next one still runs.
+    is repeated. Repeating a load under the same ``load_id`` changes nothing;
+    only an append to a database adds its rows again. A failing load is logged and marked, the next one still runs.
     """
     state = control.read(spark.createDataFrame([], control_table.SCHEMA).schema)
     # control rows are one per configured table pair
     rows = control_table.due(state, route, schema, load_type, group=group, tables=tables).collect()
-    outcomes = []
-    for row in rows:
+    saving = Lock()
+
+    def save(change: Callable[[DataFrame], DataFrame]) -> None:
+        with saving:
+            _save(control, change)
+
+    def run(row: Row) -> Outcome:
         spec = LoadSpec.from_row(row, **more)
         outcome = Outcome(spec, 0)
         try:
             check_target_schema(spec, special)
-            _save(control, lambda c: control_table.set_status(
+            save(lambda c: control_table.set_status(
                 c, spec.target_schema, spec.target_table, spec.control_route, S.STATUS_RUNNING))
             target = target_of(spec)
             load = loader_for(spec.route)
@@ -318,10 +347,10 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
             if spec.archived and archive_root:
                 archive_copy(target.read(), f"{archive_root}/{spec.target_schema}",
                              spec.target_table, load_id)
-            _save(control, lambda c: _advanced(c, spec, now))
+            save(lambda c: _advanced(c, spec, now))
         except Exception as failure:  # one table must not stop the others
             outcome.error = str(failure) or type(failure).__name__
-            _save(control, lambda c: control_table.set_status(
+            save(lambda c: control_table.set_status(
                 c, spec.target_schema, spec.target_table, spec.control_route, S.STATUS_ERROR))
         audit.append_event(
             spark, audit_path, load_id=load_id, run_id=spec.id,
@@ -330,10 +359,12 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
             technology="Spark", rows_inserted=outcome.rows, rows_updated=0, rows_deleted=0,
             number_of_errors=int(outcome.error is not None),
             source_row_count=outcome.rows,
-            error_message=(outcome.error or "No Errors").splitlines()[0],
+            error_message=outcome.error or "No Errors",
             error_category=outcome.error or "")
-        outcomes.append(outcome)
-    return outcomes
+        return outcome
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        return list(pool.map(run, rows))
 
 
 def _save(control: Versions, change: Callable[[DataFrame], DataFrame]) -> None:

@@ -57,17 +57,25 @@ def merge_statements(target: str, staged: str, columns: Sequence[str], keys: Seq
                      load_type: str, null_safe: bool) -> list[str]:
     """What the database runs in one transaction once the staged table is loaded."""
     S.check_load_type(load_type)
+    def same(key: str, or_null: bool) -> str:
+        a, b = f"a.{_quoted(key)}", f"b.{_quoted(key)}"
+        return f"({a} = {b} OR ({a} IS NULL AND {b} IS NULL))" if or_null else f"{a} = {b}"
+
+    def delete(or_null: bool, more: str = "") -> str:
+        where = " AND ".join(same(k, or_null) for k in keys)
+        return (f"DELETE FROM {target} AS a WHERE EXISTS "
+                f"(SELECT 1 FROM {staged} AS b WHERE {where}{more})")
+
     if load_type == S.FULL:
-        delete = f"DELETE FROM {target}"
+        deletes = [f"DELETE FROM {target}"]
     else:
-        def same(key: str) -> str:
-            a, b = f"a.{_quoted(key)}", f"b.{_quoted(key)}"
-            return f"({a} = {b} OR ({a} IS NULL AND {b} IS NULL))" if null_safe else f"{a} = {b}"
-        where = " AND ".join(same(k) for k in keys)
-        delete = (f"DELETE FROM {target} AS a WHERE EXISTS "
-                  f"(SELECT 1 FROM {staged} AS b WHERE {where})")
+        # equality alone can be hashed; only staged keys that hold a NULL need the other form
+        deletes = [delete(False)]
+        if null_safe:
+            some_null = " OR ".join(f"b.{_quoted(k)} IS NULL" for k in keys)
+            deletes.append(delete(True, f" AND ({some_null})"))
     names = ", ".join(_quoted(c) for c in columns)
-    return [delete, f"INSERT INTO {target} ({names}) SELECT {names} FROM {staged} "
+    return [*deletes, f"INSERT INTO {target} ({names}) SELECT {names} FROM {staged} "
                     f"WHERE {_quoted(INSERT_MARK)} = 1"]
 
 

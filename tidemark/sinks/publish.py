@@ -15,7 +15,7 @@ from tidemark import fs
 from tidemark.session import staging
 from tidemark.sinks import orc
 from tidemark.sinks.text import write_change_csv
-from tidemark.sources.tables import partition_columns
+from tidemark.sources.tables import partition_columns, snapshot
 
 
 class Versions:
@@ -82,6 +82,15 @@ def replace_partitions(df: DataFrame, touched: DataFrame, path: str,
     names = [f"__part_{i}" for i in range(len(partition_by))]
     same = reduce(lambda a, b: a & b,
                   [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition_by, names)])
+    with staging(spark, "merged") as merged, staging(spark, "touched") as listed:
+        # staged, so that the merge behind them runs once
+        _replace_listed(snapshot(df, merged), snapshot(touched, listed), path, partition_by,
+                        names, same, layout)
+
+
+def _replace_listed(df: DataFrame, touched: DataFrame, path: str, partition_by: Sequence[str],
+                    names: list[str], same, layout: dict) -> None:
+    spark = df.sparkSession
     emptied = touched.join(df.select(*partition_by).distinct().toDF(*names), same, "left_anti")
     files = spark.read.schema(df.schema).orc(path).select(*partition_by, "_metadata.file_path")
     folders = (files.join(emptied.toDF(*names), same, "left_semi")
@@ -93,6 +102,26 @@ def replace_partitions(df: DataFrame, touched: DataFrame, path: str,
             fs.remove(spark, unquote(row.value))
 
 
+def append_files(df: DataFrame, path: str, state: str, partition_by: Sequence[str] = (),
+                 **layout) -> None:
+    """Add ``df``'s files to a table folder under names that begin with ``state``.
+
+    Files of that state that are there already are removed first. Only file
+    names pass through the driver.
+    """
+    spark = df.sparkSession
+    depth = "/*" * len(partition_by)
+    with staging(spark, "append") as folder:
+        orc.write(df, folder, partition_by=partition_by, **layout)
+        for file in fs.glob(spark, f"{path}{depth}/{state}_*"):
+            fs.remove(spark, file)
+        for file in fs.glob(spark, f"{folder}{depth}/part-*"):
+            *parts, name = file.rsplit("/", len(partition_by) + 1)[1:]
+            target = "/".join([path, *parts])
+            fs.make_dirs(spark, target)
+            fs.move(spark, file, f"{target}/{state}_{name}")
+
+
 def create_table(spark: SparkSession, table: str, schema: T.StructType, path: str,
                  partition_by: Sequence[str] = (), bloom: Sequence[str] = ()) -> None:
     """An ORC table over ``path``; an existing one stays as it is."""
@@ -106,10 +135,17 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, path: st
 
 
 def redefine_table(spark: SparkSession, table: str, schema: T.StructType, path: str,
-                   partition_by: Sequence[str] = (), bloom: Sequence[str] = ()) -> None:
-    """Drop and create, as a full load does when the source's columns rule."""
+                   partition_by: Sequence[str] = (), bloom: Sequence[str] = (), *,
+                   under: str) -> None:
+    """New definition, as a full load does when the source's columns rule.
+
+    It is made ``under`` another name before the old one goes, and renamed
+    after; whoever finds only that other name can finish the step.
+    """
+    spark.sql(f"DROP TABLE IF EXISTS {under}")
+    create_table(spark, under, schema, path, partition_by, bloom)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    create_table(spark, table, schema, path, partition_by, bloom)
+    spark.sql(f"ALTER TABLE {under} RENAME TO {table}")
 
 
 def switch_location(spark: SparkSession, table: str, path: str) -> None:
@@ -152,8 +188,12 @@ def archive_inputs(spark: SparkSession, files: Sequence[str], root: str, schema:
     fs.make_dirs(spark, folder)
     moved = []
     for file in files:
-        fs.move(spark, file, f"{folder}/{file.rsplit('/', 1)[-1]}")
-        moved.append(f"{folder}/{file.rsplit('/', 1)[-1]}")
+        target, n = f"{folder}/{file.rsplit('/', 1)[-1]}", 1
+        while fs.exists(spark, target):  # a file of that name came earlier the same day
+            n += 1
+            target = f"{folder}/{n}-{file.rsplit('/', 1)[-1]}"
+        fs.move(spark, file, target)
+        moved.append(target)
     return moved
 
 

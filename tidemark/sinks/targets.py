@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from tidemark import fs
 from tidemark.sinks import jdbc as jdbc_sink
 from tidemark.sinks import orc
-from tidemark.sinks.publish import (create_table, redefine_table, refresh, replace_partitions,
-                                    switch_location)
+from tidemark.sinks.publish import (append_files, create_table, redefine_table, refresh,
+                                    replace_partitions, switch_location)
 from tidemark.sources import jdbc as jdbc_source
 from tidemark.sources.tables import bloom_columns, partition_columns
 
@@ -27,8 +27,31 @@ class TableTarget:
     def __init__(self, spark: SparkSession, table: str, root: str):
         self.spark, self.table, self.root = spark, table, root.rstrip("/")
 
+    @property
+    def _next(self) -> str:
+        return f"{self.table}__next"
+
     def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.table)
+        """Whether the catalog has the table; a definition step that was cut short is finished."""
+        if self.spark.catalog.tableExists(self.table):
+            return True
+        if self.spark.catalog.tableExists(self._next):
+            self.spark.sql(f"ALTER TABLE {self._next} RENAME TO {self.table}")
+            return True
+        return False
+
+    def states(self) -> list[str]:
+        """Published states below the root, whether or not the catalog knows the table."""
+        return [name for name in fs.names(self.spark, self.root) if name.startswith("load")
+                and fs.exists(self.spark, f"{self.root}/{name}/_SUCCESS")]
+
+    def check_known(self) -> None:
+        """A keyed or append load must find the rows that are there."""
+        if not self.exists() and self.states():
+            raise ValueError(
+                f"{self.table} is not in the catalog, but {self.root} holds "
+                f"{', '.join(self.states())}: define the table over its current state, or run "
+                "a full load to replace it")
 
     @property
     def location(self) -> str:
@@ -67,7 +90,13 @@ class TableTarget:
         path = self._fresh(state)
         orc.write(df, path, partition_by=partition_by, distribute_by=distribute_by,
                   bloom=bloom, sort_by=bloom)
-        redefine_table(self.spark, self.table, df.schema, path, partition_by, bloom)
+        same = old and self.spark.table(self.table).schema.simpleString() == \
+            df.schema.simpleString() and self.partition_by == list(partition_by)
+        if same:
+            switch_location(self.spark, self.table, path)
+        else:
+            redefine_table(self.spark, self.table, df.schema, path, partition_by, bloom,
+                           under=self._next)
         refresh(self.spark, self.table)
         self._prune(old)
 
@@ -80,15 +109,32 @@ class TableTarget:
         self._prune(old)
 
     def _prune(self, previous: str | None) -> None:
-        """Remove states before the previous one, which running readers may still use."""
+        """Remove states before the previous one, which running readers may still use.
+
+        Without a known previous state nothing is removed: the folders may be
+        all there is of a table that the catalog has lost.
+        """
+        if previous is None:
+            return
         kept = {p.rstrip("/").rsplit("/", 1)[-1] for p in (self.location, previous) if p}
         for name in fs.names(self.spark, self.root):
             if name.startswith("load") and name not in kept:
                 fs.remove(self.spark, f"{self.root}/{name}")
 
-    def append(self, df: DataFrame, distribute_by: Sequence[str] = ()) -> None:
-        orc.append(df, self.location, partition_by=self.partition_by,
-                   **self._layout(distribute_by))
+    def append(self, df: DataFrame, distribute_by: Sequence[str] = (),
+               state: str | None = None) -> None:
+        """Add rows; repeated under the same ``state``, they take the place of the first ones.
+
+        The rows are written aside and their files moved in under names that
+        begin with the state, so a run that is lost in between leaves files its
+        repetition removes.
+        """
+        if state is None:
+            orc.append(df, self.location, partition_by=self.partition_by,
+                       **self._layout(distribute_by))
+        else:
+            append_files(df, self.location, state, self.partition_by,
+                         **self._layout(distribute_by))
         refresh(self.spark, self.table)
 
     def replace_partitions(self, df: DataFrame, touched: DataFrame,
@@ -118,7 +164,8 @@ class JdbcTarget:
     def replace(self, df: DataFrame, state: str, distribute_by: Sequence[str] = ()) -> None:
         jdbc_sink.replace(df, self.url, self.table, connection=self.connection)
 
-    def append(self, df: DataFrame, distribute_by: Sequence[str] = ()) -> None:
+    def append(self, df: DataFrame, distribute_by: Sequence[str] = (),
+               state: str | None = None) -> None:
         jdbc_sink.append(df, self.url, self.table, connection=self.connection)
 
     def merge_rows(self, rows: DataFrame, keys: Sequence[str], load_type: str, null_safe: bool,

@@ -90,14 +90,12 @@ def read_changes(spark: SparkSession, directory: str, table: str, business: T.St
 
 def stream_changes(spark: SparkSession, directory: str, table: str, business: T.StructType, *,
                    delimiter: str = "|", multi_line: bool = False,
-                   max_files: int | None = None, archive: str | None = None) -> DataFrame:
+                   archive: str | None = None) -> DataFrame:
     """The same rows as a stream over new files; ``archive`` takes applied ones."""
     schema = change_schema(business)
     reader = (spark.readStream.schema(raw_schema(schema))
               .options(**csv_options(delimiter, multi_line))
               .option("pathGlobFilter", drop_pattern(table)))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return typed(reader.csv(directory), schema)

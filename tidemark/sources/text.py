@@ -15,16 +15,17 @@ def parse_lines(lines: DataFrame, schema: T.StructType, sep: str, null_value: st
     """Typed rows from a ``value`` column of lines.
 
     ``on_bad_row="fail"`` stops at a line with the wrong number of fields;
-    ``"pad"`` reads missing trailing fields as NULL and ignores extra ones.
+    ``"pad"`` reads missing trailing fields as NULL and stops at extra ones only.
     """
-    parts = lines.select(X.split_fields(F.col("value"), sep).alias("parts"))
-    if on_bad_row == "fail":
-        wrong = F.concat(F.lit(f"expected {len(schema)} fields, got "),
-                         F.size("parts").cast("string"))
-        parts = parts.filter(F.when(F.size("parts") != len(schema),
-                                    F.raise_error(wrong).cast("boolean")).otherwise(F.lit(True)))
-    elif on_bad_row != "pad":
+    if on_bad_row not in ("fail", "pad"):
         raise ValueError(f"unknown on_bad_row {on_bad_row!r}")
+    parts = lines.select(X.split_fields(F.col("value"), sep).alias("parts"))
+    # checked in the projection: as a filter the split would move below and run again
+    size = F.size("parts")
+    bad = size != len(schema) if on_bad_row == "fail" else size > len(schema)
+    wrong = F.concat(F.lit(f"expected {len(schema)} fields, got "), size.cast("string"))
+    parts = parts.select(F.when(bad, F.raise_error(wrong).cast("array<string>"))
+                         .otherwise(F.col("parts")).alias("parts"))
 
     def value(i: int, f: T.StructField) -> Column:
         raw = F.get("parts", F.lit(i))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -12,8 +13,10 @@ from tidemark import schema as S
 from tidemark.operators.changes import apply_changes, reduced_changes
 from tidemark.operators.columns import with_derived_all
 from tidemark.operators.merge import apply_in_partitions
+from tidemark.session import staging
 from tidemark.sinks.publish import Versions, replace_partitions
 from tidemark.sources.changes_csv import stream_changes
+from tidemark.sources.tables import snapshot
 
 LoadTs = datetime | str | Callable[[int], datetime | str]
 
@@ -41,58 +44,76 @@ def apply_to_versions(root: str, schema: T.StructType, keys: Sequence[str], load
         if newest is not None and newest > batch_id + 1:
             raise ValueError(f"{root} is at version {newest}, ahead of batch {batch_id}: "
                              "the checkpoint belongs to another target")
-        changes = _reduced(batch, keys, options).persist()
-        try:
+        with staging(batch.sparkSession, "batch") as path:
+            changes = snapshot(_reduced(batch, keys, options), path)
             if not changes.isEmpty():
                 target = versions.read(schema, before=batch_id + 1)
                 merged = apply_changes(target, changes, keys, load_ts=_at(load_ts, batch_id),
                                        **options)
                 versions.publish(merged, batch_id + 1)
-        finally:
-            changes.unpersist()
         versions.prune(max(keep, 2))
     return write
 
 
+def _follow(rows: DataFrame, keys: Sequence[str], partition_by: Sequence[str],
+            derived: dict[str, str] | None) -> bool:
+    """Whether the partition columns can be worked out from the key columns alone."""
+    try:
+        known = with_derived_all(rows.select(*keys), derived).columns
+    except AnalysisException:
+        return False
+    return set(partition_by) <= set(known)
+
+
 def apply_to_partitions(path: str, schema: T.StructType, keys: Sequence[str],
                         partition_by: Sequence[str], load_ts: LoadTs, *,
                         derived: dict[str, str] | None = None,
                         **options) -> Callable[[DataFrame, int], None]:
-    """A batch writer that rewrites only the partitions a batch falls into.
+    """A batch writer that rewrites only the partitions a batch concerns.
 
-    For targets too large to rewrite whole. The partition columns must follow
-    from the key (``derived`` computes them), or a key could have rows in two
-    partitions. A batch delivered again deletes and inserts the same rows.
+    For targets too large to rewrite whole. ``derived`` computes the partition
+    columns; where it needs more than the key, partitions that hold a changed
+    key's old row are rewritten as well. A batch delivered again deletes and
+    inserts the same rows.
     ``schema`` includes the partition columns, last.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        changes = with_derived_all(_reduced(batch, keys, options), derived).persist()
-        try:
+        with staging(spark, "batch") as folder:
+            reduced = with_derived_all(_reduced(batch, keys, options), derived)
+            changes = snapshot(reduced, folder)
             if changes.isEmpty():
                 return
             target = spark.read.schema(schema).orc(path)
             done = apply_in_partitions(target, changes, keys, partition_by,
+                                       moved=not _follow(batch, keys, partition_by, derived),
                                        load_ts=_at(load_ts, batch_id), **options)
             replace_partitions(done.rows, done.touched, path, partition_by,
                                may_empty=done.may_empty)
-        finally:
-            changes.unpersist()
     return write
 
 
 def ingest(spark: SparkSession, directory: str, table: str, business: T.StructType,
            write: Callable[[DataFrame, int], None], checkpoint: str, *,
-           archive: str | None = None, max_files: int | None = None,
-           delimiter: str = "|", multi_line: bool = False) -> int:
-    """Apply all files that arrived since the last run; returns the batches run."""
+           archive: str | None = None, delimiter: str = "|", multi_line: bool = False) -> int:
+    """Apply all files that arrived since the last run, as one batch; returns the batches run.
+
+    Files are not dealt over batches: the newest change of a key wins wherever
+    it stands, which only holds within a batch.
+    """
     changes = stream_changes(spark, directory, table, business, delimiter=delimiter,
-                             multi_line=multi_line, max_files=max_files, archive=archive)
-    query = (changes.writeStream.foreachBatch(write)
+                             multi_line=multi_line, archive=archive)
+    ran: list[int] = []
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        ran.append(batch_id)
+
+    query = (changes.writeStream.foreachBatch(counted)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    return len(set(ran))
 
 
 def target_schema(business: T.StructType, *, keep_newest: bool = False) -> T.StructType:
