@@ -382,3 +382,43 @@ def test_loads_side_by_side_keep_every_status(spark, folder):
     assert failed.error_message == "first line\nsecond line"
     for n in names:
         spark.sql(f"DROP TABLE IF EXISTS app.{n}")
+
+
+def test_audit_counts_are_those_of_the_target(world):
+    spark = world.control.spark
+    _seed(world, [(1, "old", T0, 0), (2, "old", T0, 0), (9, "kept", T0, 0)])
+    schema = spark.createDataFrame([], CT.SCHEMA).schema
+    world.control.publish(spark.createDataFrame([control_row(spark)], schema), 50)
+    (done,) = world.run()                              # ids 2, 3, 4 come in
+    assert done.error is None
+    rows = {r.load_id: r for r in audit.read(spark, world.audit_path).collect()}
+    names = ("source_row_count", "rows_inserted", "rows_updated", "rows_deleted",
+             "target_row_count")
+    assert [rows[1][n] for n in names] == [3, 3, 0, 0, 3]
+    assert [rows[7][n] for n in names] == [3, 3, 1, 1, 5]
+    assert len(world.values()) == 5
+
+
+def test_change_counts_and_drift(spark, folder):
+    from tidemark.plans.sync import load_changes
+    spark.sql("CREATE DATABASE IF NOT EXISTS app")
+    spark.sql("DROP TABLE IF EXISTS app.counted")
+    target = TableTarget(spark, "app.counted", f"{folder}/counted")
+    fields = "id int, v string, hvr_is_deleted int, load_ts timestamp_ntz"
+    target.redefine(spark.createDataFrame([(1, "a", 0, T0), (2, "b", 0, T0), (None, "n", 0, T0),
+                                           (4, "d", 0, T0)], fields), "load1")
+    spec = LoadSpec(id=1, route=CT.CHANGES_TO_DB, load_type="INCREMENTAL", source_schema="app",
+                    source_table="counted", target_schema="app", target_table="counted",
+                    keys=("id",))
+    changes = spark.createDataFrame(
+        [(1, "x", 2, "5"), (1, "y", 2, "6"), (2, "b", 5, "5"), (None, "m", 2, "5"),
+         (7, "new", 1, "5")], "id int, v string, op_code int, time_key string")
+    counts = {}
+    assert load_changes(spark, spec, changes, target, now=T2, load_id=5, counts=counts) == 5
+    assert counts == {"rows_inserted": 3, "rows_updated": 2, "rows_deleted": 3,
+                      "target_row_count": 4}
+    spark.catalog.refreshTable("app.counted")
+    assert target.read().count() == 4
+    with pytest.raises(ValueError, match="drifted: new .'w'., missing .'v'."):
+        load_changes(spark, spec, changes.withColumnRenamed("v", "w"), target, now=T2, load_id=6)
+    spark.sql("DROP TABLE app.counted")

@@ -14,16 +14,18 @@ def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]
     return df.observe(seen, F.count(F.lit(1)).alias(name)), seen
 
 
-def merge_metrics(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_metrics(target: DataFrame, incoming: DataFrame, keys: Sequence[str], *,
+                  null_safe: bool = False) -> DataFrame:
     """One row: incoming, inserted, updated and kept counts of a keyed merge.
 
     ``rows_updated`` counts target rows that are replaced, ``rows_inserted``
     incoming rows whose key is new. Both sides are counted per key with a
     partial aggregate over one shuffle; there is no join, and a hot key arrives
-    at its reducer as one row per map task. A NULL in the key never matches.
+    at its reducer as one row per map task. A NULL in the key matches another
+    only with ``null_safe``.
     """
     known = F.lit(True)
-    for key in keys:
+    for key in () if null_safe else keys:
         known = known & F.col(key).isNotNull()
     sides = (target.select(*keys, F.lit(1).alias("t"), F.lit(0).alias("i"))
              .unionByName(incoming.select(*keys, F.lit(0).alias("t"), F.lit(1).alias("i"))))

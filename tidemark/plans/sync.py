@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 from threading import Lock
 
@@ -16,11 +16,12 @@ from pyspark.sql import types as T
 from tidemark import schema as S
 from tidemark.control import audit
 from tidemark.control import table as control_table
+from tidemark.functions.types import drift_between
 from tidemark.operators import merge as M
 from tidemark.operators.changes import apply_changes, reduced_changes
 from tidemark.operators.columns import align, sanitize, with_select_list
 from tidemark.operators.extract import extract, window_filter
-from tidemark.operators.metrics import observed, require_counts
+from tidemark.operators.metrics import merge_metrics, observed, require_counts
 from tidemark.session import staging
 from tidemark.sinks.publish import Versions, archive_copy, archive_inputs
 from tidemark.sinks.text import write_soh
@@ -114,11 +115,46 @@ def check_target_schema(spec: LoadSpec, special: bool = False) -> None:
                          f"source schema {spec.source_schema}")
 
 
-def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str) -> None:
+def _counted(counts: dict | None, target: DataFrame, rows: DataFrame, keys: Sequence[str],
+             null_safe: bool, removing: DataFrame | None = None) -> None:
+    """What a keyed merge is about to do, for the audit row.
+
+    ``rows`` go in; target rows with their keys, or with those of ``removing``,
+    go. One pass over the key columns of the target.
+    """
+    if counts is None:
+        return
+    put = merge_metrics(target, rows, keys, null_safe=null_safe).first()
+    gone, kept = put.rows_updated, put.rows_kept
+    if removing is not None:
+        out = merge_metrics(target, removing, keys, null_safe=null_safe).first()
+        gone, kept = out.rows_updated, out.rows_kept
+    counts.update(rows_inserted=put.rows_incoming, rows_updated=put.rows_updated,
+                  rows_deleted=gone, target_row_count=kept + put.rows_incoming)
+
+
+def _replaced(counts: dict | None, target, rows: DataFrame, append: bool = False) -> None:
+    """The same for a load without keys; the old rows all go or all stay."""
+    if counts is None:
+        return
+    old, new = target.read().count() if target.exists() else 0, rows.count()
+    counts.update(rows_inserted=new, rows_updated=0, rows_deleted=0 if append else old,
+                  target_row_count=old + new if append else new)
+
+
+def _in_database(counts: dict | None, done: list[int]) -> None:
+    """The counts the database gave for deletes, the insert and the drop of the staged table."""
+    if counts is not None and done:
+        counts.update(rows_deleted=sum(done[:-2]), rows_inserted=done[-2], rows_updated=0)
+
+
+def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str,
+                counts: dict | None = None) -> None:
     """Publish staged incoming rows under the spec's load type."""
     if spec.load_type != S.FULL and hasattr(target, "check_known"):
         target.check_known()
     if spec.load_type == S.FULL or not target.exists():
+        _replaced(counts, target, incoming)
         if hasattr(target, "redefine"):
             target.redefine(_partitions_last(incoming, spec.partition_by), state,
                             spec.partition_by, spec.distribute_by)
@@ -128,11 +164,16 @@ def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str) -> None
     current = target.read()
     incoming = align(incoming, current.columns)
     if spec.load_type == S.APPEND_ONLY:
+        _replaced(counts, target, incoming, append=True)
         target.append(incoming, spec.distribute_by, state)
     elif hasattr(target, "merge_rows"):
-        target.merge_rows(incoming, spec.keys, spec.load_type, null_safe=False)
+        _in_database(counts, target.merge_rows(incoming, spec.keys, spec.load_type,
+                                               null_safe=False))
     elif target.partition_by:
         parts = target.partition_by
+        in_reach = current if spec.global_keys else M.prune_to(
+            current, M.affected_partitions(incoming, parts), parts)
+        _counted(counts, in_reach, incoming, spec.keys, False)
         if spec.global_keys:
             touched = M.touched_partitions(current, incoming, spec.keys, parts)
             merged = M.merge_partitioned_global(current, incoming, spec.keys, parts)
@@ -142,6 +183,7 @@ def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str) -> None
         target.replace_partitions(merged, touched, spec.distribute_by,
                                   may_empty=spec.global_keys)
     else:
+        _counted(counts, current, incoming, spec.keys, False)
         merged = M.merge_flat(current, incoming, spec.keys, range_key=spec.range_key)
         target.replace(merged, state, spec.distribute_by)
 
@@ -151,7 +193,7 @@ def _partitions_last(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def load_table(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *,
-               now: datetime, load_id: int) -> int:
+               now: datetime, load_id: int, counts: dict | None = None) -> int:
     """Database-to-table and table-to-table routes; returns the rows that came in.
 
     A database source is read through the watermark window, a mirrored table or
@@ -166,20 +208,34 @@ def load_table(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *
     counted, seen = observed(spec.with_layout_columns(rows))
     with staging(spark, f"load{load_id}") as path:
         staged = snapshot(counted, path)
-        _merge_into(target, spec, staged, f"load{load_id}")
+        _merge_into(target, spec, staged, f"load{load_id}", counts)
         if spec.validate and spec.load_type == S.FULL:
             require_counts(staged, target.read())
     return seen.get["rows"]
 
 
+def check_drift(spec: LoadSpec, changes: T.StructType, target: T.StructType) -> None:
+    """Change rows must have the target's columns: a new one would be dropped in silence,
+    a missing one filled with NULL."""
+    added = {S.OP_CODE, S.TIME_KEY}
+    own = {spec.flag, spec.stamp, *S.HOUSEKEEPING, *spec.partition_by, *spec.distribute_by}
+    drift = drift_between(T.StructType([f for f in changes if f.name not in added]),
+                          T.StructType([f for f in target if f.name not in own]))
+    unknown = [n for n in drift["added"] if n not in own]
+    if unknown or drift["removed"]:
+        raise ValueError(f"load {spec.id}: the change columns of {spec.source_table} have drifted: "
+                         f"new {unknown}, missing {drift['removed']}")
+
+
 def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target, *,
-                 now: datetime, load_id: int) -> int:
+                 now: datetime, load_id: int, counts: dict | None = None) -> int:
     """Change-file routes: null-safe keys, or strict ones on the strict route.
 
     A partitioned table is rewritten by partition. Where the partition columns
     don't follow from the key, partitions that hold a changed key's old row are
     rewritten as well.
     """
+    check_drift(spec, changes.schema, target.read().schema)
     null_safe = spec.route != control_table.CHANGES_TO_DB_STRICT
     how = {"load_ts": now, "load_type": spec.load_type, "flag": spec.flag, "stamp": spec.stamp,
            "null_safe": null_safe}
@@ -193,9 +249,18 @@ def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target
             # what the database needs are the rows an empty target would get
             fresh = spark.createDataFrame([], current.schema)
             rows = apply_changes(fresh, staged, spec.keys, **how)
-            target.merge_rows(rows, spec.delete_keys or spec.keys, spec.load_type,
-                              null_safe, deletes=staged)
-        elif target.partition_by and spec.load_type != S.FULL and not spec.delete_keys:
+            _in_database(counts, target.merge_rows(rows, spec.delete_keys or spec.keys,
+                                                   spec.load_type, null_safe, deletes=staged))
+            return seen.get["rows"]
+        if counts is not None:
+            fresh = spark.createDataFrame([], current.schema)
+            rows = apply_changes(fresh, staged, spec.keys, **how)
+            if spec.load_type == S.FULL:
+                _replaced(counts, target, rows)
+            else:
+                _counted(counts, current, rows, spec.delete_keys or spec.keys, null_safe,
+                         removing=staged)
+        if target.partition_by and spec.load_type != S.FULL and not spec.delete_keys:
             done = M.apply_in_partitions(
                 current, staged, spec.keys, target.partition_by,
                 moved=not spec.partitions_follow_keys(changes), **how)
@@ -218,7 +283,7 @@ def business_schema(target, spec: LoadSpec) -> T.StructType:
 
 def load_drops(spark: SparkSession, spec: LoadSpec, directory: str, business: T.StructType,
                target, *, now: datetime, load_id: int, archive_root: str | None = None,
-               **how) -> int:
+               counts: dict | None = None, **how) -> int:
     """Apply the change files that wait for a table, then move them to the archive.
 
     The files are named once, so one that arrives meanwhile is neither half
@@ -228,42 +293,49 @@ def load_drops(spark: SparkSession, spec: LoadSpec, directory: str, business: T.
     if not files:
         return 0
     rows = load_changes(spark, spec, read_files(spark, files, business, **how), target,
-                        now=now, load_id=load_id)
+                        now=now, load_id=load_id, counts=counts)
     if archive_root:
         archive_inputs(spark, files, archive_root, spec.source_schema, spec.source_table,
                        now.date())
     return rows
 
 
-def _upsert(target, spec: LoadSpec, rows: DataFrame, state: str, null_safe: bool) -> None:
+def _upsert(target, spec: LoadSpec, rows: DataFrame, state: str, null_safe: bool,
+            counts: dict | None = None) -> None:
     current = target.read()
     if hasattr(target, "merge_rows"):
-        target.merge_rows(align(rows, current.columns), spec.keys, spec.load_type, null_safe)
+        _in_database(counts, target.merge_rows(align(rows, current.columns), spec.keys,
+                                               spec.load_type, null_safe))
         return
+    if spec.load_type == S.FULL:
+        _replaced(counts, target, rows)
+    else:
+        _counted(counts, current, rows, spec.keys, null_safe)
     merge = M.cross_sync if null_safe else M.upsert_rows
     target.replace(merge(current, rows, spec.keys, spec.load_type), state, spec.distribute_by)
 
 
 def load_file(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *,
-              now: datetime, load_id: int) -> int:
+              now: datetime, load_id: int, counts: dict | None = None) -> int:
     """Database-to-database by file: exact window, export, strict delete, all rows in."""
     if spec.load_type != S.FULL:
         source = window_filter(source, spec.column, spec.last_run, now)
     counted, seen = observed(source)
     with staging(spark, f"file{load_id}") as path:
         write_soh(counted, path)
-        _upsert(target, spec, read_soh(spark, path, source.schema), f"load{load_id}", False)
+        _upsert(target, spec, read_soh(spark, path, source.schema), f"load{load_id}", False,
+                counts)
     return seen.get["rows"]
 
 
 def load_cross(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *,
-               now: datetime, load_id: int) -> int:
+               now: datetime, load_id: int, counts: dict | None = None) -> int:
     """Cross-database route: exact window, null-safe delete, insert by name."""
     if spec.load_type != S.FULL:
         source = window_filter(source, spec.column, spec.last_run, now)
     counted, seen = observed(source)
     with staging(spark, f"cross{load_id}") as path:
-        _upsert(target, spec, snapshot(counted, path), f"load{load_id}", True)
+        _upsert(target, spec, snapshot(counted, path), f"load{load_id}", True, counts)
     return seen.get["rows"]
 
 
@@ -298,11 +370,16 @@ def _completed(control: DataFrame, spec: LoadSpec) -> DataFrame:
                                     spec.control_route, S.STATUS_COMPLETED)
 
 
+# counts of an audit row that a load takes itself
+AUDITED = ("rows_inserted", "rows_updated", "rows_deleted")
+
+
 @dataclass
 class Outcome:
     spec: LoadSpec
     rows: int
     error: str | None = None
+    counts: dict = field(default_factory=dict)
 
 
 def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: str, schema: str,
@@ -340,10 +417,11 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
             load = loader_for(spec.route)
             if load is load_changes and drops:
                 outcome.rows = load_drops(spark, spec, drops, business_schema(target, spec), target,
-                                          now=now, load_id=load_id, archive_root=archive_root)
+                                          now=now, load_id=load_id, archive_root=archive_root,
+                                          counts=outcome.counts)
             else:
                 outcome.rows = load(spark, spec, source_of(spec), target, now=now,
-                                    load_id=load_id)
+                                    load_id=load_id, counts=outcome.counts)
             if spec.archived and archive_root:
                 archive_copy(target.read(), f"{archive_root}/{spec.target_schema}",
                              spec.target_table, load_id)
@@ -356,9 +434,9 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
             spark, audit_path, load_id=load_id, run_id=spec.id,
             table_name=f"{spec.target_schema}.{spec.target_table}", data_path=spec.route,
             status=audit.JOB_ERROR if outcome.error else audit.JOB_FINISHED,
-            technology="Spark", rows_inserted=outcome.rows, rows_updated=0, rows_deleted=0,
-            number_of_errors=int(outcome.error is not None),
+            technology="Spark", number_of_errors=int(outcome.error is not None),
             source_row_count=outcome.rows,
+            **(dict.fromkeys(AUDITED, 0) | ({} if outcome.error else outcome.counts)),
             error_message=outcome.error or "No Errors",
             error_category=outcome.error or "")
         return outcome

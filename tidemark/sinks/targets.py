@@ -169,6 +169,8 @@ class JdbcTarget:
         jdbc_sink.append(df, self.url, self.table, connection=self.connection)
 
     def merge_rows(self, rows: DataFrame, keys: Sequence[str], load_type: str, null_safe: bool,
-                   deletes: DataFrame | None = None) -> None:
-        jdbc_sink.merge(rows, self.url, self.table, keys, load_type=load_type,
-                        null_safe=null_safe, deletes=deletes, connection=self.connection)
+                   deletes: DataFrame | None = None) -> list[int]:
+        """Rows each of the database's statements touched."""
+        return jdbc_sink.merge(rows, self.url, self.table, keys, load_type=load_type,
+                               null_safe=null_safe, deletes=deletes,
+                               connection=self.connection)
