@@ -227,3 +227,25 @@ def test_inputs_of_one_name_are_both_archived(spark, folder):
                        date(2024, 1, 1))
     left = os.listdir(f"{folder}/done/app/2024-01-01/t")
     assert sorted(n for n in left if n.endswith("csv") and n[0] != ".") == ["1-t.csv", "2-1-t.csv"]
+
+
+def test_database_reads_are_cut_by_what_they_read():
+    from tidemark.sources import jdbc
+
+    def whole():
+        return 1, 900
+    assert jdbc.cuts("INCREMENTAL", "at", 10, 20, 4, whole) == ("at", 10, 20, 4)
+    assert jdbc.cuts("INCREMENTAL", "at", None, 20, 4, whole) == ("at", 1, 900, 4)  # first run
+    assert jdbc.cuts("FULL", "at", 10, 20, 4, whole) == ("at", 1, 900, 4)
+    assert jdbc.cuts("FULL", None, 10, 20, 4, whole) is None
+    empty = jdbc.cuts("FULL", "at", 10, 20, 4, lambda: (None, None))
+    assert jdbc.split_options(*empty) == {}
+
+
+def test_null_safe_delete_is_an_equality_and_a_rest():
+    from tidemark.sinks.jdbc import merge_statements
+    first, second, insert = merge_statements("t", "s", ["a", "b"], ["a", "b"], "INCREMENTAL", True)
+    assert " OR " not in first and 'a."a" = b."a" AND a."b" = b."b"' in first
+    assert 'AND (b."a" IS NULL OR b."b" IS NULL)' in second and insert.startswith("INSERT")
+    full, _ = merge_statements("t", "s", ["a"], ["a"], "FULL", True)
+    assert full == "TRUNCATE TABLE t"

@@ -39,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--source-jdbc", help="JSON file with url and connection options")
     p.add_argument("--target-jdbc", help="JSON file with url and connection options")
     p.add_argument("--at-once", type=int, default=4, help="loads that run at the same time")
-    p.add_argument("--read-tasks", type=int, default=1, help="parallel reads per window")
+    p.add_argument("--read-tasks", type=int, default=8, help="parallel reads of a database table")
     return p
 
 
@@ -82,8 +82,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         if mirror or not args.source_jdbc:
             return spark.table(name)
         url, options = _connection(args.source_jdbc)
-        lower = spec.second_last_run or spec.last_run
-        split = (spec.column, lower, now, args.read_tasks) if spec.column else None
+        split = jdbc.cuts(spec.load_type, spec.column, spec.second_last_run or spec.last_run, now,
+                          args.read_tasks,
+                          lambda: jdbc.bounds(spark, url, name, spec.column, options))
         return jdbc.read(spark, url, table=name, split=split, connection=options)
 
     def target_of(spec: LoadSpec):

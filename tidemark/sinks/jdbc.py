@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,7 +68,7 @@ def merge_statements(target: str, staged: str, columns: Sequence[str], keys: Seq
                 f"(SELECT 1 FROM {staged} AS b WHERE {where}{more})")
 
     if load_type == S.FULL:
-        deletes = [f"DELETE FROM {target}"]
+        deletes = [f"TRUNCATE TABLE {target}"]
     else:
         # equality alone can be hashed; only staged keys that hold a NULL need the other form
         deletes = [delete(False)]
@@ -106,10 +107,10 @@ def merge(rows: DataFrame, url: str, table: str, keys: Sequence[str], *, load_ty
           connection: dict[str, str] | None = None, **kw) -> list[int]:
     """Keyed delete and insert inside the database.
 
-    Spark loads ``<table>_tm_staged`` in parallel; the target itself changes in
-    one transaction, and only the incoming rows travel.
+    Spark loads a staged table of this run's own name in parallel; the target
+    itself changes in one transaction, and only the incoming rows travel.
     """
-    staged = f"{table}_tm_staged"
+    staged = f"{table}_tm_{uuid.uuid4().hex[:10]}"
     (staged_rows(rows, keys, deletes).write.format("jdbc").mode("overwrite")
      .options(**write_options(url, staged, connection=connection, **kw)).save())
     statements = merge_statements(table, staged, rows.columns, keys, load_type, null_safe)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark import schema as S
 from tidemark.operators.extract import Bound, window_filter
 
 
@@ -46,6 +47,29 @@ def read(spark: SparkSession, url: str, *, table: str | None = None, query: str
     return df.select(*columns) if columns else df
 
 
+def bounds(spark: SparkSession, url: str, table: str, column: str,
+           connection: dict[str, str] | None = None) -> tuple:
+    """Least and largest value of a column, one row, to cut a whole table by."""
+    name = '"' + column.replace('"', '""') + '"'
+    row = read(spark, url, query=f"SELECT min({name}) AS lo, max({name}) AS hi FROM {table}",
+               connection=connection).first()
+    return row[0], row[1]
+
+
+def cuts(load_type: str, column: str | None, lower, now, partitions: int,
+         whole: Callable[[], tuple]) -> tuple | None:
+    """How to split a read: by the window where there is one, else by the whole table's range.
+
+    A full load and a first run read rows of any age; cut by the window they
+    would leave nearly all of them to the first task. ``whole`` asks for the range.
+    """
+    if column is None or partitions <= 1:
+        return None
+    if load_type == S.FULL or lower is None:
+        lower, now = whole()
+    return (column, lower, now, partitions)
+
+
 def read_window(spark: SparkSession, url: str, table: str, column: str, lower: Bound,
                 upper: Bound, *, partitions: int = 1, columns: Sequence[str] | None = None,
                 connection: dict[str, str] | None = None) -> DataFrame:
