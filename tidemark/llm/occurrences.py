@@ -1,12 +1,13 @@
 """Which occurrences of a string are not its first, over all documents at once.
 
 A mapper names strings by two 64-bit hashes and says where they start. Its
-rows travel packed: for each Arrow batch and bucket (leading digit of the
+rows travel packed: for each half a million rows and bucket (leading digit of the
 first hash) one row holds the columns as bytes, which costs a fraction of a
-row for each occurrence. Before that, a batch settles what it can alone: of
+row for each occurrence. Before that, the task settles what it can alone: of
 equal strings only the earliest goes to the bucket, the others are later ones
 whatever the rest of the corpus holds. So a string that fills a third of the
-corpus reaches its bucket once for each batch, not once for each occurrence.
+corpus reaches its bucket a few times for each task, not once for each
+occurrence.
 
 Earlier means smaller document id, then smaller start; occurrences with equal
 id and start (repeated rows) are neither earlier nor later than one another.
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 
 #: Stands for a null document id, which sorts first.
 NO_ID = -(1 << 63)
+#: Occurrences that a task holds before it packs them.
+PACKED_ROWS = 1 << 19
 #: Packed bytes that one bucket should hold.
 BUCKET_BYTES = 32 << 20
 
@@ -185,11 +188,21 @@ def with_places(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
 def mapped(docs: DataFrame, rows_of: Callable[[pa.RecordBatch], Iterator[Rows]],
            buckets: int) -> DataFrame:
     """Packed rows of a mapper that gives the occurrences in a batch of documents."""
+    def packed(parts: list[Rows]) -> pa.RecordBatch:
+        return pack({name: np.concatenate([p[name].astype(kind) for p in parts])
+                     for name, kind in _KINDS}, buckets)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[Rows] = []
+        held = 0
         for batch in batches:
-            parts = list(rows_of(batch))
-            if parts:
-                yield pack({name: np.concatenate([p[name] for p in parts]).astype(kind)
-                            for name, kind in _KINDS}, buckets)
+            for rows in rows_of(batch):
+                parts.append(rows)
+                held += len(rows["id"])
+                if held >= PACKED_ROWS:
+                    yield packed(parts)
+                    parts, held = [], 0
+        if parts:
+            yield packed(parts)
 
     return docs.mapInArrow(run, PACKED)

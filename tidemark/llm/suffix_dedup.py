@@ -45,7 +45,7 @@ WINDOW = 100
 #: Bytes in the gram that is the first digit.
 GRAM = 32
 #: Bytes hashed at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 class _Hash:
@@ -65,7 +65,7 @@ class _Hash:
             return of_byte, np.cumprod(powers), np.cumprod(inverse)
 
     def __init__(self, text: np.ndarray, seed: int) -> None:
-        size = 1 << max(21, int(len(text)).bit_length())
+        size = 1 << max(19, int(len(text)).bit_length())
         of_byte, powers, self.inverse = self._tables(seed, size)
         self.sums = np.zeros(len(text) + 1, np.uint64)
         np.cumsum(of_byte[text] * powers[:len(text)], out=self.sums[1:])
