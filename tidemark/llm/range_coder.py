@@ -58,6 +58,7 @@ class _Model:
         self.placed = np.ones((3, lanes * 16), np.int32)
         magnitudes = 1 + int(_magnitude(np.array([max(1, known)]))[0])
         self.order0 = np.ones((magnitudes, lanes), np.int32)
+        self.upto = np.empty_like(self.order0)
         self.last1 = np.zeros(lanes, np.uint32)
         self.last2 = np.zeros(lanes, np.uint32)
 
@@ -78,19 +79,19 @@ class _Model:
         self.choice = (first, second, third)
         return self.entry2 >> two, self.entry1 >> two
 
-    def magnitudes(self, n: int) -> list[np.ndarray]:
-        """Running counts of order 0."""
-        upto = [self.order0[0, :n]]
-        for row in self.order0[1:, :n]:
-            upto.append(upto[-1] + row)
-        return upto
+    def magnitudes(self, n: int) -> np.ndarray:
+        """Running counts of order 0, a row for each magnitude."""
+        self.upto[0] = self.order0[0]
+        for k in range(1, len(self.order0)):
+            np.add(self.upto[k - 1], self.order0[k], out=self.upto[k])
+        return self.upto[:, :n]
 
-    def learn(self, n: int, chosen: np.ndarray, plain: np.ndarray, bits: np.ndarray,
-              rank: np.ndarray, step: int) -> None:
-        """``plain`` are the blocks that coded a magnitude, ``bits`` these magnitudes."""
+    def learn(self, n: int, chosen: np.ndarray, bits: np.ndarray, rank: np.ndarray,
+              step: int) -> None:
+        """``bits`` are the magnitudes, which count in blocks that coded one."""
         self.whole.reshape(-1)[chosen * self.lanes + self.lane[:n]] += _GAIN
         self.placed.reshape(-1)[chosen * (16 * self.lanes) + self.sure] += _GAIN
-        self.order0.reshape(-1)[bits * self.lanes + plain] += _GAIN
+        self.order0.reshape(-1)[bits * self.lanes + self.lane[:n]] += _GAIN * (chosen >> 1)
         two, three = np.uint32(2), np.uint32(3)
         for table, at, entry in ((self.follows2, self.at2, self.entry2),
                                  (self.follows1, self.at1, self.entry1)):
@@ -112,16 +113,15 @@ class _Span:
         self.low = np.zeros(lanes, np.uint64)
         self.span = np.full(lanes, ~np.uint64(0))
 
-    def narrow(self, at, start: np.ndarray, own: np.ndarray, total: np.ndarray) -> None:
-        """To the part [start, start + own) of total, in the blocks ``at``."""
-        unit = self.span[at] // total.astype(np.uint64)
-        self.low[at] += unit * start.astype(np.uint64)
-        self.span[at] = unit * own.astype(np.uint64)
+    def narrow(self, n: int, start: np.ndarray, own: np.ndarray, total: np.ndarray) -> None:
+        """To the part [start, start + own) of total, in the first n blocks."""
+        unit = self.span[:n] // total.astype(np.uint64)
+        self.low[:n] += unit * start.astype(np.uint64)
+        np.multiply(unit, own.astype(np.uint64), out=self.span[:n])
 
-    def due(self, at) -> np.ndarray:
-        """Those of ``at`` that give off a word; a span across a word border is cut there."""
-        low, span = self.low[at], self.span[at]
-        due = at[span <= _LOW_WORD]
+    def due(self, n: int) -> np.ndarray:
+        """Blocks that give off a word; a span across a word border is cut there."""
+        due = np.flatnonzero(self.span[:n] <= _LOW_WORD)
         if not len(due):
             return due
         low, span = self.low[due], self.span[due]
@@ -168,36 +168,39 @@ def encode(ids: np.ndarray) -> Group:
     magnitude_of = _magnitude(np.arange(1, len(by_rank) + 1, dtype=np.uint32))
     model, coder, out = _Model(lanes, len(by_rank)), _Span(lanes), _Words(lanes)
 
-    def settle(at: np.ndarray) -> None:
-        due = coder.due(at)
+    def settle(n: int) -> None:
+        due = coder.due(n)
         if len(due):
             out.put(due, (coder.low[due] >> _WORD).astype(np.uint32))
             coder.shift(due)
 
     for step in range(BLOCK if lanes > 1 else tail):
         n = lanes if step < tail else lanes - 1
-        lane, rank = model.lane[:n], ranks[step, :n]
+        rank = ranks[step, :n]
         second, first = model.ask(n)
         is2, is1 = rank == second, rank == first
         chosen = np.where(is2, 0, np.where(is1, 1, 2))
         a, b, c = model.choice
         start = np.where(is2, 0, np.where(is1, a, b))
-        coder.narrow(slice(n), start, np.where(is2, a, np.where(is1, b, c)) - start, c)
-        settle(lane)
-        plain = np.flatnonzero(chosen == 2)
-        bits = magnitude_of.take(rank[plain])
-        upto = np.stack([x[plain] for x in model.magnitudes(n)])
-        own = model.order0[bits, plain]
-        coder.narrow(plain, upto[bits, np.arange(len(plain))] - own, own, upto[-1])
+        coder.narrow(n, start, np.where(is2, a, np.where(is1, b, c)) - start, c)
+        settle(n)
+        # a block that coded a prediction takes the whole of its span here
+        plain = chosen == 2
+        bits = magnitude_of.take(rank)
+        upto = model.magnitudes(n)
+        at = bits * lanes + model.lane[:n]
+        own = model.order0.take(at)
+        start = model.upto.take(at) - own
+        coder.narrow(n, start * plain, np.where(plain, own, 1), np.where(plain, upto[-1], 1))
         if len(model.order0) > _EASY_MAGNITUDES:
-            settle(plain)
-        digits = bits.astype(np.uint64)
-        span = coder.span[plain] >> digits
-        rest = (rank[plain] + np.uint32(1)).astype(np.uint64) ^ (np.uint64(1) << digits)
-        coder.low[plain] += span * rest
-        coder.span[plain] = span
-        settle(plain)
-        model.learn(n, chosen, plain, bits, rank, step)
+            settle(n)
+        digits = (bits * plain).astype(np.uint64)
+        rest = (rank + np.uint32(1)).astype(np.uint64) ^ (np.uint64(1) << digits)
+        rest *= plain
+        coder.span[:n] >>= digits
+        coder.low[:n] += coder.span[:n] * rest
+        settle(n)
+        model.learn(n, chosen, bits, rank, step)
     lane = model.lane
     out.put(lane, (coder.low >> _WORD).astype(np.uint32))
     out.put(lane, (coder.low & _LOW_WORD).astype(np.uint32))
@@ -251,49 +254,51 @@ def decode(group: Group, only: slice = slice(None)) -> np.ndarray:
     at, last = begin + 2, len(body) - 1
     ranks = np.zeros((BLOCK, lanes), np.uint32)
 
-    def settle(those: np.ndarray) -> None:
-        due = coder.due(those)
+    def settle(n: int) -> None:
+        due = coder.due(n)
         if len(due):
             code[due] = (code[due] << _WORD) | body[np.minimum(at[due], last)]
             at[due] += 1
             coder.shift(due)
 
-    def met(those, total: np.ndarray) -> np.ndarray:
+    def met(n: int, total: np.ndarray) -> np.ndarray:
         total = total.astype(np.uint64)
-        value = (code[those] - coder.low[those]) // (coder.span[those] // total)
+        value = (code[:n] - coder.low[:n]) // (coder.span[:n] // total)
         return np.minimum(value, total - np.uint64(1)).astype(np.int32)
 
     for step in range(BLOCK if lanes > 1 else tail):
         n = lanes if step < tail else lanes - 1
-        lane = model.lane[:n]
         second, first = model.ask(n)
         a, b, c = model.choice
-        value = met(slice(n), c)
+        value = met(n, c)
         is2, is1 = value < a, value < b
         chosen = np.where(is2, 0, np.where(is1, 1, 2))
         start = np.where(is2, 0, np.where(is1, a, b))
-        coder.narrow(slice(n), start, np.where(is2, a, np.where(is1, b, c)) - start, c)
-        settle(lane)
-        plain = np.flatnonzero(chosen == 2)
-        upto = np.stack([x[plain] for x in model.magnitudes(n)])
-        value = met(plain, upto[-1])
-        bits = np.zeros(len(plain), np.int64)
+        coder.narrow(n, start, np.where(is2, a, np.where(is1, b, c)) - start, c)
+        settle(n)
+        plain = chosen == 2
+        upto = model.magnitudes(n)
+        total = np.where(plain, upto[-1], 1)
+        value = met(n, total)
+        bits = np.zeros(n, np.int32)
         for row in upto[:-1]:
             bits += row <= value
-        own = model.order0[bits, plain]
-        coder.narrow(plain, upto[bits, np.arange(len(plain))] - own, own, upto[-1])
+        slot = bits * lanes + model.lane[:n]
+        own = model.order0.take(slot)
+        start = model.upto.take(slot) - own
+        coder.narrow(n, start * plain, np.where(plain, own, 1), total)
         if len(model.order0) > _EASY_MAGNITUDES:
-            settle(plain)
-        digits = bits.astype(np.uint64)
-        span = coder.span[plain] >> digits
-        rest = (code[plain] - coder.low[plain]) // span
-        coder.low[plain] += span * rest
-        coder.span[plain] = span
-        settle(plain)
-        rank = np.where(is2, second, first)
-        rank[plain] = ((np.uint64(1) << digits) + rest - np.uint64(1)).astype(np.uint32)
+            settle(n)
+        digits = (bits * plain).astype(np.uint64)
+        coder.span[:n] >>= digits
+        rest = (code[:n] - coder.low[:n]) // coder.span[:n]
+        rest *= plain
+        coder.low[:n] += coder.span[:n] * rest
+        settle(n)
+        rank = np.where(plain, ((np.uint64(1) << digits) + rest - np.uint64(1)).astype(np.uint32),
+                        np.where(is2, second, first))
         ranks[step, :n] = rank
-        model.learn(n, chosen, plain, bits, rank, step)
+        model.learn(n, chosen, bits, rank, step)
     flat = ranks.T.reshape(-1)[:(lanes - 1) * BLOCK + tail]
     if int(flat.max()) >= len(known):
         raise ValueError("a block of token ids is damaged")

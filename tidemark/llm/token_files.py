@@ -8,9 +8,11 @@ file: its place (shard, group), the index of its documents, the frequency list
 and the coded blocks. Spark's committer publishes the files, so a lost
 executor or a repeated task leaves no half-written block.
 
-Words are encoded once for each worker: a piece is a run without white space
+Pieces met lately are not encoded again: a piece is a run without white space
 with the one blank before it, or white space, which is where the byte-level
-splitter cuts too. A text that holds a special string is encoded whole.
+splitter cuts too, and pieces of plain letters, digits and signs are cut as it
+cuts them. Texts that hold a special string, and all texts where the file
+asks for another splitter, are encoded whole.
 
 Cases: a null or empty text has the end id only; equal ids are ordered by
 the hash of their text, null ids come first; other columns are not read; an
@@ -19,16 +21,17 @@ empty table gives no records and no rows.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import pre_tokenizers
 
 from tidemark.llm import range_coder
 from tidemark.llm.common import freed_shuffles, total_bytes
@@ -38,37 +41,77 @@ from tidemark.llm.token_counts import open_tokenizer
 GROUP_IDS = 1 << 23
 #: Text that one task encodes.
 SHARD_BYTES = 128 << 20
-#: Distinct pieces a worker remembers before it starts afresh.
-REMEMBERED_PIECES = 400_000
+#: Pieces in a worker's table of recent ones; there are four such tables.
+REMEMBERED_PIECES = 150_000
 
 # White space as Unicode defines it; fixed values of the byte-level splitter.
-_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _PIECE = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
+# Pieces of these characters are split as the byte-level splitter does.
+_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_EASY = re.compile(rf" ?[!-~{_LETTERS}]+")
+_PART = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ {_LETTERS}0-9]+")
 
 
-class _Pieces(dict):
-    """The ids of a piece as bytes, worked out at first sight."""
+def splits_by_bytes(path: str) -> bool:
+    """Whether the file's own settings are those the pieces are cut by."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    first = spec.get("pre_tokenizer") or {}
+    return (spec.get("normalizer") is None and first.get("type") == "ByteLevel"
+            and first.get("use_regex") is True and first.get("add_prefix_space") is False
+            and not any(x["lstrip"] or x["rstrip"] or x["single_word"]
+                        for x in spec.get("added_tokens", [])))
 
-    def __init__(self, tokenizer: Tokenizer) -> None:
+
+class _Recent(dict):
+    """Remembers what was asked for lately: a full table becomes the old one."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
         super().__init__()
-        self.tokenizer = tokenizer
-        self.special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= REMEMBERED_PIECES:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+class _Pieces:
+    """Ids of texts as bytes; each distinct piece is encoded once, while remembered."""
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer = open_tokenizer(path)
+        self.model = self.tokenizer.model
+        self.special = tuple(t.content for t in
+                             self.tokenizer.get_added_tokens_decoder().values())
+        self.cut = splits_by_bytes(path)
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelt = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in range(256)}
+        self.pieces, self.parts = _Recent(self._piece), _Recent(self._part)
 
     def encoded(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.encoded(piece)
-        if len(self) >= REMEMBERED_PIECES:
-            self.clear()
-        self[piece] = ids
-        return ids
+    def _part(self, part: str) -> bytes:
+        found = self.model.tokenize(part.translate(self.spelt))
+        return np.array([t.id for t in found], "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if not _EASY.fullmatch(piece):
+            return self.encoded(piece)
+        return b"".join([self.parts[part] for part in _PART.findall(piece)])
 
     def of(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
+        if not self.cut or any(s in text for s in self.special):
             return self.encoded(text)
-        return b"".join(map(self.__getitem__, _PIECE.findall(text)))
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
 
 
 _open: dict[str, _Pieces] = {}
@@ -76,7 +119,7 @@ _open: dict[str, _Pieces] = {}
 
 def _pieces(path: str) -> _Pieces:
     if path not in _open:
-        _open[path] = _Pieces(open_tokenizer(path))
+        _open[path] = _Pieces(path)
     return _open[path]
 
 
