@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -43,9 +43,11 @@ def text_bytes(column: str = "text") -> F.Column:
     return F.coalesce(F.col(column).cast("string").cast("binary"), F.lit(b""))
 
 
-def batch_of(schema: pa.Schema, **columns: object) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[field.name], type=field.type) for field in schema], schema=schema)
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1500) -> Iterator[pa.RecordBatch]:
+    """Batches cut to a number of rows, so that a task holds few of them as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def total_bytes(docs: DataFrame, column: str = "text") -> int:

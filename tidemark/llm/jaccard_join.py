@@ -19,9 +19,10 @@ Lists are not turned into all their pairs. First every set is compared with
 one set, the one it shares most lists with among the least members of its
 lists. That joins the copies of a text, however many, along a star. What is
 left are lists that still hold several components; only pairs from different
-components are made from them, counted over the lists, bounded, and compared
-in full. So no link between components is lost and none within one is made
-twice.
+components are made from them, where the shingle stands early enough in both
+sets for the sizes of just this pair, then bounded by what can still follow
+it, and compared in full. So no link between components is lost and none
+within one is made twice.
 
 Cases: null and empty texts have the empty set, which links with nothing; a
 text of fewer words than a shingle is one shingle; rows without an id take no
@@ -41,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged, text_bytes
+from tidemark.llm.common import slices, staged, text_bytes
 from tidemark.llm.components import components
 
 #: Words in a shingle, and the least Jaccard similarity in percent.
@@ -115,7 +116,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _frequent(docs: DataFrame, size: int) -> np.ndarray:
     """The shingles met most often in batches of documents, at most ``LAST_SHINGLES``."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(t, size) for t in set(batch.column("text").to_pylist())]
             met, n = np.unique(np.concatenate([np.zeros(0, np.int64), *sets]), return_counts=True)
             often = n > 1
@@ -139,7 +140,7 @@ def _ordered(found: np.ndarray, last: np.ndarray) -> np.ndarray:
 def _sets(docs: DataFrame, size: int, last) -> DataFrame:
     """Id, set size, fingerprint of the set and its shingles in the global order, packed."""
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [_ordered(shingles(t, size), last.value)
                     for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -160,31 +161,33 @@ def _first_shingles(sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _entries(light: int, threshold: int) -> Callable:
-    """Mapper: postings and subsets of each class. Subsets are negative keys."""
+    """Mapper: postings of each class with the shingle's place in the global order,
+    and subsets, which are negative keys at place 0."""
     def entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, nodes, sizes, lasts = [], [], [], []
+        for batch in slices(batches):
+            keys, nodes, sizes, places = [], [], [], []
             for node, n, packed in zip(batch.column("node").to_pylist(),
                                        batch.column("n").to_pylist(),
                                        batch.column("packed").to_pylist(), strict=True):
                 own = np.frombuffer(packed, "<i8")
                 found = [np.zeros(0, np.int64)]
-                posted = own[:_posted(n, threshold)]
                 if _is_posted(n, light, threshold):
-                    found.append(posted)
+                    found.append(own[:_posted(n, threshold)])
                 if n <= light:
                     found.append(np.array(
                         [-1 - (xxhash.xxh3_64_intdigest(own[list(some)].tobytes(), seed=c) >> 1)
                          for c in _subset_sizes(n, light, threshold)
                          for some in combinations(range(n), c)], np.int64))
                 found = np.concatenate(found)
+                place = np.arange(1, len(found) + 1)
+                place[found < 0] = 0
                 keys.append(found)
                 nodes.append(np.full(len(found), node))
                 sizes.append(np.full(len(found), n))
-                lasts.append(np.full(len(found), posted[-1]))
+                places.append(place)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in
-                 (keys, nodes, sizes, lasts)], names=["key", "node", "n", "last"])
+                 (keys, nodes, sizes, places)], names=["key", "node", "n", "place"])
     return entries
 
 
@@ -194,17 +197,22 @@ def _fitting(a: str, b: str, threshold: int) -> F.Column:
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, size: int, threshold: int, last) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets link, compared in full."""
+    """Those of ``pairs`` (a, b) whose sets link, compared in full.
+
+    Sets meet their pairs by a sorted merge at every size, as they must where
+    pairs are too many to broadcast.
+    """
     pairs = staged(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(
         pairs.select(F.col("b").alias("id"))).distinct()
     sets = staged(_sets(docs.join(wanted, "id"), size, last)
                   .select("id", "print", "packed").dropDuplicates(["id", "print"]), "sets")
+    sets = sets.hint("merge")
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("packed").alias("x")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("packed").alias("y")), "b"))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(),
                             strict=True):
@@ -234,7 +242,7 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
         F.min("id").alias("node"), F.first("n").alias("n"), F.first("packed").alias("packed")),
         "classes")
     entries = classes.select("node", "n", "packed").mapInArrow(
-        _entries(light, threshold), "key long, node long, n long, last long")
+        _entries(light, threshold), "key long, node long, n long, place long")
     lists = (entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("least"),
                                         F.max("node").alias("most"))
              .where(F.col("least.node") < F.col("most"))
@@ -264,22 +272,23 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     mixed = (labelled.groupBy("key").agg(F.min("component").alias("c1"),
                                          F.max("component").alias("c2"))
              .where(F.col("c1") < F.col("c2")).select("key"))
-    left = staged(labelled.join(mixed, "key").select("key", "node", "n", "last", "component"),
+    left = staged(labelled.join(mixed, "key").select("key", "node", "n", "place", "component"),
                   "mixed")
     x, y = (left.select("key", *(F.col(c).alias(f"{c}{k}") for c in
-                                 ("node", "n", "last", "component"))) for k in (1, 2))
-    met = (x.join(y, "key").where((F.col("node1") < F.col("node2"))
-                                  & (F.col("component1") != F.col("component2"))
-                                  & _fitting("n1", "n2", threshold))
-           .groupBy("node1", "node2", "n1", "n2", "last1", "last2")
-           .agg(F.sum((F.col("key") >= 0).cast("long")).alias("met"),
-                F.min("key").alias("least_key")))
-    # shared shingles up to where the shorter prefix ends are all counted; behind
-    # it, at most the rest of that set can be shared
-    n = F.when(F.col("last1") <= F.col("last2"), F.col("n1")).otherwise(F.col("n2"))
-    behind = F.floor((n * threshold + 99) / 100) - 1
+                                 ("node", "n", "place", "component"))) for k in (1, 2))
+    # linked sets of these sizes share one of the first n - must + 1 of either; what
+    # they share behind the last such place is at most what is left of the shorter rest
     must = F.floor((F.lit(threshold) * (F.col("n1") + F.col("n2")) + 99 + threshold)
                    / (100 + threshold))
+    met = (x.join(y, "key").where((F.col("node1") < F.col("node2"))
+                                  & (F.col("component1") != F.col("component2"))
+                                  & _fitting("n1", "n2", threshold)
+                                  & (F.col("place1") <= F.col("n1") - must + 1)
+                                  & (F.col("place2") <= F.col("n2") - must + 1))
+           .groupBy("node1", "node2", "n1", "n2")
+           .agg(F.count("*").alias("met"), F.max("place1").alias("place1"),
+                F.max("place2").alias("place2"), F.min("key").alias("least_key")))
+    behind = F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2"))
     open_pairs = met.where((F.col("least_key") < 0) | (F.col("met") + behind >= must)).select(
         F.col("node1").alias("a"), F.col("node2").alias("b"))
     more = staged(_linked(open_pairs, texts, shingle, threshold, last), "links")
