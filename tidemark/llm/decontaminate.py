@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_bytes
+from tidemark.llm.common import slices, text_bytes
 
 #: Benchmark text whose index one broadcast may hold.
 BLOCK_BYTES = 16 << 20
@@ -103,7 +103,7 @@ def _frequencies(docs: DataFrame, wanted: set[Shingle]) -> dict[Shingle, int]:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, total = known.value, Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 words = words_of(text)
                 total.update(p for p in zip(words, words[1:]) if p in of)  # noqa: B905
@@ -161,7 +161,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: i
 def _scan(index, last: bool):
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = index.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text")
             n_words, n_hit, hits, items = [], [], [], []
             for text, runs, names in zip(texts.to_pylist(), batch.column("hits").to_pylist(),

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.common import text_bytes
+from tidemark.llm.common import slices, text_bytes
 
 #: Training rows whose vectors are broadcast.
 LABELLED_ROWS = 4000
@@ -142,7 +142,7 @@ def _counted(docs: DataFrame, text_col: str) -> tuple[int, np.ndarray]:
     """Documents, and documents that hold each term, over all of them."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = np.zeros(TERMS, np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(0).to_pylist()
             for at in range(0, len(texts), 1024):
                 held += (term_counts(texts[at:at + 1024]) > 0).sum(axis=0)
@@ -170,7 +170,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, most: int, id_col: str, text_c
              .groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text"))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts = term_counts(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), pa.array([row.tobytes() for row in counts], pa.binary())],
@@ -200,7 +200,7 @@ def score(docs: DataFrame, space: Space, keep: list[str], text_col: str = "text"
                        text_bytes(text_col).alias("text"))
 
     def vote(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             scores = [votes(term_counts(texts[at:at + 1024]), shared.value, neighbours)
                       for at in range(0, len(texts), 1024)]

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
 from tidemark.llm import range_coder
-from tidemark.llm.common import freed_shuffles, total_bytes
+from tidemark.llm.common import freed_shuffles, slices, total_bytes
 from tidemark.llm.token_counts import open_tokenizer
 
 #: Ids after which a group is closed at the next end of a document.
@@ -159,7 +159,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
                        "ranks", "blocks", "words"])
 
         kind = None
-        for batch in batches:
+        for batch in slices(batches):
             kind = batch.column("id").type
             for doc, text in zip(batch.column("id").to_pylist(),
                                  batch.column("text").to_pylist(), strict=True):
