@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -165,6 +166,74 @@ def test_sentences_cover_all_words():
     assert [len(p) for p in parts] == [2, 4, 4, 3, 1, 1, 3]
 
 
+def plain_long_cut(words, most, worth):
+    """Sizes of the parts of a long sentence, by the rule as it is told; ``worth`` per place."""
+    half, places = most // 2, len(words) - 1
+    fixed = [k for k in range(half, places - half)
+             if worth[k] == min(worth[k - half:k + half + 1])
+             and worth[k] not in worth[k - half:k]]
+    sizes, at = [], -1
+    while at < places:
+        nxt = min([k for k in fixed if k > at], default=places)
+        if nxt - at > most:
+            second = range(at + half + 1, at + most + 1)
+            nxt = next(k for k in second if worth[k] == min(worth[j] for j in second))
+        sizes.append(nxt - at)
+        at = nxt
+    return sizes
+
+
+def worths(words):
+    """What a cut behind each word is worth, worked out with plain integers."""
+    whole = (1 << 64) - 1
+    own = [xxhash.xxh3_64_intdigest(w.encode()) for w in words]
+    out = []
+    for a, b in zip(own, own[1:]):
+        x = ((a ^ (b >> 29)) * 0x9E3779B97F4A7C15 + b) & whole
+        x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & whole
+        out.append(x ^ (x >> 32))
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 40), st.integers(1, 300), st.integers(1, 9), st.integers(0, 1 << 30))
+def test_long_sentences_are_cut_by_their_words(vocabulary, n, most, seed):
+    rng = random.Random(seed)
+    words = [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
+    text = " ".join(w.upper() if rng.random() < 0.2 else w for w in words).encode()
+    parts = [text[a:b].lower().split() for a, b in span_dedup.sentences(text, most)]
+    assert sum(parts, []) == [w.encode() for w in words]
+    sizes = [len(p) for p in parts]
+    assert max(sizes) <= most
+    if n > 3 * most:
+        assert sizes == plain_long_cut(words, most, worths(words))
+    else:
+        assert sizes == [most] * (n // most) + [n % most] * (n % most > 0)
+
+
+@pytest.mark.parametrize("words,most_left", [(60, 45), (2000, 45)])
+def test_spans_find_a_passage_at_any_offset(spark, words, most_left):
+    """Unpunctuated passages in sentences of other words, begun at another place in each."""
+    rng = random.Random(words)
+    rows, passages = [], {}
+    for k in range(100):
+        passage = [f"p{k}x{rng.randrange(500)}" for _ in range(words)]
+        passages[2 * k + 1] = set(passage)
+        for doc in (2 * k, 2 * k + 1):
+            around = [[f"o{doc}x{j}x{i}" for i in range(rng.randrange(60))] for j in (0, 1)]
+            rows.append((doc, " ".join(around[0] + passage + around[1]) + ". The end."))
+    found = {r.doc_id: r for r in span_dedup.remove_spans(documents(spark, rows)).collect()}
+    texts = dict(rows)
+    for doc, passage in passages.items():
+        kept = found[doc].kept.split()
+        assert found[doc].n_removed >= 3
+        assert sum(w in passage for w in kept) <= most_left
+        # nothing around it goes, and the first copy stays whole
+        assert [w for w in kept if w not in passage] == \
+            [w for w in texts[doc].split() if w not in passage]
+        assert found[doc - 1].kept == texts[doc - 1]
+
+
 def plain_sets(text, size=5):
     words = WORD.findall(lowered(text))
     if not words:

@@ -6,10 +6,15 @@ earlier (smaller id, or same document and earlier sentence) is a repeated
 span. Sentences covered by any such span are removed. Overlaps count, and runs
 are judged on the input, not on what is left.
 
-A sentence ends behind ``.``, ``!`` or ``?`` before white space, at a line
-break, and after every ``most_words`` words without such an end, so that long
-unpunctuated passages have sentences too. Sentences are compared without the
-white space around and between their words, letter case ignored for A-Z.
+A sentence ends behind ``.``, ``!`` or ``?`` before white space, or at a line
+break. One of more than ``most_words`` words is cut. Up to three times as many
+words are counted off from its start, as passages meet again at its end. In a
+longer one the words decide, so that equal passages get equal cuts wherever
+they stand: it is cut where the hash of the two words around the cut is least
+among the ``most_words // 2`` places on either side, and a part that is still
+too long where that hash is least in the second half of its next
+``most_words``. Sentences are compared without the white space around and
+between their words, letter case ignored for A-Z.
 
 Cases: null and empty texts have no sentences; a text of fewer sentences than
 a run is left as it is; equal ids are one document read twice, so neither row
@@ -33,8 +38,10 @@ from tidemark.llm.common import staged, text_bytes, total_bytes
 
 #: Sentences in a span.
 RUN = 3
-#: Words after which a sentence without an end is cut.
+#: Most words of a sentence; longer ones are cut.
 MOST_WORDS = 8
+#: Sentences of up to so many times the most words are cut by counting.
+COUNTED = 3
 
 
 def _sentence(most_words: int) -> re.Pattern[bytes]:
@@ -46,7 +53,52 @@ def _sentence(most_words: int) -> re.Pattern[bytes]:
 
 def sentences(text: bytes, most_words: int = MOST_WORDS) -> list[tuple[int, int]]:
     """Byte ranges of the sentences; each has the white space before it."""
-    return [m.span() for m in _sentence(most_words).finditer(text)]
+    found: list[tuple[int, int]] = []
+    parts: list[tuple[int, int]] = []  # of one sentence, by counting
+    for a, b in (m.span() for m in _sentence(most_words).finditer(text)):
+        if parts and (text[a - 1] in b".!?" or _BREAK.match(text, a)):
+            found += _recut(text, parts, most_words)
+            parts = []
+        parts.append((a, b))
+    return found + _recut(text, parts, most_words)
+
+
+_BREAK = re.compile(rb"[ \t\x0b\x0c]*[\r\n]")
+_WORD = re.compile(rb"[^ \t\r\n\x0b\x0c]+")
+
+
+def _recut(text: bytes, parts: list[tuple[int, int]], most_words: int) -> list[tuple[int, int]]:
+    """The parts of a sentence; those of a long one where its words say."""
+    if len(parts) <= COUNTED:
+        return parts
+    start, end = parts[0][0], parts[-1][1]
+    ends = [m.end() for m in _WORD.finditer(text, start, end)]
+    cuts = [start, *(ends[k] for k in _cuts(text[start:end].lower().split(), most_words)), end]
+    return list(zip(cuts, cuts[1:]))  # noqa: B905
+
+
+def _cuts(words: list[bytes], most_words: int) -> list[int]:
+    """Words behind which a long sentence is cut."""
+    own = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    worth = (own[:-1] ^ (own[1:] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + own[1:]
+    worth = (worth ^ (worth >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    worth ^= worth >> np.uint64(32)
+    half = most_words // 2
+    least = np.zeros(len(worth), bool)
+    middle = worth[half:len(worth) - half]
+    least[half:len(worth) - half] = True
+    for k in range(1, half + 1):  # of equal ones, the first
+        least[half:len(worth) - half] &= (middle < worth[half - k:len(worth) - half - k]) \
+            & (middle <= worth[half + k:len(worth) - half + k])
+    found, at, values = [], -1, worth.tolist()
+    for stop in [*np.flatnonzero(least).tolist(), len(words) - 1]:
+        while stop - at > most_words:
+            at = min(range(at + half + 1, at + most_words + 1), key=values.__getitem__)
+            found.append(at)
+        if stop < len(words) - 1:
+            found.append(stop)
+        at = stop
+    return found
 
 
 def _hashes(text: bytes, ranges: list[tuple[int, int]]) -> np.ndarray:
