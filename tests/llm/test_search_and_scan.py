@@ -198,3 +198,56 @@ def test_licenses_empty_and_native(spark):
     assert found.count() == 0
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def scanned(spark, rows):
+    files = spark.createDataFrame(rows, "where string, text string")
+    return {r["where"]: r for r in
+            licenses.scan(files, F.col("where"), keep=["where"]).collect()}
+
+
+def test_licenses_whole_texts_are_licence_files(spark):
+    texts = dict(licenses.TEXTS)
+    wrapped = texts["MIT"]
+    by_paragraph = "\n".join(" ".join(p.split()) for p in wrapped.split("\n\n"))
+    bsd = texts["BSD-3-Clause"].replace("\n", "\r\n") + "\r\nAll rights reserved."
+    rows = [("/m/LICENSE", wrapped), ("/m/src/a", "int main"), ("/p/LICENSE", by_paragraph),
+            ("/p/b", "int b"), ("/b/COPYING", bsd), ("/b/c", "int c"), ("/o/d", "int d"),
+            ("/e/prose", prose(1, 20_000)), ("/n/none", None)]
+    rows += [(f"/{name}/LICENSE", text) for name, text in texts.items()]
+    rows += [(f"/filler/{k}", prose(100 + k, 50)) for k in range(40)]
+    found = scanned(spark, rows)
+    for where, name in (("/m/LICENSE", "MIT"), ("/p/LICENSE", "MIT"),
+                        ("/b/COPYING", "BSD-3-Clause"),
+                        *((f"/{n}/LICENSE", n) for n in texts)):
+        assert (found[where].own_license, found[where].license_file) == (name, True), where
+        assert found[where].similarity > 0.9
+    assert [found[w].license for w in ("/m/src/a", "/p/b", "/b/c", "/o/d", "/n/none")] == [
+        "MIT", "MIT", "BSD-3-Clause", None, None]
+    assert found["/m/src/a"].inherited_from == "/m" and found["/e/prose"].license is None
+
+
+def test_licenses_wrapped_headers(spark):
+    code = "\n".join(f"int f{k}(void) {{ return g{k}; }}" for k in range(30))
+    bsd = ("/* Copyright (c) 2020 A. Nobody\n *\n * Redistribution and use in source and binary "
+           "forms, with or without\n * modification, are permitted provided that the following "
+           "conditions\n * are met:\n *\n */\n\n")
+    apache = "".join(f"# {x}\n" for x in dict(licenses.HEADERS)["Apache-2.0"].splitlines())
+    lesser = "".join(f"// {x}\n" for x in dict(licenses.HEADERS)["LGPL-3.0"].splitlines())
+    sentence = ("# Some tool. This work is licensed under the GNU\n"
+                "# General Public License, version 3. Much else\n# is told in the same block.\n")
+    rows = [("/a", bsd + code), ("/b", apache + "\n" + code), ("/c", lesser + "\n" + code),
+            ("/d", sentence + "\n" + code), ("/e", code), ("/f", bsd), ("/f", bsd)]
+    found = scanned(spark, rows)
+    assert [(found[w].own_license, found[w].license_file) for w in ("/a", "/b", "/c", "/d", "/e")] \
+        == [("BSD-3-Clause", False), ("Apache-2.0", False), ("LGPL-3.0", False),
+            ("GPL-3.0", False), (None, False)]
+
+
+def test_licenses_rare_words_are_needed():
+    idf = {w: 1.0 + len(w) for _, t in licenses.TEXTS for w in licenses._words(t)}
+    for v in licenses.vectors(licenses.TEXTS, idf):
+        rare, least = licenses.rare_words(v, idf, 0.75)
+        common = sum(x * x for w, x in v.weights.items() if w not in rare)
+        heaviest = sorted((v.weights[w] for w in rare), reverse=True)[:least - 1]
+        assert least >= 1 and common + sum(x * x for x in heaviest) < 0.75 ** 2

@@ -7,14 +7,23 @@ no file has, so it only lengthens the vector it is in. Words a template can't
 do without for the required cosine are worked out from their weights, and only
 lines that hold such a word are compared.
 
-A file takes the licence of its best line. A file that consists of licence
-lines for the most part is a licence file and speaks for its directory; files
+Lines are not all: whole files, their blocks (neighbouring lines, up to one
+without a word) and the sentences of a block that go over a line's end are
+compared as one vector each with the full texts of licences, with the headers
+they ask for and with the notices above. Only files and blocks that hold enough
+of a template's rarer words for the required cosine are looked at.
+
+A file takes the licence whose full text it is like, else that of its best
+line, unless it, a block or a sentence is more like a template. A file that consists of
+licence lines for the most part, or is like a template as a whole, is a licence
+file and speaks for its directory; files
 without a licence of their own inherit from the nearest directory above that
 has one. Directories are joined by path: distinct directories first, their
 ancestors after, files last.
 
 All of it are DataFrame expressions. Only template words, their frequencies
-and the templates themselves are literals, bounded by the templates.
+and the templates themselves are literals, bounded by the templates. The words
+of whole files and blocks are counted by grouping, once for equal texts.
 
 Cases: a null or empty text has no licence and may inherit one; a null path is
 the root's file ""; equal paths are separate files; between equal cosines the
@@ -24,9 +33,11 @@ of a directory the higher cosine, then the licence that sorts first.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
+from pathlib import Path
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -58,7 +69,34 @@ TEMPLATES: list[tuple[str, str]] = [
     ("Proprietary", "All rights reserved"),
 ]
 
-#: Least cosine of a line to a template.
+#: Full texts of licences; compared with files and blocks.
+TEXTS: list[tuple[str, str]] = [
+    (p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "texts").glob("*.txt"))]
+
+#: Headers that licences ask for; compared with files and blocks.
+HEADERS: list[tuple[str, str]] = [
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""),
+    ("GPL-3.0", """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""),
+    ("LGPL-3.0", """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Lesser General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/."""),
+]
+
+#: Least cosine of a line, a block or a file to a template.
 SIMILARITY = 0.75
 #: Share of a file's words in licence lines that makes it a licence file.
 FILE_SHARE = 0.5
@@ -115,6 +153,19 @@ def _lines(text: Column) -> Column:
     return F.transform(F.split(parted, r"[\r\n]+"), _tokens)
 
 
+def _blocks(text: Column) -> Column:
+    """Lines joined by line breaks, up to the next line without a word."""
+    lines = F.split(_folded(text), "\r\n|\n|\r")
+    lines = F.transform(lines, lambda x: F.when(x.rlike("[a-z0-9]"), x).otherwise(F.lit("")))
+    return F.split(F.array_join(lines, "\n"), "\n\n+")
+
+
+def _wrapped(block: Column) -> Column:
+    """Sentences of a block that go over a line's end."""
+    parts = F.split(F.regexp_replace(block, r"([.!?;])[ \t\n\f]+", "$1\r"), "\r")
+    return F.filter(parts, lambda x: x.contains("\n"))
+
+
 def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("[a-z0-9]+"), F.lit(0))
 
@@ -123,7 +174,7 @@ def inverse_frequencies(files: DataFrame, text_col: str,
                         templates: list[tuple[str, str]]) -> tuple[dict[str, float], float]:
     """Of each template word over all files, and of a word that no file has."""
     vocabulary = sorted({w for _, text in templates for w in _words(text)})
-    own = F.array_intersect(_tokens(_folded(F.col(text_col))), _strings(vocabulary))
+    own = F.array_intersect(_tokens(_folded(F.col(text_col))), _listed(vocabulary))
     rows = (files.select(F.explode(F.concat(F.array(F.lit("")), own)).alias("word"))
             .groupBy("word").count().collect())
     held = {r.word: r["count"] for r in rows}
@@ -132,6 +183,100 @@ def inverse_frequencies(files: DataFrame, text_col: str,
             math.log(1 + n) + 1)
 
 
+def _listed(words: list[str]) -> Column:
+    return F.split(F.lit(" ".join(words)), " ")
+
+
+class Texts:
+    """Templates that files and blocks are compared with as a whole."""
+
+    def __init__(self, templates: list[tuple[str, str]], idf: dict[str, float], unseen: float,
+                 similarity: float, full: list[tuple[str, str]]):
+        self.known = vectors(templates, idf)
+        self.full = [k for k, template in enumerate(templates) if template in full]
+        self.idf, self.unseen, self.similarity = idf, unseen, similarity
+        self.vocabulary = sorted(idf)
+        self.rare = [rare_words(v, idf, similarity) for v in self.known]
+
+    def near(self, words: Column) -> Column:
+        """Whether ``words`` hold enough different rare words of any template."""
+        def enough(own: Column) -> Column:
+            one = F.lit(False)
+            for rare, least in self.rare:
+                one = one | (F.size(F.array_intersect(own, _listed(rare))) >= least)
+            return (F.size(own) >= min((n for _, n in self.rare), default=0)) & one
+        # bound once by the lambda, not worked out for each template
+        own = F.array(F.array_intersect(words, _listed(
+            sorted({w for rare, _ in self.rare for w in rare}))))
+        return F.exists(own, enough)
+
+    def units(self, lines: Column, text: Column) -> Column:
+        """Structs (whole, words) to compare: the file, its blocks and sentences over lines."""
+        def unit(whole: bool):
+            return lambda x: F.struct(F.lit(whole).alias("whole"), x.alias("words"))
+        words = F.flatten(lines)
+        wrapped = F.flatten(F.transform(_blocks(text), _wrapped))
+        parts = F.transform(F.concat(_blocks(text), wrapped), _tokens)
+        whole = F.transform(F.array(words), unit(True))
+        both = F.concat(whole, F.transform(F.filter(parts, self.near), unit(False)))
+        return F.when(self.near(words), both)
+
+    def matches(self, found: DataFrame) -> DataFrame:
+        """Of rows (key, units) ``key``, the full text ``file`` is like and the best ``part``."""
+        spark = found.sparkSession
+        rows = [{"word": w, "idf": self.idf[w],
+                 "held": [{"k": k, "x": v.weights[w]} for k, v in enumerate(self.known)
+                          if w in v.weights]} for w in self.vocabulary]
+        kind = "array<struct<word:string,idf:double,held:array<struct<k:int,x:double>>>>"
+        weights = F.broadcast(spark.range(1).select(F.inline(F.from_json(
+            F.lit(json.dumps(rows)), kind))))
+        names = F.array(*(F.lit(v.name) for v in self.known))
+        unit = ["key", "unit", "whole"]
+        counted = staged(
+            found.dropDuplicates(["key"])
+            .select("key", F.posexplode("units").alias("unit", "of"))
+            .select("key", "unit", "of.whole", F.explode("of.words").alias("word"))
+            .groupBy(*unit, "word").agg(F.count("*").alias("n"))
+            .join(weights, "word", "left")
+            .select(*unit, (F.col("n") * F.coalesce("idf", F.lit(self.unseen))).alias("x"),
+                    "held"), "units")
+        lengths = counted.groupBy(*unit).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
+        dots = (counted.select(*unit, F.col("x").alias("own"), F.inline("held"))
+                .groupBy(*unit, "k").agg(F.sum(F.col("own") * F.col("x")).alias("dot")))
+        scored = (dots.join(lengths, unit)
+                  .select("key", "whole", (-F.round(F.col("dot") / F.col("length"), 6)).alias("s"),
+                          "unit", "k").where(F.col("s") <= -self.similarity))
+        first = F.struct("s", "unit", "k")
+        full = F.col("whole") & F.col("k").isin(self.full)
+        best = scored.groupBy("key").agg(F.min(F.when(full, first)).alias("file"),
+                                         F.min(first).alias("part"),
+                                         F.max("whole").alias("like"))
+        return best.select("key", *(
+            F.when(F.col(c).isNotNull(), F.struct(
+                (-F.col(f"{c}.s")).alias("similarity"),
+                F.element_at(names, F.col(f"{c}.k") + 1).alias("name"))).alias(c)
+            for c in ("file", "part")), "like")
+
+
+def rare_words(vector: _Vector, idf: dict[str, float], similarity: float) -> tuple[list[str], int]:
+    """A template's rarer words, and how many of them a text needs at least for the cosine.
+
+    The cosine is at most the length of the template's part that is shared, so
+    the commonest words, which hold up to half of what the square asks for,
+    leave the rest to the others; the heaviest of these reach it soonest.
+    """
+    asked, common = similarity * similarity, 0.0
+    words = sorted(vector.weights, key=lambda w: (idf[w], w))
+    while words and common + vector.weights[words[0]] ** 2 <= asked / 2:
+        common += vector.weights[words.pop(0)] ** 2
+    held = 0.0
+    for n, weight in enumerate(sorted((vector.weights[w] for w in words), reverse=True), 1):
+        held += weight * weight
+        if held >= asked - common - 1e-6:
+            return sorted(words), n
+    return sorted(words), len(words)
+
+
 def best_notice(lines: Column, templates: list[_Vector], idf: dict[str, float],
                 unseen: float) -> Column:
     """Per line of ``lines`` the struct (similarity, name) of its nearest template."""
@@ -159,19 +304,22 @@ def best_notice(lines: Column, templates: list[_Vector], idf: dict[str, float],
 
 def scan(files: DataFrame, path: Column, keep: list[str], text_col: str = "text",
          templates: list[tuple[str, str]] = TEMPLATES, similarity: float = SIMILARITY,
-         file_share: float = FILE_SHARE) -> DataFrame:
+         file_share: float = FILE_SHARE, texts: list[tuple[str, str]] = TEXTS,
+         headers: list[tuple[str, str]] = HEADERS) -> DataFrame:
     """Columns ``keep``, ``path``, ``own_license``, ``similarity``, ``license_file``,
     ``license`` and ``inherited_from`` (the directory, where it is inherited) of each file."""
-    templates = sorted(templates)
-    idf, unseen = inverse_frequencies(files, text_col, templates)
+    templates, every = sorted(templates), sorted({*templates, *headers, *texts})
+    all_idf, unseen = inverse_frequencies(files, text_col, every)
+    full = Texts(every, all_idf, unseen, similarity, texts)
+    idf = {w: all_idf[w] for w in sorted({w for _, text in templates for w in _words(text)})}
     known = vectors(templates, idf)
     needed = _strings(must_haves(known, similarity))
     row = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row")
     read = files.select(row, F.coalesce(path, F.lit("")).alias("path"),
-                        _lines(F.col(text_col)).alias("lines"))
-    words = F.aggregate("lines", F.lit(0), lambda s, x: s + F.size(x))
-    read = read.select("row", "path", words.alias("words"),
-                       F.filter("lines", lambda x: F.arrays_overlap(x, needed)).alias("lines"))
+                        F.col(text_col).alias("text"), _lines(F.col(text_col)).alias("all"))
+    words = F.aggregate("all", F.lit(0), lambda s, x: s + F.size(x))
+    read = read.select("row", "path", "text", "all", words.alias("words"),
+                       F.filter("all", lambda x: F.arrays_overlap(x, needed)).alias("lines"))
     met = read.withColumn("notices", best_notice(F.col("lines"), known, idf, unseen))
     met = met.withColumn("notices", F.filter(
         F.zip_with("notices", "lines", lambda n, x: F.struct(
@@ -180,12 +328,32 @@ def scan(files: DataFrame, path: Column, keep: list[str], text_col: str = "text"
     best = F.reduce("notices", F.element_at(F.col("notices"), 1), lambda a, b: F.when(
         b["similarity"] > a["similarity"], b).otherwise(a))
     said = F.aggregate("notices", F.lit(0), lambda s, n: s + n["words"])
-    own = staged(
-        met.withColumn("best", F.when(F.size("notices") > 0, best))
+    units = full.units(F.col("all"), F.col("text"))
+    by_line = staged(
+        met.withColumn("best", F.when(F.size("notices") > 0, best)).withColumn("units", units)
         .select("row", "path", _parent(F.col("path")).alias("dir"),
-                F.col("best.name").alias("own_license"), F.col("best.similarity"),
+                F.struct("best.similarity", "best.name").alias("line"),
                 (F.col("best").isNotNull() & (said >= F.col("words") * file_share))
-                .alias("license_file")), "licenses")
+                .alias("mostly"),
+                F.when(F.col("units").isNotNull(), F.sha2(F.col("text").cast("binary"), 256))
+                .alias("key"), "units"), "licenses")
+    matches = staged(full.matches(by_line.where(F.col("key").isNotNull()).select("key", "units")),
+                     "matches")
+    by_line = by_line.drop("units")
+    none = F.lit(None).cast(matches.schema["file"].dataType)
+    own = (by_line.where(F.col("key").isNotNull()).join(matches, "key", "left").drop("key")
+           .unionByName(by_line.where(F.col("key").isNull()).drop("key")
+                        .withColumns({"file": none, "part": none,
+                                      "like": F.lit(None).cast("boolean")})))
+    line = F.when(F.col("line.name").isNotNull(), F.col("line"))
+    more = (F.col("part").isNotNull()
+            & (line.isNull() | (F.col("part.similarity") > F.col("line.similarity"))))
+    own = (own.withColumn("more", F.coalesce(more, F.lit(False)))
+           .withColumn("own", F.coalesce("file", F.when(F.col("more"), F.col("part")), line))
+           .select("row", "path", "dir", F.col("own.name").alias("own_license"),
+                   F.col("own.similarity"),
+                   (F.col("mostly") | F.col("file").isNotNull()
+                    | (F.col("more") & F.coalesce("like", F.lit(False)))).alias("license_file")))
 
     best_first = F.struct(-F.col("similarity"), F.col("own_license"))
     of_dir = own.where("license_file").groupBy("dir").agg(F.min(best_first).alias("best")).select(
