@@ -278,6 +278,14 @@ def test_join_awkward(spark):
     assert got == plain_components(rows)
 
 
+def test_join_one_id_with_many_texts(spark):
+    a, b, c, d = (prose(k, 40) for k in range(50, 54))
+    rows = [(2, a), (5, b), (7, d), (9, a), (9, b), (9, c), (9, d), (9, ""), (11, c)]
+    got = got_components(jaccard_join.jaccard_join(documents(spark, rows)))
+    assert got == plain_components(rows)
+    assert {component for _, _, component in got} == {2}
+
+
 def test_join_small_sets_of_all_sizes(spark):
     rng = random.Random(3)
     rows = []

@@ -252,9 +252,13 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     links = staged(_linked(stars.select(F.col("node").alias("a"), F.col("best.head").alias("b")),
                            texts, shingle, threshold, last), "links")
     # rows that share an id belong together whatever their sets are
-    same_id = (rows.where(F.col("n") > 0).join(classes.select("print", "node"), "print")
-               .groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-               .where(F.col("a") < F.col("b")).select("a", "b"))
+    placed = staged(rows.select("id", "n", "print").join(classes.select("print", "node"),
+                                                         "print", "left"), "placed")
+    known = placed.where(F.col("node").isNotNull())
+    several = (known.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("most"))
+               .where(F.col("a") < F.col("most")).select("id", "a"))
+    same_id = (known.join(several, "id").where(F.col("a") < F.col("node"))
+               .select("a", F.col("node").alias("b")).distinct())
     links = links.unionByName(same_id)
     label = components(links)
 
@@ -285,9 +289,7 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     more = staged(_linked(open_pairs, texts, shingle, threshold, last), "links")
     label = components(links.unionByName(more))
 
-    named = (rows.select("id", "n", "print")
-             .join(classes.select("print", "node"), "print", "left")
-             .join(label, "node", "left")
+    named = (placed.join(label, "node", "left")
              .groupBy("id", "n", "print")
              .agg(F.count("*").alias("times"),
                   F.min(F.coalesce("component", "node", "id")).alias("component_id"),
