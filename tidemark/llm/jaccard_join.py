@@ -21,7 +21,8 @@ lists. That joins the copies of a text, however many, along a star. What is
 left are lists that still hold several components; only pairs from different
 components are made from them, counted over the lists, bounded, and compared
 in full. So no link between components is lost and none within one is made
-twice.
+twice. What is returned are classes and components only: links inside a
+component that the star has joined are neither made nor counted.
 
 Cases: null and empty texts have the empty set, which links with nothing; a
 text of fewer words than a shingle is one shingle; rows without an id take no
