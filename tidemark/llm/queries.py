@@ -10,6 +10,7 @@ from tidemark.llm import (
     decontaminate,
     jaccard_join,
     licenses,
+    merkle,
     mixing,
     quality,
     span_dedup,
@@ -17,9 +18,11 @@ from tidemark.llm import (
     token_counts,
     token_files,
     topk_search,
+    url_filter,
 )
 from tidemark.llm.common import staged
-from tidemark.llm.sql import LEAKS_SQL, MIX_SQL, TOPK_SQL, license_sql
+from tidemark.llm.sql import (LEAKS_SQL, MANIFEST_SQL, MIX_SQL, TOPK_SQL, license_sql,
+                              url_sql)
 from tidemark.plans.registry import query, table
 from tidemark.session import scratch
 
@@ -124,3 +127,41 @@ def document_path() -> F.Column:
                                        licenses.FILE_SHARE))
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), document_path(), keep=["doc_id"])
+
+
+#: Host, path and verdict.
+URL_RULES = [
+    ("com", "/", url_filter.ALLOW), ("example.com", "/en/", url_filter.BLOCK),
+    ("www.example.com", "/en/", url_filter.ALLOW), ("net", "/es/", url_filter.BLOCK),
+    ("net", "/fr/", url_filter.BLOCK)]
+
+
+def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """Rules as rows whose size Spark knows."""
+    row = F.explode(F.array(*(F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"),
+                                       F.lit(v).alias("verdict")) for h, p, v in rules)))
+    return spark.range(1).select(row.alias("rule")).select("rule.*")
+
+
+@query("op11_url_filter", url_sql(URL_RULES, url_filter.ALLOW))
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES),
+                              keep=["page_id"])
+    return judged.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+@query("op13_merkle_manifest", MANIFEST_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 2 divides the id's checksum the presented text has lost its line breaks."""
+    docs = table(spark, sf_dir, "documents")
+    text, others = F.col("text"), [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    shown = F.when(even, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
+    proved = merkle.prove(docs, merkle.leaf_digest(*others, text), tree=F.col("source"),
+                          order=F.col("doc_id"),
+                          keep=[F.col("doc_id"), merkle.leaf_digest(*others, shown).alias("shown")])
+    return proved.select(
+        "row.doc_id", "leaf", "subroot", "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        merkle.fold(F.col("row.shown"), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))

@@ -162,3 +162,95 @@ SELECT doc_id, path, own_license, similarity, license_file,
        CASE WHEN own_license IS NULL THEN from_dir END AS inherited_from
 FROM own LEFT JOIN nearest USING (dir)
 """
+
+MANIFEST_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('+' || source, '') AS tree,
+         ['' || doc_id, source, lang, '' || n_chars, text] AS fields,
+         CASE WHEN xor(list_reduce(string_split('' || doc_id, ''), lambda crc, digit:
+                list_reduce(range(8), lambda x, k:
+                  CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END,
+                  xor(crc, CAST(ascii(digit) AS BIGINT))),
+                CAST(4294967295 AS BIGINT)), 4294967295) % 2 = 0
+              THEN replace(text, chr(10), '') ELSE text END AS presented
+  FROM documents),
+digest AS (
+  SELECT r, doc_id, tree,
+         sha256(array_to_string(list_transform(fields, lambda f:
+           coalesce(strlen(f) || ':' || f, '-')), '')) AS leaf,
+         sha256(array_to_string(list_transform(fields[1:4] || [presented], lambda f:
+           coalesce(strlen(f) || ':' || f, '-')), '')) AS shown
+  FROM doc),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM digest),
+level AS (
+  SELECT tree, 0 AS up, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY tree
+  UNION ALL
+  SELECT tree, up + 1, list_transform(range((len(nodes) + 2) // 3), lambda k:
+           sha256(array_to_string(nodes[3 * k + 1:3 * k + 3], '')))
+  FROM level WHERE len(nodes) > 1),
+subroot AS (
+  SELECT tree, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS place
+  FROM level WHERE len(nodes) = 1),
+top AS (
+  SELECT 0 AS up, list(subroot ORDER BY place) AS nodes FROM subroot HAVING count(*) > 0
+  UNION ALL
+  SELECT up + 1, list_transform(range((len(nodes) + 2) // 3), lambda k:
+           sha256(array_to_string(nodes[3 * k + 1:3 * k + 3], '')))
+  FROM top WHERE len(nodes) > 1),
+run AS (
+  SELECT tree, up, k, nodes[3 * k + 1:3 * k + 3] AS nodes
+  FROM (SELECT *, unnest(range((len(nodes) + 2) // 3)) AS k FROM level WHERE len(nodes) > 1)),
+upper_run AS (
+  SELECT up, k, nodes[3 * k + 1:3 * k + 3] AS nodes
+  FROM (SELECT *, unnest(range((len(nodes) + 2) // 3)) AS k FROM top WHERE len(nodes) > 1)),
+climb AS (
+  SELECT r, tree, 0 AS up, pos, shown AS node, '' AS siblings FROM placed
+  UNION ALL
+  SELECT c.r, c.tree, c.up + 1, c.pos // 3,
+         sha256(array_to_string(list_transform(range(len(nodes)), lambda k:
+           CASE WHEN k = c.pos % 3 THEN c.node ELSE nodes[k + 1] END), '')),
+         c.siblings || array_to_string(list_transform(range(len(nodes)), lambda k:
+           CASE WHEN k = c.pos % 3 THEN '' ELSE nodes[k + 1] END), '')
+  FROM climb c JOIN run ON run.tree = c.tree AND run.up = c.up AND run.k = c.pos // 3),
+arrived AS (
+  SELECT c.* FROM climb c JOIN level l ON l.tree = c.tree AND l.up = c.up AND len(l.nodes) = 1),
+upper_climb AS (
+  SELECT r, 0 AS up, s.place AS pos, node, siblings FROM arrived JOIN subroot s USING (tree)
+  UNION ALL
+  SELECT c.r, c.up + 1, c.pos // 3,
+         sha256(array_to_string(list_transform(range(len(nodes)), lambda k:
+           CASE WHEN k = c.pos % 3 THEN c.node ELSE nodes[k + 1] END), '')),
+         c.siblings || array_to_string(list_transform(range(len(nodes)), lambda k:
+           CASE WHEN k = c.pos % 3 THEN '' ELSE nodes[k + 1] END), '')
+  FROM upper_climb c JOIN upper_run u ON u.up = c.up AND u.k = c.pos // 3),
+root AS (SELECT up, nodes[1] AS root FROM top WHERE len(nodes) = 1)
+SELECT p.doc_id, p.leaf, s.subroot, root.root, sha256(c.siblings) AS proof_sha256,
+       c.node AS folded_root, c.node = root.root AS verified
+FROM placed p JOIN subroot s USING (tree) JOIN upper_climb c USING (r) JOIN root ON root.up = c.up
+"""
+
+
+def url_sql(rules: list[tuple[str, str, str]], default: str) -> str:
+    """URLs against every rule, with the rules as values."""
+    values = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in rules)
+    return rf"""
+WITH page AS (
+  SELECT row_number() OVER () AS r, page_id,
+         CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+place AS (
+  SELECT r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                               'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM page),
+rules AS (SELECT * FROM (VALUES {values}) v(rule_host, rule_path, verdict)),
+fitting AS (
+  SELECT place.*, rule_host || rule_path AS rule, verdict,
+         row_number() OVER (PARTITION BY r ORDER BY length(rule_host || rule_path) DESC,
+                            length(rule_host) DESC, verdict DESC) AS nth
+  FROM place LEFT JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(verdict, '{default}') AS verdict
+FROM fitting WHERE nth = 1
+"""
