@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    collocations,
     decontaminate,
     jaccard_join,
     licenses,
@@ -21,8 +22,8 @@ from tidemark.llm import (
     url_filter,
 )
 from tidemark.llm.common import staged
-from tidemark.llm.sql import (LEAKS_SQL, MANIFEST_SQL, MIX_SQL, TOPK_SQL, license_sql,
-                              url_sql)
+from tidemark.llm.sql import (COLLOCATIONS_SQL, LEAKS_SQL, MANIFEST_SQL, MIX_SQL, TOPK_SQL,
+                              license_sql, url_sql)
 from tidemark.plans.registry import query, table
 from tidemark.session import scratch
 
@@ -150,6 +151,12 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+@query("op12_collocations", COLLOCATIONS_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.best(collocations.mine(table(spark, sf_dir, "documents")), 2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 @query("op13_merkle_manifest", MANIFEST_SQL)
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where 2 divides the id's checksum the presented text has lost its line breaks."""

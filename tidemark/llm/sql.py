@@ -231,6 +231,44 @@ SELECT p.doc_id, p.leaf, s.subroot, root.root, sha256(c.siblings) AS proof_sha25
 FROM placed p JOIN subroot s USING (tree) JOIN upper_climb c USING (r) JOIN root ON root.up = c.up
 """
 
+COLLOCATIONS_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')),
+         '[^\x20\x09]+') AS w
+  FROM documents),
+gram AS (
+  SELECT lang, size, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS f
+  FROM (SELECT lang, size, w[i:i + size - 1] AS g
+        FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+              FROM piece, (SELECT unnest(range(1, 5)) AS size)))
+  GROUP BY lang, size, phrase),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM gram WHERE size = 1 GROUP BY lang),
+candidate AS (SELECT lang, size, phrase, g, f AS a FROM gram WHERE size > 1 AND f >= 30),
+cut AS (
+  SELECT c.lang, c.phrase, c.size, c.a, k, lf.f AS l, rf.f AS r,
+         CAST(CAST(2000000 AS HUGEINT) * c.a // (lf.f + rf.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidate) c
+  JOIN gram lf ON lf.lang = c.lang AND lf.phrase = array_to_string(c.g[1:k], ' ')
+  JOIN gram rf ON rf.lang = c.lang AND rf.phrase = array_to_string(c.g[k + 1:c.size], ' ')),
+scored AS (SELECT * FROM cut
+           QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+holding AS (
+  SELECT lang, part, max(a) AS longer
+  FROM (SELECT lang, a, array_to_string(g[i:i + m - 1], ' ') AS part
+        FROM (SELECT *, unnest(range(1, size - m + 2)) AS i
+              FROM (SELECT *, unnest(range(2, size)) AS m FROM candidate)))
+  GROUP BY lang, part)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang
+                                  ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n, score
+FROM scored s JOIN total USING (lang)
+LEFT JOIN holding h ON h.lang = s.lang AND h.part = s.phrase
+WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)
+QUALIFY rank <= 2000
+"""
+
 
 def url_sql(rules: list[tuple[str, str, str]], default: str) -> str:
     """URLs against every rule, with the rules as values."""

@@ -30,7 +30,6 @@ a very long text is cut into overlapping pieces; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import occurrences as occ
 from tidemark.llm.common import staged, text_bytes, total_bytes
+from tidemark.llm.hashing import Hash
 
 #: Bytes in the strings that are compared.
 WINDOW = 100
@@ -48,44 +48,6 @@ GRAM = 32
 PIECE = 1 << 18
 
 
-class _Hash:
-    """Hashes of any part of a piece, from running sums of a polynomial over 64 bits."""
-
-    @staticmethod
-    @cache
-    def _tables(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        rng = np.random.default_rng(seed)
-        of_byte = rng.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        base = int(rng.integers(1 << 62)) * 4 + 5
-        powers = np.full(size, base, np.uint64)
-        powers[0] = 1
-        inverse = np.full(size, pow(base, -1, 1 << 64), np.uint64)
-        inverse[0] = 1
-        with np.errstate(over="ignore"):
-            return of_byte, np.cumprod(powers), np.cumprod(inverse)
-
-    def __init__(self, text: np.ndarray, seed: int) -> None:
-        size = 1 << max(19, int(len(text)).bit_length())
-        of_byte, powers, self.inverse = self._tables(seed, size)
-        self.sums = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum(of_byte[text] * powers[:len(text)], out=self.sums[1:])
-
-    def grams(self, size: int) -> np.ndarray:
-        found = self.sums[size:] - self.sums[:-size]
-        found *= self.inverse[:len(found)]
-        return _mixed(found)
-
-    def parts(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mixed((self.sums[end] - self.sums[start]) * self.inverse[start])
-
-
-def _mixed(hashes: np.ndarray) -> np.ndarray:
-    hashes = hashes ^ (hashes >> np.uint64(32))
-    hashes *= np.uint64(0xD6E8FEB86659FD93)
-    hashes ^= hashes >> np.uint64(29)
-    return hashes
-
-
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """For each start, the place of the least of ``width`` values, leftmost on ties."""
     place = np.arange(len(values), dtype=np.int32)
@@ -124,7 +86,7 @@ def _runs(window: int, gram: int):
     def rows_of(batch: pa.RecordBatch) -> Iterator[occ.Rows]:
         ids, checks = batch.column("id").to_numpy(), batch.column("check").to_numpy()
         for text, spans in _pieces(batch, window):
-            first, second = _Hash(text, 1), _Hash(text, 2)
+            first, second = Hash(text, 1), Hash(text, 2)
             grams = first.grams(gram)
             least = _least(grams, window - gram + 1)
             begin, end, skipped, row = (np.array(x) for x in zip(*spans, strict=True))
@@ -158,8 +120,8 @@ def _windows(window: int):
                 at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
                 part = raw[begin:begin + PIECE + 2 * window]
                 own = at - begin
-                yield {"k1": _Hash(part, 3).parts(own, own + window),
-                       "k2": _Hash(part, 4).parts(own, own + window),
+                yield {"k1": Hash(part, 3).parts(own, own + window),
+                       "k2": Hash(part, 4).parts(own, own + window),
                        "id": np.full(len(at), ids[k]), "check": np.full(len(at), checks[k]),
                        "at": at, "run": np.ones(len(at), np.int64)}
     return rows_of
