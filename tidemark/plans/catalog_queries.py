@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.control import audit as A
+from tidemark.control import events as CE
 from tidemark.control import table as CT
 from tidemark.functions import types as TY
 from tidemark.plans import inputs as I
@@ -278,6 +279,43 @@ def control_hwm(spark: SparkSession, sf: str) -> DataFrame:
                               I.LOAD_STAMP).select(*_STATE)
 
 
+def control_events(spark: SparkSession, sf: str) -> DataFrame:
+    """An event sets a watermark, a flag or a status of the row with the user's number."""
+    kind, moment = F.col("event_type"), F.col("ts").cast("string")
+    column = (F.when(kind == "purchase", "last_run_time").when(kind == "signup", "status_flag")
+              .when(kind == "error", "load_status_cd").otherwise("hvr_last_processed_value"))
+    value = (F.when(kind == "signup", "N").when(kind == "error", "E")
+             .when(F.col("event_id") % 7 != 0, moment))
+    return table(spark, sf, "events").select(
+        F.col("event_id").alias("number"), F.col("user_id").cast("int").alias("id"),
+        F.lit(CT.CHANGES_TO_DB).alias("data_path"), column.alias("column"), value.alias("value"))
+
+
+@query("control_log", f"""WITH {CONTROL_SQL},
+  newest AS (
+    SELECT user_id, event_type, event_id, ts,
+      CASE event_type WHEN 'purchase' THEN 1 WHEN 'signup' THEN 2 WHEN 'error' THEN 3 ELSE 4 END
+        AS kind FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, kind ORDER BY event_id DESC) = 1),
+  put AS (SELECT *, CASE WHEN event_id % 7 <> 0 THEN ts END AS moment FROM newest)
+  SELECT id, 'SRC2GP' AS data_path,
+    CASE WHEN a.kind IS NULL THEN last_run_time ELSE a.moment END AS last_run_time,
+    second_last_run_time,
+    CASE WHEN d.kind IS NULL THEN hvr_last_processed_value ELSE d.moment END
+      AS hvr_last_processed_value,
+    CASE WHEN b.kind IS NULL THEN status_flag ELSE 'N' END AS status_flag,
+    CASE WHEN c.kind IS NULL THEN load_status_cd ELSE 'E' END AS load_status_cd
+  FROM ctl LEFT JOIN put a ON a.user_id = id AND a.kind = 1
+    LEFT JOIN put b ON b.user_id = id AND b.kind = 2
+    LEFT JOIN put c ON c.user_id = id AND c.kind = 3
+    LEFT JOIN put d ON d.user_id = id AND d.kind = 4""")
+def control_log(spark: SparkSession, sf: str) -> DataFrame:
+    control = control_rows(spark, sf).withColumns({
+        "id": F.col("id").cast("int"), "data_path": F.lit(CT.CHANGES_TO_DB)})
+    state = CE.with_events(control, control_events(spark, sf))
+    return state.select(F.col("id").cast("long").alias("id"), *_STATE[1:])
+
+
 @query("control_connections", """
   WITH conn AS (SELECT n_nationkey AS id, n_name AS host, CAST(5432 AS INTEGER) AS port,
                        r_name AS dbname FROM nation JOIN region ON n_regionkey = r_regionkey)

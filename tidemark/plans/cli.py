@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark import schema as S
 from tidemark.control import audit
 from tidemark.control import table as control_table
+from tidemark.control.events import ControlLog
 from tidemark.plans.sync import LoadSpec, run_due
 from tidemark.session import RECOMMENDED_CONF
-from tidemark.sinks.publish import Versions
 from tidemark.sinks.targets import JdbcTarget, TableTarget
 from tidemark.sources import jdbc
 
@@ -97,7 +97,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         return TableTarget(spark, name, f"{args.warehouse}/{spec.target_schema}/{spec.target_table}")
 
     outcomes = run_due(
-        spark, Versions(spark, args.control), args.audit, route=args.route, schema=args.schema,
+        spark, ControlLog(spark, args.control), args.audit, route=args.route, schema=args.schema,
         load_type=args.load_type, now=now, load_id=args.load_id, source_of=source_of,
         target_of=target_of, group=args.group,
         tables=args.tables.split(",") if args.tables else None, archive_root=args.archive,

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tidemark import schema as S
 from tidemark.control import audit
 from tidemark.control import table as control_table
+from tidemark.control.events import ControlLog
 from tidemark.functions.types import drift_between
 from tidemark.operators import merge as M
 from tidemark.operators.changes import apply_changes, reduced_changes
@@ -382,7 +383,8 @@ class Outcome:
     counts: dict = field(default_factory=dict)
 
 
-def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: str, schema: str,
+def run_due(spark: SparkSession, control: Versions | ControlLog, audit_path: str, *, route: str,
+            schema: str,
             load_type: str, now: datetime, load_id: int,
             source_of: Callable[[LoadSpec], DataFrame], target_of: Callable[[LoadSpec], object],
             group: int | None = None, tables: Sequence[str] | None = None,
@@ -390,12 +392,16 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
             special: bool = False, at_once: int = 1, **more) -> list[Outcome]:
     """Run every due load of a route, ``at_once`` of them at a time.
 
+    With a ``ControlLog`` several runs may work on one control table; the loads
+    of one run never lose one another's updates.
+
     With ``drops``, change routes read the files that wait in that folder and
     move them below ``archive_root`` afterwards; ``source_of`` is not asked.
 
     Data is published before the watermark moves, so a run that dies in between
     is repeated. Repeating a load under the same ``load_id`` changes nothing;
-    only an append to a database adds its rows again. A failing load is logged and marked, the next one still runs.
+    only an append to a database adds its rows again. A failing load is logged and
+    marked, the next one still runs.
     """
     state = control.read(spark.createDataFrame([], control_table.SCHEMA).schema)
     # control rows are one per configured table pair
@@ -445,8 +451,11 @@ def run_due(spark: SparkSession, control: Versions, audit_path: str, *, route: s
         return list(pool.map(run, rows))
 
 
-def _save(control: Versions, change: Callable[[DataFrame], DataFrame]) -> None:
-    """Next version of the control table; the table holds one row per load."""
+def _save(control: Versions | ControlLog, change: Callable[[DataFrame], DataFrame]) -> None:
+    """Next event, or next version, of the control table; it holds one row per load."""
+    if isinstance(control, ControlLog):
+        control.update(change)
+        return
     schema = control.spark.createDataFrame([], control_table.SCHEMA).schema
     version = control.current()
     state = control.read(schema)
