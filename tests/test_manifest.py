@@ -1,0 +1,190 @@
+"""Targets by manifest: all partitions of a load at once, or none."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_sync import T0, T1, T2
+from tidemark import fs
+from tidemark.operators import merge as M
+from tidemark.plans.sync import LoadSpec, load_changes, load_table
+from tidemark.sinks import manifest
+from tidemark.sinks.manifest import ROWS, STATE, ManifestTarget
+
+SCHEMA = "id int, v string, p string, q int"
+FIRST = [(1, "a", "x", 1), (2, "b", "x", 2), (3, "c", "y", 1), (4, "d", None, 1), (5, "e", "z/ %", 1)]
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture
+def target(spark, folder):
+    target = ManifestTarget(spark, f"{folder}/t")
+    target.redefine(spark.createDataFrame(FIRST, SCHEMA), "load1", ["p", "q"])
+    return target
+
+
+def merged(spark, target, incoming, **how):
+    incoming = spark.createDataFrame(incoming, SCHEMA)
+    return (M.merge_partitioned(target.read(), incoming, ["id"], ["p", "q"]),
+            M.affected_partitions(incoming, ["p", "q"]))
+
+
+def test_round_trip_with_null_and_odd_partitions(target):
+    assert rows(target.read()) == rows_of(FIRST)
+    assert target.partition_by == ["p", "q"] and target.row_count() == 5
+    assert target.manifest().count() == 5
+
+
+def rows_of(values):
+    return sorted(values, key=repr)
+
+
+def test_replace_partitions_leaves_the_others_where_they_are(spark, target):
+    before = {(r.p, r.q): r[STATE] for r in target.manifest().collect()}
+    target.replace_partitions(*merged(spark, target, [(1, "A", "x", 1), (6, "f", "w", 1)]))
+    assert rows(target.read()) == rows_of([(1, "A", "x", 1), (6, "f", "w", 1), *FIRST[1:]])
+    after = {(r.p, r.q): r[STATE] for r in target.manifest().collect()}
+    assert {k for k, s in after.items() if before.get(k) != s} == {("x", 1), ("w", 1)}
+
+
+def test_an_emptied_partition_is_not_named_any_more(spark, target):
+    gone = spark.createDataFrame([("x", 1), (None, 1), ("never", 7)], "p string, q int")
+    target.replace_partitions(spark.createDataFrame([], SCHEMA), gone)
+    assert rows(target.read()) == rows_of([FIRST[1], FIRST[2], FIRST[4]])
+
+
+def test_append_adds_a_state_and_repeats_itself_away(spark, target):
+    for value in ("once", "twice"):
+        target.append(spark.createDataFrame([(9, value, "x", 1)], SCHEMA), state="load2")
+    assert rows(target.read()) == rows_of([*FIRST, (9, "twice", "x", 1)])
+    target.append(spark.createDataFrame([(10, "t", "x", 1)], SCHEMA), state="load20")
+    target.append(spark.createDataFrame([(9, "third", "x", 1)], SCHEMA), state="load2")
+    assert target.row_count() == 7
+
+
+def test_a_run_lost_between_partitions_leaves_the_old_state(spark, target, monkeypatch):
+    """Its files are there, by partition, but no marker names them."""
+    change = [(1, "A", "x", 1), (3, "C", "y", 1)]
+    with monkeypatch.context() as patch:
+        real = manifest.orc.write
+
+        def lost(df, path, **layout):
+            real(df.where("p = 'x'"), path, **layout)
+            raise RuntimeError("lost")
+
+        patch.setattr(manifest.orc, "write", lost)
+        with pytest.raises(RuntimeError):
+            target.replace_partitions(*merged(spark, target, change))
+    assert len(fs.names(spark, f"{target.root}/data")) == 2
+    assert rows(target.read()) == rows_of(FIRST)
+    with monkeypatch.context() as patch:
+        def unmarked(df, version):
+            raise RuntimeError("lost")
+
+        patch.setattr(target.versions, "publish", unmarked)
+        with pytest.raises(RuntimeError):
+            target.replace_partitions(*merged(spark, target, change))
+    assert rows(target.read()) == rows_of(FIRST)
+    target.replace_partitions(*merged(spark, target, change))
+    assert rows(target.read()) == rows_of([(1, "A", "x", 1), (3, "C", "y", 1), FIRST[1], *FIRST[3:]])
+    assert len(fs.names(spark, f"{target.root}/data")) == 2     # the lost ones are gone
+
+
+def test_a_new_definition_counts_with_its_data(spark, target, monkeypatch):
+    wider = spark.createDataFrame([(1, 2.5, 7)], "id int, w double, q int")
+    with monkeypatch.context() as patch:
+        def lost(*_, **__):
+            raise RuntimeError("lost")
+        patch.setattr(manifest.orc, "write", lost)
+        with pytest.raises(RuntimeError):
+            target.redefine(wider, "load2", ["q"])
+    assert rows(target.read()) == rows_of(FIRST) and target.partition_by == ["p", "q"]
+    target.redefine(wider, "load2")
+    assert rows(target.read()) == [(1, 2.5, 7)] and target.partition_by == []
+    assert target.read().schema.simpleString() == wider.schema.simpleString()
+
+
+def test_old_manifests_are_readable_until_pruned(spark, target):
+    first = target.versions.current()
+    target.replace(spark.createDataFrame([(7, "g", "x", 1)], SCHEMA), "load2")
+    assert rows(target.read(first)) == rows_of(FIRST)
+    target.replace(spark.createDataFrame([(8, "h", "x", 1)], SCHEMA), "load3")
+    assert first not in target.versions.complete()
+    assert len(fs.names(spark, f"{target.root}/data")) == 2
+
+
+def test_vacuum_removes_superseded_partitions_only(spark, target):
+    for n in range(3):
+        target.replace_partitions(*merged(spark, target, [(1, f"A{n}", "x", 1), (4, "D", None, 1)]))
+    before = rows(target.read())
+    assert target.vacuum() == 2                 # x and null, of the first state
+    assert rows(target.read()) == before and target.vacuum() == 0
+
+
+def test_reading_prunes_by_manifest(spark, folder):
+    target = ManifestTarget(spark, f"{folder}/pruned")
+    target.redefine(spark.range(100).selectExpr("id", "cast(id % 10 as int) p"), "load1", ["p"])
+    target.replace_partitions(spark.createDataFrame([(5, 5)], "id long, p int"),
+                              spark.createDataFrame([(5,)], "p int"))
+    plan = target.read()._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "Cartesian" not in plan
+    assert target.read().count() == 91
+    assert target.read().filter("p = 5").count() == 1
+
+
+def test_empty_target(spark, folder):
+    target = ManifestTarget(spark, f"{folder}/none")
+    assert not target.exists()
+    with pytest.raises(ValueError, match="no published state"):
+        target.read()
+    target.create(spark.createDataFrame([], SCHEMA).schema, "load0", ["p"])
+    assert target.exists() and target.row_count() == 0 and target.read().count() == 0
+    assert target.read().columns == ["id", "v", "q", "p"]
+
+
+def spec(**more):
+    return LoadSpec(id=1, route="GP2HDFS", load_type="INCREMENTAL", source_schema="s",
+                    source_table="t", target_schema="s", target_table="t", keys=("id",),
+                    column="at", last_run=T0, second_last_run=T0, **more)
+
+
+@pytest.mark.parametrize("global_keys", [False, True])
+def test_target_count_is_that_of_the_whole_table(spark, folder, global_keys):
+    """One changed key in one of ten partitions."""
+    target = ManifestTarget(spark, f"{folder}/count")
+    part = {"partition_by": ("p",), "partition_expr": "id % 10 as p", "global_keys": global_keys}
+    source = spark.range(1000).selectExpr("cast(id as int) id", "'v' v",
+                                          "timestamp_ntz'2024-01-10 00:00:00' at", "0 hvr_is_deleted")
+    full = LoadSpec(**{**spec(**part).__dict__, "load_type": "FULL"})
+    load_table(spark, full, source, target, now=T1, load_id=1)
+    counts = {}
+    load_table(spark, spec(**part), source.where("id = 7"), target, now=T2, load_id=2, counts=counts)
+    assert counts == {"rows_inserted": 1, "rows_updated": 1, "rows_deleted": 1,
+                      "target_row_count": 1000}
+
+
+def test_change_counts_read_touched_partitions_only(spark, folder):
+    target = ManifestTarget(spark, f"{folder}/changes")
+    target.create(spark.createDataFrame([], "id int, v string, p int, hvr_is_deleted int, "
+                                            "load_ts timestamp_ntz").schema, "load0", ["p"])
+    change = "id int, v string, p int, op_code int, time_key string"
+    part = LoadSpec(
+        id=1, route="SRC2GP", load_type="INCREMENTAL", source_schema="s", source_table="t",
+        target_schema="s", target_table="t", keys=("id",), partition_by=("p",))
+    first = [(k, "a", k % 5, 1, "1") for k in range(50)]
+    load_changes(spark, part, spark.createDataFrame(first, change), target, now=T1, load_id=1)
+    counts = {}
+    second = [(1, "b", 2, 2, "2"), (6, None, 1, 5, "2"), (99, "n", 0, 1, "2"), (3, "x", 3, 0, "2")]
+    load_changes(spark, part, spark.createDataFrame(second, change), target, now=T2, load_id=2,
+                 counts=counts)
+    assert counts == {"rows_inserted": 3, "rows_updated": 2, "rows_deleted": 3,
+                      "target_row_count": 50}
+    got = {r.id: (r.v, r.p, r.hvr_is_deleted) for r in target.read().collect()}
+    assert got[1] == ("b", 2, 0) and 6 not in got and got[3] == ("x", 3, 1) and got[99][1] == 0
+    assert target.read().where(F.col("load_ts") == F.lit(datetime(2024, 1, 20))
+                               .cast("timestamp_ntz")).count() == 3
+    assert target.manifest().agg(F.sum(ROWS)).first()[0] == 50

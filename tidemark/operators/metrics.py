@@ -15,7 +15,7 @@ def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]
 
 
 def merge_metrics(target: DataFrame, incoming: DataFrame, keys: Sequence[str], *,
-                  null_safe: bool = False) -> DataFrame:
+                  null_safe: bool = False, removing: DataFrame | None = None) -> DataFrame:
     """One row: incoming, inserted, updated and kept counts of a keyed merge.
 
     ``rows_updated`` counts target rows that are replaced, ``rows_inserted``
@@ -23,15 +23,25 @@ def merge_metrics(target: DataFrame, incoming: DataFrame, keys: Sequence[str], *
     partial aggregate over one shuffle; there is no join, and a hot key arrives
     at its reducer as one row per map task. A NULL in the key matches another
     only with ``null_safe``.
+
+    Where other rows than the incoming ones say which keys go, they are given as
+    ``removing``; ``rows_removed`` then counts target rows with their keys, and
+    ``rows_kept`` the rest.
     """
     known = F.lit(True)
     for key in () if null_safe else keys:
         known = known & F.col(key).isNotNull()
-    sides = (target.select(*keys, F.lit(1).alias("t"), F.lit(0).alias("i"))
-             .unionByName(incoming.select(*keys, F.lit(0).alias("t"), F.lit(1).alias("i"))))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*keys, *[F.lit(int(n == name)).alias(n) for n in ("t", "i", "r")])
+
+    sides = side(target, "t").unionByName(side(incoming, "i"))
+    if removing is not None:
+        sides = sides.unionByName(side(removing, "r"))
     per_key = (sides.groupBy(*keys, known.alias("known"))
-               .agg(F.sum("t").alias("t"), F.sum("i").alias("i")))
+               .agg(*[F.sum(n).alias(n) for n in ("t", "i", "r")]))
     both = F.col("known") & (F.col("t") > 0) & (F.col("i") > 0)
+    gone = both if removing is None else F.col("known") & (F.col("t") > 0) & (F.col("r") > 0)
 
     def total(column):
         return F.coalesce(F.sum(column), F.lit(0)).cast("long")
@@ -40,7 +50,8 @@ def merge_metrics(target: DataFrame, incoming: DataFrame, keys: Sequence[str], *
         total(F.col("i")).alias("rows_incoming"),
         total(F.when(~both, F.col("i"))).alias("rows_inserted"),
         total(F.when(both, F.col("t"))).alias("rows_updated"),
-        total(F.when(~both, F.col("t"))).alias("rows_kept"),
+        *([] if removing is None else [total(F.when(gone, F.col("t"))).alias("rows_removed")]),
+        total(F.when(~gone, F.col("t"))).alias("rows_kept"),
     )
 
 

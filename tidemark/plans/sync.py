@@ -121,26 +121,33 @@ def _counted(counts: dict | None, target: DataFrame, rows: DataFrame, keys: Sequ
     """What a keyed merge is about to do, for the audit row.
 
     ``rows`` go in; target rows with their keys, or with those of ``removing``,
-    go. One pass over the key columns of the target.
+    go. One pass over the key columns of ``target``, which need not hold more
+    than the partitions that can be concerned.
     """
     if counts is None:
         return
-    put = merge_metrics(target, rows, keys, null_safe=null_safe).first()
-    gone, kept = put.rows_updated, put.rows_kept
-    if removing is not None:
-        out = merge_metrics(target, removing, keys, null_safe=null_safe).first()
-        gone, kept = out.rows_updated, out.rows_kept
-    counts.update(rows_inserted=put.rows_incoming, rows_updated=put.rows_updated,
-                  rows_deleted=gone, target_row_count=kept + put.rows_incoming)
+    found = merge_metrics(target, rows, keys, null_safe=null_safe, removing=removing).first()
+    counts.update(rows_inserted=found.rows_incoming, rows_updated=found.rows_updated,
+                  rows_deleted=found.rows_updated if removing is None else found.rows_removed)
 
 
 def _replaced(counts: dict | None, target, rows: DataFrame, append: bool = False) -> None:
     """The same for a load without keys; the old rows all go or all stay."""
     if counts is None:
         return
-    old, new = target.read().count() if target.exists() else 0, rows.count()
-    counts.update(rows_inserted=new, rows_updated=0, rows_deleted=0 if append else old,
-                  target_row_count=old + new if append else new)
+    old = _rows_of(target) if target.exists() and not append else 0
+    counts.update(rows_inserted=rows.count(), rows_updated=0, rows_deleted=old)
+
+
+def _rows_of(target) -> int:
+    """All rows of a target: from what it knows of itself, or a scan of no columns."""
+    return target.row_count() if hasattr(target, "row_count") else target.read().count()
+
+
+def _published(counts: dict | None, target) -> None:
+    """Rows of the whole target as it is now, whichever part of it a load has touched."""
+    if counts is not None:
+        counts["target_row_count"] = _rows_of(target)
 
 
 def _in_database(counts: dict | None, done: list[int]) -> None:
@@ -159,6 +166,7 @@ def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str,
         if hasattr(target, "redefine"):
             target.redefine(_partitions_last(incoming, spec.partition_by), state,
                             spec.partition_by, spec.distribute_by)
+            _published(counts, target)
         else:
             target.replace(align(incoming, target.read().columns), state)
         return
@@ -170,6 +178,7 @@ def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str,
     elif hasattr(target, "merge_rows"):
         _in_database(counts, target.merge_rows(incoming, spec.keys, spec.load_type,
                                                null_safe=False))
+        return
     elif target.partition_by:
         parts = target.partition_by
         in_reach = current if spec.global_keys else M.prune_to(
@@ -187,6 +196,8 @@ def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str,
         _counted(counts, current, incoming, spec.keys, False)
         merged = M.merge_flat(current, incoming, spec.keys, range_key=spec.range_key)
         target.replace(merged, state, spec.distribute_by)
+    if not hasattr(target, "merge_rows"):
+        _published(counts, target)
 
 
 def _partitions_last(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -253,23 +264,28 @@ def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target
             _in_database(counts, target.merge_rows(rows, spec.delete_keys or spec.keys,
                                                    spec.load_type, null_safe, deletes=staged))
             return seen.get["rows"]
+        parts, done = target.partition_by, None
+        if parts and spec.load_type != S.FULL and not spec.delete_keys:
+            done = M.apply_in_partitions(
+                current, staged, spec.keys, parts,
+                moved=not spec.partitions_follow_keys(changes), **how)
         if counts is not None:
             fresh = spark.createDataFrame([], current.schema)
             rows = apply_changes(fresh, staged, spec.keys, **how)
             if spec.load_type == S.FULL:
                 _replaced(counts, target, rows)
             else:
-                _counted(counts, current, rows, spec.delete_keys or spec.keys, null_safe,
+                # rows in partitions that are not touched have none of the keys
+                scope = M.prune_to(current, done.touched, parts) if done else current
+                _counted(counts, scope, rows, spec.delete_keys or spec.keys, null_safe,
                          removing=staged)
-        if target.partition_by and spec.load_type != S.FULL and not spec.delete_keys:
-            done = M.apply_in_partitions(
-                current, staged, spec.keys, target.partition_by,
-                moved=not spec.partitions_follow_keys(changes), **how)
+        if done:
             target.replace_partitions(done.rows, done.touched, spec.distribute_by,
                                       may_empty=done.may_empty)
         else:
             merged = apply_changes(current, staged, spec.keys, delete_keys=delete_keys, **how)
             target.replace(merged, f"load{load_id}", spec.distribute_by)
+        _published(counts, target)
     return seen.get["rows"]
 
 
@@ -314,6 +330,7 @@ def _upsert(target, spec: LoadSpec, rows: DataFrame, state: str, null_safe: bool
         _counted(counts, current, rows, spec.keys, null_safe)
     merge = M.cross_sync if null_safe else M.upsert_rows
     target.replace(merge(current, rows, spec.keys, spec.load_type), state, spec.distribute_by)
+    _published(counts, target)
 
 
 def load_file(spark: SparkSession, spec: LoadSpec, source: DataFrame, target, *,
