@@ -104,6 +104,60 @@ def test_hot_string_reaches_its_bucket_once_for_each_batch():
     assert len(packed.to_pylist()) == n  # the others are settled
 
 
+def common_gram(n, batch):
+    """Rows of ``n`` documents with one gram in different surroundings, and one of their own."""
+    rng = np.random.default_rng(n)
+    ids = np.repeat(np.arange(n), 2)
+    k1 = rng.integers(1 << 60, size=2 * n, dtype=np.uint64)
+    k1[::2] = 7
+    rows = {"k1": k1, "k2": rng.integers(1 << 63, size=2 * n, dtype=np.uint64), "id": ids,
+            "check": np.zeros(2 * n, np.uint32), "at": np.zeros(2 * n, np.uint32),
+            "run": np.ones(2 * n, np.uint8)}
+    return [{name: column[a:a + batch] for name, column in rows.items()}
+            for a in range(0, 2 * n, batch)]
+
+
+def test_common_gram_in_different_surroundings_does_not_gather():
+    """Each batch sends two rows of it, and knows the others to be open."""
+    largest = {}
+    for n in (2000, 20_000):
+        sizes, opened = Counter(), 0
+        for rows in common_gram(n, 2000):
+            for r in occurrences.pack(rows, 64, refine=True).to_pylist():
+                if r["kind"] == occurrences._OCCURRENCES:
+                    sizes[r["bucket"]] += len(r["data"]) // occurrences._ROW
+                else:
+                    assert r["kind"] == occurrences.OPEN
+                    opened += len(occurrences.unpacked([r["data"]]))
+        assert sum(sizes.values()) + opened == 2 * n and opened > 0.9 * n
+        largest[n] = max(sizes.values()) / n
+    assert largest[20_000] <= 1.1 * largest[2000] and largest[20_000] < 3 / 64
+
+
+def test_buckets_are_even(spark):
+    """Runs are named by least hashes, which crowd near zero; their buckets don't."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    batch = docs.selectExpr("doc_id id", "crc32(text) check", "cast(text as binary) text")
+    sizes = Counter()
+    for rows in suffix_dedup._runs(100, 32)(batch.toArrow().combine_chunks().to_batches()[0]):
+        rows = {name: column.astype(kind) for (name, kind), column in
+                zip(occurrences._KINDS, (rows[k] for k, _ in occurrences._KINDS))}
+        for r in occurrences.pack(rows, 64, refine=True).to_pylist():
+            if r["kind"] == occurrences._OCCURRENCES:
+                sizes[r["bucket"]] += len(r["data"])
+    assert max(sizes.values()) < 3 * sum(sizes.values()) / 64
+
+
+def test_suffix_common_passage_in_different_surroundings(spark):
+    rng = random.Random(4)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(90))
+    rows = [(k, "".join(rng.choice("ij kl") for _ in range(rng.randrange(150))) + passage
+             + "".join(rng.choice("mno") for _ in range(rng.randrange(3, 120)))) for k in range(60)]
+    rows += [(100 + k, rows[k][1][10:]) for k in range(20)]
+    got = got_suffix(suffix_dedup.remove_repeats(documents(spark, rows)))
+    assert got == plain_suffix(rows, 100)
+
+
 def plain_spans(rows, run, most):
     rows = [(-(1 << 63) if d is None else d, (t or "").encode()) for d, t in rows]
     cut = {}

@@ -1,13 +1,16 @@
 """Which occurrences of a string are not its first, over all documents at once.
 
 A mapper names strings by two 64-bit hashes and says where they start. Its
-rows travel packed: for each half a million rows and bucket (leading digit of the
-first hash) one row holds the columns as bytes, which costs a fraction of a
-row for each occurrence. Before that, the task settles what it can alone: of
-equal strings only the earliest goes to the bucket, the others are later ones
+rows travel packed: for each half a million rows and bucket one row holds the
+columns as bytes, which costs a fraction of a row for each occurrence. Buckets
+are dealt by a mixed form of the first hash, as mappers that choose least
+hashes leave it far from even. Before that, the task settles what it can alone:
+of equal strings only the earliest goes to the bucket, the others are later ones
 whatever the rest of the corpus holds. So a string that fills a third of the
 corpus reaches its bucket a few times for each task, not once for each
-occurrence.
+occurrence. Where strings with one first hash and several second ones are asked
+for, a task that holds three or more of them sends two to the bucket, which
+learns from these that there are several, and knows the rest to be open.
 
 Earlier means smaller document id, then smaller start; occurrences with equal
 id and start (repeated rows) are neither earlier nor later than one another.
@@ -24,12 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import slices
+from tidemark.llm.hashing import mixed
+
 #: Stands for a null document id, which sorts first.
 NO_ID = -(1 << 63)
 #: Occurrences that a task holds before it packs them.
 PACKED_ROWS = 1 << 19
-#: Packed bytes that one bucket should hold.
-BUCKET_BYTES = 32 << 20
+#: Packed bytes that one bucket should hold; settling takes some six times as much.
+BUCKET_BYTES = 8 << 20
 
 _KINDS = (("k1", "<u8"), ("k2", "<u8"), ("id", "<i8"), ("check", "<u4"), ("at", "<u4"),
           ("run", "u1"))
@@ -123,12 +129,33 @@ _PLACES_SCHEMA = pa.schema(list(_PACKED_SCHEMA)[1:])
 _OCCURRENCES, LATER, OPEN = 0, 1, 2
 
 
-def pack(rows: Rows, buckets: int) -> pa.RecordBatch:
-    """What a batch sends on: its first occurrences by bucket, and those it has settled."""
+def _beyond_two(key: np.ndarray) -> np.ndarray:
+    """Whether a row has two rows of the same key before it."""
+    again = _repeated(key)
+    new = np.flatnonzero(_groups(key[again]))
+    nth = np.arange(len(again)) - np.repeat(new, np.diff(np.append(new, len(again))))
+    beyond = np.zeros(len(key), bool)
+    beyond[again[nth >= 2]] = True
+    return beyond
+
+
+def pack(rows: Rows, buckets: int, refine: bool = False) -> pa.RecordBatch:
+    """What a batch sends on: its first occurrences by bucket, and those it has settled.
+
+    With ``refine`` no more than two rows with one ``k1`` go to a bucket.
+    """
+    def passing(doc: int) -> int:
+        return doc % buckets
+
     first, late = split_later(rows)
-    out = places(_take(rows, late), LATER, lambda doc: doc % buckets)
+    out = places(_take(rows, late), LATER, passing)
     rows = _take(rows, first)
-    digit = ((rows["k1"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    if refine:
+        open_ = _beyond_two(rows["k1"])
+        out += places(_take(rows, np.flatnonzero(open_)), OPEN, passing)
+        rows = _take(rows, np.flatnonzero(~open_))
+    digit = ((mixed(rows["k1"]) >> np.uint64(32)) * np.uint64(buckets)
+             >> np.uint64(32)).astype(np.int64)
     order = np.argsort(digit, kind="stable")
     edges = np.searchsorted(digit[order], np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(edges)):
@@ -138,9 +165,9 @@ def pack(rows: Rows, buckets: int) -> pa.RecordBatch:
     return _batch(out, _PACKED_SCHEMA)
 
 
-def _unpack(blobs: list[bytes]) -> Rows:
+def _unpack(blobs: pa.ChunkedArray) -> Rows:
     parts: dict[str, list[np.ndarray]] = {name: [np.zeros(0, kind)] for name, kind in _KINDS}
-    for blob in blobs:
+    for blob in (value.as_buffer() for value in blobs):
         n, at = len(blob) // _ROW, 0
         for name, kind in _KINDS:
             parts[name].append(np.frombuffer(blob, kind, n, at))
@@ -156,8 +183,9 @@ def later_places(packed: DataFrame, refine: bool = False) -> DataFrame:
     """
     def settle(group: pa.Table) -> pa.Table:
         kinds = group.column("kind").to_numpy()
-        known = group.filter(pa.array(kinds == LATER)).select(_PLACES_SCHEMA.names)
-        rows = _unpack(group.filter(pa.array(kinds == _OCCURRENCES)).column("data").to_pylist())
+        known = group.filter(pa.array(kinds != _OCCURRENCES)).select(_PLACES_SCHEMA.names)
+        rows = _unpack(group.column("data").filter(pa.array(kinds == _OCCURRENCES)))
+        del group
         first, late = split_later(rows)
         out = places(_take(rows, late), LATER)
         if refine:
@@ -186,16 +214,16 @@ def with_places(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
 
 
 def mapped(docs: DataFrame, rows_of: Callable[[pa.RecordBatch], Iterator[Rows]],
-           buckets: int) -> DataFrame:
+           buckets: int, refine: bool = False) -> DataFrame:
     """Packed rows of a mapper that gives the occurrences in a batch of documents."""
     def packed(parts: list[Rows]) -> pa.RecordBatch:
         return pack({name: np.concatenate([p[name].astype(kind) for p in parts])
-                     for name, kind in _KINDS}, buckets)
+                     for name, kind in _KINDS}, buckets, refine)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[Rows] = []
         held = 0
-        for batch in batches:
+        for batch in slices(batches):
             for rows in rows_of(batch):
                 parts.append(rows)
                 held += len(rows["id"])

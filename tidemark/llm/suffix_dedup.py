@@ -10,16 +10,17 @@ suffixes that were not alone in the pass before.
   with the least hash (leftmost on ties) stands for it. Equal windows choose
   the same gram, and neighbouring windows mostly share one, so a run of
   windows goes through the passes as one row.
-* First digit: the gram. Rows are dealt by its leading bits and ordered by the
-  rest; a run whose gram occurs once holds no repeated window.
+* First digit: the gram. Rows are dealt by a mixed form of its hash and ordered
+  by the hash; a run whose gram occurs once holds no repeated window.
 * Second digit: all bytes of the run. Runs that are equal in it are settled
   whole, the earliest stays open, the others are later occurrences.
 * Last digit: for the few runs with the same gram but other bytes around it,
   the full ``window`` bytes of each window.
 
 Digits are compared by 128 bits of hash (64 for the gram alone, which only
-groups). Nothing is compared by pairs, and a string that occurs everywhere
-reaches a task once for each batch.
+groups). Nothing is compared by pairs. A run that occurs everywhere reaches a
+task once for each batch, and a gram that occurs everywhere in different
+surroundings twice for each batch, as the rest is known to need the last digit.
 
 Cases: null and empty texts have 0 bytes; texts shorter than the window lose
 nothing; equal ids are one document read twice, so neither row is earlier
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import occurrences as occ
-from tidemark.llm.common import staged, text_bytes, total_bytes
+from tidemark.llm.common import slices, staged, text_bytes, total_bytes
 from tidemark.llm.hashing import Hash
 
 #: Bytes in the strings that are compared.
@@ -129,7 +130,7 @@ def _windows(window: int):
 
 def _kept(window: int):
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, out = batch.column("text"), ([], [], [])
             for text, data in zip(texts.to_pylist(), batch.column("data").to_pylist(),
                                   strict=True):
@@ -164,7 +165,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
     key = F.col(id_col).alias("key")
     texts = docs.select(*occ.identity(id_col, text_bytes(text_col)))
     size = total_bytes(docs, text_col)
-    runs = occ.mapped(texts, _runs(window, gram), occ.buckets_for(docs, size))
+    runs = occ.mapped(texts, _runs(window, gram), occ.buckets_for(docs, size), refine=True)
     found = staged(occ.later_places(runs, refine=True), "runs")
     unsettled = found.where(F.col("kind") == occ.OPEN)
     windows = occ.mapped(occ.with_places(texts, unsettled, "inner"), _windows(window),
