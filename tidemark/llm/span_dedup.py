@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import occurrences as occ
-from tidemark.llm.common import staged, text_bytes, total_bytes
+from tidemark.llm.common import slices, staged, text_bytes, total_bytes
 
 #: Sentences in a span.
 RUN = 3
@@ -129,7 +129,7 @@ def _spans(run: int, most_words: int):
 
 def _cut(run: int, most_words: int):
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: tuple[list, ...] = ([], [], [], [])
             for text, data in zip(batch.column("text").to_pylist(),
                                   batch.column("data").to_pylist(), strict=True):
@@ -157,7 +157,8 @@ def remove_spans(docs: DataFrame, run: int = RUN, most_words: int = MOST_WORDS,
     """Per document: id, ``n_sentences``, ``n_removed``, ``removed`` (places) and ``kept`` text."""
     texts = docs.select(*occ.identity(id_col, text_bytes(text_col)))
     size = total_bytes(docs, text_col)
-    rows = occ.mapped(texts, _spans(run, most_words), occ.buckets_for(docs, size))
+    # a packed row takes 33 bytes: about a byte for each of prose, but 16 for one-word lines
+    rows = occ.mapped(texts, _spans(run, most_words), occ.buckets_for(docs, 4 * size))
     later = staged(occ.later_places(rows), "spans")
     beside = occ.with_places(
         docs.select(F.col(id_col).alias("key"), *occ.identity(id_col, text_bytes(text_col))),
