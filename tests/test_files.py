@@ -1,0 +1,183 @@
+"""Merges by file and the key filter: what is written anew, what is shuffled."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_plans import final_plan, no_broadcast  # noqa: F401
+from tidemark import fs
+from tidemark.operators import merge as M
+from tidemark.operators.keyed import delete_matching
+from tidemark.operators.keyfilter import delete_matching_filtered, key_bits
+from tidemark.plans.cli import _options
+from tidemark.plans.sync import LoadSpec, load_table
+from tidemark.sinks import files
+from tidemark.sinks.files import FilesTarget
+from tests.test_sync import T0, T1, T2
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture
+def target(spark, folder):
+    """1,000 even keys in files of at most 50 rows."""
+    target = FilesTarget(spark, f"{folder}/t", ["id"], max_records=50)
+    target.redefine(spark.range(0, 2000, 2).selectExpr("id", "'old' v"), "load1")
+    return target
+
+
+def incoming(spark, *ids):
+    return spark.createDataFrame([(k, "new") for k in ids], "id long, v string")
+
+
+def test_untouched_files_keep_their_names(spark, target):
+    before = set(target.files())
+    assert len(before) >= 20
+    counts = target.merge_files(incoming(spark, 10, 1200, 1201), ["id"], "load2")
+    after = set(target.files())
+    assert len(before - after) == 2 and len(after & before) == len(before) - 2
+    assert counts == {"rows_inserted": 3, "rows_updated": 2, "rows_deleted": 2}
+    want = [(k, "new" if k in (10, 1200) else "old") for k in range(0, 2000, 2)]
+    assert rows(target.read()) == sorted([*want, (1201, "new")], key=repr)
+    assert target.row_count() == 1001
+
+
+def test_new_keys_in_range_touch_no_file(spark, target):
+    """The bits, or at last the key columns, tell that odd keys are in none."""
+    before = set(target.files())
+    target.merge_files(incoming(spark, *range(1, 2000, 50)), ["id"], "load2")
+    assert before <= set(target.files()) and target.row_count() == 1040
+    assert target.touched(incoming(spark, 5000, -3), ["id"]) == []
+    assert len(target.touched(incoming(spark, 0), ["id"])) == 1
+
+
+def test_duplicates_and_null_keys(spark, folder):
+    target = FilesTarget(spark, f"{folder}/n", ["a", "b"], max_records=3)
+    schema = "a int, b string, v int"
+    old = [(1, "x", 1), (1, "x", 2), (None, "x", 3), (2, None, 4), (3, "y", 5)]
+    new = [(1, "x", 9), (1, "x", 9), (None, "x", 8), (2, None, 7), (4, "z", 6)]
+    for null_safe in (False, True):
+        target.redefine(spark.createDataFrame(old, schema), "load1")
+        target.merge_files(spark.createDataFrame(new, schema), ["a", "b"], "load2",
+                           null_safe=null_safe)
+        want = M.merge_flat(spark.createDataFrame(old, schema), spark.createDataFrame(new, schema),
+                            ["a", "b"], null_safe=null_safe)
+        assert rows(target.read()) == rows(want)
+
+
+def test_a_merge_cut_short_leaves_the_old_state(spark, target, monkeypatch):
+    before, names = rows(target.read()), target.files()
+    with monkeypatch.context() as patch:
+        def lost(*_):
+            raise RuntimeError("lost")
+        patch.setattr(target.versions, "publish", lost)
+        with pytest.raises(RuntimeError):
+            target.merge_files(incoming(spark, 10), ["id"], "load2")
+    assert rows(target.read()) == before and target.files() == names
+    target.merge_files(incoming(spark, 10), ["id"], "load2")
+    assert len(fs.names(spark, f"{target.root}/files")) == 2
+
+
+def test_old_files_go_once_no_kept_manifest_names_them(spark, target):
+    first = set(target.files())
+    for n in range(3):
+        target.merge_files(incoming(spark, 10), ["id"], f"load{n + 2}")
+    there = {f"{s}/{n}" for s in fs.names(spark, f"{target.root}/files")
+             for n in fs.names(spark, f"{target.root}/files/{s}") if n.startswith("part-")}
+    assert len(first - there) == 1 and set(target.files()) <= there
+    assert target.row_count() == 1000
+
+
+def test_append_and_empty_target(spark, folder):
+    target = FilesTarget(spark, f"{folder}/e", ["id"])
+    assert not target.exists()
+    target.redefine(incoming(spark), "load0")
+    assert target.read().count() == 0 and target.touched(incoming(spark, 1), ["id"]) == []
+    for _ in range(2):
+        target.append(incoming(spark, 1, 2), state="load1")
+    target.merge_files(incoming(spark), ["id"], "load2")
+    assert rows(target.read()) == [(1, "new"), (2, "new")]
+
+
+def test_a_route_merges_by_file(spark, folder):
+    target = FilesTarget(spark, f"{folder}/r", ["id"], max_records=100)
+    source = spark.range(1000).selectExpr("cast(id as int) id", "'v' v",
+                                          "timestamp_ntz'2024-01-10 00:00:00' at")
+    spec = dict(id=1, route="GP2HDFS", source_schema="s", source_table="t", target_schema="s",
+                target_table="t", keys=("id",), column="at", last_run=T0, second_last_run=T0)
+    load_table(spark, LoadSpec(load_type="FULL", **spec), source, target, now=T1, load_id=1)
+    names, counts = set(target.files()), {}
+    load_table(spark, LoadSpec(load_type="INCREMENTAL", **spec), source.where("id = 7"), target,
+               now=T2, load_id=2, counts=counts)
+    assert counts == {"rows_inserted": 1, "rows_updated": 1, "rows_deleted": 1,
+                      "target_row_count": 1000}
+    assert len(names - set(target.files())) == 1
+
+
+# ---- the key filter
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_filtered_delete_equals_the_plain_one(spark, null_safe):
+    schema = "a int, b string, v int"
+    old = [(k % 40 or None, "x" if k % 3 else None, k) for k in range(300)]
+    new = [(k, "x", 0) for k in range(5)] + [(None, "x", 1), (7, None, 2), (None, None, 3)]
+    old, new = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    for bits in (6, 10, 24):        # a table of one word lets nearly everything through
+        got = delete_matching_filtered(old, new, ["a", "b"], null_safe=null_safe, bits=bits)
+        assert rows(got) == rows(delete_matching(old, new, ["a", "b"], null_safe=null_safe))
+
+
+def test_other_key_types_go_without_a_filter(spark):
+    old = spark.range(10).selectExpr("cast(id as double) k")
+    new = spark.createDataFrame([(3,)], "k int")
+    assert delete_matching_filtered(old, new, ["k"]).count() == 9
+
+
+def test_key_bits_are_bounded(spark):
+    found = key_bits(spark.range(50_000), ["id"], bits=12)
+    assert found.count() == 64 and found.agg(F.sum(F.bit_count("bits"))).first()[0] == 4096
+
+
+def test_filter_spares_the_target_its_shuffle(spark, folder, no_broadcast):  # noqa: F811
+    """Rows that reach an exchange, of 200,000 in the target: a few hundred."""
+    path = f"{folder}/big"
+    spark.range(0, 200_000, 1, 8).selectExpr("id * 7919 % 200000 k", "id v").write.orc(path)
+    target = spark.read.orc(path)
+    new = spark.range(100).selectExpr("id * 1999 k", "-1L v")
+
+    def shuffled(df):
+        execution = df._jdf.queryExecution()
+        execution.executedPlan().execute().count()
+        plan, found = execution.executedPlan().finalPhysicalPlan(), []
+
+        def walk(node):
+            name = node.getClass().getSimpleName()
+            if name.endswith("QueryStageExec"):
+                return walk(node.plan())
+            if name == "ShuffleExchangeExec":
+                found.append(node.metrics().apply("shuffleRecordsWritten").value())
+            children = node.children()
+            for k in range(children.size()):
+                walk(children.apply(k))
+        walk(plan)
+        return max(found)
+
+    plain = M.merge_flat(target, new, ["k"])
+    filtered = M.merge_flat(target, new, ["k"], key_filter=True)
+    assert shuffled(plain) == 200_000
+    assert shuffled(filtered) < 2_000
+    assert rows(filtered) == rows(plain)
+    assert not re.search("Cartesian|NestedLoop", final_plan(filtered))
+
+
+def test_options_of_single_tables(tmp_path):
+    path = tmp_path / "options.json"
+    path.write_text('{"app.t": {"delete_keys": ["a", "b"], "key_filter": true}}')
+    assert _options(str(path)) == {"app.t": {"delete_keys": ("a", "b"), "key_filter": True}}
+    path.write_text('{"app.t": {"nonsense": 1}}')
+    with pytest.raises(ValueError, match="nonsense"):
+        _options(str(path))
+    assert _options(None) == {} and files.PATH == "__path"

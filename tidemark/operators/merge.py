@@ -14,6 +14,7 @@ from tidemark.operators.changes import apply_changes
 from tidemark.operators.columns import align
 from tidemark.operators.keyed import (as_bound, delete_matching, delete_matching_in_range,
                                       from_bound, key_set, latest_per_key)
+from tidemark.operators.keyfilter import delete_matching_filtered
 
 
 def full(target_columns: Sequence[str], incoming: DataFrame) -> DataFrame:
@@ -27,18 +28,22 @@ def append(target: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def merge_flat(target: DataFrame, incoming: DataFrame, keys: Sequence[str], *,
                null_safe: bool = False, dedupe: str | Sequence[str] | None = None,
-               range_key: str | None = None) -> DataFrame:
+               range_key: str | None = None, key_filter: bool = False) -> DataFrame:
     """Target rows whose key is not incoming, plus every incoming row.
 
     Incoming rows that share a key are all kept unless ``dedupe`` names the
     columns that decide the newest. ``range_key`` names a key column that grows
-    with time; target rows outside the incoming range of it are not joined.
+    with time; target rows outside the incoming range of it are not joined. For
+    keys that don't, ``key_filter`` has the target tested against bits of the
+    incoming keys before it is shuffled.
     """
     incoming = align(incoming, target.columns)
     if dedupe:
         incoming = latest_per_key(incoming, keys, dedupe)
     if range_key:
         kept = delete_matching_in_range(target, incoming, keys, range_key, null_safe=null_safe)
+    elif key_filter:
+        kept = delete_matching_filtered(target, incoming, keys, null_safe=null_safe)
     else:
         kept = delete_matching(target, incoming, keys, null_safe=null_safe)
     return kept.unionByName(incoming)

@@ -38,6 +38,8 @@ def parser() -> argparse.ArgumentParser:
                    help="allow a target schema that differs from the source's")
     p.add_argument("--source-jdbc", help="JSON file with url and connection options")
     p.add_argument("--target-jdbc", help="JSON file with url and connection options")
+    p.add_argument("--options", help="JSON file: full target name to delete_keys, global_keys, "
+                                     "range_key, key_filter or validate of its load")
     p.add_argument("--at-once", type=int, default=4, help="loads that run at the same time")
     p.add_argument("--read-tasks", type=int, default=8, help="parallel reads of a database table")
     return p
@@ -49,6 +51,23 @@ def _connection(path: str) -> tuple[str, dict[str, str]]:
     return options.pop("url"), options
 
 
+# a table's own options; lists become the tuples that a load's fields are
+OPTIONS = ("delete_keys", "global_keys", "range_key", "key_filter", "validate")
+
+
+def _options(path: str | None) -> dict[str, dict]:
+    if not path:
+        return {}
+    with open(path) as f:
+        found = json.load(f)
+    for table, own in found.items():
+        unknown = sorted(set(own) - set(OPTIONS))
+        if unknown:
+            raise ValueError(f"{table}: unknown options {', '.join(unknown)}")
+    return {table: {k: tuple(v) if isinstance(v, list) else v for k, v in own.items()}
+            for table, own in found.items()}
+
+
 def _session(route: str, lasting: bool) -> SparkSession:
     """A session with the recommended settings where the site sets none."""
     site = SparkConf()
@@ -101,7 +120,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         load_type=args.load_type, now=now, load_id=args.load_id, source_of=source_of,
         target_of=target_of, group=args.group,
         tables=args.tables.split(",") if args.tables else None, archive_root=args.archive,
-        drops=args.drops, special=args.other_schema, at_once=args.at_once)
+        drops=args.drops, special=args.other_schema, at_once=args.at_once,
+        options=_options(args.options))
     for outcome in outcomes:
         name = f"{outcome.spec.target_schema}.{outcome.spec.target_table}"
         print(f"{name}: {outcome.error or f'{outcome.rows} rows'}")

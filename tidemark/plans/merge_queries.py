@@ -12,11 +12,12 @@ from tidemark.operators.keyed import delete_matching
 from tidemark.operators.metrics import count_validate, merge_metrics
 from tidemark.plans import inputs as I
 from tidemark.plans.registry import query, table
-from tidemark.session import scratch
+from tidemark.session import scratch, staging
 from tidemark.sinks import orc
+from tidemark.sinks.files import FilesTarget
 from tidemark.sinks.publish import Versions, fan_out, replace_partitions
 from tidemark.sinks.text import write_soh
-from tidemark.sources.tables import read_orc
+from tidemark.sources.tables import read_orc, snapshot
 from tidemark.sources.text import read_soh
 
 KEY = ["o_orderkey"]
@@ -42,6 +43,23 @@ def merge_flat_key_range(spark: SparkSession, sf: str) -> DataFrame:
     return M.merge_flat(target, incoming, ["event_id"], range_key="event_id")
 
 
+@query("merge_flat_key_filter", I.MERGED_ORDERS_SQL)
+def merge_flat_key_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """The target's rows are tested against bits of the incoming keys."""
+    return M.merge_flat(I.orders_target(spark, sf), I.orders_incoming(spark, sf), KEY,
+                        key_filter=True)
+
+
+@query("merge_flat_by_file", I.MERGED_ORDERS_SQL)
+def merge_flat_by_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Only files that hold an incoming key are written anew."""
+    target = FilesTarget(spark, scratch(spark, "files"), KEY)
+    target.redefine(I.orders_target(spark, sf), "load1")
+    with staging(spark, "incoming") as path:
+        target.merge_files(snapshot(I.orders_incoming(spark, sf), path), KEY, "load2")
+    return target.read()
+
+
 @query("merge_flat_dedupe", f"""WITH {I.ORDERS_SQL},
   newest AS (SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -56,11 +56,13 @@ class LoadSpec:
     distribute_expr: str | None = None
     archived: bool = False
     # not in the control table: columns to delete by, cross-partition cleaning,
-    # a key column that grows with time, a count check after a full load, names
-    # of the change target's last two columns
+    # a key column that grows with time, a test of the target's keys before the
+    # join, a count check after a full load, names of the change target's last
+    # two columns
     delete_keys: tuple[str, ...] = ()
     global_keys: bool = False
     range_key: str | None = None
+    key_filter: bool = False
     validate: bool = False
     flag: str = S.DELETED_FLAG
     stamp: str = S.LOAD_STAMP
@@ -192,9 +194,14 @@ def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str,
             merged = M.merge_partitioned(current, incoming, spec.keys, parts)
         target.replace_partitions(merged, touched, spec.distribute_by,
                                   may_empty=spec.global_keys)
+    elif hasattr(target, "merge_files"):
+        done = target.merge_files(incoming, spec.keys, state)
+        if counts is not None:
+            counts.update(done)
     else:
         _counted(counts, current, incoming, spec.keys, False)
-        merged = M.merge_flat(current, incoming, spec.keys, range_key=spec.range_key)
+        merged = M.merge_flat(current, incoming, spec.keys, range_key=spec.range_key,
+                              key_filter=spec.key_filter)
         target.replace(merged, state, spec.distribute_by)
     if not hasattr(target, "merge_rows"):
         _published(counts, target)
@@ -406,12 +413,16 @@ def run_due(spark: SparkSession, control: Versions | ControlLog, audit_path: str
             source_of: Callable[[LoadSpec], DataFrame], target_of: Callable[[LoadSpec], object],
             group: int | None = None, tables: Sequence[str] | None = None,
             archive_root: str | None = None, drops: str | None = None,
-            special: bool = False, at_once: int = 1, **more) -> list[Outcome]:
+            special: bool = False, at_once: int = 1,
+            options: Mapping[str, Mapping] | None = None, **more) -> list[Outcome]:
     """Run every due load of a route, ``at_once`` of them at a time.
 
     With a ``ControlLog`` several runs may work on one control table; the loads
     of one run never lose one another's updates.
 
+    ``more`` are fields of every load's ``LoadSpec``, ``options`` those of single
+    targets by their full name: ``{"app.orders": {"delete_keys": ("id",)}}``.
+
     With ``drops``, change routes read the files that wait in that folder and
     move them below ``archive_root`` afterwards; ``source_of`` is not asked.
 
@@ -430,7 +441,8 @@ def run_due(spark: SparkSession, control: Versions | ControlLog, audit_path: str
             _save(control, change)
 
     def run(row: Row) -> Outcome:
-        spec = LoadSpec.from_row(row, **more)
+        own = (options or {}).get(f"{row.target_schemaname}.{row.target_tablename}", {})
+        spec = LoadSpec.from_row(row, **{**more, **own})
         outcome = Outcome(spec, 0)
         try:
             check_target_schema(spec, special)
