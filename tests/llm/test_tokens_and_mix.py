@@ -233,6 +233,38 @@ def test_mix_awkward(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, again))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 60), st.integers(1, 5), max_size=12), st.integers(0, 200))
+def test_no_document_left_out_would_fill_better(sizes, owed):
+    taken = mixing.fill(owed, sizes)
+    assert all(0 < n <= sizes[size] for size, n in taken.items())
+    left = owed - sum(size * n for size, n in taken.items())
+    for size, n in sizes.items():
+        if taken.get(size, 0) < n:
+            assert abs(left - size) >= abs(left)
+
+
+def test_mix_passes_over_a_document_longer_than_what_is_owed(spark):
+    """It comes first by hash; many small ones behind it fit."""
+    rows = [(k, "w " * 10, "en", "s") for k in range(400)]
+    docs = documents(spark, rows).withColumn("text", F.when(
+        F.col("doc_id") == 0, F.repeat(F.lit("w "), 20_000)).otherwise(F.col("text")))
+    sized = docs.select("doc_id", *mixing.placed(F.array("source"))).withColumn(
+        "seeded", F.when(F.col("doc_id") == 0, F.lit("0" * 32)).otherwise(F.col("seeded")))
+    mix = mixing.plan_mix(sized, lambda names, sizes: [3007.0])
+    got = mixing.with_copies(sized, mix).where("copies > 0").collect()
+    assert sum(r["size"] * r.copies for r in got) == 3010 and all(r.doc_id for r in got)
+
+
+def test_sources_of_the_query_come_near_their_targets(spark, sf_dir):
+    big = sf_dir.replace("sf0.001", "sf0.01")
+    source = table(spark, big, "documents").select("doc_id", "source")
+    found = queries.op8_mix(spark, big).join(source, "doc_id").groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"))
+    for r in found.collect():
+        assert abs(r.taken - r.target) <= 0.02 * r.target
+
+
 def test_mix_overlapping_sources(spark):
     rows = [(k, prose(k, 20), "en", "s") for k in range(60)]
     docs = documents(spark, rows)

@@ -7,15 +7,21 @@ third at cost 2 and so on (convex repetition), and each source takes its
 quota. The cheapest largest flow says how many words each pattern gives. Then
 documents are chosen: every document of a pattern goes in as often as whole
 passes of the pattern are needed, and the rest of the words comes from the
-documents that a seeded hash puts first.
-
-The driver sees one row for each pattern. The cut between chosen and other
-documents is found by a histogram over the first digits of the hash and exact
-running sums in the one bucket that holds the cut, so no group is sorted whole.
+documents that a seeded hash puts first, as long as their sum stays within the
+rest. What is then still owed, less than the document at that cut has, is filled
+from the documents behind it: the longest that still fit, sizes in falling
+order, by hash among equal ones, and at last the next longer one if the sum comes
+nearer with it. So no document that was left out would bring a pattern nearer.
+
+The driver sees one row for each pattern, and the sizes that fill it. The cut
+between chosen and other documents is found by a histogram over the first digits
+of the hash and exact running sums in the one bucket that holds the cut, so no
+group is sorted whole. Behind the cut documents are counted by size, up to twice
+what is owed, which is less than twice the longest document.
 
 Cases: a null text has size 0; a null or empty source is a source like any
 other, null last; documents of size 0 are never taken; rows that share an id
-share a hash, so the cut takes all or none of them; null ids are hashed as
+share a hash, so all or none of them are taken; null ids are hashed as
 empty text; an empty table gives no rows; other columns are not read.
 """
 
@@ -132,10 +138,26 @@ def _small(spark, rows: list, sized: DataFrame, columns: str) -> DataFrame:
     return F.broadcast(df) if len(rows) <= BROADCAST_PATTERNS else df
 
 
+def fill(owed: int, sizes: dict[int, int]) -> dict[int, int]:
+    """How many documents of each size to take for the words still owed.
+
+    ``sizes`` says how many there are. The longest that fit come first; one that
+    overshoots is added if that is nearer.
+    """
+    taken = dict.fromkeys(sizes, 0)
+    for size in sorted(sizes, reverse=True):
+        taken[size] = min(sizes[size], owed // size)
+        owed -= taken[size] * size
+    longer = min((s for s, n in sizes.items() if s > owed and taken[s] < n), default=None)
+    if longer is not None and longer - owed < owed:
+        taken[longer] += 1
+    return {size: n for size, n in taken.items() if n}
+
+
 class Mix(NamedTuple):
     """How a mix is made up."""
 
-    plan: DataFrame   # members, passes, cut: one row for each pattern
+    plan: DataFrame   # members, passes, cut, fills (size -> last hash): one row for each pattern
     routes: list      # (members, source, words)
     sources: dict     # source -> (size, words wanted)
     most: int
@@ -174,32 +196,67 @@ def plan_mix(sized: DataFrame, targets, most: int = MOST_COPIES) -> Mix:
                       & (F.col("before") + F.col("words") > F.col("rest"))))
     cuts = [(list(r.members), r.bucket, int(r.before), int(r.rest)) for r in buckets.collect()]
     cut_at = _small(spark, cuts, sized, "bucket string, before long, rest long")
-    # in that bucket, the last document that brings the sum nearer
+    # in that bucket, the last document with which the sum stays within the rest
     so_far = F.col("before") + F.sum("words").over(
         Window.partitionBy("members").orderBy("seeded"))
     last = (sized.withColumn("bucket", bucket).join(cut_at, ["members", "bucket"])
             .groupBy("members", "before", "rest", "seeded").agg(F.sum("size").alias("words"))
-            .withColumn("after", so_far)
-            .where(F.col("after") - F.col("rest")
-                   <= F.col("rest") - (F.col("after") - F.col("words")))
-            .groupBy("members").agg(F.max("seeded").alias("cut")).collect())
-    last_of = {tuple(r.members): r.cut for r in last}
-    first_of = {tuple(m): b for m, b, _, _ in cuts}
-    rows = [(m, passes, last_of.get(tuple(m), first_of.get(tuple(m), "")))
+            .withColumn("after", so_far).where(F.col("after") <= F.col("rest"))
+            .groupBy("members").agg(F.max("seeded").alias("cut"), F.max("after").alias("after"))
+            .collect())
+    at = {tuple(m): (b, rest - before) for m, b, before, rest in cuts}
+    rest_of = {tuple(m): rest for m, _, _, rest in cuts}
+    at |= {tuple(r.members): (r.cut, rest_of[tuple(r.members)] - int(r.after)) for r in last}
+    fills = _fills(sized, [(list(m), cut, owed) for m, (cut, owed) in at.items() if owed > 0])
+    rows = [(m, passes, at.get(tuple(m), ("", 0))[0], fills.get(tuple(m), {}))
             for m, passes, _ in plan]
     routes = [(list(r.members), names[s], words)
               for r, flow in zip(patterns, routed, strict=True) for s, words in flow.items()]
-    return Mix(_small(spark, rows, sized, "passes long, cut string"), routes,
+    columns = "passes long, cut string, fills map<long,string>"
+    return Mix(_small(spark, rows, sized, columns), routes,
                {s: (z, w) for s, z, w in zip(names, sizes, wanted, strict=True)}, most)
 
 
+def _fills(sized: DataFrame, owing: list) -> dict[tuple, dict[int, str]]:
+    """For each pattern that owes words behind its cut: size -> last hash that is taken."""
+    if not owing:
+        return {}
+    spark = sized.sparkSession
+    behind = sized.join(_small(spark, owing, sized, "cut string, owed long"), "members").where(
+        (F.col("seeded") > F.col("cut")) & F.col("size").between(1, 2 * F.col("owed") - 1))
+    counted: dict[tuple, tuple[int, dict[int, int]]] = {}
+    for r in behind.groupBy("members", "owed", "size").count().collect():
+        counted.setdefault(tuple(r.members), (r.owed, {}))[1][r.size] = r["count"]
+    picks = [(list(m), size, n) for m, (owed, sizes) in counted.items()
+             for size, n in fill(owed, sizes).items()]
+    if not picks:
+        return {}
+    wanted = _small(spark, picks, sized, "size long, wanted long")
+    wanted = wanted.withColumnsRenamed({"members": "of", "size": "of_size"})
+    of_size = (F.col("size") == F.col("of_size")) & (F.col("members") == F.col("of"))
+    found = behind.join(wanted, of_size).groupBy("members", "size", "wanted", "seeded").agg(
+        F.count(F.lit(1)).alias("own")).withColumn("bucket", F.substring("seeded", 1, 3))
+
+    def so_far(*keys: str) -> F.Column:
+        return F.sum("own").over(Window.partitionBy(*keys).orderBy("seeded"))
+
+    # each bucket of hashes is cut first, so no size is sorted whole
+    for keys in (["members", "size", "bucket"], ["members", "size"]):
+        found = found.withColumn("nth", so_far(*keys)).where(F.col("nth") <= F.col("wanted"))
+    fills: dict[tuple, dict[int, str]] = {}
+    for r in found.groupBy("members", "size").agg(F.max("seeded").alias("last")).collect():
+        fills.setdefault(tuple(r.members), {})[r.size] = r["last"]
+    return fills
+
+
 def with_copies(docs: DataFrame, mix: Mix) -> DataFrame:
     """``docs``, which have ``members``, ``size`` and ``seeded``, with ``copies`` of each."""
-    extra = (F.col("seeded") <= F.col("cut")).cast("long")
+    filling = F.coalesce(F.col("seeded") <= F.try_element_at("fills", F.col("size")), F.lit(False))
+    extra = ((F.col("seeded") <= F.col("cut")) | filling).cast("long")
     return (docs.join(mix.plan, "members").withColumn(
         "copies", F.when(F.col("size") > 0, F.least(F.col("passes") + extra,
                                                     F.lit(mix.most).cast("long")))
-        .otherwise(F.lit(0).cast("long"))).drop("passes", "cut"))
+        .otherwise(F.lit(0).cast("long"))).drop("passes", "cut", "fills"))
 
 
 def source_table(spark, mix: Mix) -> DataFrame:

@@ -34,7 +34,7 @@ FROM fold f LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)
 """
 
 MIX_SQL = r"""
-WITH doc AS (
+WITH RECURSIVE doc AS (
   SELECT doc_id, source,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
          md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS seeded
@@ -68,14 +68,43 @@ plan AS (
                      least(CAST(3 * source_size AS DOUBLE), level * weight) AS target
               FROM weighed, level))),
 placed AS (
-  SELECT d.doc_id, d.size, p.source_size, p.target, p.passes, p.rest,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.seeded) AS after,
-         sum(d.size) OVER (PARTITION BY d.source, d.seeded) AS peers
-  FROM doc d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
-SELECT doc_id, size, source_size, target,
-       CAST(size * least(passes + CASE WHEN after - rest <= rest - (after - peers)
-                                       THEN 1 ELSE 0 END, 3) AS BIGINT) AS taken
-FROM placed
+  SELECT d.doc_id, d.source, d.size, d.seeded, p.source_size, p.target, p.passes, p.rest,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.seeded) AS after
+  FROM doc d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source),
+owing AS (
+  SELECT source, any_value(rest) - coalesce(max(after) FILTER (WHERE after <= rest), 0) AS owed
+  FROM placed GROUP BY source),
+behind AS (
+  SELECT p.source, size, seeded FROM placed p JOIN owing o ON p.source IS NOT DISTINCT FROM o.source
+  WHERE after > rest AND size > 0 AND size < 2 * owed),
+sizes AS (
+  SELECT source, list({'size': size, 'n': n} ORDER BY size DESC) AS sizes
+  FROM (SELECT source, size, count(*) AS n FROM behind GROUP BY source, size) GROUP BY source),
+step AS (
+  SELECT s.source, sizes, 0 AS i, CAST(owed AS BIGINT) AS owed, CAST(0 AS BIGINT) AS n
+  FROM sizes s JOIN owing o ON s.source IS NOT DISTINCT FROM o.source
+  UNION ALL
+  SELECT source, sizes, i + 1, owed - sizes[i + 1].size * least(sizes[i + 1].n,
+           owed // sizes[i + 1].size), CAST(least(sizes[i + 1].n, owed // sizes[i + 1].size) AS BIGINT)
+  FROM step WHERE i < len(sizes)),
+longer AS (
+  SELECT e.source, min(t.sizes[t.i].size) AS size, any_value(e.owed) AS owed
+  FROM step e JOIN step t ON e.source IS NOT DISTINCT FROM t.source AND t.i > 0
+    AND e.i = len(e.sizes) AND t.sizes[t.i].size > e.owed AND t.n < t.sizes[t.i].n
+  GROUP BY e.source),
+picked AS (
+  SELECT t.source, t.sizes[t.i].size AS size,
+         t.n + CASE WHEN l.size = t.sizes[t.i].size AND l.size - l.owed < l.owed THEN 1 ELSE 0 END AS n
+  FROM step t LEFT JOIN longer l ON t.source IS NOT DISTINCT FROM l.source WHERE t.i > 0),
+filling AS (
+  SELECT DISTINCT b.source, b.seeded
+  FROM (SELECT *, count(*) OVER (PARTITION BY source, size ORDER BY seeded) AS nth FROM behind) b
+  JOIN picked p ON b.source IS NOT DISTINCT FROM p.source AND b.size = p.size AND nth <= p.n)
+SELECT p.doc_id, p.size, p.source_size, p.target,
+       CAST(p.size * least(passes + CASE WHEN after <= rest OR f.seeded IS NOT NULL
+                                         THEN 1 ELSE 0 END, 3) AS BIGINT) AS taken
+FROM placed p LEFT JOIN filling f
+  ON p.source IS NOT DISTINCT FROM f.source AND p.seeded = f.seeded
 """
 
 TOPK_SQL = r"""
