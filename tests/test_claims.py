@@ -1,0 +1,161 @@
+"""Claimed change files, and database reads that are split without a watermark column."""
+
+import duckdb
+import pytest
+
+from tests.test_sync import T2
+from tidemark import fs
+from tidemark.control.claims import Claims
+from tidemark.plans import sync
+from tidemark.plans.sync import LoadSpec, load_drops
+from tidemark.sinks.manifest import ManifestTarget
+from tidemark.sinks.publish import drop_files
+from tidemark.sources import jdbc
+
+BUSINESS = "id int, v string"
+SPEC = LoadSpec(id=1, route="SRC2GP", load_type="INCREMENTAL", source_schema="app",
+                source_table="things", target_schema="app", target_table="things", keys=("id",))
+
+
+class Drops:
+    def __init__(self, spark, folder):
+        self.spark, self.folder = spark, folder
+        self.claims = Claims(spark, f"{folder}/claims")
+        self.target = ManifestTarget(spark, f"{folder}/target")
+        self.business = spark.createDataFrame([], BUSINESS).schema
+        self.target.create(spark.createDataFrame(
+            [], f"{BUSINESS}, hvr_is_deleted int, load_ts timestamp_ntz").schema, "load0")
+
+    def drop(self, batch, *rows):
+        drop_files(self.spark.createDataFrame(list(rows), f"{BUSINESS}, op_code int, time_key string")
+                   .coalesce(1), f"{self.folder}/in", "things", batch)
+
+    def load(self, load_id, target=None):
+        return load_drops(self.spark, SPEC, f"{self.folder}/in", self.business,
+                          target or self.target, now=T2, load_id=load_id, claims=self.claims,
+                          archive_root=f"{self.folder}/done")
+
+    def waiting(self):
+        return fs.names(self.spark, f"{self.folder}/in")
+
+    def archived(self):
+        return [f.rsplit("/", 1)[1] for f in fs.glob(self.spark, f"{self.folder}/done/*/*/*/*.csv")]
+
+    def values(self):
+        return sorted((r.id, r.v) for r in self.target.read().collect())
+
+
+@pytest.fixture
+def drops(spark, folder):
+    return Drops(spark, folder)
+
+
+def test_claims_go_with_the_archived_files(drops, spark):
+    drops.drop("a b", (1, "one", 1, "1"), (2, "two", 1, "1"))
+    assert drops.load(7) == 2 and drops.values() == [(1, "one"), (2, "two")]
+    assert drops.waiting() == [] and len(drops.archived()) == 1
+    assert fs.names(spark, f"{drops.folder}/claims/things") == ["load-7.done"]
+    drops.drop("a b", (1, "again", 2, "2"))             # a file of that name may come again
+    assert drops.load(8) == 1 and drops.values()[0] == (1, "again")
+
+
+def test_a_run_lost_before_publishing_keeps_its_files(drops, monkeypatch):
+    """They wait for its id; another id neither applies nor archives them."""
+    drops.drop("a", (1, "one", 1, "1"))
+    with monkeypatch.context() as patch:
+        def lost(*_, **__):
+            raise RuntimeError("lost")
+        patch.setattr(sync, "load_changes", lost)
+        with pytest.raises(RuntimeError):
+            drops.load(7)
+    drops.drop("b", (2, "two", 1, "1"))
+    assert drops.load(8) == 1 and drops.values() == [(2, "two")]
+    assert len(drops.waiting()) == 1
+    assert drops.load(7) == 1 and drops.values() == [(1, "one"), (2, "two")]
+    assert drops.waiting() == []
+
+
+def test_a_run_lost_between_publishing_and_archiving_is_not_applied_again(drops, monkeypatch):
+    drops.drop("a", (1, "one", 1, "1"))
+    with monkeypatch.context() as patch:
+        def lost(*_):
+            raise RuntimeError("lost")
+        patch.setattr(sync, "archive_inputs", lost)
+        with pytest.raises(RuntimeError):
+            drops.load(7)
+    version = drops.target.versions.current()
+    drops.drop("b", (1, "newer", 2, "2"))
+    # the next load takes the new file only, and archives both
+    assert drops.load(8) == 1 and drops.values() == [(1, "newer")]
+    assert drops.target.versions.current() == version + 1
+    assert drops.waiting() == [] and len(drops.archived()) == 2
+
+
+def test_two_runs_never_share_a_file(drops, monkeypatch):
+    drops.drop("a", (1, "one", 1, "1"))
+    inner, real = [], sync.load_changes
+
+    def meanwhile(*args, **kw):
+        if not inner:
+            inner.append(None)
+            inner[0] = drops.load(8)
+        return real(*args, **kw)
+
+    monkeypatch.setattr(sync, "load_changes", meanwhile)
+    assert drops.load(7) == 1 and inner == [0]
+    assert drops.values() == [(1, "one")]
+
+
+def test_release_hands_files_to_the_next_load(drops, spark):
+    drops.drop("a", (1, "one", 1, "1"))
+    files = fs.glob(spark, f"{drops.folder}/in/*.csv")
+    assert drops.claims.take("things", files, 7).own == files
+    assert drops.claims.take("things", files, 8).others == {files[0]: 7}
+    assert drops.claims.release("things", 9, files) == []
+    assert drops.claims.release("things", 7, files) == files
+    assert drops.load(8) == 1
+    with pytest.raises(ValueError, match="published"):
+        drops.claims.release("things", 8, files)
+
+
+# ---- database reads
+
+def met(con, predicates, table="t"):
+    """How many predicates each row meets, and the rows of each."""
+    each = " + ".join(f"CASE WHEN {p} THEN 1 ELSE 0 END" for p in predicates)
+    counts = {n for (n,) in con.execute(f"SELECT DISTINCT {each} FROM {table}").fetchall()}
+    return counts, [con.execute(f"SELECT count(*) FROM {table} WHERE {p}").fetchone()[0]
+                    for p in predicates]
+
+
+def test_key_predicates_deal_every_row_once():
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT CASE WHEN i % 9 > 0 THEN i END AS \"a\"\"b\", "
+                "'x' || i % 700 AS c FROM range(5000) r(i)")
+    predicates = jdbc.key_predicates(['a"b', "c"], 8, hash_of="CAST(hash(%s) & 2147483647 AS BIGINT)")
+    counts, sizes = met(con, predicates)
+    assert counts == {1} and len(sizes) == 8 and max(sizes) < 1.3 * min(sizes)
+    assert jdbc.key_predicates([], 8) == [] and jdbc.key_predicates(["a"], 1) == []
+    assert jdbc.key_predicates(["k"], 2)[1] == \
+        "(hashtext((coalesce(CAST(\"k\" AS text), ''))) & 2147483647) % 2 = 1"
+
+
+def test_range_predicates_follow_counted_quantiles():
+    """A third of the rows on one day: its cuts repeat, and no row is read twice or lost."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT CASE WHEN i % 3 = 0 THEN TIMESTAMP '2024-05-01' "
+                "WHEN i % 50 > 0 THEN TIMESTAMP '2000-01-01' + i * INTERVAL 1 DAY END AS at "
+                "FROM range(3000) r(i)")
+    cuts = con.execute(jdbc.quantiles_query("t", "at", 6)).fetchone()
+    predicates = jdbc.range_predicates("at", cuts)
+    counts, sizes = met(con, predicates)
+    assert counts == {1} and sum(sizes) == 3000
+    assert 4 <= len(predicates) <= 6 and max(sizes) <= 1700
+    assert jdbc.range_predicates("n", [3, 3, 7]) == [
+        '"n" <= 3 OR "n" IS NULL', '"n" > 3 AND "n" <= 7', '"n" > 7']
+    assert jdbc.range_predicates("n", [None]) == []
+
+
+def test_a_read_is_split_one_way(spark):
+    with pytest.raises(ValueError, match="not by both"):
+        jdbc.read(spark, "jdbc:x", table="t", split=("a", 1, 2, 3), predicates=["a = 1"])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark import schema as S
 from tidemark.control import audit
 from tidemark.control import table as control_table
+from tidemark.control.claims import Claims
 from tidemark.control.events import ControlLog
 from tidemark.plans.sync import LoadSpec, run_due
 from tidemark.session import RECOMMENDED_CONF
@@ -33,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--now", help="window end, yyyy-mm-dd hh:mm:ss; default: the clock")
     p.add_argument("--warehouse", help="folder under which table states are published")
     p.add_argument("--drops", help="folder of waiting change files")
+    p.add_argument("--claims", help="folder of claims on change files, for runs that share drops")
     p.add_argument("--archive", help="folder for applied files and table copies")
     p.add_argument("--other-schema", action="store_true",
                    help="allow a target schema that differs from the source's")
@@ -104,7 +106,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         split = jdbc.cuts(spec.load_type, spec.column, spec.second_last_run or spec.last_run, now,
                           args.read_tasks,
                           lambda: jdbc.bounds(spark, url, name, spec.column, options))
-        return jdbc.read(spark, url, table=name, split=split, connection=options)
+        # without a column that grows, rows are dealt by a hash of their key
+        predicates = [] if split else jdbc.key_predicates(spec.keys, args.read_tasks)
+        return jdbc.read(spark, url, table=name, split=split, connection=options,
+                         predicates=predicates)
 
     def target_of(spec: LoadSpec):
         name = f"{spec.target_schema}.{spec.target_table}"
@@ -121,7 +126,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         target_of=target_of, group=args.group,
         tables=args.tables.split(",") if args.tables else None, archive_root=args.archive,
         drops=args.drops, special=args.other_schema, at_once=args.at_once,
-        options=_options(args.options))
+        options=_options(args.options),
+        claims=Claims(spark, args.claims) if args.claims else None)
     for outcome in outcomes:
         name = f"{outcome.spec.target_schema}.{outcome.spec.target_table}"
         print(f"{name}: {outcome.error or f'{outcome.rows} rows'}")

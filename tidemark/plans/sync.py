@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tidemark import schema as S
 from tidemark.control import audit
 from tidemark.control import table as control_table
+from tidemark.control.claims import Claims
 from tidemark.control.events import ControlLog
 from tidemark.functions.types import drift_between
 from tidemark.operators import merge as M
@@ -307,20 +308,35 @@ def business_schema(target, spec: LoadSpec) -> T.StructType:
 
 def load_drops(spark: SparkSession, spec: LoadSpec, directory: str, business: T.StructType,
                target, *, now: datetime, load_id: int, archive_root: str | None = None,
-               counts: dict | None = None, **how) -> int:
+               counts: dict | None = None, claims: Claims | None = None, **how) -> int:
     """Apply the change files that wait for a table, then move them to the archive.
 
     The files are named once, so one that arrives meanwhile is neither half
     read nor archived unread. No files means nothing to do, which is a success.
+
+    With ``claims`` files belong to the load that named them first: another run
+    leaves them alone, and one that finds them published but not archived only
+    archives them.
     """
-    files = find_drops(spark, directory, spec.source_table)
+    files, table = find_drops(spark, directory, spec.source_table), spec.source_table
+
+    def archive(done: Sequence[str]) -> None:
+        if archive_root and done:
+            archive_inputs(spark, done, archive_root, spec.source_schema, table, now.date())
+            if claims:
+                claims.drop(table, done)
+
+    if claims:
+        share = claims.take(table, files, load_id)
+        archive(share.applied)
+        files = share.own
     if not files:
         return 0
     rows = load_changes(spark, spec, read_files(spark, files, business, **how), target,
                         now=now, load_id=load_id, counts=counts)
-    if archive_root:
-        archive_inputs(spark, files, archive_root, spec.source_schema, spec.source_table,
-                       now.date())
+    if claims:
+        claims.published(table, load_id)
+    archive(files)
     return rows
 
 
@@ -413,6 +429,7 @@ def run_due(spark: SparkSession, control: Versions | ControlLog, audit_path: str
             source_of: Callable[[LoadSpec], DataFrame], target_of: Callable[[LoadSpec], object],
             group: int | None = None, tables: Sequence[str] | None = None,
             archive_root: str | None = None, drops: str | None = None,
+            claims: Claims | None = None,
             special: bool = False, at_once: int = 1,
             options: Mapping[str, Mapping] | None = None, **more) -> list[Outcome]:
     """Run every due load of a route, ``at_once`` of them at a time.
@@ -425,6 +442,7 @@ def run_due(spark: SparkSession, control: Versions | ControlLog, audit_path: str
 
     With ``drops``, change routes read the files that wait in that folder and
     move them below ``archive_root`` afterwards; ``source_of`` is not asked.
+    ``claims`` keeps several runs from sharing these files.
 
     Data is published before the watermark moves, so a run that dies in between
     is repeated. Repeating a load under the same ``load_id`` changes nothing;
@@ -453,7 +471,7 @@ def run_due(spark: SparkSession, control: Versions | ControlLog, audit_path: str
             if load is load_changes and drops:
                 outcome.rows = load_drops(spark, spec, drops, business_schema(target, spec), target,
                                           now=now, load_id=load_id, archive_root=archive_root,
-                                          counts=outcome.counts)
+                                          counts=outcome.counts, claims=claims)
             else:
                 outcome.rows = load(spark, spec, source_of(spec), target, now=now,
                                     load_id=load_id, counts=outcome.counts)
