@@ -31,6 +31,13 @@ EXACT_TYPES = {
     "real": "float",
     "timestamp with time zone": "timestamp",
 }
+# Spark type -> what a database table is created with; the way back of EXACT_TYPES
+DATABASE_TYPES = {
+    "double": "double precision", "float": "real", "string": "text",
+    "timestamp_ntz": "timestamp without time zone", "timestamp": "timestamp with time zone",
+    "bigint": "bigint", "int": "integer", "smallint": "smallint", "tinyint": "smallint",
+    "date": "date", "boolean": "boolean", "binary": "bytea",
+}
 OTHER = "string"
 UNBOUNDED_DECIMAL = (38, 18)
 MAX_PRECISION = 38
@@ -89,6 +96,25 @@ def column_lists(metadata: DataFrame, mode: str = COMPAT) -> DataFrame:
                  F.count(F.lit(1)).alias("column_count")))
 
 
+def database_type(kind: T.DataType) -> str:
+    """The database type that holds all values of a Spark type.
+
+    Lengths of text are kept where the type tells them; what a database has no
+    column type for is refused, not turned into text.
+    """
+    if isinstance(kind, T.DecimalType):
+        return f"numeric({kind.precision},{kind.scale})"
+    if isinstance(kind, (T.CharType, T.VarcharType)):
+        name = "character" if isinstance(kind, T.CharType) else "character varying"
+        return f"{name}({kind.length})"
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.ArrayType):
+        return f"{database_type(kind.elementType)}[]"
+    name = DATABASE_TYPES.get(kind.simpleString())
+    if name is None:
+        raise ValueError(f"no database type for {kind.simpleString()}")
+    return name
+
+
 def struct_type(columns: Sequence[dict], mode: str = EXACT) -> T.StructType:
     """Schema of one table from its catalog rows (dicts or Rows), without a job."""
     fields = []

@@ -162,6 +162,8 @@ def _in_database(counts: dict | None, done: list[int]) -> None:
 def _merge_into(target, spec: LoadSpec, incoming: DataFrame, state: str,
                 counts: dict | None = None) -> None:
     """Publish staged incoming rows under the spec's load type."""
+    if hasattr(target, "merge_rows") and not target.exists():
+        target.create(incoming.schema)
     if spec.load_type != S.FULL and hasattr(target, "check_known"):
         target.check_known()
     if spec.load_type == S.FULL or not target.exists():
@@ -342,6 +344,8 @@ def load_drops(spark: SparkSession, spec: LoadSpec, directory: str, business: T.
 
 def _upsert(target, spec: LoadSpec, rows: DataFrame, state: str, null_safe: bool,
             counts: dict | None = None) -> None:
+    if hasattr(target, "merge_rows") and not target.exists():
+        target.create(rows.schema)
     current = target.read()
     if hasattr(target, "merge_rows"):
         _in_database(counts, target.merge_rows(align(rows, current.columns), spec.keys,

@@ -7,8 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schema as S
+from tidemark.functions.types import database_type
 from tidemark.operators.keyed import delete_matching, key_set
 from tidemark.session import staging
 from tidemark.sources.tables import snapshot
@@ -80,15 +82,52 @@ def merge_statements(target: str, staged: str, columns: Sequence[str], keys: Seq
                     f"WHERE {_quoted(INSERT_MARK)} = 1"]
 
 
-def run_statements(spark: SparkSession, url: str, statements: Sequence[str],
-                   connection: dict[str, str] | None = None) -> list[int]:
-    """Run statements in one transaction; returns the rows each one touched."""
+def create_statement(table: str, schema: T.StructType) -> str:
+    """The definition of a table for rows of that schema; one that exists is left as it is."""
+    columns = []
+    for field in schema:
+        try:
+            kind = database_type(field.dataType)
+        except ValueError as reason:
+            raise ValueError(f"column {field.name}: {reason}") from None
+        columns.append(f"{_quoted(field.name)} {kind}{'' if field.nullable else ' NOT NULL'}")
+    return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)})"
+
+
+def _link(spark: SparkSession, url: str, connection: dict[str, str] | None):
     properties = spark._jvm.java.util.Properties()
     for name, value in (connection or {}).items():
         properties.setProperty(name, value)
     if connection and "driver" in connection:
         spark._jvm.java.lang.Class.forName(connection["driver"])
-    link = spark._jvm.java.sql.DriverManager.getConnection(url, properties)
+    return spark._jvm.java.sql.DriverManager.getConnection(url, properties)
+
+
+def exists(spark: SparkSession, url: str, table: str,
+           connection: dict[str, str] | None = None) -> bool:
+    """Whether the database's catalog has ``[schema.]table``, in either of its spellings."""
+    schema, _, name = table.replace('"', "").rpartition(".")
+    link = _link(spark, url, connection)
+    try:
+        for spelled in dict.fromkeys([(schema, name), (schema.lower(), name.lower()),
+                                      (schema.upper(), name.upper())]):
+            found = link.getMetaData().getTables(None, spelled[0] or None, spelled[1], None)
+            if found.next():
+                return True
+        return False
+    finally:
+        link.close()
+
+
+def create(spark: SparkSession, url: str, table: str, schema: T.StructType,
+           connection: dict[str, str] | None = None) -> None:
+    run_statements(spark, url, [create_statement(table, schema)], connection)
+
+
+def run_statements(spark: SparkSession, url: str, statements: Sequence[str],
+                   connection: dict[str, str] | None = None) -> list[int]:
+    """Run statements in one transaction; returns the rows each one touched."""
+    link = _link(spark, url, connection)
     try:
         link.setAutoCommit(False)
         statement = link.createStatement()

@@ -155,7 +155,11 @@ class JdbcTarget:
     partition_by: list[str] = []
 
     def exists(self) -> bool:
-        return True
+        return jdbc_sink.exists(self.spark, self.url, self.table, self.connection)
+
+    def create(self, schema: T.StructType) -> None:
+        """A table for rows of that schema, unless there is one."""
+        jdbc_sink.create(self.spark, self.url, self.table, schema, self.connection)
 
     def read(self) -> DataFrame:
         return jdbc_source.read(self.spark, self.url, table=self.table,
