@@ -1,0 +1,97 @@
+"""A load on a catalog table registers and measures the partitions it has touched, not the table."""
+
+import pytest
+
+from tidemark.operators import merge as M
+from tidemark.sinks import publish
+from tidemark.sinks.targets import TableTarget
+
+SCHEMA = "id int, v string, p string, q int"
+
+
+@pytest.fixture
+def target(spark, folder):
+    spark.sql("CREATE DATABASE IF NOT EXISTS app")
+    spark.sql("DROP TABLE IF EXISTS app.registered")
+    target = TableTarget(spark, "app.registered", f"{folder}/t")
+    rows = [(k, "old", f"it's {k % 4}", k % 3) for k in range(24)]
+    target.redefine(spark.createDataFrame(rows, SCHEMA), "load1", ["p", "q"])
+    yield target
+    spark.sql("DROP TABLE IF EXISTS app.registered")
+
+
+@pytest.fixture
+def said(spark, monkeypatch):
+    """Statements that a load runs on the catalog."""
+    texts, real = [], type(spark).sql
+
+    def record(self, text, *args, **kw):
+        texts.append(text)
+        return real(self, text, *args, **kw)
+
+    monkeypatch.setattr(type(spark), "sql", record)
+    return texts
+
+
+def about_partitions(texts):
+    return [t for t in texts if t.startswith(("MSCK", "ANALYZE", "ALTER"))]
+
+
+def partitions(spark):
+    return {r.partition for r in spark.sql("SHOW PARTITIONS app.registered").collect()}
+
+
+def merge(spark, target, rows, whole_keys=False):
+    incoming = spark.createDataFrame(rows, SCHEMA)
+    parts, current = ["p", "q"], target.read()
+    if whole_keys:
+        touched = M.touched_partitions(current, incoming, ["id"], parts)
+        merged = M.merge_partitioned_global(current, incoming, ["id"], parts)
+    else:
+        touched = M.affected_partitions(incoming, parts)
+        merged = M.merge_partitioned(current, incoming, ["id"], parts)
+    target.replace_partitions(merged, touched, may_empty=whole_keys)
+
+
+def test_a_merge_names_two_partitions_of_twelve(spark, target, said):
+    merge(spark, target, [(0, "new", "it's 0", 0), (100, "new", "fresh\\", 7)])
+    got = about_partitions(said)
+    assert len(got) == 3 and not any(t.startswith("MSCK") for t in got)
+    assert sum(t.startswith("ANALYZE") and "PARTITION" in t for t in got) == 2
+    assert len(partitions(spark)) == 13
+    values = {r.id: (r.v, r.p) for r in target.read().collect()}
+    assert len(values) == 25 and values[0][0] == "new" and values[100] == ("new", "fresh\\")
+
+
+def test_an_emptied_partition_is_dropped(spark, target, said):
+    """All rows of a partition move to another one."""
+    moved = [(r.id, "moved", "it's 1", 1) for r in target.read().where("p = \"it's 0\" AND q = 0")
+             .collect()]
+    merge(spark, target, moved, whole_keys=True)
+    assert not any(t.startswith("MSCK") for t in said)
+    assert any("DROP IF EXISTS PARTITION" in t for t in said)
+    assert len(partitions(spark)) == 11
+    assert target.read().count() == 24 and target.read().where("v = 'moved'").count() == len(moved)
+
+
+def test_an_append_names_its_partitions(spark, target, said):
+    target.append(spark.createDataFrame([(50, "a", "more", 1), (51, "a", "it's 1", 1)], SCHEMA),
+                  state="load2")
+    got = about_partitions(said)
+    assert len(got) == 3 and not any(t.startswith("MSCK") for t in got)
+    assert target.read().count() == 26 and len(partitions(spark)) == 13
+
+
+@pytest.mark.parametrize("rows", [[(1, "n", None, 1)], [(k, "n", f"p{k}", 0) for k in range(9)]])
+def test_null_or_too_many_partitions_list_the_table(spark, target, said, monkeypatch, rows):
+    monkeypatch.setattr(publish, "MOST_REGISTERED", 5)
+    merge(spark, target, rows)
+    assert any(t.startswith("MSCK") for t in said)
+    assert target.read().where("v = 'n'").count() == len(rows)
+
+
+def test_statistics_are_there(spark, target):
+    merge(spark, target, [(0, "new", "it's 0", 0)])
+    facts = spark.sql("DESCRIBE EXTENDED app.registered PARTITION (p=\"it's 0\", q=0)").collect()
+    (size,) = [r.data_type for r in facts if r.col_name == "Partition Statistics"]
+    assert int(size.split()[0]) > 0

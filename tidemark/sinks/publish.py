@@ -163,15 +163,56 @@ def stage_and_switch(df: DataFrame, table: str, folder: str, **layout) -> None:
     switch_location(df.sparkSession, table, folder)
 
 
-def refresh(spark: SparkSession, table: str, *, count_rows: bool = False) -> None:
+#: Partitions that are registered by name; where a load touches more, the table is listed.
+MOST_REGISTERED = 1000
+
+
+def touched_rows(partitions: DataFrame, columns: Sequence[str]) -> list[tuple] | None:
+    """Values of the touched partitions, for :func:`refresh`; None if they can't be named.
+
+    Their number is checked. NULL has no name that every statement takes.
+    """
+    rows = [tuple(r) for r in
+            partitions.select(*columns).distinct().limit(MOST_REGISTERED + 1).collect()]
+    if len(rows) > MOST_REGISTERED or any(value is None for row in rows for value in row):
+        return None
+    return rows
+
+
+def _partition(columns: Sequence[str], row: tuple) -> str:
+    def text(value) -> str:
+        plain = str(value).lower() if isinstance(value, bool) else str(value)
+        return "'" + plain.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "PARTITION (" + ", ".join(f"`{c}`={text(v)}" for c, v in zip(columns, row)) + ")"
+
+
+def refresh(spark: SparkSession, table: str, *, count_rows: bool = False,
+            touched: Sequence[tuple] | None = None, emptied: Sequence[tuple] = ()) -> None:
     """Make new files known, match the listed partitions to the folders, refresh statistics.
 
-    Row counts need a pass over the table, so they are taken on request only.
+    Where a load knows which partitions it has ``touched``, and which of them it
+    has ``emptied``, only these are registered, dropped and measured; otherwise
+    the whole table is listed. Row counts need a pass over the data, so they are
+    taken on request only.
     """
-    if partition_columns(spark, table):
-        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    how = "" if count_rows else " NOSCAN"
+    columns = partition_columns(spark, table)
+    if not columns or touched is None:
+        if columns:
+            spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        spark.catalog.refreshTable(table)
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{how}")
+        return
+    kept = [row for row in touched if row not in set(emptied)]
+    if kept:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS "
+                  + " ".join(_partition(columns, row) for row in kept))
+    if emptied:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS "
+                  + ", ".join(_partition(columns, row) for row in emptied))
     spark.catalog.refreshTable(table)
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS" + ("" if count_rows else " NOSCAN"))
+    for row in kept:
+        spark.sql(f"ANALYZE TABLE {table} {_partition(columns, row)} COMPUTE STATISTICS{how}")
 
 
 def archive_copy(df: DataFrame, root: str, table: str, load_id: int) -> str:

@@ -12,7 +12,7 @@ from tidemark import fs
 from tidemark.sinks import jdbc as jdbc_sink
 from tidemark.sinks import orc
 from tidemark.sinks.publish import (append_files, create_table, redefine_table, refresh,
-                                    replace_partitions, switch_location)
+                                    replace_partitions, switch_location, touched_rows)
 from tidemark.sources import jdbc as jdbc_source
 from tidemark.sources.tables import bloom_columns, partition_columns
 
@@ -129,19 +129,28 @@ class TableTarget:
         begin with the state, so a run that is lost in between leaves files its
         repetition removes.
         """
+        parts = self.partition_by
+        touched = touched_rows(df, parts) if parts else None
         if state is None:
-            orc.append(df, self.location, partition_by=self.partition_by,
-                       **self._layout(distribute_by))
+            orc.append(df, self.location, partition_by=parts, **self._layout(distribute_by))
         else:
-            append_files(df, self.location, state, self.partition_by,
-                         **self._layout(distribute_by))
-        refresh(self.spark, self.table)
+            append_files(df, self.location, state, parts, **self._layout(distribute_by))
+        refresh(self.spark, self.table, touched=touched)
 
     def replace_partitions(self, df: DataFrame, touched: DataFrame,
                            distribute_by: Sequence[str] = (), may_empty: bool = False) -> None:
-        replace_partitions(df, touched, self.location, self.partition_by, may_empty=may_empty,
+        parts, location = self.partition_by, self.location
+        # named before the write, as ``touched`` may be read out of the target
+        rows = touched_rows(touched, parts)
+        replace_partitions(df, touched, location, parts, may_empty=may_empty,
                            **self._layout(distribute_by))
-        refresh(self.spark, self.table)
+        emptied = []
+        if rows and may_empty:
+            named = self.spark.createDataFrame(rows, T.StructType([df.schema[p] for p in parts]))
+            files = self.spark.read.schema(df.schema).orc(location)
+            left = files.join(named, parts, "left_semi").select(*parts).distinct()
+            emptied = sorted(set(rows) - {tuple(r) for r in left.collect()}, key=repr)
+        refresh(self.spark, self.table, touched=rows, emptied=emptied)
 
 
 class JdbcTarget:
