@@ -364,9 +364,12 @@ def test_join_chain_of_near_copies(spark):
     assert {c for d, _, c in got if d <= 40} == {1}
 
 
-def test_join_without_frequent_list_gives_the_same(spark, monkeypatch):
+@pytest.mark.parametrize("cells", [1, 64])
+def test_join_gives_the_same_in_any_order(spark, monkeypatch, cells):
+    """Few cells: all shingles seem equally frequent, and none seems to be alone."""
     rows = awkward()
-    monkeypatch.setattr(jaccard_join, "LAST_SHINGLES", 1)
+    monkeypatch.setattr(jaccard_join, "CELLS", cells)
+    monkeypatch.setattr(jaccard_join, "PACKED_ROWS", 50)
     got = got_components(jaccard_join.jaccard_join(documents(spark, rows)))
     assert got == plain_components(rows)
 

@@ -8,21 +8,29 @@ o(a, b) = ceil(t (a + b) / (100 + t)) of them, t the threshold in percent.
   each size b of a possible partner. Linked light sets have such a subset in
   common.
 * Heavy sets are found by inverted lists. All shingles have one global order,
-  in which the ones that come up in very many documents are last; a linked
-  pair shares one of the first n - ceil(t n / 100) + 1 shingles of either set,
-  so only these are posted. A light set whose partner may be heavy is posted
-  as well.
+  the rarest first; a linked pair shares one of the first n - ceil(t n / 100) + 1
+  shingles of either set, so only these are posted. A light set whose partner
+  may be heavy is posted as well. Rarity is estimated by counts in a table of
+  fixed size, where shingles that fall into one cell count together: any order
+  gives the same links, and frequent shingles come last whatever the corpus
+  holds. A shingle alone in its cell is in one set only and isn't posted.
 * The boundary between the two is the set size at which subsets and postings
   cost least for the sizes that the documents have.
 
+Postings travel packed, a key and a set each, and a task sends of the sets
+under one key only the least to the key's bucket, so a key that a third of all
+sets have reaches it once for each half a million postings.
+
 Lists are not turned into all their pairs. First every set is compared with
 one set, the one it shares most lists with among the least members of its
-lists. That joins the copies of a text, however many, along a star. What is
-left are lists that still hold several components; only pairs from different
-components are made from them, counted over the lists, bounded, and compared
-in full. So no link between components is lost and none within one is made
-twice. What is returned are classes and components only: links inside a
-component that the star has joined are neither made nor counted.
+lists, as far as a task has seen them. That joins the copies of a text, however
+many, along a star. What is left are lists that still hold several components.
+Only pairs from different components are made from them, where the places of
+the shingle in both sets leave room for what they must share, and compared in
+full. So no link between components is lost and none within one is made twice.
+Many versions of one text that are not near the same one do make many pairs.
+What is returned are classes and components only: links inside a component that
+the star has joined are neither made nor counted.
 
 Cases: null and empty texts have the empty set, which links with nothing; a
 text of fewer words than a shingle is one shingle; rows without an id take no
@@ -39,23 +47,33 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, staged, text_bytes
 from tidemark.llm.components import components
+from tidemark.llm.hashing import mixed
 
 #: Words in a shingle, and the least Jaccard similarity in percent.
 SHINGLE = 5
 THRESHOLD = 80
-#: Shingles put last in the global order; any choice gives the same links.
-LAST_SHINGLES = 1 << 16
+#: Cells in which shingles are counted for the global order, a byte each when broadcast.
+CELLS = 1 << 24
+#: Cells that are summed together.
+CELL_BLOCK = 1 << 13
 #: What one posting costs, counted in listed subsets, as its list is scanned.
 POSTING_COST = 4
 #: Largest set for which subsets are considered.
 MOST_LIGHT = 24
-
-_LATE = np.int64(1 << 62)
+#: Postings that a task holds before it packs them, and packed bytes of one bucket.
+PACKED_ROWS = 1 << 19
+BUCKET_BYTES = 8 << 20
+
+#: Half powers of two; a cell below ``_ALONE`` holds one shingle of one set, or none.
+_LEVELS = np.unique(np.ceil(2 ** (np.arange(64) / 2)).astype(np.int64))
+_ALONE = 2
+_LEVEL_AT = np.int64(56)
+_SALT = np.uint64(0xA0761D6478BD642F)
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -94,6 +112,13 @@ def _is_posted(n: int, light: int, threshold: int) -> bool:
     return n > light or 100 * n // threshold > light
 
 
+def _listed(sizes: dict[int, int], light: int, threshold: int) -> int:
+    """Postings and subsets of so many sets of each size."""
+    return sum(count * ((_posted(n, threshold) if _is_posted(n, light, threshold) else 0)
+                        + sum(comb(n, c) for c in _subset_sizes(n, light, threshold)
+                              if n <= light)) for n, count in sizes.items())
+
+
 def boundary(sizes: dict[int, int], threshold: int = THRESHOLD) -> int:
     """Largest light set: where listing subsets and scanning lists cost least together."""
     def cost(light: int) -> int:
@@ -113,35 +138,71 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text"))
 
 
-def _frequent(docs: DataFrame, size: int) -> np.ndarray:
-    """The shingles met most often in batches of documents, at most ``LAST_SHINGLES``."""
+def _rarity(docs: DataFrame, size: int, cells: int) -> bytes:
+    """For each cell how often its shingles come up, in half powers of two; a byte a cell."""
+    length = min(cells, CELL_BLOCK)
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(cells, np.uint32)
         for batch in slices(batches):
+            # equal texts of a batch are one set
             sets = [shingles(t, size) for t in set(batch.column("text").to_pylist())]
-            met, n = np.unique(np.concatenate([np.zeros(0, np.int64), *sets]), return_counts=True)
-            often = n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(met[often]), pa.array(n[often])],
-                                             names=["shingle", "n"])
+            met, n = np.unique(np.concatenate([np.zeros(0, np.int64), *sets]) & (cells - 1),
+                               return_counts=True)
+            counts[met] += n.astype(np.uint32)
+        blocks = counts.reshape(-1, length)
+        some = np.flatnonzero(blocks.any(1))
+        for at in range(0, len(some), 256):
+            part = some[at:at + 256]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part.astype(np.int32)),
+                 pa.array([pa.compress(_planes(blocks[k]), "zstd", asbytes=True) for k in part],
+                          pa.binary())], names=["block", "counts"])
+
+    def total(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column("block").to_pylist(),
+                                     batch.column("counts").to_pylist(), strict=True):
+                raw = pa.decompress(counts, 4 * length, "zstd", asbytes=True)
+                sums.setdefault(block, np.zeros(length, np.int64))
+                sums[block] += _from_planes(raw, "<u4")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()),
+             pa.array([np.searchsorted(_LEVELS, x, "right").astype(np.uint8).tobytes()
+                       for x in sums.values()], pa.binary())], names=["block", "levels"])
 
-    top = (docs.select("text").mapInArrow(count, "shingle long, n long")
-           .groupBy("shingle").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "shingle").limit(LAST_SHINGLES))
-    return np.sort(np.array([r.shingle for r in top.collect()], np.int64))
+    schema = "block int, {} binary"
+    summed = (docs.select("text").mapInArrow(count, schema.format("counts"))
+              .repartition("block").mapInArrow(total, schema.format("levels")))
+    levels = np.zeros((cells // length, length), np.uint8)
+    for row in summed.collect():
+        levels[row.block] = np.frombuffer(row.levels, np.uint8)
+    return levels.tobytes()
 
 
-def _ordered(found: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Shingles in the global order; frequent ones have the top bit."""
-    if len(last):
-        at = np.minimum(np.searchsorted(last, found), len(last) - 1)
-        found = np.where(last[at] == found, found | _LATE, found)
-    return np.sort(found)
+def _planes(column: np.ndarray) -> bytes:
+    """All lowest bytes, then all next ones: what is zero lies together."""
+    return np.ascontiguousarray(column.view(np.uint8).reshape(len(column), -1).T).tobytes()
 
 
-def _sets(docs: DataFrame, size: int, last) -> DataFrame:
+def _from_planes(data: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(
+        kind).reshape(-1)
+
+
+def _ordered(found: np.ndarray, levels: bytes) -> np.ndarray:
+    """Shingles in the global order: the level of their cell, then 56 bits of the hash."""
+    level = np.frombuffer(levels, np.uint8)[found & (len(levels) - 1)].astype(np.int64)
+    return np.sort((level << _LEVEL_AT) | (found >> 6))
+
+
+def _sets(docs: DataFrame, size: int, levels) -> DataFrame:
     """Id, set size, fingerprint of the set and its shingles in the global order, packed."""
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [_ordered(shingles(t, size), last.value)
+            sets = [_ordered(shingles(t, size), levels.value)
                     for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -154,52 +215,124 @@ def _sets(docs: DataFrame, size: int, last) -> DataFrame:
 
 def _first_shingles(sets: DataFrame, threshold: int) -> DataFrame:
     """The same with only the shingles that any posting or subset is made of."""
+    kept = F.when(F.col("n") <= MOST_LIGHT, F.col("n")).otherwise(_posted_of(threshold))
+    return sets.withColumn("packed", F.substring("packed", F.lit(1), (kept * 8).cast("int")))
+
+
+def _posted_of(threshold: int) -> F.Column:
     n = F.col("n")
-    kept = F.when(n <= MOST_LIGHT, n).otherwise(
-        n - F.floor((n * threshold + 99) / 100) + 1).cast("int")
-    return sets.withColumn("packed", F.substring("packed", F.lit(1), kept * 8))
+    return n - F.floor((n * threshold + 99) / 100) + 1
+
+
+def _keys(own: np.ndarray, n: int, light: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """What one set is listed under, and the places there: shingles, and subsets as
+    negative keys without a place."""
+    found, places = [np.zeros(0, np.int64)], np.zeros(0, np.int64)
+    if _is_posted(n, light, threshold):
+        posted = own[:_posted(n, threshold)]
+        places = np.flatnonzero(posted >> _LEVEL_AT >= _ALONE)
+        found.append(posted[places])
+    if n <= light:
+        found.append(np.array(
+            [-1 - (xxhash.xxh3_64_intdigest(own[list(some)].tobytes(), seed=c) >> 1)
+             for c in _subset_sizes(n, light, threshold)
+             for some in combinations(range(n), c)], np.int64))
+    keys = np.concatenate(found)
+    return keys, np.pad(places, (0, len(keys) - len(places)))
 
 
-def _entries(light: int, threshold: int) -> Callable:
-    """Mapper: postings and subsets of each class. Subsets are negative keys."""
+_PACKED = "bucket int, settled boolean, data binary"
+_LISTED = "key long, node long, head long, place long"
+
+
+def _entries(light: int, threshold: int, buckets: int, most: int) -> Callable:
+    """Mapper: what classes are listed under, packed by bucket.
+
+    Of the classes under one key in a pack the least goes to the key's bucket, marked
+    if there are others; these know it as their head and go to any bucket.
+    """
+    def pack(keys: np.ndarray, nodes: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+        by = np.lexsort((nodes, keys))
+        keys, nodes, places = keys[by], nodes[by], places[by]
+        first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+        heads = np.repeat(nodes[first], np.diff(first, append=len(keys)))
+        several = np.add.reduceat(nodes != heads, first) > 0 if len(first) else first
+        mark = np.zeros(len(keys), np.int64)
+        mark[first] = several
+        rest = np.setdiff1d(np.arange(len(keys)), first)
+        out = []
+
+        def deal(at: np.ndarray, bucket: np.ndarray, settled: bool, *columns) -> None:
+            order = np.argsort(bucket, kind="stable")
+            found, starts = np.unique(bucket[order], return_index=True)
+            ends = np.append(starts[1:], len(at))
+            for k, start, end in zip(found, starts, ends[:len(starts)], strict=True):
+                part = at[order[start:end]]
+                out.append((int(k), settled, b"".join(_planes(c[part]) for c in columns)))
+
+        deal(first, _bucket(keys[first], buckets), False, keys, nodes, mark, places)
+        deal(rest, _bucket(nodes[rest], buckets), True, keys, nodes, heads, places)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.bool_()),
+             pa.array([x[2] for x in out], pa.binary())], names=["bucket", "settled", "data"])
+
     def entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in slices(batches):
-            keys, nodes, sizes, lasts = [], [], [], []
             for node, n, packed in zip(batch.column("node").to_pylist(),
                                        batch.column("n").to_pylist(),
                                        batch.column("packed").to_pylist(), strict=True):
-                own = np.frombuffer(packed, "<i8")
-                found = [np.zeros(0, np.int64)]
-                posted = own[:_posted(n, threshold)]
-                if _is_posted(n, light, threshold):
-                    found.append(posted)
-                if n <= light:
-                    found.append(np.array(
-                        [-1 - (xxhash.xxh3_64_intdigest(own[list(some)].tobytes(), seed=c) >> 1)
-                         for c in _subset_sizes(n, light, threshold)
-                         for some in combinations(range(n), c)], np.int64))
-                found = np.concatenate(found)
-                keys.append(found)
-                nodes.append(np.full(len(found), node))
-                sizes.append(np.full(len(found), n))
-                lasts.append(np.full(len(found), posted[-1]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in
-                 (keys, nodes, sizes, lasts)], names=["key", "node", "n", "last"])
+                keys, places = _keys(np.frombuffer(packed, "<i8"), n, light, threshold)
+                held.append((keys, np.full(len(keys), node), places))
+                size += len(keys)
+                if size >= most:
+                    yield pack(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                    held, size = [], 0
+        if size:
+            yield pack(*(np.concatenate(x) for x in zip(*held, strict=True)))
     return entries
 
 
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    hashed = mixed(keys.astype(np.uint64) ^ _SALT)
+    return ((hashed >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+
+
+def _lists(table: pa.Table) -> pa.Table:
+    """The lists of one bucket that hold more than one class, a row for each member."""
+    parts: dict[bool, list] = {True: [], False: []}
+    for settled, data in zip(table.column("settled").to_pylist(),
+                             table.column("data").to_pylist(), strict=True):
+        part = len(data) // 4
+        parts[settled].append([_from_planes(data[k * part:(k + 1) * part], "<i8")
+                               for k in range(4)])
+    none = [np.zeros(0, np.int64)] * 4
+    keys, nodes, many, places = (np.concatenate(x) for x in zip(none, *parts[False], strict=True))
+    by = np.lexsort((nodes, keys))
+    keys, nodes, many, places = keys[by], nodes[by], many[by], places[by]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+    length = np.diff(first, append=len(keys))
+    heads = np.repeat(nodes[first], length)
+    if len(first):
+        several = np.repeat(np.add.reduceat((nodes != heads) | (many > 0), first) > 0, length)
+        keys, nodes, heads, places = (x[several] for x in (keys, nodes, heads, places))
+    done = [np.concatenate(x) for x in zip(none, *parts[True], strict=True)]
+    return pa.table({name: np.concatenate([a, b]) for name, a, b in
+                     zip(("key", "node", "head", "place"), (keys, nodes, heads, places), done,
+                         strict=True)})
+
+
 def _fitting(a: str, b: str, threshold: int) -> F.Column:
     """Set sizes that can link."""
     return ((F.col(a) * 100 >= F.col(b) * threshold) & (F.col(b) * 100 >= F.col(a) * threshold))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, threshold: int, last) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, size: int, threshold: int, levels) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets link, compared in full."""
     pairs = staged(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(
         pairs.select(F.col("b").alias("id"))).distinct()
-    sets = staged(_sets(docs.join(wanted, "id"), size, last)
+    sets = staged(_sets(docs.join(wanted, "id"), size, levels)
                   .select("id", "print", "packed").dropDuplicates(["id", "print"]), "sets")
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("packed").alias("x")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("packed").alias("y")), "b"))
@@ -217,6 +350,32 @@ def _linked(pairs: DataFrame, docs: DataFrame, size: int, threshold: int, last)
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def _heads(lists: DataFrame, of_node: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of each set and the fitting head that it meets most often."""
+    ranked = Window.partitionBy("node").orderBy(F.desc("met"), "head")
+    return (lists.where(F.col("node") != F.col("head"))
+            .groupBy("node", "head").agg(F.count("*").alias("met"),
+                                         F.min("key").alias("least_key"))
+            .join(of_node.select("node", "n"), "node")
+            .join(of_node.select(F.col("node").alias("head"), F.col("n").alias("head_n")), "head")
+            .where(_fitting("n", "head_n", threshold)
+                   & ((F.col("met") * 400 >= F.col("n") * (100 - threshold))
+                      | (F.col("least_key") < 0)))
+            .withColumn("nth", F.row_number().over(ranked)).where(F.col("nth") == 1)
+            .select(F.col("node").alias("a"), F.col("head").alias("b")))
+
+
+def _several(lists: DataFrame, label: DataFrame) -> DataFrame:
+    """The members (key, node, place) of lists that hold several components, with these."""
+    labelled = lists.select("key", "node", "place").join(label, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    several = (labelled.groupBy("key").agg(F.min("component").alias("c1"),
+                                           F.max("component").alias("c2"))
+               .where(F.col("c1") < F.col("c2")).select("key"))
+    return staged(labelled.join(several, "key").select("key", "node", "place", "component"),
+                  "mixed")
+
+
 def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, ``n_shingles``, ``class_id`` and ``component_id``.
@@ -226,32 +385,28 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     """
     spark = docs.sparkSession
     texts = _texts(docs, id_col, text_col)
-    last = spark.sparkContext.broadcast(_frequent(texts, shingle))
-    rows = staged(_first_shingles(_sets(texts, shingle, last), threshold), "shingles")
+    levels = spark.sparkContext.broadcast(_rarity(texts, shingle, CELLS))
+    rows = staged(_first_shingles(_sets(texts, shingle, levels), threshold), "shingles")
     small = rows.where(F.col("n").between(1, MOST_LIGHT)).groupBy("n").count().collect()
-    light = boundary({r.n: r["count"] for r in small}, threshold)
+    sizes = {r.n: r["count"] for r in small}
+    light = boundary(sizes, threshold)
 
     classes = staged(rows.where(F.col("n") > 0).groupBy("print").agg(
-        F.min("id").alias("node"), F.first("n").alias("n"), F.first("packed").alias("packed")),
+        F.min("id").alias("node"), *(F.first(c).alias(c) for c in ("n", "packed"))),
         "classes")
+    posted = classes.where(F.col("n") > MOST_LIGHT).agg(F.sum(_posted_of(threshold)).alias("n"))
+    many = int(posted.first().n or 0) + _listed(sizes, light, threshold)
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")),
+                  -(-32 * many // BUCKET_BYTES))
     entries = classes.select("node", "n", "packed").mapInArrow(
-        _entries(light, threshold), "key long, node long, n long, last long")
-    lists = (entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("least"),
-                                        F.max("node").alias("most"))
-             .where(F.col("least.node") < F.col("most"))
-             .select("key", F.col("least.node").alias("head"), F.col("least.n").alias("head_n")))
-    shared = staged(entries.join(lists, "key"), "lists")
-
-    # each set with the list head it meets most often
-    stars = (shared.where((F.col("node") != F.col("head")) & _fitting("n", "head_n", threshold))
-             .groupBy("node", "n", "head").agg(F.count("*").alias("met"),
-                                               F.min("key").alias("least_key"))
-             .groupBy("node", "n").agg(
-                 F.max(F.struct("met", F.col("head"), "least_key")).alias("best"))
-             .where((F.col("best.met") * 400 >= F.col("n") * (100 - threshold))
-                    | (F.col("best.least_key") < 0)))
-    links = staged(_linked(stars.select(F.col("node").alias("a"), F.col("best.head").alias("b")),
-                           texts, shingle, threshold, last), "links")
+        _entries(light, threshold, buckets, PACKED_ROWS), _PACKED)
+    shared = staged(entries.groupBy("bucket").applyInArrow(_lists, _LISTED), "lists")
+    of_node = classes.select("node", "n")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return staged(_linked(pairs.distinct(), texts, shingle, threshold, levels), "links")
+
+    links = linked(_heads(shared, of_node, threshold))
     # rows that share an id belong together whatever their sets are
     placed = staged(rows.select("id", "n", "print").join(classes.select("print", "node"),
                                                          "print", "left"), "placed")
@@ -260,35 +415,25 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
                .where(F.col("a") < F.col("most")).select("id", "a"))
     same_id = (known.join(several, "id").where(F.col("a") < F.col("node"))
                .select("a", F.col("node").alias("b")).distinct())
-    links = links.unionByName(same_id)
-    label = components(links)
+    label = components(links.unionByName(same_id))
 
     # what is left: lists that hold several components
-    labelled = shared.join(label, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
-    mixed = (labelled.groupBy("key").agg(F.min("component").alias("c1"),
-                                         F.max("component").alias("c2"))
-             .where(F.col("c1") < F.col("c2")).select("key"))
-    left = staged(labelled.join(mixed, "key").select("key", "node", "n", "last", "component"),
-                  "mixed")
-    x, y = (left.select("key", *(F.col(c).alias(f"{c}{k}") for c in
-                                 ("node", "n", "last", "component"))) for k in (1, 2))
-    met = (x.join(y, "key").where((F.col("node1") < F.col("node2"))
-                                  & (F.col("component1") != F.col("component2"))
-                                  & _fitting("n1", "n2", threshold))
-           .groupBy("node1", "node2", "n1", "n2", "last1", "last2")
-           .agg(F.sum((F.col("key") >= 0).cast("long")).alias("met"),
-                F.min("key").alias("least_key")))
-    # shared shingles up to where the shorter prefix ends are all counted; behind
-    # it, at most the rest of that set can be shared
-    n = F.when(F.col("last1") <= F.col("last2"), F.col("n1")).otherwise(F.col("n2"))
-    behind = F.floor((n * threshold + 99) / 100) - 1
+    left = _several(shared, label)
+    x, y = (left.join(of_node, "node").select("key", *(
+        F.col(c).alias(f"{c}{k}") for c in ("node", "n", "place", "component"))) for k in (1, 2))
     must = F.floor((F.lit(threshold) * (F.col("n1") + F.col("n2")) + 99 + threshold)
                    / (100 + threshold))
-    open_pairs = met.where((F.col("least_key") < 0) | (F.col("met") + behind >= must)).select(
+    # the first shingle that linked sets share stands in both before the last that can be
+    # the first of so many; behind it no more are shared than either set still has
+    early = ((F.col("place1") <= F.col("n1") - must) & (F.col("place2") <= F.col("n2") - must)
+             & (F.least("place1", "place2") + F.least(F.col("n1") - F.col("place1"),
+                                                      F.col("n2") - F.col("place2")) >= must))
+    open_pairs = x.join(y, "key").where(
+        (F.col("node1") < F.col("node2")) & (F.col("component1") != F.col("component2"))
+        & _fitting("n1", "n2", threshold) & ((F.col("key") < 0) | early)).select(
         F.col("node1").alias("a"), F.col("node2").alias("b"))
-    more = staged(_linked(open_pairs, texts, shingle, threshold, last), "links")
-    label = components(links.unionByName(more))
+    label = components(linked(open_pairs).unionByName(
+        label.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     named = (placed.join(label, "node", "left")
              .groupBy("id", "n", "print")
