@@ -18,17 +18,21 @@ o(a, b) = ceil(t (a + b) / (100 + t)) of them, t the threshold in percent.
   cost least for the sizes that the documents have.
 
 Postings travel packed, a key and a set each, and a task sends of the sets
-under one key only the least to the key's bucket, so a key that a third of all
-sets have reaches it once for each half a million postings.
-
-Lists are not turned into all their pairs. First every set is compared with
-one set, the one it shares most lists with among the least members of its
-lists, as far as a task has seen them. That joins the copies of a text, however
-many, along a star. What is left are lists that still hold several components.
-Only pairs from different components are made from them, where the places of
-the shingle in both sets leave room for what they must share, and compared in
-full. So no link between components is lost and none within one is made twice.
-Many versions of one text that are not near the same one do make many pairs.
+under one key only one to the key's bucket, so a key that a third of all sets
+have reaches it once for each half a million postings.
+
+Lists are not turned into all their pairs. The head of a list is its most
+central member, the one with most shingles that come up more often than usual,
+less those that don't: of the versions of a text the one that the others were
+made from, where it is there. First every set is compared with one set, the
+head that most of its lists have. That joins copies and versions of a text,
+however many, along a star. What is left are lists that still hold several
+components. Only pairs from different components are made from them, where the
+places of the shingle in both sets leave room for what they must share, and of
+these only pairs that meet in as many lists as they must are compared in full:
+linked sets share j of the first n - o(a, b) + j shingles of either. So no link
+between components is lost and none within one is made twice. Versions that are
+near one another but near no head make many pairs.
 What is returned are classes and components only: links inside a component that
 the star has joined are neither made nor counted.
 
@@ -198,8 +202,15 @@ def _ordered(found: np.ndarray, levels: bytes) -> np.ndarray:
     return np.sort((level << _LEVEL_AT) | (found >> 6))
 
 
-def _sets(docs: DataFrame, size: int, levels) -> DataFrame:
-    """Id, set size, fingerprint of the set and its shingles in the global order, packed."""
+def _usual(levels: bytes) -> int:
+    """The level of most cells that hold anything."""
+    found = np.bincount(np.frombuffer(levels, np.uint8), minlength=2)[1:]
+    return 1 + int(np.searchsorted(np.cumsum(found), found.sum() / 2))
+
+
+def _sets(docs: DataFrame, size: int, levels, usual: int = 0) -> DataFrame:
+    """Id, set size, fingerprint of the set, its shingles above the usual level less the
+    others, and the shingles in the global order, packed."""
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [_ordered(shingles(t, size), levels.value)
@@ -207,10 +218,12 @@ def _sets(docs: DataFrame, size: int, levels) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                 pa.array([2 * int((s >> _LEVEL_AT > usual).sum()) - len(s) for s in sets],
+                          pa.int64()),
                  pa.array([s.astype("<i8").tobytes() for s in sets], pa.binary())],
-                names=["id", "n", "print", "packed"])
+                names=["id", "n", "print", "central", "packed"])
 
-    return docs.mapInArrow(make, "id long, n long, print binary, packed binary")
+    return docs.mapInArrow(make, "id long, n long, print binary, central long, packed binary")
 
 
 def _first_shingles(sets: DataFrame, threshold: int) -> DataFrame:
@@ -242,23 +255,24 @@ def _keys(own: np.ndarray, n: int, light: int, threshold: int) -> tuple[np.ndarr
 
 
 _PACKED = "bucket int, settled boolean, data binary"
-_LISTED = "key long, node long, head long, place long"
+_LISTED = "key long, node long, head long, place long, settled boolean"
 
 
 def _entries(light: int, threshold: int, buckets: int, most: int) -> Callable:
     """Mapper: what classes are listed under, packed by bucket.
 
-    Of the classes under one key in a pack the least goes to the key's bucket, marked
-    if there are others; these know it as their head and go to any bucket.
+    Of the classes under one key in a pack the most central goes to the key's bucket,
+    marked if there are others; these go to any bucket.
     """
-    def pack(keys: np.ndarray, nodes: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-        by = np.lexsort((nodes, keys))
-        keys, nodes, places = keys[by], nodes[by], places[by]
+    def pack(keys: np.ndarray, nodes: np.ndarray, places: np.ndarray,
+             central: np.ndarray) -> pa.RecordBatch:
+        by = np.lexsort((nodes, -central, keys))
+        keys, nodes, places, central = keys[by], nodes[by], places[by], central[by]
         first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
         heads = np.repeat(nodes[first], np.diff(first, append=len(keys)))
         several = np.add.reduceat(nodes != heads, first) > 0 if len(first) else first
-        mark = np.zeros(len(keys), np.int64)
-        mark[first] = several
+        mark = central << 1
+        mark[first] |= several
         rest = np.setdiff1d(np.arange(len(keys)), first)
         out = []
 
@@ -270,8 +284,8 @@ def _entries(light: int, threshold: int, buckets: int, most: int) -> Callable:
                 part = at[order[start:end]]
                 out.append((int(k), settled, b"".join(_planes(c[part]) for c in columns)))
 
-        deal(first, _bucket(keys[first], buckets), False, keys, nodes, mark, places)
-        deal(rest, _bucket(nodes[rest], buckets), True, keys, nodes, heads, places)
+        deal(first, _bucket(keys[first], buckets), False, keys, nodes, places, mark)
+        deal(rest, _bucket(nodes[rest], buckets), True, keys, nodes, places)
         return pa.RecordBatch.from_arrays(
             [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.bool_()),
              pa.array([x[2] for x in out], pa.binary())], names=["bucket", "settled", "data"])
@@ -279,11 +293,12 @@ def _entries(light: int, threshold: int, buckets: int, most: int) -> Callable:
     def entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in slices(batches):
-            for node, n, packed in zip(batch.column("node").to_pylist(),
-                                       batch.column("n").to_pylist(),
-                                       batch.column("packed").to_pylist(), strict=True):
+            for node, n, central, packed in zip(
+                    *(batch.column(c).to_pylist() for c in ("node", "n", "central", "packed")),
+                    strict=True):
                 keys, places = _keys(np.frombuffer(packed, "<i8"), n, light, threshold)
-                held.append((keys, np.full(len(keys), node), places))
+                held.append((keys, np.full(len(keys), node), places,
+                             np.full(len(keys), central)))
                 size += len(keys)
                 if size >= most:
                     yield pack(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -299,27 +314,40 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _lists(table: pa.Table) -> pa.Table:
-    """The lists of one bucket that hold more than one class, a row for each member."""
+    """The lists of one bucket that hold more than one class, a row for each member with
+    the list's head; and what else has come, of which only the list is known."""
     parts: dict[bool, list] = {True: [], False: []}
     for settled, data in zip(table.column("settled").to_pylist(),
                              table.column("data").to_pylist(), strict=True):
-        part = len(data) // 4
+        width = 3 if settled else 4
+        part = len(data) // width
         parts[settled].append([_from_planes(data[k * part:(k + 1) * part], "<i8")
-                               for k in range(4)])
+                               for k in range(width)])
     none = [np.zeros(0, np.int64)] * 4
-    keys, nodes, many, places = (np.concatenate(x) for x in zip(none, *parts[False], strict=True))
-    by = np.lexsort((nodes, keys))
-    keys, nodes, many, places = keys[by], nodes[by], many[by], places[by]
+    keys, nodes, places, mark = (np.concatenate(x) for x in zip(none, *parts[False], strict=True))
+    by = np.lexsort((nodes, -(mark >> 1), keys))
+    keys, nodes, places, many = keys[by], nodes[by], places[by], mark[by] & 1
     first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
     length = np.diff(first, append=len(keys))
     heads = np.repeat(nodes[first], length)
     if len(first):
         several = np.repeat(np.add.reduceat((nodes != heads) | (many > 0), first) > 0, length)
         keys, nodes, heads, places = (x[several] for x in (keys, nodes, heads, places))
-    done = [np.concatenate(x) for x in zip(none, *parts[True], strict=True)]
-    return pa.table({name: np.concatenate([a, b]) for name, a, b in
-                     zip(("key", "node", "head", "place"), (keys, nodes, heads, places), done,
-                         strict=True)})
+    more, more_nodes, more_places = (np.concatenate(x) for x in zip(none[:3], *parts[True],
+                                                                    strict=True))
+    return pa.table({
+        "key": np.concatenate([keys, more]), "node": np.concatenate([nodes, more_nodes]),
+        "head": pa.chunked_array([pa.array(heads), pa.nulls(len(more), pa.int64())]),
+        "place": np.concatenate([places, more_places]),
+        "settled": np.repeat([False, True], [len(keys), len(more)])})
+
+
+def _headed(lists: DataFrame) -> DataFrame:
+    """The lists with the head in every row."""
+    heads = lists.where(~F.col("settled") & (F.col("node") == F.col("head")))
+    known = lists.where(~F.col("settled")).select("key", "node", "head")
+    return known.unionByName(lists.where("settled").select("key", "node").join(
+        heads.select("key", "head"), "key"))
 
 
 def _fitting(a: str, b: str, threshold: int) -> F.Column:
@@ -327,13 +355,20 @@ def _fitting(a: str, b: str, threshold: int) -> F.Column:
     return ((F.col(a) * 100 >= F.col(b) * threshold) & (F.col(b) * 100 >= F.col(a) * threshold))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, threshold: int, levels) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets link, compared in full."""
+def _linked(pairs: DataFrame, docs: DataFrame, repeated: DataFrame, size: int, threshold: int,
+            levels) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets link, compared in full; ``repeated`` are the ids
+    that several rows have."""
     pairs = staged(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(
         pairs.select(F.col("b").alias("id"))).distinct()
-    sets = staged(_sets(docs.join(wanted, "id"), size, levels)
-                  .select("id", "print", "packed").dropDuplicates(["id", "print"]), "sets")
+
+    def made(how: str) -> DataFrame:
+        some = docs.join(wanted, "id", "left_semi").join(repeated, "id", how)
+        return _sets(some, size, levels).select("id", "print", "packed")
+
+    sets = staged(made("left_anti").unionByName(
+        made("left_semi").dropDuplicates(["id", "print"])), "sets")
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("packed").alias("x")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("packed").alias("y")), "b"))
 
@@ -376,6 +411,46 @@ def _several(lists: DataFrame, label: DataFrame) -> DataFrame:
                   "mixed")
 
 
+def _classes(rows: DataFrame) -> DataFrame:
+    """One row for each set, the least id as its ``node``. Only sets that come up more than
+    once are shuffled."""
+    rows = rows.where(F.col("n") > 0)
+    several = staged(rows.groupBy("print").agg(F.min("id").alias("node"),
+                                               F.count("*").alias("times"))
+                     .where(F.col("times") > 1).select("print", "node"), "repeated-sets")
+    once = rows.join(several, "print", "left_anti").withColumn("node", F.col("id"))
+    first = (rows.join(several, "print").where(F.col("id") == F.col("node"))
+             .dropDuplicates(["print"]))
+    columns = ["print", "node", "n", "central", "packed"]
+    return once.select(columns).unionByName(first.select(columns))
+
+
+def _open_pairs(left: DataFrame, of_node: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) from different components that may link, by places and number of lists."""
+    x, y = (left.join(of_node, "node").select("key", *(
+        F.col(c).alias(f"{c}{k}") for c in ("node", "n", "place", "component"))) for k in (1, 2))
+    a, b = F.col("n1"), F.col("n2")
+    must = F.floor((F.lit(threshold) * (a + b) + 99 + threshold) / (100 + threshold))
+    most = F.greatest(a, b)
+    # linked sets share so many of the first n - must + so many shingles of either; no
+    # more than are posted for both
+    least_met = F.greatest(F.lit(1), F.least(
+        must - F.floor((most * threshold + 99) / 100) + 1, F.floor((most - must) / 4) + 1))
+    # behind a shared shingle no more are shared than either set still has, before it no
+    # more than stand there
+    room = (F.least("place1", "place2")
+            + F.least(a - F.col("place1"), b - F.col("place2")) >= must)
+    early = ((F.col("place1") < a - must + least_met) & (F.col("place2") < b - must + least_met))
+    pair = x.join(y, "key").where(
+        (F.col("node1") < F.col("node2")) & (F.col("component1") != F.col("component2"))
+        & _fitting("n1", "n2", threshold)
+        & ((F.col("key") < 0) | (early & room))).select(
+        F.col("node1").alias("a"), F.col("node2").alias("b"), "key", "n1", "n2")
+    met = pair.groupBy("a", "b").agg(F.count("*").alias("met"), F.min("key").alias("least_key"),
+                                     F.first("n1").alias("n1"), F.first("n2").alias("n2"))
+    return met.where((F.col("least_key") < 0) | (F.col("met") >= least_met)).select("a", "b")
+
+
 def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, ``n_shingles``, ``class_id`` and ``component_id``.
@@ -385,28 +460,30 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     """
     spark = docs.sparkSession
     texts = _texts(docs, id_col, text_col)
-    levels = spark.sparkContext.broadcast(_rarity(texts, shingle, CELLS))
-    rows = staged(_first_shingles(_sets(texts, shingle, levels), threshold), "shingles")
+    rarity = _rarity(texts, shingle, CELLS)
+    levels = spark.sparkContext.broadcast(rarity)
+    rows = staged(_first_shingles(_sets(texts, shingle, levels, _usual(rarity)), threshold),
+                  "shingles")
     small = rows.where(F.col("n").between(1, MOST_LIGHT)).groupBy("n").count().collect()
     sizes = {r.n: r["count"] for r in small}
     light = boundary(sizes, threshold)
 
-    classes = staged(rows.where(F.col("n") > 0).groupBy("print").agg(
-        F.min("id").alias("node"), *(F.first(c).alias(c) for c in ("n", "packed"))),
-        "classes")
+    classes = staged(_classes(rows), "classes")
+    repeated = staged(rows.groupBy("id").count().where(F.col("count") > 1).select("id"),
+                      "repeated-ids")
     posted = classes.where(F.col("n") > MOST_LIGHT).agg(F.sum(_posted_of(threshold)).alias("n"))
     many = int(posted.first().n or 0) + _listed(sizes, light, threshold)
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")),
                   -(-32 * many // BUCKET_BYTES))
-    entries = classes.select("node", "n", "packed").mapInArrow(
+    entries = classes.select("node", "n", "central", "packed").mapInArrow(
         _entries(light, threshold, buckets, PACKED_ROWS), _PACKED)
     shared = staged(entries.groupBy("bucket").applyInArrow(_lists, _LISTED), "lists")
     of_node = classes.select("node", "n")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return staged(_linked(pairs.distinct(), texts, shingle, threshold, levels), "links")
+        return staged(_linked(pairs, texts, repeated, shingle, threshold, levels), "links")
 
-    links = linked(_heads(shared, of_node, threshold))
+    links = linked(_heads(_headed(shared), of_node, threshold))
     # rows that share an id belong together whatever their sets are
     placed = staged(rows.select("id", "n", "print").join(classes.select("print", "node"),
                                                          "print", "left"), "placed")
@@ -418,20 +495,7 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     label = components(links.unionByName(same_id))
 
     # what is left: lists that hold several components
-    left = _several(shared, label)
-    x, y = (left.join(of_node, "node").select("key", *(
-        F.col(c).alias(f"{c}{k}") for c in ("node", "n", "place", "component"))) for k in (1, 2))
-    must = F.floor((F.lit(threshold) * (F.col("n1") + F.col("n2")) + 99 + threshold)
-                   / (100 + threshold))
-    # the first shingle that linked sets share stands in both before the last that can be
-    # the first of so many; behind it no more are shared than either set still has
-    early = ((F.col("place1") <= F.col("n1") - must) & (F.col("place2") <= F.col("n2") - must)
-             & (F.least("place1", "place2") + F.least(F.col("n1") - F.col("place1"),
-                                                      F.col("n2") - F.col("place2")) >= must))
-    open_pairs = x.join(y, "key").where(
-        (F.col("node1") < F.col("node2")) & (F.col("component1") != F.col("component2"))
-        & _fitting("n1", "n2", threshold) & ((F.col("key") < 0) | early)).select(
-        F.col("node1").alias("a"), F.col("node2").alias("b"))
+    open_pairs = _open_pairs(_several(shared, label), of_node, threshold)
     label = components(linked(open_pairs).unionByName(
         label.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
