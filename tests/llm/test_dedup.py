@@ -433,3 +433,27 @@ def test_no_list_is_turned_into_all_its_pairs(spark, monkeypatch):
     got = got_components(jaccard_join.jaccard_join(documents(spark, rows)))
     assert {c for _, _, c in got} == {0}
     assert compared["pairs"] < 3 * len(rows)
+
+
+def test_versions_of_a_text_meet_at_the_one_they_were_made_from(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for k in range(80):
+        words = list(base)
+        for at in rng.choice(150, 2, replace=False):
+            words[at] = f"own{k}x{at}"
+        texts.append(" ".join(words))
+    rows = [(k, t) for k, t in enumerate([*texts[:40], " ".join(base), *texts[40:]])]
+    compared, staged = [], jaccard_join.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        if name == "pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.component_id for r in got.collect()} == {0}
+    assert sum(compared) <= 2 * len(rows)          # their pairs are 3,240

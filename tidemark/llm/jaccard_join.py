@@ -69,6 +69,9 @@ CELL_BLOCK = 1 << 13
 POSTING_COST = 4
 #: Largest set for which subsets are considered.
 MOST_LIGHT = 24
+#: Part of the shingles that a linked set may lack by which prefixes of a pair are
+#: lengthened, so that the lists it meets in can be counted.
+MET_PART = 16
 #: Postings that a task holds before it packs them, and packed bytes of one bucket.
 PACKED_ROWS = 1 << 19
 BUCKET_BYTES = 8 << 20
@@ -411,20 +414,6 @@ def _several(lists: DataFrame, label: DataFrame) -> DataFrame:
                   "mixed")
 
 
-def _classes(rows: DataFrame) -> DataFrame:
-    """One row for each set, the least id as its ``node``. Only sets that come up more than
-    once are shuffled."""
-    rows = rows.where(F.col("n") > 0)
-    several = staged(rows.groupBy("print").agg(F.min("id").alias("node"),
-                                               F.count("*").alias("times"))
-                     .where(F.col("times") > 1).select("print", "node"), "repeated-sets")
-    once = rows.join(several, "print", "left_anti").withColumn("node", F.col("id"))
-    first = (rows.join(several, "print").where(F.col("id") == F.col("node"))
-             .dropDuplicates(["print"]))
-    columns = ["print", "node", "n", "central", "packed"]
-    return once.select(columns).unionByName(first.select(columns))
-
-
 def _open_pairs(left: DataFrame, of_node: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) from different components that may link, by places and number of lists."""
     x, y = (left.join(of_node, "node").select("key", *(
@@ -435,7 +424,7 @@ def _open_pairs(left: DataFrame, of_node: DataFrame, threshold: int) -> DataFram
     # linked sets share so many of the first n - must + so many shingles of either; no
     # more than are posted for both
     least_met = F.greatest(F.lit(1), F.least(
-        must - F.floor((most * threshold + 99) / 100) + 1, F.floor((most - must) / 4) + 1))
+        must - F.floor((most * threshold + 99) / 100) + 1, F.floor((most - must) / MET_PART) + 1))
     # behind a shared shingle no more are shared than either set still has, before it no
     # more than stand there
     room = (F.least("place1", "place2")
@@ -468,7 +457,9 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     sizes = {r.n: r["count"] for r in small}
     light = boundary(sizes, threshold)
 
-    classes = staged(_classes(rows), "classes")
+    classes = staged(rows.where(F.col("n") > 0).groupBy("print").agg(
+        F.min("id").alias("node"), *(F.first(c).alias(c) for c in ("n", "central", "packed"))),
+        "classes")
     repeated = staged(rows.groupBy("id").count().where(F.col("count") > 1).select("id"),
                       "repeated-ids")
     posted = classes.where(F.col("n") > MOST_LIGHT).agg(F.sum(_posted_of(threshold)).alias("n"))
