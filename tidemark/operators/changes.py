@@ -79,7 +79,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], *,
                   null_safe: bool = True, delete_keys: Sequence[str] | None = None,
                   order: str = S.TIME_KEY, op: str = S.OP_CODE,
                   flag: str = S.DELETED_FLAG, stamp: str = S.LOAD_STAMP,
-                  keep_newest: bool = False) -> DataFrame:
+                  keep_newest: bool = False, reduced: bool = False) -> DataFrame:
     """The target after a batch of changes.
 
     INCREMENTAL removes every target row whose key occurs in the batch, with
@@ -91,6 +91,9 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], *,
 
     ``keep_newest`` keeps the order column in the target and drops changes that
     are older than it; the default lets the last batch win.
+
+    ``reduced`` says that ``changes`` hold no key twice, as :func:`reduced_changes`
+    leaves them, so that they need not be gathered by key again.
     """
     S.check_load_type(load_type)
     if load_type == S.APPEND_ONLY and not null_safe:
@@ -100,6 +103,8 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], *,
 
     if load_type == S.APPEND_ONLY:
         chosen = inserts_only(changes, op)
+    elif reduced:
+        chosen = without_ignored(changes, op)
     else:
         chosen = latest_changes(changes, keys, order, op)
     added = as_target_rows(chosen, load_ts, flag=flag, stamp=stamp, op=op,

@@ -262,6 +262,9 @@ def load_changes(spark: SparkSession, spec: LoadSpec, changes: DataFrame, target
     how = {"load_ts": now, "load_type": spec.load_type, "flag": spec.flag, "stamp": spec.stamp,
            "null_safe": null_safe}
     delete_keys = spec.delete_keys or None
+    # a log that is appended keeps every row, and other columns for the delete split a key
+    how["reduced"] = (set(spec.delete_keys) <= set(spec.keys)
+                      and not (spec.load_type == S.APPEND_ONLY and null_safe))
     counted, seen = observed(spec.with_layout_columns(changes))
     reduced = reduced_changes(counted, spec.keys, load_type=spec.load_type, null_safe=null_safe,
                               delete_keys=delete_keys)
