@@ -1,0 +1,61 @@
+"""How the Jaccard join's postings travel."""
+
+import numpy as np
+import pyarrow as pa
+
+from tidemark.llm import jaccard_join as J
+
+N, LEVEL = 500, 3
+
+
+def batch(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "node": list(sets), "n": [N] * len(sets), "central": [node % 7 for node in sets],
+        "packed": [np.sort(s).astype("<i8").tobytes() for s in sets.values()]})
+
+
+def listed(sets: dict[int, np.ndarray], buckets: int) -> tuple[list[tuple], int]:
+    """Members of lists with several classes as (key, node, head, place), and bytes sent."""
+    sent = [b for b in J._entries(0, 80, buckets, 1 << 19)([batch(sets)])]
+    rows = pa.Table.from_batches(sent)
+    found = []
+    for k in range(buckets):
+        own = J._lists(rows.filter(pa.array(rows.column("bucket").to_numpy() == k)))
+        found += zip(*(own.column(c).to_pylist() for c in ("key", "node", "head", "place")),
+                     strict=True)
+    return found, sum(len(x) for x in rows.column("data").to_pylist())
+
+
+def random_sets(count: int) -> dict[int, np.ndarray]:
+    rng = np.random.default_rng(5)
+    return {node: (LEVEL << 56) | rng.integers(1 << 56, size=J._posted(N, 80))
+            for node in range(1000, 1000 + count)}
+
+
+def test_postings_are_sent_in_few_bytes():
+    sets = random_sets(2000)
+    found, sent = listed(sets, 16)
+    assert found == [] and sent < 12 * sum(len(s) for s in sets.values())
+
+
+def test_packed_postings_come_back_whole():
+    sets = random_sets(40)
+    for node in range(1000, 1040, 2):
+        sets[node + 1][:20] = sets[node][:20]
+    found, _ = listed(sets, 5)
+    keys = {node: {int(x) >> 16 for x in s} for node, s in sets.items()}
+    assert len({(key, node) for key, node, _, _ in found}) == 40 * 20
+    for key, node, head, place in found:
+        assert key in keys[node] and key in keys[node ^ 1]
+        assert int(np.sort(sets[node])[place]) >> 16 == key
+        assert head in (None, node, node ^ 1)
+
+
+def test_lists_that_share_a_name_still_hold_both_pairs():
+    sets = random_sets(4)
+    shared = [(LEVEL << 56) | (77 << 20), (LEVEL << 56) | (77 << 20) | 9]  # one name
+    for k, node in enumerate(sets):
+        sets[node][0] = shared[k // 2]
+    found, _ = listed(sets, 3)
+    assert {node for _, node, _, _ in found} == set(sets)
+    assert len({key for key, _, _, _ in found}) == 1

@@ -80,6 +80,9 @@ BUCKET_BYTES = 8 << 20
 _LEVELS = np.unique(np.ceil(2 ** (np.arange(64) / 2)).astype(np.int64))
 _ALONE = 2
 _LEVEL_AT = np.int64(56)
+#: Bits of a shingle's hash that the name of its list does without; lists that share a
+#: name only make more pairs to compare.
+_UNNAMED_BITS = np.int64(16)
 _SALT = np.uint64(0xA0761D6478BD642F)
 _K = np.uint64(0x9E3779B97F4A7C15)
 
@@ -199,6 +202,20 @@ def _from_planes(data: bytes, kind: str) -> np.ndarray:
         kind).reshape(-1)
 
 
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """Columns of whole numbers, the first by its differences, compressed; their length first."""
+    columns = [np.diff(columns[0], prepend=0), *columns[1:]]
+    data = pa.compress(b"".join(_planes(c.astype("<i8")) for c in columns), "zstd", asbytes=True)
+    return len(columns[0]).to_bytes(8, "little") + data
+
+
+def _unpacked(data: bytes, width: int) -> list[np.ndarray]:
+    size = 8 * int.from_bytes(data[:8], "little")
+    raw = pa.decompress(data[8:], width * size, "zstd", asbytes=True)
+    columns = [_from_planes(raw[k * size:(k + 1) * size], "<i8") for k in range(width)]
+    return [np.cumsum(columns[0]), *columns[1:]]
+
+
 def _ordered(found: np.ndarray, levels: bytes) -> np.ndarray:
     """Shingles in the global order: the level of their cell, then 56 bits of the hash."""
     level = np.frombuffer(levels, np.uint8)[found & (len(levels) - 1)].astype(np.int64)
@@ -247,7 +264,7 @@ def _keys(own: np.ndarray, n: int, light: int, threshold: int) -> tuple[np.ndarr
     if _is_posted(n, light, threshold):
         posted = own[:_posted(n, threshold)]
         places = np.flatnonzero(posted >> _LEVEL_AT >= _ALONE)
-        found.append(posted[places])
+        found.append(posted[places] >> _UNNAMED_BITS)
     if n <= light:
         found.append(np.array(
             [-1 - (xxhash.xxh3_64_intdigest(own[list(some)].tobytes(), seed=c) >> 1)
@@ -285,7 +302,7 @@ def _entries(light: int, threshold: int, buckets: int, most: int) -> Callable:
             ends = np.append(starts[1:], len(at))
             for k, start, end in zip(found, starts, ends[:len(starts)], strict=True):
                 part = at[order[start:end]]
-                out.append((int(k), settled, b"".join(_planes(c[part]) for c in columns)))
+                out.append((int(k), settled, _packed([c[part] for c in columns])))
 
         deal(first, _bucket(keys[first], buckets), False, keys, nodes, places, mark)
         deal(rest, _bucket(nodes[rest], buckets), True, keys, nodes, places)
@@ -323,9 +340,7 @@ def _lists(table: pa.Table) -> pa.Table:
     for settled, data in zip(table.column("settled").to_pylist(),
                              table.column("data").to_pylist(), strict=True):
         width = 3 if settled else 4
-        part = len(data) // width
-        parts[settled].append([_from_planes(data[k * part:(k + 1) * part], "<i8")
-                               for k in range(width)])
+        parts[settled].append(_unpacked(data, width))
     none = [np.zeros(0, np.int64)] * 4
     keys, nodes, places, mark = (np.concatenate(x) for x in zip(none, *parts[False], strict=True))
     by = np.lexsort((nodes, -(mark >> 1), keys))
