@@ -59,3 +59,35 @@ def test_lists_that_share_a_name_still_hold_both_pairs():
     found, _ = listed(sets, 3)
     assert {node for _, node, _, _ in found} == set(sets)
     assert len({key for key, _, _, _ in found}) == 1
+
+
+def test_only_what_a_second_class_has_is_posted():
+    sets = random_sets(300)
+    for node in range(1000, 1300, 3):
+        sets[node + 1][:20] = sets[node][:20]
+    some = batch(sets)
+    packs = pa.Table.from_batches(J._print_packs(0, 80, 8, 4000)([some]))  # several packs
+    told = np.zeros((8, J.AGAIN_BITS // 64), np.uint8)
+    for k in range(8):
+        own = J._again(J.AGAIN_BITS, 8)(
+            packs.filter(pa.array(packs.column("bucket").to_numpy() == k)))
+        told[k] = np.frombuffer(pa.decompress(
+            own.column("data")[0].as_py(), told.shape[1], "zstd"), np.uint8)
+    kept = {node: int(J._may_meet(np.sort(s) >> 16, told.tobytes()).sum())
+            for node, s in sets.items()}
+    assert all(kept[node] >= 20 for node in sets if node % 3 != 0)  # 1000 % 3 is 1
+    assert sum(kept.values()) < 300 * 20
+
+    class Told:
+        value = told.tobytes()
+
+    sent = [pa.Table.from_batches(J._entries(0, 80, 4, 1 << 19, x)([some])) for x in (None, Told)]
+    sizes = [sum(map(len, t.column("data").to_pylist())) for t in sent]
+    assert sizes[1] < sizes[0] / 4
+    lists = [set() for _ in sent]
+    for found, rows in zip(lists, sent, strict=True):
+        for k in range(4):
+            own = J._lists(rows.filter(pa.array(rows.column("bucket").to_numpy() == k)))
+            found.update(zip(*(own.column(c).to_pylist()
+                               for c in ("key", "node", "head", "place")), strict=True))
+    assert {x[:2] for x in lists[0]} == {x[:2] for x in lists[1]} and len(lists[0]) == 200 * 20

@@ -13,7 +13,10 @@ o(a, b) = ceil(t (a + b) / (100 + t)) of them, t the threshold in percent.
   may be heavy is posted as well. Rarity is estimated by counts in a table of
   fixed size, where shingles that fall into one cell count together: any order
   gives the same links, and frequent shingles come last whatever the corpus
-  holds. A shingle alone in its cell is in one set only and isn't posted.
+  holds. A shingle alone in its cell is in one set only and isn't posted. The
+  other keys are counted first by prints of 32 bits, which travel sorted in a byte
+  or two each: what no second class has isn't posted either. A print that two keys
+  share only posts more.
 * The boundary between the two is the set size at which subsets and postings
   cost least for the sizes that the documents have.
 
@@ -75,6 +78,11 @@ MET_PART = 16
 #: Postings that a task holds before it packs them, and packed bytes of one bucket.
 PACKED_ROWS = 1 << 19
 BUCKET_BYTES = 8 << 20
+#: Prints that a task holds before it packs them, the least number of their buckets, and
+#: bits that tell which prints come up again (16 MB, broadcast).
+PACKED_PRINTS = 1 << 21
+PRINT_BUCKETS = 1 << 8
+AGAIN_BITS = 1 << 27
 
 #: Half powers of two; a cell below ``_ALONE`` holds one shingle of one set, or none.
 _LEVELS = np.unique(np.ceil(2 ** (np.arange(64) / 2)).astype(np.int64))
@@ -84,6 +92,8 @@ _LEVEL_AT = np.int64(56)
 #: name only make more pairs to compare.
 _UNNAMED_BITS = np.int64(16)
 _SALT = np.uint64(0xA0761D6478BD642F)
+_PRINT_SALT = np.uint64(0xE7037ED1A0B428DB)
+_PRINTS = 1 << 32
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -274,12 +284,85 @@ def _keys(own: np.ndarray, n: int, light: int, threshold: int) -> tuple[np.ndarr
     return keys, np.pad(places, (0, len(keys) - len(places)))
 
 
+def _prints(keys: np.ndarray) -> np.ndarray:
+    """32 bits of each key, dealt apart from the buckets of lists."""
+    return (mixed(keys.astype(np.uint64) ^ _PRINT_SALT) >> np.uint64(32)).astype(np.int64)
+
+
+def _print_packs(light: int, threshold: int, buckets: int, most: int) -> Callable:
+    """Mapper: prints of what classes are listed under, sorted, none more than twice in a
+    pack, packed by their range."""
+    def pack(held: list[np.ndarray]) -> pa.RecordBatch:
+        prints = np.sort(np.concatenate(held))
+        third = np.zeros(len(prints), bool)
+        third[2:] = prints[2:] == prints[:-2]
+        prints = prints[~third]
+        ends = np.searchsorted(prints, np.arange(buckets + 1) * (_PRINTS // buckets))
+        some = np.flatnonzero(np.diff(ends))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)),
+             pa.array([_packed([prints[ends[k]:ends[k + 1]]]) for k in some], pa.binary())],
+            names=["bucket", "data"])
+
+    def packs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in slices(batches):
+            for n, packed in zip(batch.column("n").to_pylist(),
+                                 batch.column("packed").to_pylist(), strict=True):
+                keys, _ = _keys(np.frombuffer(packed, "<i8"), n, light, threshold)
+                held.append(_prints(keys))
+                size += len(keys)
+                if size >= most:
+                    yield pack(held)
+                    held, size = [], 0
+        if size:
+            yield pack(held)
+    return packs
+
+
+def _again(bits: int, buckets: int) -> Callable:
+    """Of the prints of one bucket its part of the bits that tell which come up again."""
+    def again(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        prints = np.sort(np.concatenate(
+            [_unpacked(x, 1)[0] for x in table.column("data").to_pylist()]))
+        own = np.zeros(bits // buckets, bool)
+        own[prints[1:][prints[1:] == prints[:-1]] // (_PRINTS // bits) - bucket * len(own)] = True
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), "data": pa.array(
+            [pa.compress(np.packbits(own).tobytes(), "zstd", asbytes=True)], pa.binary())})
+    return again
+
+
+def _met_again(classes: DataFrame, light: int, threshold: int, many: int) -> bytes:
+    """Bits that tell by its print whether a key may have a second class; all that have one
+    are told."""
+    buckets = PRINT_BUCKETS
+    while buckets * BUCKET_BYTES < 8 * many and buckets < AGAIN_BITS >> 10:
+        buckets *= 2
+    schema = "bucket int, data binary"
+    found = (classes.select("n", "packed")
+             .mapInArrow(_print_packs(light, threshold, buckets, PACKED_PRINTS), schema)
+             .groupBy("bucket").applyInArrow(_again(AGAIN_BITS, buckets), schema))
+    length = AGAIN_BITS // buckets // 8
+    told = np.zeros((buckets, length), np.uint8)
+    for row in found.collect():
+        told[row.bucket] = np.frombuffer(pa.decompress(row.data, length, "zstd"), np.uint8)
+    return told.tobytes()
+
+
+def _may_meet(keys: np.ndarray, told: bytes) -> np.ndarray:
+    bits = np.frombuffer(told, np.uint8)
+    at = _prints(keys) // (_PRINTS // (8 * len(bits)))
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 _PACKED = "bucket int, settled boolean, data binary"
 _LISTED = "key long, node long, head long, place long, settled boolean"
 
 
-def _entries(light: int, threshold: int, buckets: int, most: int) -> Callable:
-    """Mapper: what classes are listed under, packed by bucket.
+def _entries(light: int, threshold: int, buckets: int, most: int, told=None) -> Callable:
+    """Mapper: what classes are listed under, packed by bucket; with the broadcast ``told``
+    only what may have a second class.
 
     Of the classes under one key in a pack the most central goes to the key's bucket,
     marked if there are others; these go to any bucket.
@@ -317,6 +400,9 @@ def _entries(light: int, threshold: int, buckets: int, most: int) -> Callable:
                     *(batch.column(c).to_pylist() for c in ("node", "n", "central", "packed")),
                     strict=True):
                 keys, places = _keys(np.frombuffer(packed, "<i8"), n, light, threshold)
+                if told is not None:
+                    meets = _may_meet(keys, told.value)
+                    keys, places = keys[meets], places[meets]
                 held.append((keys, np.full(len(keys), node), places,
                              np.full(len(keys), central)))
                 size += len(keys)
@@ -481,8 +567,9 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     many = int(posted.first().n or 0) + _listed(sizes, light, threshold)
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")),
                   -(-32 * many // BUCKET_BYTES))
+    told = spark.sparkContext.broadcast(_met_again(classes, light, threshold, many))
     entries = classes.select("node", "n", "central", "packed").mapInArrow(
-        _entries(light, threshold, buckets, PACKED_ROWS), _PACKED)
+        _entries(light, threshold, buckets, PACKED_ROWS, told), _PACKED)
     shared = staged(entries.groupBy("bucket").applyInArrow(_lists, _LISTED), "lists")
     of_node = classes.select("node", "n")
 
