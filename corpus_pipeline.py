@@ -36,14 +36,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of least id; of rows that share an id, one."""
     joined = jaccard_join.jaccard_join(docs)
-    kept = joined.where(F.col("doc_id") == F.col("component_id")).select(
-        F.col("doc_id").alias("key")).distinct()
+    kept = joined.where(F.col("doc_id") == F.col("component_id")).groupBy(
+        F.col("doc_id").alias("key")).agg(F.count("*").alias("times"))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
                        F.col("doc_id").alias("key"))
+    # only rows that share an id are sorted by their content
     of_key = Window.partitionBy("key").orderBy(F.xxhash64("row"))
-    one = (rows.join(kept, "key", "left_semi").withColumn("nth", F.row_number().over(of_key))
+    one = (rows.join(kept.where(F.col("times") > 1), "key", "left_semi")
+           .withColumn("nth", F.row_number().over(of_key))
            .where(F.col("nth") == 1).select("row"))
-    return one.unionByName(rows.where(F.col("key").isNull()).select("row")).select("row.*")
+    alone = rows.join(kept.where(F.col("times") == 1), "key", "left_semi").select("row")
+    return alone.unionByName(one).unionByName(
+        rows.where(F.col("key").isNull()).select("row")).select("row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

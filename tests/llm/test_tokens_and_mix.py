@@ -341,3 +341,11 @@ def test_votes_are_exact_neighbours():
 def test_empty_text_counts_terms():
     counts = quality.term_counts([b"", b"a b"])
     assert counts[0].sum() > 0 and WORD.findall("a b") == ["a", "b"]
+
+
+def test_words_met_are_kept_by_the_task_only():
+    assert not any(isinstance(x, dict) and type(x) is not dict for x in vars(quality).values())
+    known = quality._Terms()
+    first = quality.term_counts([b"one two"], known)
+    assert set(known) == {b"one", b"two"}
+    assert (first == quality.term_counts([b"one two"])).all()

@@ -54,7 +54,10 @@ _SAME = re.compile(rb"(.)\1+")
 
 
 class _Terms(dict):
-    """The word term and the shape term of a word, worked out at first sight."""
+    """The word term and the shape term of a word, worked out at first sight.
+
+    Each task has its own: a worker that is used again, or only kept, holds none.
+    """
 
     def __missing__(self, word: bytes) -> int:
         core = _EDGE.sub(b"", word).lower()
@@ -66,22 +69,20 @@ class _Terms(dict):
         return pair
 
 
-_known = _Terms()
-
-
 def _band(value: float, place: int) -> int:
     """One of 16 bands of a value between 0 and 1, as a term."""
     return _WORDS + _SHAPES + 16 * place + min(15, max(0, int(16 * value)))
 
 
-def term_counts(texts: list[bytes]) -> np.ndarray:
-    """Counts of all terms, a row for each text."""
+def term_counts(texts: list[bytes], known: _Terms | None = None) -> np.ndarray:
+    """Counts of all terms, a row for each text; ``known`` are words met before."""
+    known = _Terms() if known is None else known
     counts = np.zeros((len(texts), TERMS), np.float32)
     for row, text in enumerate(texts):
         words = text.split()
         n = len(words)
         if n:
-            pairs = np.fromiter(map(_known.__getitem__, words), np.int64, n)
+            pairs = np.fromiter(map(known.__getitem__, words), np.int64, n)
             counts[row, :_WORDS] = np.bincount(pairs // _SHAPES, minlength=_WORDS)
             counts[row, _WORDS:_WORDS + _SHAPES] = np.bincount(pairs % _SHAPES,
                                                                minlength=_SHAPES)
@@ -141,11 +142,11 @@ def votes(counts: np.ndarray, space: Space, neighbours: int, block: int = 512) -
 def _counted(docs: DataFrame, text_col: str) -> tuple[int, np.ndarray]:
     """Documents, and documents that hold each term, over all of them."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = np.zeros(TERMS, np.int64), 0
+        held, n, known = np.zeros(TERMS, np.int64), 0, _Terms()
         for batch in slices(batches):
             texts = batch.column(0).to_pylist()
             for at in range(0, len(texts), 1024):
-                held += (term_counts(texts[at:at + 1024]) > 0).sum(axis=0)
+                held += (term_counts(texts[at:at + 1024], known) > 0).sum(axis=0)
             n += len(texts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(-1, TERMS), pa.int32()),
@@ -170,8 +171,9 @@ def _labelled(docs: DataFrame, labels: DataFrame, most: int, id_col: str, text_c
              .groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text"))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Terms()
         for batch in slices(batches):
-            counts = term_counts(batch.column("text").to_pylist())
+            counts = term_counts(batch.column("text").to_pylist(), known)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), pa.array([row.tobytes() for row in counts], pa.binary())],
                 names=["label", "counts"])
@@ -200,9 +202,10 @@ def score(docs: DataFrame, space: Space, keep: list[str], text_col: str = "text"
                        text_bytes(text_col).alias("text"))
 
     def vote(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Terms()
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            scores = [votes(term_counts(texts[at:at + 1024]), shared.value, neighbours)
+            scores = [votes(term_counts(texts[at:at + 1024], known), shared.value, neighbours)
                       for at in range(0, len(texts), 1024)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(np.concatenate([np.zeros(0), *scores]))],
