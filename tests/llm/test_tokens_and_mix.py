@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -79,6 +80,28 @@ def test_pieces_encode_like_the_whole(text):
     assert pieces.of(text) == pieces.encoded(text)
 
 
+def test_many_texts_are_cut_at_once(monkeypatch):
+    """The library is asked for each distinct part once, whatever texts it stands in."""
+    words = [" a", " Été", "don't", " 'tis", " we'll", "x''s", "\n", "  \n", " 12a", " \u2009", "ß",
+             "日本 go", "<|endoftext|>", " \x00", "'", "\xa0", "×2", " ×", "\t \t", "re's've"]
+    rng = np.random.default_rng(5)
+    texts = ["".join(words[k] for k in rng.integers(0, len(words), n)) for n in range(60)] * 4
+    texts += [None, "", *(" " + w for w in words)]
+    pieces = token_files._Pieces(BYTE_BPE)
+    ids, sizes = pieces.of_all(pa.array(texts), 2)
+    want = [[*pieces.tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+
+    asked = []
+    many = pieces._many
+    monkeypatch.setattr(pieces, "_many", lambda parts: asked.extend(parts) or many(parts))
+    pieces.forget()
+    plain = pa.array([f" word{k % 7} of {k % 3}" for k in range(500)])
+    assert pieces.of_all(plain, 2)[1].sum() > 1500
+    pieces.of_all(plain, 2)
+    assert len(asked) == len(set(asked)) == 5  # word, of and three digits, with their blanks
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 20), st.integers(0, 2**28 - 1)), max_size=400))
 def test_coder_round_trip(ids):
@@ -108,6 +131,14 @@ def test_coder_sees_damage_and_compresses():
         range_coder.decode(group._replace(words=bytes(words)))
 
 
+def test_coder_keeps_the_larger_part_of_a_cut_span():
+    rng = np.random.default_rng(11)
+    ids = (rng.zipf(1.2, 60_000) % 4_000).astype(np.uint32)
+    group = range_coder.encode(ids)
+    assert (range_coder.decode(group) == ids).all()
+    assert len(group.words) < 63140  # bytes when the lower part was kept
+
+
 def plain_files(rows, end=2):
     tokenizer = token_counts.open_tokenizer(BYTE_BPE)
     out, start = [], 0

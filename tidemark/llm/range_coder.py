@@ -10,11 +10,12 @@ For each id the model asks three predictors:
 * order 1: the id that last followed the previous id here,
 * order 0: how often each magnitude of rank has come up in this block.
 
-First "as order 2 says", "as order 1 says" or "neither" is coded. Its
-frequencies mix two adaptive tables: one for how sure the two predictors have
-been in this place, one for the block as a whole. After "neither" comes the
-magnitude of the rank by order 0, and its lower digits follow evenly.
-The range coder is carry-less with 64-bit state and 32-bit words.
+"As order 2 says", "as order 1 says" or "neither" has frequencies that mix two
+adaptive tables: one for how sure the two predictors have been in this place,
+one for the block as a whole. "Neither" goes on with the magnitude of the rank
+by order 0. Both are one step of the range coder, which divides by the product
+of their totals; the lower digits of the rank follow evenly. The range coder
+is carry-less with 64-bit state and 32-bit words.
 """
 
 from __future__ import annotations
@@ -31,8 +32,13 @@ _HALVE_EVERY = 128
 _WORD = np.uint64(32)
 _LOW_WORD = np.uint64(0xFFFFFFFF)
 _K1, _K2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
-# magnitudes whose digits still fit the span that is left after the magnitude
-_EASY_MAGNITUDES = 18
+# the three counts of a choice share 60 bits, that of order 2 lowest
+_FIELD = 20
+_ONES = np.uint64(1 | 1 << _FIELD | 1 << 2 * _FIELD)
+_COUNT = np.uint64((1 << _FIELD) - 1)
+_NEVER = np.uint16(65535)
+_SHIFTS = np.array([2 * _FIELD, _FIELD, 0], np.uint64)
+_HALVES = np.uint64(((1 << _FIELD - 1) - 1) * int(_ONES))
 
 
 class Group(NamedTuple):
@@ -46,64 +52,123 @@ class Group(NamedTuple):
 class _Model:
     """What all blocks of a group know after the same number of ids.
 
-    Tables of counts have a row for each symbol and a column for each block.
+    The slots of a block are together in every table. Types are converted in
+    steps of their own, since numpy is slow at mixing them.
     """
 
     def __init__(self, lanes: int, known: int) -> None:
-        self.lanes = lanes
-        self.lane = np.arange(lanes)
-        self.follows2 = np.zeros(lanes << _HASH_BITS, np.uint32)
-        self.follows1 = np.zeros(lanes << _HASH_BITS, np.uint32)
-        self.whole = np.ones((3, lanes), np.int32)
-        self.placed = np.ones((3, lanes * 16), np.int32)
-        magnitudes = 1 + int(_magnitude(np.array([max(1, known)]))[0])
-        self.order0 = np.ones((magnitudes, lanes), np.int32)
-        self.upto = np.empty_like(self.order0)
+        self.known = int(_magnitude(np.array([max(1, known)]))[0]) + 1  # magnitudes
+        self.slots = (np.arange(2 * lanes) << _HASH_BITS).reshape(2, lanes)  # of orders 1, 2
+        self.follows = np.zeros(2 * lanes << _HASH_BITS, np.uint32)
+        self.whole = np.full(lanes, _ONES)
+        self.placed = np.full(lanes << 4, _ONES)
+        # counts of all smaller magnitudes, from none to all; a row is of whole 64-bit words
+        places = np.arange(-(-(self.known + 1) // 8) * 8)
+        self.floor = np.where(places <= self.known, places, 0).astype(np.uint16)
+        self.upto = np.tile(self.floor, (lanes, 1))
+        self.upto[:, self.known + 1:] = _NEVER
+        # what a magnitude adds to them; the last row is for none
+        self.grown = np.zeros((self.known + 1, len(places)), np.uint16)
+        self.grown[:-1] = np.uint16(_GAIN) * (self.floor > places[:self.known, None])
         self.last1 = np.zeros(lanes, np.uint32)
         self.last2 = np.zeros(lanes, np.uint32)
-
-    def ask(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Both predictions for the first n blocks; sets ``choice``, its running counts."""
-        shift, two, three = np.uint32(32 - _HASH_BITS), np.uint32(2), np.uint32(3)
-        base = self.lane[:n] << _HASH_BITS
-        hash1 = self.last1[:n] * _K1
-        self.at1 = base + (hash1 >> shift)
-        self.at2 = base + ((hash1 + (self.last2[:n] + np.uint32(1)) * _K2) >> shift)
-        self.entry1, self.entry2 = self.follows1.take(self.at1), self.follows2.take(self.at2)
-        self.sure = (self.lane[:n] << 4) + (((self.entry2 & three) << two)
-                                            + (self.entry1 & three))
-        first, second, third = (4 * row.take(self.sure) + whole[:n] for row, whole in
-                                zip(self.placed, self.whole, strict=True))
-        second += first
-        third += second
-        self.choice = (first, second, third)
-        return self.entry2 >> two, self.entry1 >> two
-
-    def magnitudes(self, n: int) -> np.ndarray:
-        """Running counts of order 0, a row for each magnitude."""
-        self.upto[0] = self.order0[0]
-        for k in range(1, len(self.order0)):
-            np.add(self.upto[k - 1], self.order0[k], out=self.upto[k])
-        return self.upto[:, :n]
-
-    def learn(self, n: int, chosen: np.ndarray, bits: np.ndarray, rank: np.ndarray,
-              step: int) -> None:
-        """``bits`` are the magnitudes, which count in blocks that coded one."""
-        self.whole.reshape(-1)[chosen * self.lanes + self.lane[:n]] += _GAIN
-        self.placed.reshape(-1)[chosen * (16 * self.lanes) + self.sure] += _GAIN
-        self.order0.reshape(-1)[bits * self.lanes + self.lane[:n]] += _GAIN * (chosen >> 1)
+        self.places()
+
+    def places(self) -> None:
+        lane = np.arange(len(self.whole))
+        self.contexts, self.rows = lane << 4, lane * len(self.floor)
+        self.hashes = np.empty((2, len(lane)), np.uint32)
+
+    def shrink(self) -> None:
+        """The last block has ended."""
+        self.slots = np.ascontiguousarray(self.slots[:, :-1])
+        self.upto = self.upto[:-1]
+        self.whole, self.last1, self.last2 = self.whole[:-1], self.last1[:-1], self.last2[:-1]
+        self.places()
+
+    def ask(self) -> np.ndarray:
+        """The predictions of orders 1 and 2; sets the running counts of the choice."""
         two, three = np.uint32(2), np.uint32(3)
-        for table, at, entry in ((self.follows2, self.at2, self.entry2),
-                                 (self.follows1, self.at1, self.entry1)):
-            sure = np.minimum((entry & three) + np.uint32(1), three)
-            sure *= (entry >> two) == rank
-            table[at] = (rank << two) + sure
-        self.last2[:n] = self.last1[:n]
-        self.last1[:n] = rank
+        hash1 = np.multiply(self.last1, _K1, out=self.hashes[0])
+        np.add(hash1, (self.last2 + np.uint32(1)) * _K2, out=self.hashes[1])
+        self.hashes >>= np.uint32(32 - _HASH_BITS)
+        self.at = self.hashes.astype(np.int64)
+        self.at += self.slots
+        entry = self.follows.take(self.at)
+        self.sure = entry & three
+        self.context = ((self.sure[1] << two) + self.sure[0]).astype(np.int64)
+        self.context += self.contexts
+        self.counts = self.placed.take(self.context)
+        self.choice = self.counts << np.uint64(2)
+        self.choice += self.whole
+        self.choice *= _ONES  # running counts
+        self.all_bits = self.upto[:, self.known].astype(np.uint64)
+        self.total = self.choice >> np.uint64(2 * _FIELD)
+        self.total &= _COUNT
+        self.total *= self.all_bits
+        entry >>= two
+        return entry
+
+    def choose(self, hit: np.ndarray) -> None:
+        """``hit``: 2 where order 2 was right, 1 where only order 1 was, else 0."""
+        self.hit = hit
+        self.plain = (hit == 0).view(np.uint8)
+        self.shift = _SHIFTS.take(hit)
+        self.before = self.choice << np.uint64(_FIELD)
+        self.before >>= self.shift
+        self.before &= _COUNT
+        self.own = self.choice >> self.shift
+        self.own &= _COUNT
+        self.own -= self.before
+
+    def part(self, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of what was chosen, out of ``total``.
+
+        ``bits`` are the magnitudes; a block that coded a prediction takes all of them.
+        """
+        digits = bits * self.plain
+        width = np.uint8(self.known) - self.plain * np.uint8(self.known - 1)
+        at = digits.astype(np.int64)
+        at += self.rows
+        start = self.upto.take(at)
+        at += width
+        own = (self.upto.take(at) - start).astype(np.uint64)
+        own *= self.own
+        start = start.astype(np.uint64)
+        start *= self.own
+        start += self.before * self.all_bits
+        self.digits = digits.astype(np.uint64)
+        return start, own
+
+    def found(self, value: np.ndarray) -> np.ndarray:
+        """The magnitude that each value falls into."""
+        passed = np.bitwise_count((self.upto <= value[:, None]).view(np.uint64))
+        bits = passed[:, 0] - np.uint8(1)
+        for k in range(1, passed.shape[1]):
+            bits += passed[:, k]
+        return bits
+
+    def learn(self, right: np.ndarray, bits: np.ndarray, rank: np.ndarray, step: int) -> None:
+        """``right`` tells for each order whether it was."""
+        gain = np.uint64(_GAIN) << self.shift
+        self.whole += gain
+        gain += self.counts
+        self.placed[self.context] = gain
+        none = np.uint8(self.known)
+        self.upto += self.grown.take((bits - none) * self.plain + none, axis=0)
+        sure = np.minimum(self.sure + np.uint32(1), np.uint32(3))
+        sure *= right.astype(np.uint32)
+        sure += rank << np.uint32(2)
+        self.follows[self.at] = sure
+        self.last2, self.last1 = self.last1, rank
         if step % _HALVE_EVERY == _HALVE_EVERY - 1:
-            for counts in (self.whole, self.placed, self.order0):
-                counts += 1
-                counts >>= 1
+            for counts in (self.whole, self.placed):
+                counts += _ONES
+                counts >>= np.uint64(1)
+                counts &= _HALVES
+            self.upto += self.floor
+            self.upto >>= np.uint16(1)
+            self.upto[:, self.known + 1:] = _NEVER
 
 
 class _Span:
@@ -113,26 +178,24 @@ class _Span:
         self.low = np.zeros(lanes, np.uint64)
         self.span = np.full(lanes, ~np.uint64(0))
 
-    def narrow(self, n: int, start: np.ndarray, own: np.ndarray, total: np.ndarray) -> None:
-        """To the part [start, start + own) of total, in the first n blocks."""
-        unit = self.span[:n] // total.astype(np.uint64)
-        self.low[:n] += unit * start.astype(np.uint64)
-        np.multiply(unit, own.astype(np.uint64), out=self.span[:n])
-
-    def due(self, n: int) -> np.ndarray:
-        """Blocks that give off a word; a span across a word border is cut there."""
-        due = np.flatnonzero(self.span[:n] <= _LOW_WORD)
-        if not len(due):
-            return due
-        low, span = self.low[due], self.span[due]
-        over = (low ^ (low + span - np.uint64(1))) > _LOW_WORD
-        self.span[due[over]] = (np.uint64(1) << _WORD) - (low[over] & _LOW_WORD)
+    def due(self) -> np.ndarray:
+        """Blocks that give off a word; the larger part of a span across
+        a word border is kept."""
+        due = np.flatnonzero(self.span <= _LOW_WORD)
+        if len(due):
+            low, span = self.low.take(due), self.span.take(due)
+            left = (np.uint64(1) << _WORD) - (low & _LOW_WORD)
+            over = np.flatnonzero(span > left)
+            if len(over):
+                left = left[over]
+                right = span[over] - left
+                low[over] += left * (right > left)
+                span[over] = np.maximum(left, right)
+            self.span[due] = span << _WORD
+            self.low[due] = low << _WORD
+            self.gone = low >> _WORD
         return due
 
-    def shift(self, due: np.ndarray) -> None:
-        self.low[due] <<= _WORD
-        self.span[due] <<= _WORD
-
 
 def _magnitude(values: np.ndarray) -> np.ndarray:
     """Position of the highest set bit of each value above 0."""
@@ -143,67 +206,73 @@ class _Words:
     """Words that blocks give off."""
 
     def __init__(self, lanes: int) -> None:
-        self.words = np.zeros((lanes, BLOCK), np.uint32)
+        self.words = np.zeros((lanes, BLOCK // 2), np.uint32)
         self.filled = np.zeros(lanes, np.int64)
 
+    def room(self, more: int) -> None:
+        """Room for so many words in each block."""
+        if int(self.filled.max()) + more > self.words.shape[1]:
+            wider = np.zeros((len(self.words), max(more, BLOCK // 2)), np.uint32)
+            self.words = np.concatenate([self.words, wider], axis=1)
+        self.flat, self.width = self.words.reshape(-1), self.words.shape[1]
+
     def put(self, due: np.ndarray, words: np.ndarray) -> None:
-        at = self.filled[due]
-        if len(at) and int(at.max()) >= self.words.shape[1]:
-            more = np.zeros((len(self.words), BLOCK // 2), np.uint32)
-            self.words = np.concatenate([self.words, more], axis=1)
-        self.words[due, at] = words
-        self.filled[due] = at + 1
+        at = self.filled.take(due)
+        self.flat[due * self.width + at] = words
+        at += 1
+        self.filled[due] = at
 
 
 def encode(ids: np.ndarray) -> Group:
     ids = np.ascontiguousarray(ids, np.uint32)
     if not len(ids):
         return Group(b"", b"", b"")
-    by_rank, all_ranks = _ranked(ids)
+    by_rank, known = _ranked(ids)
     lanes = -(-len(ids) // BLOCK)
     tail = len(ids) - (lanes - 1) * BLOCK
-    ranks = np.zeros(lanes * BLOCK, np.uint32)
-    ranks[:len(ids)] = all_ranks
-    ranks = np.ascontiguousarray(ranks.reshape(lanes, BLOCK).T)  # a row for each step
-    magnitude_of = _magnitude(np.arange(1, len(by_rank) + 1, dtype=np.uint32))
+    ranks = np.zeros((BLOCK, lanes), np.uint32)  # a row for each step
+    ranks.T[:-1] = known[:-tail].reshape(lanes - 1, BLOCK)
+    ranks[:tail, -1] = known[-tail:]
+    del known
+    magnitude_of = _magnitude(np.arange(1, len(by_rank) + 1, dtype=np.uint32)).astype(np.uint8)
     model, coder, out = _Model(lanes, len(by_rank)), _Span(lanes), _Words(lanes)
 
-    def settle(n: int) -> None:
-        due = coder.due(n)
+    def settle() -> None:
+        due = coder.due()
         if len(due):
-            out.put(due, (coder.low[due] >> _WORD).astype(np.uint32))
-            coder.shift(due)
+            out.put(due, coder.gone)
 
     for step in range(BLOCK if lanes > 1 else tail):
-        n = lanes if step < tail else lanes - 1
-        rank = ranks[step, :n]
-        second, first = model.ask(n)
-        is2, is1 = rank == second, rank == first
-        chosen = np.where(is2, 0, np.where(is1, 1, 2))
-        a, b, c = model.choice
-        start = np.where(is2, 0, np.where(is1, a, b))
-        coder.narrow(n, start, np.where(is2, a, np.where(is1, b, c)) - start, c)
-        settle(n)
-        # a block that coded a prediction takes the whole of its span here
-        plain = chosen == 2
+        if step == tail:
+            last = coder.low[-1:]
+            model.shrink()
+            coder.low, coder.span = coder.low[:-1], coder.span[:-1]
+        if step % _HALVE_EVERY == 0:
+            out.room(2 * _HALVE_EVERY)  # a block gives off two words in a step at most
+        rank = ranks[step, :len(coder.low)]
+        pred = model.ask()
+        right = (pred == rank).view(np.uint8)
+        model.choose(np.maximum(right[0], right[1] << 1))
         bits = magnitude_of.take(rank)
-        upto = model.magnitudes(n)
-        at = bits * lanes + model.lane[:n]
-        own = model.order0.take(at)
-        start = model.upto.take(at) - own
-        coder.narrow(n, start * plain, np.where(plain, own, 1), np.where(plain, upto[-1], 1))
-        if len(model.order0) > _EASY_MAGNITUDES:
-            settle(n)
-        digits = (bits * plain).astype(np.uint64)
-        rest = (rank + np.uint32(1)).astype(np.uint64) ^ (np.uint64(1) << digits)
-        rest *= plain
-        coder.span[:n] >>= digits
-        coder.low[:n] += coder.span[:n] * rest
-        settle(n)
-        model.learn(n, chosen, bits, rank, step)
-    lane = model.lane
-    out.put(lane, (coder.low >> _WORD).astype(np.uint32))
-    out.put(lane, (coder.low & _LOW_WORD).astype(np.uint32))
+        start, own = model.part(bits)
+        unit = coder.span // model.total
+        start *= unit
+        coder.low += start
+        np.multiply(unit, own, out=coder.span)
+        settle()
+        rest = (rank + np.uint32(1)).astype(np.uint64)
+        rest ^= np.uint64(1) << model.digits
+        rest *= model.plain.astype(np.uint64)
+        coder.span >>= model.digits
+        rest *= coder.span
+        coder.low += rest
+        settle()
+        model.learn(right, bits, rank, step)
+    out.room(2)
+    low = coder.low if len(coder.low) == lanes else np.concatenate([coder.low, last])
+    lane = np.arange(lanes)
+    out.put(lane, low >> _WORD)
+    out.put(lane, low & _LOW_WORD)
     table = np.empty((lanes, 3), np.uint32)
     table[:, 0] = BLOCK
     table[-1, 0] = tail
@@ -226,11 +295,19 @@ def _ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rank_of = np.empty(len(known), np.uint32)
     order = np.lexsort((known, -counts))
     rank_of[known[order] if inverse is ids else order] = np.arange(len(known), dtype=np.uint32)
-    return known[order], rank_of[inverse]
+    return known[order], _looked_up(rank_of, inverse)
+
+
+def _looked_up(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``table[at]`` piece by piece: numpy makes long indices of each piece first."""
+    out = np.empty(len(at), table.dtype)
+    for k in range(0, len(at), 1 << 16):
+        out[k:k + (1 << 16)] = table.take(at[k:k + (1 << 16)])
+    return out
 
 
 def _checks(ids: np.ndarray, lanes: int) -> list[int]:
-    raw = memoryview(ids.astype("<u4").tobytes())
+    raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
     return [zlib.crc32(raw[4 * BLOCK * k:4 * BLOCK * (k + 1)]) for k in range(lanes)]
 
 
@@ -254,55 +331,49 @@ def decode(group: Group, only: slice = slice(None)) -> np.ndarray:
     at, last = begin + 2, len(body) - 1
     ranks = np.zeros((BLOCK, lanes), np.uint32)
 
-    def settle(n: int) -> None:
-        due = coder.due(n)
+    def settle() -> None:
+        due = coder.due()
         if len(due):
-            code[due] = (code[due] << _WORD) | body[np.minimum(at[due], last)]
-            at[due] += 1
-            coder.shift(due)
-
-    def met(n: int, total: np.ndarray) -> np.ndarray:
-        total = total.astype(np.uint64)
-        value = (code[:n] - coder.low[:n]) // (coder.span[:n] // total)
-        return np.minimum(value, total - np.uint64(1)).astype(np.int32)
+            place = at.take(due)
+            code[due] = (code.take(due) << _WORD) | body.take(np.minimum(place, last))
+            at[due] = place + 1
 
     for step in range(BLOCK if lanes > 1 else tail):
-        n = lanes if step < tail else lanes - 1
-        second, first = model.ask(n)
-        a, b, c = model.choice
-        value = met(n, c)
-        is2, is1 = value < a, value < b
-        chosen = np.where(is2, 0, np.where(is1, 1, 2))
-        start = np.where(is2, 0, np.where(is1, a, b))
-        coder.narrow(n, start, np.where(is2, a, np.where(is1, b, c)) - start, c)
-        settle(n)
-        plain = chosen == 2
-        upto = model.magnitudes(n)
-        total = np.where(plain, upto[-1], 1)
-        value = met(n, total)
-        bits = np.zeros(n, np.int32)
-        for row in upto[:-1]:
-            bits += row <= value
-        slot = bits * lanes + model.lane[:n]
-        own = model.order0.take(slot)
-        start = model.upto.take(slot) - own
-        coder.narrow(n, start * plain, np.where(plain, own, 1), total)
-        if len(model.order0) > _EASY_MAGNITUDES:
-            settle(n)
-        digits = (bits * plain).astype(np.uint64)
-        coder.span[:n] >>= digits
-        rest = (code[:n] - coder.low[:n]) // coder.span[:n]
-        rest *= plain
-        coder.low[:n] += coder.span[:n] * rest
-        settle(n)
-        rank = np.where(plain, ((np.uint64(1) << digits) + rest - np.uint64(1)).astype(np.uint32),
-                        np.where(is2, second, first))
-        ranks[step, :n] = rank
-        model.learn(n, chosen, bits, rank, step)
+        if step == tail:
+            model.shrink()
+            coder.low, coder.span, code = coder.low[:-1], coder.span[:-1], code[:-1]
+        pred = model.ask()
+        unit = coder.span // model.total
+        value = (code - coder.low) // unit
+        np.minimum(value, model.total - np.uint64(1), out=value)
+        hit = (value < (model.choice & _COUNT) * model.all_bits).view(np.uint8)
+        hit = hit + (value < ((model.choice >> np.uint64(_FIELD)) & _COUNT)
+                     * model.all_bits).view(np.uint8)
+        model.choose(hit)
+        value -= model.before * model.all_bits
+        value //= model.own
+        bits = model.found(value.astype(np.uint16))
+        start, own = model.part(bits)
+        start *= unit
+        coder.low += start
+        np.multiply(unit, own, out=coder.span)
+        settle()
+        coder.span >>= model.digits
+        rest = (code - coder.low) // coder.span
+        rest *= model.plain.astype(np.uint64)
+        coder.low += coder.span * rest
+        settle()
+        rest += np.uint64(1) << model.digits
+        rest -= np.uint64(1)  # 0 after a prediction
+        rank = rest.astype(np.uint32)
+        rank += pred[0] * (hit == 1).astype(np.uint32)
+        rank += pred[1] * (hit == 2).astype(np.uint32)
+        ranks[step, :len(rank)] = rank
+        model.learn((pred == rank).view(np.uint8), bits, rank, step)
     flat = ranks.T.reshape(-1)[:(lanes - 1) * BLOCK + tail]
     if int(flat.max()) >= len(known):
         raise ValueError("a block of token ids is damaged")
-    ids = known[flat].astype(np.uint32)
+    ids = _looked_up(known.astype(np.uint32, copy=False), flat)
     if _checks(ids, lanes) != table[:, 2].tolist():
         raise ValueError("a block of token ids is damaged")
     return ids

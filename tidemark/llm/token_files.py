@@ -8,11 +8,13 @@ file: its place (shard, group), the index of its documents, the frequency list
 and the coded blocks. Spark's committer publishes the files, so a lost
 executor or a repeated task leaves no half-written block.
 
-Pieces met lately are not encoded again: a piece is a run without white space
-with the one blank before it, or white space, which is where the byte-level
-splitter cuts too, and pieces of plain letters, digits and signs are cut as it
-cuts them. Texts that hold a special string, and all texts where the file
-asks for another splitter, are encoded whole.
+Texts are cut where the byte-level splitter cuts, by the kinds of their bytes:
+many texts at once in numpy. Arrow numbers the distinct parts, each of which is
+encoded once while its task remembers it, and the ids of a text are gathered
+from those of its parts. Runs without white space that hold anything but plain
+letters, digits and signs are parts as a whole; the tokenizer cuts them. Texts
+that hold a special string or white space beyond ASCII, and all texts where the
+file asks for another splitter, are encoded whole.
 
 Cases: a null or empty text has the end id only; equal ids are ordered by
 the hash of their text, null ids come first; other columns are not read; an
@@ -22,35 +24,43 @@ empty table gives no records and no rows.
 from __future__ import annotations
 
 import json
-import re
+import os
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import pre_tokenizers
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tidemark.llm import range_coder
 from tidemark.llm.common import freed_shuffles, slices, total_bytes
 from tidemark.llm.token_counts import open_tokenizer
 
 #: Ids after which a group is closed at the next end of a document.
-GROUP_IDS = 1 << 23
-#: Text that one task encodes.
-SHARD_BYTES = 128 << 20
-#: Pieces in a worker's table of recent ones; there are four such tables.
-REMEMBERED_PIECES = 150_000
-
-# White space as Unicode defines it; fixed values of the byte-level splitter.
-_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-_PIECE = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
-# Pieces of these characters are split as the byte-level splitter does.
-_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
-_EASY = re.compile(rf" ?[!-~{_LETTERS}]+")
-_PART = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ {_LETTERS}0-9]+")
+GROUP_IDS = 10 << 20
+#: Text that one task encodes; its ids make one group as a rule, since numpy's
+#: steps through a group take nearly as long for a small one.
+SHARD_BYTES = 20 << 20
+#: Text that is cut at once.
+CUT_BYTES = 4 << 20
+#: Parts that a task remembers before it starts afresh.
+REMEMBERED_PARTS = 400_000
+
+# Kinds of bytes; 0xFF, which UTF-8 doesn't have, stands after each text.
+_WHITE, _LETTER, _DIGIT, _SIGN, _HARD, _END = range(6)
+_KIND = np.full(256, _HARD, np.uint8)
+_KIND[0x21:0x7F] = _SIGN
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _LETTER
+_KIND[0x09:0x0E] = _KIND[0x20] = _WHITE
+_KIND[0xFF] = _END
+# Parts of these bytes only, with the one blank before them, hold no other white space.
+_PLAIN = np.isin(np.arange(6), (_LETTER, _DIGIT, _SIGN))
 
 
 def splits_by_bytes(path: str) -> bool:
@@ -64,54 +74,192 @@ def splits_by_bytes(path: str) -> bool:
                         for x in spec.get("added_tokens", [])))
 
 
-class _Recent(dict):
-    """Remembers what was asked for lately: a full table becomes the old one."""
-
-    def __init__(self, make: Callable[[str], bytes]) -> None:
-        super().__init__()
-        self.make, self.old = make, {}
-
-    def __missing__(self, key: str) -> bytes:
-        found = self.old.get(key)
-        if found is None:
-            found = self.make(key)
-        if len(self) >= REMEMBERED_PIECES:
-            self.old = dict(self)
-            self.clear()
-        self[key] = found
-        return found
+def _kinds(raw: np.ndarray) -> np.ndarray:
+    """The kind of each byte; a run without white space that holds a hard one is hard."""
+    kind = _KIND.take(raw)
+    for lead, letters in ((0xC2, (0xAA, 0xB5, 0xBA)), (0xC3, None)):
+        at = np.flatnonzero(raw == lead)
+        if len(at):
+            after = raw[at + 1]
+            own = np.isin(after, letters) if letters else (after != 0x97) & (after != 0xB7)
+            kind[at] = kind[at + 1] = np.where(own, np.uint8(_LETTER), np.uint8(_HARD))
+    hard = np.flatnonzero(kind == _HARD)
+    if len(hard):
+        solid = (kind != _WHITE) & (kind != _END)
+        run = np.cumsum(np.diff(solid, prepend=False) & solid)
+        marked = np.zeros(int(run[-1]) + 1, bool)
+        marked[run[hard]] = True
+        kind[solid & marked[run]] = _HARD
+    return kind
+
+
+def _starts(raw: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Where the byte-level splitter begins a part."""
+    end, white = kind == _END, kind == _WHITE
+    start = end.copy()
+    start[0] = True
+    start[1:] |= kind[1:] != kind[:-1]
+    # the last of some white space stands alone, a blank goes to what follows
+    turn = np.flatnonzero(white[:-1] & ~(white | end)[1:]) + 1
+    start[turn - 1] = True
+    start[turn[raw[turn - 1] == 0x20]] = False
+    quote = np.flatnonzero((raw == 0x27) & start & (kind == _SIGN))
+    if len(quote):
+        one, two = raw[quote + 1], raw[np.minimum(quote + 2, len(raw) - 1)]
+        short = np.isin(one, list(b"stmd"))
+        long = (((one == ord("r")) | (one == ord("v"))) & (two == ord("e"))
+                | (one == ord("l")) & (two == ord("l")))
+        start[quote[short | long] + 1] = False
+        start[quote[short] + 2] = True
+        start[quote[long] + 3] = True
+    return np.flatnonzero(start)
+
+
+def _wide_space(raw: np.ndarray) -> np.ndarray:
+    """Where white space of several bytes is."""
+    at = np.flatnonzero((raw >= 0xC2) & (raw < 0xE4) & (raw != 0xC3))
+    a, b, c = raw[at], raw[at + 1], raw[np.minimum(at + 2, len(raw) - 1)]
+    found = (a == 0xC2) & ((b == 0x85) | (b == 0xA0))
+    found |= (a == 0xE1) & (b == 0x9A) & (c == 0x80)
+    found |= (a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
+    found |= (a == 0xE2) & (b == 0x81) & (c == 0x9F)
+    found |= (a == 0xE3) & (b == 0x80) & (c == 0x80)
+    return at[found]
 
 
 class _Pieces:
-    """Ids of texts as bytes; each distinct piece is encoded once, while remembered."""
+    """Ids of texts; each distinct part of them is encoded once, while remembered."""
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task on each core
         self.tokenizer = open_tokenizer(path)
         self.model = self.tokenizer.model
-        self.special = tuple(t.content for t in
-                             self.tokenizer.get_added_tokens_decoder().values())
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = splits_by_bytes(path)
         letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.spelt = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in range(256)}
-        self.pieces, self.parts = _Recent(self._piece), _Recent(self._part)
+        # bytes from 0x80 as the last ones of characters, then the two that lead such
+        self.spelt = {c: letters.pre_tokenize_str(chr(c))[0][0][-1] for c in range(0xC0)}
+        self.spelt |= {c[0]: letters.pre_tokenize_str(c.decode())[0][0][0]
+                       for c in (b"\xc2\xa1", b"\xc3\xa1")}
+        # plain parts, spelt and divided by line feeds, which none of them holds
+        self.letter = np.array([ord(self.spelt.get(c, "\0")) for c in range(256)], "<u2")
+        self.letter[0x0A] = ord(" ")
+        self.divided = Tokenizer(self.model)
+        self.divided.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[n for token, n in vocabulary.items() if token[0] == self.spelt[0x20]]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.ids, self.begin = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
+        self.held = 0
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _one(self, part: bytes, plain: bool) -> np.ndarray:
+        if not plain:
+            return self.whole(part.decode())
+        spelt = "".join(map(self.spelt.__getitem__, part))
+        return np.array([t.id for t in self.model.tokenize(spelt)], np.uint32)
+
+    def _many(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain parts that begin with a blank, which tells where each begins."""
+        spelt = self.letter.take(np.frombuffer(b"\n".join(parts), np.uint8))
+        coded = self.divided.encode_batch_fast([spelt.tobytes().decode("utf-16-le")],
+                                               add_special_tokens=False)[0]
+        ids = np.array(coded.ids, np.uint32)
+        at = np.flatnonzero(self.opens[ids])
+        if len(at) != len(parts) or at[0]:
+            return _joined([self._one(part, True) for part in parts])
+        return ids, np.diff(at, append=len(ids))
+
+    def _remember(self, parts: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        known, more = len(self.number), len(parts)
+        while self.held + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while known + more >= len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+        self.ids[self.held:self.held + len(ids)] = ids
+        self.begin[known + 1:known + more + 1] = self.held + np.cumsum(sizes)
+        self.held += len(ids)
+        self.number.update(zip(parts, range(known, known + more)))
+
+    def _learn(self, parts: list[bytes], plain: np.ndarray, end: int) -> None:
+        blank = [k for k in np.flatnonzero(plain).tolist()
+                 if parts[k][0] == 0x20 and len(parts[k]) > 1]
+        rest = set(range(len(parts))).difference(blank)
+        for at in range(0, len(blank), 2000):
+            own = [parts[k] for k in blank[at:at + 2000]]
+            self._remember(own, *self._many(own))
+        if rest:
+            rest = sorted(rest)
+            self._remember([parts[k] for k in rest], *_joined([
+                np.array([end], np.uint32) if parts[k] == b"\xff"
+                else self._one(parts[k], bool(plain[k])) for k in rest]))
 
     def encoded(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def _part(self, part: str) -> bytes:
-        found = self.model.tokenize(part.translate(self.spelt))
-        return np.array([t.id for t in found], "<u4").tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        if not _EASY.fullmatch(piece):
-            return self.encoded(piece)
-        return b"".join([self.parts[part] for part in _PART.findall(piece)])
+        return self.whole(text).astype("<u4").tobytes()
 
     def of(self, text: str) -> bytes:
-        if not self.cut or any(s in text for s in self.special):
-            return self.encoded(text)
-        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
+        return self.of_all(pa.array([text]), 0)[0][:-1].astype("<u4").tobytes()
+
+    def of_all(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, ``end`` after each, and how many each has."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts.validate(full=True)
+        apart = np.zeros(len(texts), bool) if self.cut else np.ones(len(texts), bool)
+        for string in self.special:
+            apart |= pc.match_substring(texts, string).to_numpy(zero_copy_only=False)
+        joined = pc.binary_join_element_wise(
+            texts.cast(pa.large_binary()), *(pa.scalar(x, pa.large_binary()) for x in (b"\xff", b"")))
+        raw, ends = _flat(joined)
+        wide = _wide_space(raw)
+        apart[np.searchsorted(ends, wide, "right")] = True
+        if apart.any():
+            raw, _ = _flat(pc.if_else(pa.array(apart), pa.scalar(b"\xff", pa.large_binary()),
+                                      joined))
+        if len(self.number) > REMEMBERED_PARTS:
+            self.forget()
+        kind = _kinds(raw)
+        starts = _starts(raw, kind)
+        offsets = np.append(starts, len(raw))
+        coded = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts),
+            [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw)]).dictionary_encode()
+        place, parts = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.number.get, parts, repeat(-1)), np.int64, len(parts))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            met = np.empty(len(parts), np.int64)  # where each part is met
+            met[place] = starts
+            own = [parts[k] for k in new.tolist()]
+            inner = (raw[met[new]] == 0x20) & np.array([len(part) > 1 for part in own])
+            self._learn(own, _PLAIN[kind[met[new] + inner]], end)
+            number[new] = [self.number[part] for part in own]
+        first, sizes = self.begin[number], self.begin[number + 1] - self.begin[number]
+        sizes = sizes[place]
+        upto = np.cumsum(sizes)
+        at = np.repeat(first[place] - (upto - sizes), sizes)
+        at += np.arange(len(at))
+        ids = self.ids.take(at)
+        ends = upto[np.flatnonzero(kind[starts] == _END)]
+        lengths = np.diff(ends, prepend=0)
+        if apart.any():
+            out, done = [], 0
+            for k in np.flatnonzero(apart).tolist():
+                own = self.whole(texts[k].as_py())
+                out += [ids[done:ends[k] - 1], own]
+                done = ends[k] - 1
+                lengths[k] += len(own)
+            ids = np.concatenate([*out, ids[done:]])
+        return ids, lengths
+
+
+def _joined(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate(ids), np.array([len(x) for x in ids])
 
 
 _open: dict[str, _Pieces] = {}
@@ -123,6 +271,26 @@ def _pieces(path: str) -> _Pieces:
     return _open[path]
 
 
+def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts one after another, and where each ends."""
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    return np.frombuffer(texts.buffers()[2], np.uint8)[ends[0]:ends[-1]], ends[1:] - ends[0]
+
+
+def _cuts(texts: pa.Array) -> Iterator[slice]:
+    """Texts that are cut together."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    begin = held = 0
+    for k, size in enumerate(sizes.tolist()):
+        if k > begin and held + size > CUT_BYTES:
+            yield slice(begin, k)
+            begin = k
+            held = 0
+        held += size
+    if begin < len(sizes):
+        yield slice(begin, len(sizes))
+
+
 def _record_type(id_type: str) -> str:
     return (f"shard int, part int, n_ids long, doc_ids array<{id_type}>, lengths array<int>, "
             "ranks binary, blocks binary, words binary")
@@ -137,42 +305,58 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                 -(-total_bytes(rows) // shard_bytes))
+    shards = max(1, -(-total_bytes(rows) // shard_bytes))
     id_type = rows.schema["id"].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(tokenizer_path)
+        pieces.forget()
         shard = TaskContext.get().partitionId()
-        part, ids, lengths, held = 0, [], [], 0
-        buffer: list[bytes] = []
-
-        def record(id_array_type: pa.DataType) -> pa.RecordBatch:
-            group = range_coder.encode(np.frombuffer(b"".join(buffer), "<u4"))
+        part, held = 0, 0
+        ids: list[pa.Array] = []
+        lengths: list[np.ndarray] = []
+        coded: list[np.ndarray] = []
+
+        def record() -> pa.RecordBatch:
+            whole = np.concatenate(coded)
+            coded.clear()
+            group = range_coder.encode(whole)
+            docs = pa.concat_arrays(ids)
             return pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([part], pa.int32()),
-                 pa.array([held], pa.int64()), pa.array([ids], pa.list_(id_array_type)),
-                 pa.array([lengths], pa.list_(pa.int32())),
+                 pa.array([held], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
+                 pa.array([np.concatenate(lengths)], pa.list_(pa.int32())),
                  *(pa.array([x], pa.binary()) for x in group)],
                 names=["shard", "part", "n_ids", "doc_ids", "lengths",
                        "ranks", "blocks", "words"])
 
-        kind = None
         for batch in slices(batches):
-            kind = batch.column("id").type
-            for doc, text in zip(batch.column("id").to_pylist(),
-                                 batch.column("text").to_pylist(), strict=True):
-                coded = (pieces.of(text) if text else b"") + end
-                buffer.append(coded)
-                ids.append(doc)
-                lengths.append(len(coded) >> 2)
-                held += lengths[-1]
-                if held >= GROUP_IDS:
-                    yield record(kind)
-                    part, ids, lengths, held, buffer = part + 1, [], [], 0, []
+            for cut in _cuts(batch.column("text")):
+                own = batch.slice(cut.start, cut.stop - cut.start)
+                found, sizes = pieces.of_all(own.column("text"), end_id)
+                begin = 0
+                while held + len(found) >= GROUP_IDS and begin < len(sizes):
+                    upto = np.cumsum(sizes[begin:])
+                    last = int(np.searchsorted(upto, GROUP_IDS - held))
+                    if last == len(upto):
+                        break
+                    take = int(upto[last])
+                    coded.append(found[:take])
+                    lengths.append(sizes[begin:begin + last + 1])
+                    ids.append(own.column("id").slice(begin, last + 1))
+                    held += take
+                    yield record()
+                    part, held, ids, lengths = part + 1, 0, [], []
+                    found, begin = found[take:], begin + last + 1
+                if begin < len(sizes):
+                    coded.append(found)
+                    lengths.append(sizes[begin:])
+                    ids.append(own.column("id").slice(begin))
+                    held += len(found)
+        pieces.forget()
         if ids:
-            yield record(kind)
+            yield record()
 
     ordered = (rows.repartitionByRange(int(shards), F.col("id").asc_nulls_first())
                .sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text")))
@@ -180,7 +364,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
         ordered.mapInArrow(encode, _record_type(id_type)).write.parquet(path)
 
 
-
 def read_tokens(spark: SparkSession, path: str, id_type: str = "bigint",
                 with_ids: bool = False) -> DataFrame:
     """Per document, from the files: id, ``start``, ``n_tokens``, ``ids_crc32``.
