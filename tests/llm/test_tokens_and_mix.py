@@ -158,6 +158,22 @@ def test_files_awkward(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == sorted(plain_files(rows))
 
 
+def test_workers_keep_no_parts_after_their_task(spark):
+    """A worker may wait, or serve the next stage, for long; only the tokenizer stays in it."""
+    rows = [(k, f"plain words and number {k}") for k in range(200)]
+    token_files.write_tokens(documents(spark, rows), scratch(spark, "tokens"), BYTE_BPE, 2)
+
+    def held(batches):
+        for batch in batches:
+            kept = [len(found) for p in token_files._open.values() for found in vars(p).values()
+                    if isinstance(found, dict) and any(isinstance(k, str | bytes) for k in found)]
+            yield pa.RecordBatch.from_arrays([pa.array([sum(kept)] * batch.num_rows, pa.int64())],
+                                             names=["kept"])
+
+    seen = spark.range(0, 64, 1, 16).mapInArrow(held, "kept long").collect()
+    assert {r.kept for r in seen} == {0}
+
+
 def test_files_with_repeated_and_null_ids(spark):
     rows = awkward()
     path = scratch(spark, "tokens")
