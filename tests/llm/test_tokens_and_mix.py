@@ -102,6 +102,57 @@ def test_many_texts_are_cut_at_once(monkeypatch):
     assert len(asked) == len(set(asked)) == 5  # word, of and three digits, with their blanks
 
 
+def test_many_parts_make_one_word_for_the_library():
+    """No merge leads over the blank a part begins with, so that the parts of a word stay apart."""
+    pieces = token_files._Pieces(BYTE_BPE)
+    assert pieces.joins
+    rng = np.random.default_rng(3)
+    letters = [*"aeinrstdlThE'~|-=_019", "é", "ß", "ª", "à", "ÿ"]
+    parts = {" " + "".join(letters[k] for k in rng.integers(0, len(letters), n))
+             for n in rng.integers(1, 12, 4000)}
+    texts = [x for part in sorted(parts) for x in (part, part + part)]
+    words = []
+
+    class Asked:
+        def encode_batch_fast(self, own, **rest):
+            words.extend(own)
+            return bare.encode_batch_fast(own, **rest)
+
+    bare, pieces.bare = pieces.bare, Asked()
+    ids, sizes = pieces.of_all(pa.array(texts), 2)
+    assert [x[:-1].tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [
+        pieces.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 0 < len(words) < len(parts) // 20
+
+
+def test_parts_are_told_apart_over_many_batches(monkeypatch):
+    pieces = token_files._Pieces(BYTE_BPE)
+    batches = [pa.record_batch({"id": [k], "text": pa.array([t], pa.string())})
+               for k, t in enumerate(TEXTS * 3)]
+    (own, cuts), = token_files._parted(pieces, batches)
+    assert own.to_pylist() == list(range(len(batches)))
+    want = pieces.of_all(pa.array(TEXTS * 3), 2)
+    pieces.forget()
+    got = pieces.of_cuts(cuts, 2)
+    assert all((a == b).all() for a, b in zip(got, want, strict=True))
+    assert len(set(pieces.parts.to_pylist())) == len(pieces.parts)
+    monkeypatch.setattr(token_files, "PARTED_BYTES", 50)
+    apart = list(token_files._parted(pieces, batches))
+    assert len(apart) > 3 and sum(len(own) for own, _ in apart) == len(batches)
+    assert (np.concatenate([pieces.of_cuts(cuts, 2)[0] for _, cuts in apart]) == want[0]).all()
+
+
+@pytest.mark.parametrize("known", [1, 2, 1 << 14, (1 << 14) + 1, 150_000])
+def test_coder_of_few_and_many_ranks(known):
+    """Ranks that fit share a narrow table with how sure they are."""
+    rng = np.random.default_rng(known)
+    ids = np.concatenate([np.arange(known), rng.integers(0, known, 9000),
+                          np.tile(rng.integers(0, known, 50), 200)]).astype(np.uint32)
+    assert (range_coder.decode(range_coder.encode(ids)) == ids).all()
+    table = range_coder._Model(3, known).follows
+    assert table.dtype == (np.uint16 if known <= 1 << 14 else np.uint32)
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 20), st.integers(0, 2**28 - 1)), max_size=400))
 def test_coder_round_trip(ids):

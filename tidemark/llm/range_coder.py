@@ -29,6 +29,7 @@ BLOCK = 4096
 _HASH_BITS = 10
 _GAIN = 24
 _HALVE_EVERY = 128
+_TURNED = 64  # steps that are laid out together, so that both layouts stay near
 _WORD = np.uint64(32)
 _LOW_WORD = np.uint64(0xFFFFFFFF)
 _K1, _K2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
@@ -59,7 +60,10 @@ class _Model:
     def __init__(self, lanes: int, known: int) -> None:
         self.known = int(_magnitude(np.array([max(1, known)]))[0]) + 1  # magnitudes
         self.slots = (np.arange(2 * lanes) << _HASH_BITS).reshape(2, lanes)  # of orders 1, 2
-        self.follows = np.zeros(2 * lanes << _HASH_BITS, np.uint32)
+        # a rank and, in its two lowest bits, how sure it is; narrow where ranks allow, since
+        # most steps wait for this table
+        self.entry = np.uint16 if known <= 1 << 14 else np.uint32
+        self.follows = np.zeros(2 * lanes << _HASH_BITS, self.entry)
         self.whole = np.full(lanes, _ONES)
         self.placed = np.full(lanes << 4, _ONES)
         # counts of all smaller magnitudes, from none to all; a row is of whole 64-bit words
@@ -88,7 +92,7 @@ class _Model:
 
     def ask(self) -> np.ndarray:
         """The predictions of orders 1 and 2; sets the running counts of the choice."""
-        two, three = np.uint32(2), np.uint32(3)
+        two, three = self.entry(2), self.entry(3)
         hash1 = np.multiply(self.last1, _K1, out=self.hashes[0])
         np.add(hash1, (self.last2 + np.uint32(1)) * _K2, out=self.hashes[1])
         self.hashes >>= np.uint32(32 - _HASH_BITS)
@@ -156,9 +160,9 @@ class _Model:
         self.placed[self.context] = gain
         none = np.uint8(self.known)
         self.upto += self.grown.take((bits - none) * self.plain + none, axis=0)
-        sure = np.minimum(self.sure + np.uint32(1), np.uint32(3))
-        sure *= right.astype(np.uint32)
-        sure += rank << np.uint32(2)
+        sure = np.minimum(self.sure + self.entry(1), self.entry(3))
+        sure *= right
+        sure += (rank << np.uint32(2)).astype(self.entry)
         self.follows[self.at] = sure
         self.last2, self.last1 = self.last1, rank
         if step % _HALVE_EVERY == _HALVE_EVERY - 1:
@@ -174,18 +178,20 @@ class _Model:
 class _Span:
     """The range coder's interval for each block."""
 
-    def __init__(self, lanes: int) -> None:
+    def __init__(self, lanes: int, model: _Model) -> None:
         self.low = np.zeros(lanes, np.uint64)
         self.span = np.full(lanes, ~np.uint64(0))
+        # what the digits of any rank need, and some more so that they come out even
+        self.narrow = np.uint64(min(int(_LOW_WORD), (16 << model.known) - 1))
 
-    def due(self) -> np.ndarray:
-        """Blocks that give off a word; the larger part of a span across
-        a word border is kept."""
-        due = np.flatnonzero(self.span <= _LOW_WORD)
+    def due(self, limit: np.uint64) -> np.ndarray:
+        """Blocks with a span up to the limit, a word at most, give off a word;
+        the larger part of a span across a word border is kept."""
+        due = (self.span <= limit).nonzero()[0]
         if len(due):
             low, span = self.low.take(due), self.span.take(due)
             left = (np.uint64(1) << _WORD) - (low & _LOW_WORD)
-            over = np.flatnonzero(span > left)
+            over = (span > left).nonzero()[0]
             if len(over):
                 left = left[over]
                 right = span[over] - left
@@ -231,14 +237,16 @@ def encode(ids: np.ndarray) -> Group:
     lanes = -(-len(ids) // BLOCK)
     tail = len(ids) - (lanes - 1) * BLOCK
     ranks = np.zeros((BLOCK, lanes), np.uint32)  # a row for each step
-    ranks.T[:-1] = known[:-tail].reshape(lanes - 1, BLOCK)
+    for k in range(0, BLOCK, _TURNED):
+        ranks[k:k + _TURNED, :-1] = known[:-tail].reshape(lanes - 1, BLOCK)[:, k:k + _TURNED].T
     ranks[:tail, -1] = known[-tail:]
     del known
     magnitude_of = _magnitude(np.arange(1, len(by_rank) + 1, dtype=np.uint32)).astype(np.uint8)
-    model, coder, out = _Model(lanes, len(by_rank)), _Span(lanes), _Words(lanes)
+    model = _Model(lanes, len(by_rank))
+    coder, out = _Span(lanes, model), _Words(lanes)
 
-    def settle() -> None:
-        due = coder.due()
+    def settle(limit: np.uint64) -> None:
+        due = coder.due(limit)
         if len(due):
             out.put(due, coder.gone)
 
@@ -259,14 +267,14 @@ def encode(ids: np.ndarray) -> Group:
         start *= unit
         coder.low += start
         np.multiply(unit, own, out=coder.span)
-        settle()
+        settle(coder.narrow)
         rest = (rank + np.uint32(1)).astype(np.uint64)
         rest ^= np.uint64(1) << model.digits
         rest *= model.plain.astype(np.uint64)
         coder.span >>= model.digits
         rest *= coder.span
         coder.low += rest
-        settle()
+        settle(_LOW_WORD)
         model.learn(right, bits, rank, step)
     out.room(2)
     low = coder.low if len(coder.low) == lanes else np.concatenate([coder.low, last])
@@ -286,7 +294,9 @@ def encode(ids: np.ndarray) -> Group:
 def _ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids by falling frequency, and the place of each id of the text in that list."""
     if int(ids.max()) < max(1 << 17, len(ids)):
-        counts = np.bincount(ids)
+        counts = np.zeros(int(ids.max()) + 1, np.int64)
+        for k in range(0, len(ids), 1 << 18):  # numpy makes long ones of each piece first
+            counts += np.bincount(ids[k:k + (1 << 18)], minlength=len(counts))
         known = np.flatnonzero(counts)
         inverse, counts = ids, counts[known]
         rank_of = np.empty(int(ids.max()) + 1, np.uint32)
@@ -325,14 +335,14 @@ def decode(group: Group, only: slice = slice(None)) -> np.ndarray:
         return np.zeros(0, np.uint32)
     tail = int(table[-1, 0])
     body = np.concatenate([np.frombuffer(group.words, "<u4"), np.zeros(4, np.uint32)])
-    body = body.astype(np.uint64)
-    model, coder = _Model(lanes, len(known)), _Span(lanes)
-    code = (body[begin] << _WORD) | body[begin + 1]
+    model = _Model(lanes, len(known))
+    coder = _Span(lanes, model)
+    code = (body[begin].astype(np.uint64) << _WORD) | body[begin + 1]
     at, last = begin + 2, len(body) - 1
     ranks = np.zeros((BLOCK, lanes), np.uint32)
 
-    def settle() -> None:
-        due = coder.due()
+    def settle(limit: np.uint64) -> None:
+        due = coder.due(limit)
         if len(due):
             place = at.take(due)
             code[due] = (code.take(due) << _WORD) | body.take(np.minimum(place, last))
@@ -357,12 +367,12 @@ def decode(group: Group, only: slice = slice(None)) -> np.ndarray:
         start *= unit
         coder.low += start
         np.multiply(unit, own, out=coder.span)
-        settle()
+        settle(coder.narrow)
         coder.span >>= model.digits
         rest = (code - coder.low) // coder.span
         rest *= model.plain.astype(np.uint64)
         coder.low += coder.span * rest
-        settle()
+        settle(_LOW_WORD)
         rest += np.uint64(1) << model.digits
         rest -= np.uint64(1)  # 0 after a prediction
         rank = rest.astype(np.uint32)
@@ -370,7 +380,11 @@ def decode(group: Group, only: slice = slice(None)) -> np.ndarray:
         rank += pred[1] * (hit == 2).astype(np.uint32)
         ranks[step, :len(rank)] = rank
         model.learn((pred == rank).view(np.uint8), bits, rank, step)
-    flat = ranks.T.reshape(-1)[:(lanes - 1) * BLOCK + tail]
+    flat = np.empty((lanes, BLOCK), np.uint32)
+    for k in range(0, BLOCK, _TURNED):
+        flat[:, k:k + _TURNED] = ranks[k:k + _TURNED].T
+    del ranks
+    flat = flat.reshape(-1)[:(lanes - 1) * BLOCK + tail]
     if int(flat.max()) >= len(known):
         raise ValueError("a block of token ids is damaged")
     ids = _looked_up(known.astype(np.uint32, copy=False), flat)

@@ -27,7 +27,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, pre_tokenizers
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from tidemark.llm import range_coder
 from tidemark.llm.common import freed_shuffles, slices, total_bytes
@@ -48,8 +48,13 @@ GROUP_IDS = 10 << 20
 SHARD_BYTES = 20 << 20
 #: Text that is cut at once.
 CUT_BYTES = 4 << 20
+#: Text whose distinct parts are told apart together: all that a task has, as a rule.
+PARTED_BYTES = 24 << 20
 #: Parts that a task remembers before it starts afresh.
 REMEMBERED_PARTS = 400_000
+#: Parts that the library gets as one word are about so long together; it looks up
+#: words of less than 256 letters in a store that such would only fill.
+WORD_BYTES = 500
 
 # Kinds of bytes; 0xFF, which UTF-8 doesn't have, stands after each text.
 _WHITE, _LETTER, _DIGIT, _SIGN, _HARD, _END = range(6)
@@ -127,6 +132,14 @@ def _wide_space(raw: np.ndarray) -> np.ndarray:
     return at[found]
 
 
+class _Cut(NamedTuple):
+    """Texts that were cut at once."""
+
+    parts: pa.BinaryArray     # of all texts, a byte 0xFF as the last one of each
+    last: np.ndarray          # which parts those are
+    whole: dict[int, np.ndarray]  # ids of texts that were not cut, which have no other parts
+
+
 class _Pieces:
     """Ids of texts; each distinct part of them is encoded once, while remembered."""
 
@@ -141,20 +154,24 @@ class _Pieces:
         self.spelt = {c: letters.pre_tokenize_str(chr(c))[0][0][-1] for c in range(0xC0)}
         self.spelt |= {c[0]: letters.pre_tokenize_str(c.decode())[0][0][0]
                        for c in (b"\xc2\xa1", b"\xc3\xa1")}
-        # plain parts, spelt and divided by line feeds, which none of them holds
         self.letter = np.array([ord(self.spelt.get(c, "\0")) for c in range(256)], "<u2")
-        self.letter[0x0A] = ord(" ")
-        self.divided = Tokenizer(self.model)
-        self.divided.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.bare = Tokenizer(self.model)
         vocabulary = self.tokenizer.get_vocab()
+        blank = self.spelt[0x20]
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.opens[[n for token, n in vocabulary.items() if token[0] == self.spelt[0x20]]] = True
+        self.opens[[n for token, n in vocabulary.items() if token[0] == blank]] = True
+        self.joins = merges_alone(self.model) and not any(
+            blank in token.lstrip(blank) and not self._spaced(token) for token in vocabulary)
         self.forget()
 
+    def _spaced(self, token: str) -> bool:
+        """Whether a vocabulary string holds white space of several bytes, as no plain part does."""
+        byte = {letter: c for c, letter in self.spelt.items()}
+        return len(_wide_space(np.array([byte.get(c, 0) for c in token] + [0xFF] * 2, np.uint8))) > 0
+
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.ids, self.begin = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
-        self.held = 0
+        self.parts = pa.array([], pa.binary())
+        self.coded = pa.array([], pa.large_binary())  # their ids, unsigned 32-bit
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -165,40 +182,51 @@ class _Pieces:
         spelt = "".join(map(self.spelt.__getitem__, part))
         return np.array([t.id for t in self.model.tokenize(spelt)], np.uint32)
 
-    def _many(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of plain parts that begin with a blank, which tells where each begins."""
-        spelt = self.letter.take(np.frombuffer(b"\n".join(parts), np.uint8))
-        coded = self.divided.encode_batch_fast([spelt.tobytes().decode("utf-16-le")],
-                                               add_special_tokens=False)[0]
-        ids = np.array(coded.ids, np.uint32)
-        at = np.flatnonzero(self.opens[ids])
-        if len(at) != len(parts) or at[0]:
-            return _joined([self._one(part, True) for part in parts])
-        return ids, np.diff(at, append=len(ids))
-
-    def _remember(self, parts: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        known, more = len(self.number), len(parts)
-        while self.held + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while known + more >= len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-        self.ids[self.held:self.held + len(ids)] = ids
-        self.begin[known + 1:known + more + 1] = self.held + np.cumsum(sizes)
-        self.held += len(ids)
-        self.number.update(zip(parts, range(known, known + more)))
-
-    def _learn(self, parts: list[bytes], plain: np.ndarray, end: int) -> None:
-        blank = [k for k in np.flatnonzero(plain).tolist()
-                 if parts[k][0] == 0x20 and len(parts[k]) > 1]
-        rest = set(range(len(parts))).difference(blank)
-        for at in range(0, len(blank), 2000):
-            own = [parts[k] for k in blank[at:at + 2000]]
+    def _many(self, parts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain parts that begin with a blank, and how many each has.
+
+        Many make one word for the library, since no merge leads over such a
+        blank; the ids tell where each part begins.
+        """
+        if self.joins:
+            raw, ends = _flat(parts)
+            spelt = self.letter.take(raw)
+            words = np.unique(np.searchsorted(ends, np.arange(WORD_BYTES, len(raw), WORD_BYTES)))
+            words = np.split(spelt, ends[words])
+            ids = []
+            for at in range(0, len(words), 16):
+                own = [x.tobytes().decode("utf-16-le") for x in words[at:at + 16]]
+                ids += [np.array(x.ids, np.uint32) for x in self.bare.encode_batch_fast(
+                    own, add_special_tokens=False)]
+            ids = np.concatenate(ids)
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) == len(parts) and not at[0]:
+                return ids, np.diff(at, append=len(ids))
+        return _joined([self._one(part, True) for part in parts.to_pylist()])
+
+    def _remember(self, parts: pa.BinaryArray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        offsets = np.append(0, 4 * np.cumsum(sizes))
+        coded = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(parts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+        self.parts = pa.concat_arrays([self.parts, parts])
+        self.coded = pa.concat_arrays([self.coded, coded])
+
+    def _learn(self, parts: pa.BinaryArray, end: int) -> None:
+        joined, ends = _flat(pc.binary_join_element_wise(
+            parts, *(pa.scalar(x, pa.binary()) for x in (b"\xff", b""))))
+        begin = np.append(0, ends[:-1])
+        inner = (joined[begin] == 0x20) & (ends - begin > 2)
+        plain = _PLAIN[_kinds(joined)[begin + inner]]
+        blank = plain & inner
+        if blank.any():
+            own = parts.filter(pa.array(blank))
             self._remember(own, *self._many(own))
-        if rest:
-            rest = sorted(rest)
-            self._remember([parts[k] for k in rest], *_joined([
-                np.array([end], np.uint32) if parts[k] == b"\xff"
-                else self._one(parts[k], bool(plain[k])) for k in rest]))
+        rest = np.flatnonzero(~blank)
+        if len(rest):
+            own = parts.take(pa.array(rest))
+            self._remember(own, *_joined([
+                np.array([end], np.uint32) if part == b"\xff" else self._one(part, bool(k))
+                for part, k in zip(own.to_pylist(), plain[rest], strict=True)]))
 
     def encoded(self, text: str) -> bytes:
         return self.whole(text).astype("<u4").tobytes()
@@ -208,6 +236,9 @@ class _Pieces:
 
     def of_all(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, ``end`` after each, and how many each has."""
+        return self.of_cuts([self.cut_up(texts)], end)
+
+    def cut_up(self, texts: pa.Array) -> _Cut:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         texts.validate(full=True)
         apart = np.zeros(len(texts), bool) if self.cut else np.ones(len(texts), bool)
@@ -221,41 +252,43 @@ class _Pieces:
         if apart.any():
             raw, _ = _flat(pc.if_else(pa.array(apart), pa.scalar(b"\xff", pa.large_binary()),
                                       joined))
-        if len(self.number) > REMEMBERED_PARTS:
-            self.forget()
         kind = _kinds(raw)
         starts = _starts(raw, kind)
-        offsets = np.append(starts, len(raw))
-        coded = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(starts),
-            [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw)]).dictionary_encode()
-        place, parts = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        number = np.fromiter(map(self.number.get, parts, repeat(-1)), np.int64, len(parts))
-        new = np.flatnonzero(number < 0)
+        last = np.flatnonzero(kind[starts] == _END)
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        parts = pa.BinaryArray.from_buffers(
+            pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+        return _Cut(parts, last, {k: self.whole(texts[k].as_py())
+                                  for k in np.flatnonzero(apart).tolist()})
+
+    def of_cuts(self, cuts: list[_Cut], end: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.parts) > REMEMBERED_PARTS:
+            self.forget()
+        met = pa.chunked_array([cut.parts for cut in cuts]).dictionary_encode()
+        parts = met.chunk(met.num_chunks - 1).dictionary
+        new = parts.filter(pc.invert(pc.is_in(parts, value_set=self.parts)))
         if len(new):
-            met = np.empty(len(parts), np.int64)  # where each part is met
-            met[place] = starts
-            own = [parts[k] for k in new.tolist()]
-            inner = (raw[met[new]] == 0x20) & np.array([len(part) > 1 for part in own])
-            self._learn(own, _PLAIN[kind[met[new] + inner]], end)
-            number[new] = [self.number[part] for part in own]
-        first, sizes = self.begin[number], self.begin[number + 1] - self.begin[number]
-        sizes = sizes[place]
-        upto = np.cumsum(sizes)
-        at = np.repeat(first[place] - (upto - sizes), sizes)
-        at += np.arange(len(at))
-        ids = self.ids.take(at)
-        ends = upto[np.flatnonzero(kind[starts] == _END)]
-        lengths = np.diff(ends, prepend=0)
-        if apart.any():
-            out, done = [], 0
-            for k in np.flatnonzero(apart).tolist():
-                own = self.whole(texts[k].as_py())
+            self._learn(new, end)
+        coded = self.coded.take(pc.index_in(parts, value_set=self.parts))
+        out, lengths = [], []
+        for cut, chunk in zip(cuts, met.chunks, strict=True):
+            raw, ends = _flat(coded.take(chunk.indices))
+            ids, ends = raw.view(np.uint32), ends[cut.last] >> 2
+            sizes = np.diff(ends, prepend=0)
+            done = 0
+            for k, own in cut.whole.items():
                 out += [ids[done:ends[k] - 1], own]
                 done = ends[k] - 1
-                lengths[k] += len(own)
-            ids = np.concatenate([*out, ids[done:]])
-        return ids, lengths
+                sizes[k] += len(own)
+            out.append(ids[done:])
+            lengths.append(sizes)
+        return np.concatenate(out), np.concatenate(lengths)
+
+
+def merges_alone(model: object) -> bool:
+    """Whether nothing but its merges decides what a word of the model becomes."""
+    return (isinstance(model, models.BPE) and not model.ignore_merges and not model.dropout
+            and not model.continuing_subword_prefix and not model.end_of_word_suffix)
 
 
 def _joined(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -273,7 +306,8 @@ def _pieces(path: str) -> _Pieces:
 
 def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts one after another, and where each ends."""
-    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    kind = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
+    ends = np.frombuffer(texts.buffers()[1], kind)[texts.offset:texts.offset + len(texts) + 1]
     return np.frombuffer(texts.buffers()[2], np.uint8)[ends[0]:ends[-1]], ends[1:] - ends[0]
 
 
@@ -291,6 +325,25 @@ def _cuts(texts: pa.Array) -> Iterator[slice]:
         yield slice(begin, len(sizes))
 
 
+def _parted(pieces: _Pieces, batches: Iterable[pa.RecordBatch]
+            ) -> Iterator[tuple[pa.Array, list[_Cut]]]:
+    """Document ids, and their texts cut up, so many that their parts are told apart together."""
+    ids: list[pa.Array] = []
+    cuts: list[_Cut] = []
+    held = 0
+    for batch in batches:
+        for at in _cuts(batch.column("text")):
+            own = batch.slice(at.start, at.stop - at.start)
+            ids.append(own.column("id"))
+            cuts.append(pieces.cut_up(own.column("text")))
+            held += cuts[-1].parts.buffers()[2].size
+            if held >= PARTED_BYTES:
+                yield pa.concat_arrays(ids), cuts
+                ids, cuts, held = [], [], 0
+    if ids:
+        yield pa.concat_arrays(ids), cuts
+
+
 def _record_type(id_type: str) -> str:
     return (f"shard int, part int, n_ids long, doc_ids array<{id_type}>, lengths array<int>, "
             "ranks binary, blocks binary, words binary")
@@ -318,7 +371,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
         coded: list[np.ndarray] = []
 
         def record() -> pa.RecordBatch:
-            whole = np.concatenate(coded)
+            whole = np.concatenate(coded) if len(coded) > 1 else coded[0]
             coded.clear()
             group = range_coder.encode(whole)
             docs = pa.concat_arrays(ids)
@@ -331,30 +384,31 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
                 names=["shard", "part", "n_ids", "doc_ids", "lengths",
                        "ranks", "blocks", "words"])
 
-        for batch in slices(batches):
-            for cut in _cuts(batch.column("text")):
-                own = batch.slice(cut.start, cut.stop - cut.start)
-                found, sizes = pieces.of_all(own.column("text"), end_id)
-                begin = 0
-                while held + len(found) >= GROUP_IDS and begin < len(sizes):
-                    upto = np.cumsum(sizes[begin:])
-                    last = int(np.searchsorted(upto, GROUP_IDS - held))
-                    if last == len(upto):
-                        break
-                    take = int(upto[last])
-                    coded.append(found[:take])
-                    lengths.append(sizes[begin:begin + last + 1])
-                    ids.append(own.column("id").slice(begin, last + 1))
-                    held += take
-                    yield record()
-                    part, held, ids, lengths = part + 1, 0, [], []
-                    found, begin = found[take:], begin + last + 1
-                if begin < len(sizes):
-                    coded.append(found)
-                    lengths.append(sizes[begin:])
-                    ids.append(own.column("id").slice(begin))
-                    held += len(found)
+        for own, cuts in _parted(pieces, slices(batches)):
+            found, sizes = pieces.of_cuts(cuts, end_id)
+            cuts.clear()
+            begin = 0
+            while held + len(found) >= GROUP_IDS and begin < len(sizes):
+                upto = np.cumsum(sizes[begin:])
+                last = int(np.searchsorted(upto, GROUP_IDS - held))
+                if last == len(upto):
+                    break
+                take = int(upto[last])
+                coded.append(found[:take])
+                lengths.append(sizes[begin:begin + last + 1])
+                ids.append(own.slice(begin, last + 1))
+                held += take
+                yield record()
+                part, held, ids, lengths = part + 1, 0, [], []
+                found, begin = found[take:], begin + last + 1
+            if begin < len(sizes):
+                coded.append(found)
+                lengths.append(sizes[begin:])
+                ids.append(own.slice(begin))
+                held += len(found)
+            del found
         pieces.forget()
+        pa.default_memory_pool().release_unused()
         if ids:
             yield record()
 
