@@ -110,7 +110,7 @@ def test_many_parts_make_one_word_for_the_library():
     letters = [*"aeinrstdlThE'~|-=_019", "é", "ß", "ª", "à", "ÿ"]
     parts = {" " + "".join(letters[k] for k in rng.integers(0, len(letters), n))
              for n in rng.integers(1, 12, 4000)}
-    texts = [x for part in sorted(parts) for x in (part, part + part)]
+    texts = [x for part in sorted(parts) for x in (part, part + part, part[1:] + "\n" + part)]
     words = []
 
     class Asked:

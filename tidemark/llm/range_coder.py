@@ -32,12 +32,13 @@ _HALVE_EVERY = 128
 _TURNED = 64  # steps that are laid out together, so that both layouts stay near
 _WORD = np.uint64(32)
 _LOW_WORD = np.uint64(0xFFFFFFFF)
-_K1, _K2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
+_K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 # the three counts of a choice share 60 bits, that of order 2 lowest
 _FIELD = 20
 _ONES = np.uint64(1 | 1 << _FIELD | 1 << 2 * _FIELD)
 _COUNT = np.uint64((1 << _FIELD) - 1)
 _NEVER = np.uint16(65535)
+_NONE = np.zeros(0, np.int64)
 _SHIFTS = np.array([2 * _FIELD, _FIELD, 0], np.uint64)
 _HALVES = np.uint64(((1 << _FIELD - 1) - 1) * int(_ONES))
 
@@ -59,7 +60,8 @@ class _Model:
 
     def __init__(self, lanes: int, known: int) -> None:
         self.known = int(_magnitude(np.array([max(1, known)]))[0]) + 1  # magnitudes
-        self.slots = (np.arange(2 * lanes) << _HASH_BITS).reshape(2, lanes)  # of orders 1, 2
+        self.slots = (np.arange(2 * lanes, dtype=np.uint64) << np.uint64(_HASH_BITS)
+                      ).reshape(2, lanes)  # of orders 1, 2
         # a rank and, in its two lowest bits, how sure it is; narrow where ranks allow, since
         # most steps wait for this table
         self.entry = np.uint16 if known <= 1 << 14 else np.uint32
@@ -74,14 +76,16 @@ class _Model:
         # what a magnitude adds to them; the last row is for none
         self.grown = np.zeros((self.known + 1, len(places)), np.uint16)
         self.grown[:-1] = np.uint16(_GAIN) * (self.floor > places[:self.known, None])
-        self.last1 = np.zeros(lanes, np.uint32)
-        self.last2 = np.zeros(lanes, np.uint32)
+        # products of the last id and of the one before it, for the hashes
+        self.last1 = np.zeros(lanes, np.uint64)
+        self.last2 = np.zeros(lanes, np.uint64)
         self.places()
 
     def places(self) -> None:
         lane = np.arange(len(self.whole))
         self.contexts, self.rows = lane << 4, lane * len(self.floor)
-        self.hashes = np.empty((2, len(lane)), np.uint32)
+        self.hashes = np.empty((2, len(lane)), np.uint64)
+        self.at = self.hashes.view(np.int64)
 
     def shrink(self) -> None:
         """The last block has ended."""
@@ -93,11 +97,10 @@ class _Model:
     def ask(self) -> np.ndarray:
         """The predictions of orders 1 and 2; sets the running counts of the choice."""
         two, three = self.entry(2), self.entry(3)
-        hash1 = np.multiply(self.last1, _K1, out=self.hashes[0])
-        np.add(hash1, (self.last2 + np.uint32(1)) * _K2, out=self.hashes[1])
-        self.hashes >>= np.uint32(32 - _HASH_BITS)
-        self.at = self.hashes.astype(np.int64)
-        self.at += self.slots
+        self.hashes[0] = self.last1
+        np.add(self.last1, self.last2, out=self.hashes[1])
+        self.hashes >>= np.uint64(64 - _HASH_BITS)
+        self.hashes += self.slots
         entry = self.follows.take(self.at)
         self.sure = entry & three
         self.context = ((self.sure[1] << two) + self.sure[0]).astype(np.int64)
@@ -124,6 +127,7 @@ class _Model:
         self.own = self.choice >> self.shift
         self.own &= _COUNT
         self.own -= self.before
+        self.base = self.before * self.all_bits
 
     def part(self, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of what was chosen, out of ``total``.
@@ -140,7 +144,7 @@ class _Model:
         own *= self.own
         start = start.astype(np.uint64)
         start *= self.own
-        start += self.before * self.all_bits
+        start += self.base
         self.digits = digits.astype(np.uint64)
         return start, own
 
@@ -164,7 +168,9 @@ class _Model:
         sure *= right
         sure += (rank << np.uint32(2)).astype(self.entry)
         self.follows[self.at] = sure
-        self.last2, self.last1 = self.last1, rank
+        wide = rank.astype(np.uint64)
+        self.last2 = self.last1 * _K2
+        self.last1 = wide * _K1
         if step % _HALVE_EVERY == _HALVE_EVERY - 1:
             for counts in (self.whole, self.placed):
                 counts += _ONES
@@ -187,6 +193,8 @@ class _Span:
     def due(self, limit: np.uint64) -> np.ndarray:
         """Blocks with a span up to the limit, a word at most, give off a word;
         the larger part of a span across a word border is kept."""
+        if limit < _LOW_WORD and np.minimum.reduce(self.span) > limit:  # nearly always
+            return _NONE
         due = (self.span <= limit).nonzero()[0]
         if len(due):
             low, span = self.low.take(due), self.span.take(due)
@@ -236,7 +244,9 @@ def encode(ids: np.ndarray) -> Group:
     by_rank, known = _ranked(ids)
     lanes = -(-len(ids) // BLOCK)
     tail = len(ids) - (lanes - 1) * BLOCK
-    ranks = np.zeros((BLOCK, lanes), np.uint32)  # a row for each step
+    checks = _checks(ids, lanes)
+    del ids
+    ranks = np.zeros((BLOCK, lanes), known.dtype)  # a row for each step
     for k in range(0, BLOCK, _TURNED):
         ranks[k:k + _TURNED, :-1] = known[:-tail].reshape(lanes - 1, BLOCK)[:, k:k + _TURNED].T
     ranks[:tail, -1] = known[-tail:]
@@ -257,7 +267,7 @@ def encode(ids: np.ndarray) -> Group:
             coder.low, coder.span = coder.low[:-1], coder.span[:-1]
         if step % _HALVE_EVERY == 0:
             out.room(2 * _HALVE_EVERY)  # a block gives off two words in a step at most
-        rank = ranks[step, :len(coder.low)]
+        rank = ranks[step, :len(coder.low)].astype(np.uint32)
         pred = model.ask()
         right = (pred == rank).view(np.uint8)
         model.choose(np.maximum(right[0], right[1] << 1))
@@ -285,7 +295,7 @@ def encode(ids: np.ndarray) -> Group:
     table[:, 0] = BLOCK
     table[-1, 0] = tail
     table[:, 1] = out.filled
-    table[:, 2] = _checks(ids, lanes)
+    table[:, 2] = checks
     body = out.words[np.arange(out.words.shape[1]) < out.filled[:, None]]
     return Group(by_rank.astype("<u4").tobytes(), table.astype("<u4").tobytes(),
                  body.astype("<u4").tobytes())
@@ -299,15 +309,20 @@ def _ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             counts += np.bincount(ids[k:k + (1 << 18)], minlength=len(counts))
         known = np.flatnonzero(counts)
         inverse, counts = ids, counts[known]
-        rank_of = np.empty(int(ids.max()) + 1, np.uint32)
+        rank_of = np.empty(int(ids.max()) + 1, _narrow(len(known)))
     else:
         known, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
-        rank_of = np.empty(len(known), np.uint32)
+        rank_of = np.empty(len(known), _narrow(len(known)))
     order = np.lexsort((known, -counts))
-    rank_of[known[order] if inverse is ids else order] = np.arange(len(known), dtype=np.uint32)
+    rank_of[known[order] if inverse is ids else order] = np.arange(len(known))
     return known[order], _looked_up(rank_of, inverse)
 
 
+def _narrow(known: int) -> type:
+    """What holds so many ranks."""
+    return np.uint16 if known <= 1 << 16 else np.uint32
+
+
 def _looked_up(table: np.ndarray, at: np.ndarray) -> np.ndarray:
     """``table[at]`` piece by piece: numpy makes long indices of each piece first."""
     out = np.empty(len(at), table.dtype)
@@ -339,7 +354,7 @@ def decode(group: Group, only: slice = slice(None)) -> np.ndarray:
     coder = _Span(lanes, model)
     code = (body[begin].astype(np.uint64) << _WORD) | body[begin + 1]
     at, last = begin + 2, len(body) - 1
-    ranks = np.zeros((BLOCK, lanes), np.uint32)
+    ranks = np.zeros((BLOCK, lanes), _narrow(len(known)))
 
     def settle(limit: np.uint64) -> None:
         due = coder.due(limit)
@@ -360,7 +375,7 @@ def decode(group: Group, only: slice = slice(None)) -> np.ndarray:
         hit = hit + (value < ((model.choice >> np.uint64(_FIELD)) & _COUNT)
                      * model.all_bits).view(np.uint8)
         model.choose(hit)
-        value -= model.before * model.all_bits
+        value -= model.base
         value //= model.own
         bits = model.found(value.astype(np.uint16))
         start, own = model.part(bits)
@@ -376,11 +391,11 @@ def decode(group: Group, only: slice = slice(None)) -> np.ndarray:
         rest += np.uint64(1) << model.digits
         rest -= np.uint64(1)  # 0 after a prediction
         rank = rest.astype(np.uint32)
-        rank += pred[0] * (hit == 1).astype(np.uint32)
-        rank += pred[1] * (hit == 2).astype(np.uint32)
+        np.copyto(rank, pred[0], where=hit == 1)
+        np.copyto(rank, pred[1], where=hit == 2)
         ranks[step, :len(rank)] = rank
         model.learn((pred == rank).view(np.uint8), bits, rank, step)
-    flat = np.empty((lanes, BLOCK), np.uint32)
+    flat = np.empty((lanes, BLOCK), ranks.dtype)
     for k in range(0, BLOCK, _TURNED):
         flat[:, k:k + _TURNED] = ranks[k:k + _TURNED].T
     del ranks

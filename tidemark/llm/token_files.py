@@ -11,10 +11,12 @@ executor or a repeated task leaves no half-written block.
 Texts are cut where the byte-level splitter cuts, by the kinds of their bytes:
 many texts at once in numpy. Arrow numbers the distinct parts, each of which is
 encoded once while its task remembers it, and the ids of a text are gathered
-from those of its parts. Runs without white space that hold anything but plain
-letters, digits and signs are parts as a whole; the tokenizer cuts them. Texts
-that hold a special string or white space beyond ASCII, and all texts where the
-file asks for another splitter, are encoded whole.
+from those of its parts. Parts of plain letters, digits and signs go to the
+library many to a word, where its vocabulary proves that no merge leads from
+one to the next. Runs without white space that hold anything else are parts as
+a whole; the tokenizer cuts them. Texts that hold a special string or white
+space beyond ASCII, and all texts where the file asks for another splitter, are
+encoded whole.
 
 Cases: a null or empty text has the end id only; equal ids are ordered by
 the hash of their text, null ids come first; other columns are not read; an
@@ -48,7 +50,7 @@ GROUP_IDS = 10 << 20
 SHARD_BYTES = 20 << 20
 #: Text that is cut at once.
 CUT_BYTES = 4 << 20
-#: Text whose distinct parts are told apart together: all that a task has, as a rule.
+#: Text whose distinct parts are told apart at once: all that a task has, as a rule.
 PARTED_BYTES = 24 << 20
 #: Parts that a task remembers before it starts afresh.
 REMEMBERED_PARTS = 400_000
@@ -81,7 +83,7 @@ def splits_by_bytes(path: str) -> bool:
 
 def _kinds(raw: np.ndarray) -> np.ndarray:
     """The kind of each byte; a run without white space that holds a hard one is hard."""
-    kind = _KIND.take(raw)
+    kind = np.frombuffer(bytearray(raw).translate(_KIND.tobytes()), np.uint8)
     for lead, letters in ((0xC2, (0xAA, 0xB5, 0xBA)), (0xC3, None)):
         at = np.flatnonzero(raw == lead)
         if len(at):
@@ -91,7 +93,9 @@ def _kinds(raw: np.ndarray) -> np.ndarray:
     hard = np.flatnonzero(kind == _HARD)
     if len(hard):
         solid = (kind != _WHITE) & (kind != _END)
-        run = np.cumsum(np.diff(solid, prepend=False) & solid)
+        first = solid.copy()
+        first[1:] &= ~solid[:-1]
+        run = np.cumsum(first, dtype=np.int32)
         marked = np.zeros(int(run[-1]) + 1, bool)
         marked[run[hard]] = True
         kind[solid & marked[run]] = _HARD
@@ -157,11 +161,13 @@ class _Pieces:
         self.letter = np.array([ord(self.spelt.get(c, "\0")) for c in range(256)], "<u2")
         self.bare = Tokenizer(self.model)
         vocabulary = self.tokenizer.get_vocab()
-        blank = self.spelt[0x20]
+        blank, feed = self.spelt[0x20], self.spelt[0x0A]
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[n for token, n in vocabulary.items() if token[0] == blank]] = True
-        self.joins = merges_alone(self.model) and not any(
-            blank in token.lstrip(blank) and not self._spaced(token) for token in vocabulary)
+        self.feed = vocabulary.get(feed, -1)
+        self.joins = merges_alone(self.model) and self.feed >= 0 and not any(
+            (blank in token.lstrip(blank) or feed in token and token.strip(feed))
+            and not self._spaced(token) for token in vocabulary)
         self.forget()
 
     def _spaced(self, token: str) -> bool:
@@ -189,21 +195,34 @@ class _Pieces:
         blank; the ids tell where each part begins.
         """
         if self.joins:
-            raw, ends = _flat(parts)
-            spelt = self.letter.take(raw)
-            words = np.unique(np.searchsorted(ends, np.arange(WORD_BYTES, len(raw), WORD_BYTES)))
-            words = np.split(spelt, ends[words])
-            ids = []
-            for at in range(0, len(words), 16):
-                own = [x.tobytes().decode("utf-16-le") for x in words[at:at + 16]]
-                ids += [np.array(x.ids, np.uint32) for x in self.bare.encode_batch_fast(
-                    own, add_special_tokens=False)]
-            ids = np.concatenate(ids)
+            ids = self._words(*_flat(parts))
             at = np.flatnonzero(self.opens[ids])
             if len(at) == len(parts) and not at[0]:
                 return ids, np.diff(at, append=len(ids))
         return _joined([self._one(part, True) for part in parts.to_pylist()])
 
+    def _others(self, parts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_many`` for plain parts that begin with no blank; line feeds, over which
+        no merge leads to them either, stand between."""
+        if self.joins:
+            ids = self._words(*_flat(_followed(parts, b"\n")))
+            at = np.flatnonzero(ids == self.feed)
+            if len(at) == len(parts):
+                return ids[ids != self.feed], np.diff(at, prepend=-1) - 1
+        return _joined([self._one(part, True) for part in parts.to_pylist()])
+
+    def _words(self, raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Ids of plain parts that are joined to words."""
+        spelt = self.letter.take(raw)
+        last = np.unique(np.searchsorted(ends, np.arange(WORD_BYTES, len(raw), WORD_BYTES)))
+        words = np.split(spelt, ends[last])
+        ids = []
+        for at in range(0, len(words), 16):
+            own = [x.tobytes().decode("utf-16-le") for x in words[at:at + 16]]
+            ids += [np.array(x.ids, np.uint32) for x in self.bare.encode_batch_fast(
+                own, add_special_tokens=False)]
+        return np.concatenate(ids)
+
     def _remember(self, parts: pa.BinaryArray, ids: np.ndarray, sizes: np.ndarray) -> None:
         offsets = np.append(0, 4 * np.cumsum(sizes))
         coded = pa.LargeBinaryArray.from_buffers(
@@ -211,9 +230,9 @@ class _Pieces:
         self.parts = pa.concat_arrays([self.parts, parts])
         self.coded = pa.concat_arrays([self.coded, coded])
 
-    def _learn(self, parts: pa.BinaryArray, end: int) -> None:
-        joined, ends = _flat(pc.binary_join_element_wise(
-            parts, *(pa.scalar(x, pa.binary()) for x in (b"\xff", b""))))
+    def _learn(self, parts: pa.BinaryArray, end: int) -> np.ndarray:
+        """Encodes and remembers new parts; gives the order they are remembered in."""
+        joined, ends = _flat(_followed(parts, b"\xff"))
         begin = np.append(0, ends[:-1])
         inner = (joined[begin] == 0x20) & (ends - begin > 2)
         plain = _PLAIN[_kinds(joined)[begin + inner]]
@@ -221,12 +240,17 @@ class _Pieces:
         if blank.any():
             own = parts.filter(pa.array(blank))
             self._remember(own, *self._many(own))
-        rest = np.flatnonzero(~blank)
+        other = plain & ~inner
+        if other.any():
+            own = parts.filter(pa.array(other))
+            self._remember(own, *self._others(own))
+        rest = np.flatnonzero(~plain)
         if len(rest):
             own = parts.take(pa.array(rest))
             self._remember(own, *_joined([
-                np.array([end], np.uint32) if part == b"\xff" else self._one(part, bool(k))
-                for part, k in zip(own.to_pylist(), plain[rest], strict=True)]))
+                np.array([end], np.uint32) if part == b"\xff" else self._one(part, False)
+                for part in own.to_pylist()]))
+        return np.concatenate([np.flatnonzero(blank), np.flatnonzero(other), rest])
 
     def encoded(self, text: str) -> bytes:
         return self.whole(text).astype("<u4").tobytes()
@@ -244,8 +268,7 @@ class _Pieces:
         apart = np.zeros(len(texts), bool) if self.cut else np.ones(len(texts), bool)
         for string in self.special:
             apart |= pc.match_substring(texts, string).to_numpy(zero_copy_only=False)
-        joined = pc.binary_join_element_wise(
-            texts.cast(pa.large_binary()), *(pa.scalar(x, pa.large_binary()) for x in (b"\xff", b"")))
+        joined = _followed(texts.cast(pa.large_binary()), b"\xff")
         raw, ends = _flat(joined)
         wide = _wide_space(raw)
         apart[np.searchsorted(ends, wide, "right")] = True
@@ -262,21 +285,27 @@ class _Pieces:
                                   for k in np.flatnonzero(apart).tolist()})
 
     def of_cuts(self, cuts: list[_Cut], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """As ``of_all``; the list is emptied, since the cuts hold much."""
         if len(self.parts) > REMEMBERED_PARTS:
             self.forget()
         met = pa.chunked_array([cut.parts for cut in cuts]).dictionary_encode()
+        texts = [(cut.last, cut.whole) for cut in cuts]
+        cuts.clear()
         parts = met.chunk(met.num_chunks - 1).dictionary
-        new = parts.filter(pc.invert(pc.is_in(parts, value_set=self.parts)))
+        number = pc.index_in(parts, value_set=self.parts).fill_null(-1).to_numpy().copy()
+        new = np.flatnonzero(number < 0)
         if len(new):
-            self._learn(new, end)
-        coded = self.coded.take(pc.index_in(parts, value_set=self.parts))
+            known = len(self.parts)
+            number[new[self._learn(parts.take(pa.array(new)), end)]] = np.arange(
+                known, known + len(new))
+        coded = self.coded.take(pa.array(number))
         out, lengths = [], []
-        for cut, chunk in zip(cuts, met.chunks, strict=True):
+        for (last, whole), chunk in zip(texts, met.chunks, strict=True):
             raw, ends = _flat(coded.take(chunk.indices))
-            ids, ends = raw.view(np.uint32), ends[cut.last] >> 2
+            ids, ends = raw.view(np.uint32), ends[last] >> 2
             sizes = np.diff(ends, prepend=0)
             done = 0
-            for k, own in cut.whole.items():
+            for k, own in whole.items():
                 out += [ids[done:ends[k] - 1], own]
                 done = ends[k] - 1
                 sizes[k] += len(own)
@@ -304,6 +333,12 @@ def _pieces(path: str) -> _Pieces:
     return _open[path]
 
 
+def _followed(texts: pa.Array, by: bytes) -> pa.Array:
+    """Each text with some bytes behind it."""
+    return pc.binary_join_element_wise(
+        texts, *(pa.scalar(x, texts.type) for x in (by, b"")))
+
+
 def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts one after another, and where each ends."""
     kind = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
@@ -371,9 +406,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
         coded: list[np.ndarray] = []
 
         def record() -> pa.RecordBatch:
-            whole = np.concatenate(coded) if len(coded) > 1 else coded[0]
+            whole = [np.concatenate(coded)]
             coded.clear()
-            group = range_coder.encode(whole)
+            group = range_coder.encode(whole.pop())
             docs = pa.concat_arrays(ids)
             return pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([part], pa.int32()),
@@ -386,7 +421,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
 
         for own, cuts in _parted(pieces, slices(batches)):
             found, sizes = pieces.of_cuts(cuts, end_id)
-            cuts.clear()
             begin = 0
             while held + len(found) >= GROUP_IDS and begin < len(sizes):
                 upto = np.cumsum(sizes[begin:])
@@ -443,10 +477,11 @@ def read_tokens(spark: SparkSession, path: str, id_type: str = "bigint",
                 row = batch.slice(at, 1)
                 group = range_coder.Group(*(row.column(x)[0].as_py()
                                             for x in ("ranks", "blocks", "words")))
-                ids = range_coder.decode(group).astype("<u4")
+                ids = range_coder.decode(group).astype("<u4", copy=False)
+                del group
                 lengths = np.asarray(row.column("lengths")[0].as_py(), np.int64)
                 ends = np.cumsum(lengths)
-                raw = memoryview(ids.tobytes())
+                raw = memoryview(ids).cast("B")
                 arrays = [pa.array([row.column("shard")[0].as_py()] * len(ends), pa.int32()),
                           pa.array([row.column("part")[0].as_py()] * len(ends), pa.int32()),
                           row.column("doc_ids")[0].values,
